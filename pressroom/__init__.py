@@ -1 +1,8 @@
 """Editorial feed analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python helpers travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

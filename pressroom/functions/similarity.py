@@ -10,7 +10,8 @@ and a length bound leave the answer open.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 
 def joined(tokens: Column) -> Column:
@@ -85,7 +86,7 @@ def _subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest common subsequence of two texts; 0 where either is null (not asked for)."""
     return pd.Series(
@@ -93,21 +94,31 @@ def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def full_ratio(parts: Column) -> Column:
-    """The exact ratio. The subsequence is skipped where the closed form already settles it."""
-    ask = closed_ratio(parts) < ratio_bound(parts)
-    common = common_subsequence(F.when(ask, parts["only_a"]), F.when(ask, parts["only_b"]))
-    return F.when(ask, F.greatest(closed_ratio(parts), rest_ratio(parts, common))).otherwise(
-        closed_ratio(parts)
-    )
+# Declared nondeterministic on purpose: Spark then keeps filters on its result above it, instead of
+# pushing them down and repeating the set arithmetic for every use in the condition.
+_common = common_subsequence.asNondeterministic()
+
+
+def with_ratio(df: DataFrame, parts: str, name: str) -> DataFrame:
+    """Add the exact ratio. The subsequence is skipped where the closed form already settles it."""
+    p = F.col(parts)
+    staged = df.withColumn("_closed", closed_ratio(p)).withColumn("_ask", F.col("_closed") < ratio_bound(p))
+    staged = staged.withColumn("_lcs", _common(F.when(F.col("_ask"), p["only_a"]), F.when(F.col("_ask"), p["only_b"])))
+    full = F.when(F.col("_ask"), F.greatest(F.col("_closed"), rest_ratio(p, F.col("_lcs")))).otherwise(F.col("_closed"))
+    return staged.withColumn(name, full).drop("_closed", "_ask", "_lcs")
+
 
+def with_ratio_test(df: DataFrame, parts: str, limit: str, settled: str, name: str) -> DataFrame:
+    """Add `name`: already settled, or ratio >= limit, exactly.
 
-def ratio_at_least(parts: Column, limit: Column | float) -> Column:
-    """Exact test ratio >= limit; the subsequence is computed only for pairs it can decide."""
-    limit = F.lit(limit) if not isinstance(limit, Column) else limit
-    ask = (closed_ratio(parts) < limit) & (ratio_bound(parts) >= limit)
-    common = common_subsequence(F.when(ask, parts["only_a"]), F.when(ask, parts["only_b"]))
-    return (closed_ratio(parts) >= limit) | (ask & (rest_ratio(parts, common) >= limit))
+    The subsequence is computed only for pairs it can decide.
+    """
+    p, at_least = F.col(parts), F.col(limit)
+    staged = df.withColumn("_yes", F.col(settled) | (closed_ratio(p) >= at_least))
+    staged = staged.withColumn("_ask", ~F.col("_yes") & (ratio_bound(p) >= at_least))
+    staged = staged.withColumn("_lcs", _common(F.when(F.col("_ask"), p["only_a"]), F.when(F.col("_ask"), p["only_b"])))
+    hit = F.col("_yes") | (F.col("_ask") & (rest_ratio(p, F.col("_lcs")) >= at_least))
+    return staged.withColumn(name, hit).drop("_yes", "_ask", "_lcs")
 
 
 def containment(a: Column, b: Column) -> Column:

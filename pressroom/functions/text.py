@@ -121,7 +121,9 @@ def word_set(normal: Column) -> Column:
 
 
 def lit_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+    """A constant array of texts; one literal split once at planning time, however long the list."""
+    values = list(values)
+    return F.split(F.lit("\n".join(values)), "\n") if values else F.array().cast("array<string>")
 
 
 def alnum_tokens(col: Column) -> Column:

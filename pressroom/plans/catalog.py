@@ -146,9 +146,9 @@ def _scored(rows, table=None):
 def lexicon_score(spark, sf) -> DataFrame:
     """All three branch scores of every headline under the fixed editorial rules."""
     rows = scoring.with_scores(sd.headlines(spark, sf), sd.AS_OF)
-    # explode_outer: explode would infer a filter on the scores and evaluate every rule twice
-    one = rows.select("seq", F.explode_outer("scores").alias("s"))
-    return one.select("seq", "s.branch", F.col("s.score").cast("bigint").alias("score"), F.array_join("s.reasons", " | ").alias("reasons"))
+    # inline_outer: explode would infer a filter on the scores and evaluate every rule again
+    one = rows.select("seq", F.inline_outer("scores"))
+    return one.select("seq", "branch", *_long("score"), F.array_join("reasons", " | ").alias("reasons"))
 
 
 @query
@@ -175,3 +175,87 @@ def shortlist_by_branch(spark, sf) -> DataFrame:
         "editorial_branch", F.size("stories").cast("bigint").alias("stories"),
         F.array_join(F.transform("stories", lambda s: F.concat_ws(":", s["branch_rank"], s["shortlist_id"], s["title"])), " | ").alias("listing"),
     )
+
+
+# --- history -----------------------------------------------------------------------------------
+
+from pressroom.operators import history as hist, neardup  # noqa: E402
+
+
+def _history_run(spark, sf):
+    return hist.block_repeats(
+        sd.open_candidates(spark, sf), sd.published_history(spark, sf), sd.AS_OF, classes=sd.EVENT_CLASSES,
+        material=["delay", "cancel", "sales", "beta"],
+    )
+
+
+@query
+def history_block(spark, sf) -> DataFrame:
+    """Every open article judged against the published history: status, reason, matched row."""
+    return _history_run(spark, sf).select("doc_id", "status", "reason", "hist_seq")
+
+
+@query
+def history_split(spark, sf) -> DataFrame:
+    """Blocked candidates with the published story they repeat."""
+    _, blocked = hist.split_blocked(_history_run(spark, sf), sd.published_history(spark, sf))
+    return blocked.select("candidate.doc_id", "reason", "history_match.date", F.col("history_match.title").alias("published_title"))
+
+
+@query
+def history_developments(spark, sf) -> DataFrame:
+    """Candidates let through because they carry a published story on."""
+    return _history_run(spark, sf).filter("status = 'development'").select("doc_id", "reason", "hist_seq")
+
+
+@query
+def history_prune(spark, sf) -> DataFrame:
+    return hist.prune_history(sd.published_history(spark, sf), sd.AS_OF).select("hist_seq", "date", "story_key")
+
+
+@query
+def history_register(spark, sf) -> DataFrame:
+    """Today's articles entered into the pruned history."""
+    news = sd.open_candidates(spark, sf).withColumn(
+        "url", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("doc:"), (F.col("doc_id") % 97).cast("string")))
+    )
+    old = sd.published_history(spark, sf).withColumn("date", F.when(F.col("hist_seq") % 40 == 0, "2024-01-31").otherwise(F.col("date")))
+    return hist.register(news, old, sd.AS_OF, "2024-01-31")
+
+
+# --- near duplicates ---------------------------------------------------------------------------
+
+def _article_order():
+    return F.struct("doc_id")
+
+
+@query
+def near_dup_pairs(spark, sf) -> DataFrame:
+    """Pairs of distinct article titles of a branch that are duplicates, each with its best article."""
+    titles, _ = neardup.distinct_titles(sd.articles(spark, sf), "branch", "title", _article_order(), sd.EVENT_FAMILIES)
+    pairs = neardup.duplicate_titles(titles)
+    best = titles.select("title_id", F.col("rank.doc_id").alias("doc"))
+    return (
+        pairs.join(best.select(F.col("title_id").alias("better"), F.col("doc").alias("better_doc")), "better")
+        .join(best.select(F.col("title_id").alias("worse"), F.col("doc").alias("worse_doc")), "worse")
+        .select("better_doc", "worse_doc")
+    )
+
+
+@query
+def greedy_dedupe(spark, sf) -> DataFrame:
+    """Scored articles of each branch walked by rank; a repeat of a kept one is dropped."""
+    rows = _scored(sd.articles(spark, sf), sd.fixture_rules())
+    order = F.struct((-F.col("editorial_score")).alias("neg"), F.col("seq"))
+    kept = neardup.greedy_dedupe(rows, "editorial_branch", "title", order, families=sd.EVENT_FAMILIES)
+    return kept.select("doc_id", "editorial_branch", *_long("editorial_score"), "accepted")
+
+
+@query
+def shortlist_deduped(spark, sf) -> DataFrame:
+    """The full path: history block, score, greedy removal, source cap, top 8 per branch."""
+    clean = _history_run(spark, sf).filter("status <> 'blocked'").drop("status", "reason", "hist_seq")
+    rows = _scored(clean, sd.fixture_rules())
+    order = F.struct((-F.col("editorial_score")).alias("neg"), F.col("seq"))
+    kept = neardup.greedy_dedupe(rows, "editorial_branch", "title", order, families=sd.EVENT_FAMILIES).filter("accepted")
+    return ranking.shortlist(kept).select(*_long("shortlist_id", "branch_rank", "editorial_score"), "doc_id", "editorial_branch", "title")
