@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
+from pressroom.functions.pairwise import subsequence
+
 
 def joined(tokens: Column) -> Column:
     return F.array_join(F.array_sort(tokens), " ")
@@ -71,26 +73,11 @@ def rest_ratio(parts: Column, common: Column) -> Column:
     return F.when(total == 0, 0.0).otherwise(100.0 - 100.0 * distance / total)
 
 
-def _subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one word of bits per step over `b`."""
-    if len(a) > len(b):
-        a, b = b, a
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & places.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
 @F.pandas_udf(IntegerType())
 def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest common subsequence of two texts; 0 where either is null (not asked for)."""
     return pd.Series(
-        [0 if x is None or y is None else _subsequence(x, y) for x, y in zip(a, b)], dtype="int32"
+        [0 if x is None or y is None else subsequence(x, y) for x, y in zip(a, b)], dtype="int32"
     )
 
 

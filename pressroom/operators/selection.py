@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom import fixed_values as fv
-from pressroom.functions import similarity as sim, text as tx, urls
+from pressroom.functions import urls
+from pressroom.functions.pairwise import token_set_ratio
 from pressroom.operators import history as hist
 from pressroom.operators.ranking import branch_order, top_in_group
 
@@ -105,21 +106,6 @@ def with_story_facts(rows: DataFrame, classes=None) -> DataFrame:
     return facts.withColumn("_url", urls.canonical_url(F.col("link")))
 
 
-def _ratio(a: set, b: set) -> float:
-    if not a or not b:
-        return 0.0
-    common, left, right = a & b, a - b, b - a
-    if common and (not left or not right):
-        return 100.0
-    s, x, y = (" ".join(sorted(p)) for p in (common, left, right))
-    gap = 1 if s else 0
-    one, two = len(s) + gap + len(x), len(s) + gap + len(y)
-    best = 100.0 - 100.0 * (len(x) + len(y) - 2 * sim._subsequence(x, y)) / (one + two)
-    for whole in (one, two) if s else ():
-        best = max(best, 100.0 - 100.0 * (whole - len(s)) / (len(s) + whole))
-    return best
-
-
 def _repeats(new: dict, old: dict, material: set) -> bool:
     """Does `new` tell the story of `old` of the same batch? (Undated: the rule of fresh stories.)"""
     if not new["title"].strip() or not old["title"].strip():
@@ -132,7 +118,7 @@ def _repeats(new: dict, old: dict, material: set) -> bool:
     both = bool(new["events"] & old["events"])
     smaller = min(len(new["subject"]), len(old["subject"]))
     cover = len(new["subject"] & old["subject"]) / smaller if smaller else 0.0
-    same = (both and strong >= 2) or (strong >= 3 and cover >= 0.60) or (both and _ratio(new["named"], old["named"]) >= 84)
+    same = (both and strong >= 2) or (strong >= 3 and cover >= 0.60) or (both and token_set_ratio(new["named"], old["named"]) >= 84)
     return same and not ((new["events"] - old["events"]) & material)
 
 

@@ -259,3 +259,173 @@ def shortlist_deduped(spark, sf) -> DataFrame:
     order = F.struct((-F.col("editorial_score")).alias("neg"), F.col("seq"))
     kept = neardup.greedy_dedupe(rows, "editorial_branch", "title", order, families=sd.EVENT_FAMILIES).filter("accepted")
     return ranking.shortlist(kept).select(*_long("shortlist_id", "branch_rank", "editorial_score"), "doc_id", "editorial_branch", "title")
+
+
+# --- selection and quality ---------------------------------------------------------------------
+
+from pressroom.operators import delivery, ledger as lg, quality, selection  # noqa: E402
+
+def _score_order():
+    return [F.col("editorial_score").desc(), F.col("seq").asc()]
+
+
+@query
+def two_per_branch(spark, sf) -> DataFrame:
+    """The first two stories of every branch per batch, numbered in branch order."""
+    rows = selection.first_per_branch(sd.scored_articles(spark, sf), "batch", _score_order())
+    return selection.combined_order(rows, "batch").select("batch", "numero", "editorial_branch", "candidate_id", "complete")
+
+
+@query
+def quota_select(spark, sf) -> DataFrame:
+    rows = selection.quota_select(sd.scored_articles(spark, sf), "batch")
+    return rows.select("batch", "candidate_id", "editorial_branch", *_long("branch_place"), "complete")
+
+
+@query
+def last_history(spark, sf) -> DataFrame:
+    return selection.latest_rows(sd.published_history(spark, sf)).select("hist_seq", "date", "title")
+
+
+@query
+def reserve_judgement(spark, sf) -> DataFrame:
+    """Every proposed reserve: kept, or why not."""
+    cands, chosen, proposed = sd.chosen_and_proposed(spark, sf)
+    return selection.judge_reserves(proposed, chosen, cands, "batch").select("batch", "ordinal", "candidate_id", "kept", "reason")
+
+
+@query
+def reserve_repair(spark, sf) -> DataFrame:
+    """Kept reserves filled up to two per branch from unused candidates."""
+    cands, chosen, proposed = sd.chosen_and_proposed(spark, sf)
+    judged = selection.judge_reserves(proposed, chosen, cands, "batch")
+    return selection.fill_reserves(judged, chosen, cands, "batch", _score_order())
+
+
+@query
+def selection_violations(spark, sf) -> DataFrame:
+    cands, chosen, _ = sd.chosen_and_proposed(spark, sf)
+    return quality.choice_violations(chosen, cands, "batch")
+
+
+@query
+def reserve_violations(spark, sf) -> DataFrame:
+    cands, chosen, proposed = sd.chosen_and_proposed(spark, sf)
+    return quality.choice_violations(proposed, cands, "batch", least=2, most=2, taken=chosen)
+
+
+@query
+def batch_violations(spark, sf) -> DataFrame:
+    return quality.batch_violations(sd.stories(spark, sf), "batch")
+
+
+def _batches(spark, sf):
+    """Labelled articles in batches, judged against the other documents' history."""
+    labels = sd.table(spark, sf, "labels")
+    rows = sd.scored_articles(spark, sf).join(labels, "doc_id")
+    past = sd.articles(spark, sf).join(labels.select("doc_id"), "doc_id", "left_anti").select(
+        F.col("doc_id").alias("hist_seq"), "title", F.lit("").alias("url"),
+        F.date_format(F.date_sub(F.lit("2024-01-31").cast("date"), (F.col("doc_id") % 40).cast("int")), "yyyy-MM-dd").alias("date"),
+    )
+    judged = hist.block_repeats(rows, past, sd.AS_OF, classes=sd.EVENT_CLASSES)
+    return judged.withColumns({"reserve": F.col("quality") == 0, "blocked": F.col("status") == "blocked", "healthy": F.lit(True)})
+
+
+@query
+def batch_substitute(spark, sf) -> DataFrame:
+    return selection.substitute(_batches(spark, sf), "batch", sd.EVENT_CLASSES)
+
+
+@query
+def asset_recover(spark, sf) -> DataFrame:
+    """Stories whose image fails the audit are replaced; healthy ones are protected."""
+    images = sd.assets(spark, sf).select(
+        F.col("asset_id").alias("doc_id"),
+        (delivery.image_verdict(F.col("n_bytes"), F.col("width"), F.col("height")) == "ok").alias("image_ok"),
+    )
+    rows = _batches(spark, sf).join(images, "doc_id", "left").withColumn("healthy", F.coalesce("image_ok", F.lit(False)))
+    return selection.substitute(rows, "batch", sd.EVENT_CLASSES)
+
+
+@query
+def batch_pair_check(spark, sf) -> DataFrame:
+    return selection.batch_repeats(sd.scored_articles(spark, sf), "batch", sd.EVENT_CLASSES)
+
+
+# --- ledger ------------------------------------------------------------------------------------
+
+def _costed(spark, sf):
+    rows = sd.ledger(spark, sf)
+    return rows.withColumn("cost_usd", lg.call_cost(F.col("model"), F.col("input_tokens"), F.col("output_tokens"), F.col("cached_tokens")))
+
+
+@query
+def token_cost(spark, sf) -> DataFrame:
+    """Estimated tokens and cost of every conversation, over its whole text."""
+    turns = sd.table(spark, sf, "conversations").withColumn("tokens", tx.token_estimate(F.col("text")))
+    sums = turns.groupBy("conv_id").agg(
+        F.sum(F.when(F.col("role") != "assistant", F.col("tokens")).otherwise(0)).alias("input_tokens"),
+        F.sum(F.when(F.col("role") == "assistant", F.col("tokens")).otherwise(0)).alias("output_tokens"),
+    )
+    cost = lg.call_cost(F.lit("gpt-5.6-terra"), F.col("input_tokens"), F.col("output_tokens"))
+    return sums.select("conv_id", "input_tokens", "output_tokens", F.round(cost, 9).alias("cost_usd"))
+
+
+@query
+def ledger_month(spark, sf) -> DataFrame:
+    totals = lg.monthly_totals(_costed(spark, sf), ["model"])
+    return totals.select("month", "model", "calls", F.round("spent_usd", 6).alias("spent_usd"))
+
+
+@query
+def budget_status(spark, sf) -> DataFrame:
+    scaled = {"monthly_budget_usd": 500.0, "warning_usd": 30.0, "critical_usd": 120.0, "internal_stop_usd": 450.0}
+    out = lg.with_budget(lg.monthly_totals(_costed(spark, sf)), scaled)
+    return out.select("month", "calls", F.round("spent_usd", 6).alias("spent_usd"), "level", F.round("remaining_usd", 6).alias("remaining_usd"))
+
+
+@query
+def call_admission(spark, sf) -> DataFrame:
+    """Each conversation as a request against what its month has spent."""
+    scaled = {"monthly_budget_usd": 500.0, "warning_usd": 30.0, "critical_usd": 120.0, "internal_stop_usd": 98.0}
+    turns = sd.table(spark, sf, "conversations").groupBy("conv_id").agg(F.sum(tx.token_estimate(F.col("text"))).alias("input_tokens"))
+    requests = turns.select(
+        "conv_id", F.lit("2024-01").alias("month"), F.lit("gpt-5.6-terra").alias("model"), "input_tokens",
+        (F.col("input_tokens") * 2).alias("max_output_tokens"),
+    )
+    out = lg.admit(requests, lg.monthly_totals(_costed(spark, sf)), scaled)
+    return out.select("conv_id", F.round("reserve_usd", 6).alias("reserve_usd"), F.round("projected_usd", 6).alias("projected_usd"), "admitted")
+
+
+# --- delivery ----------------------------------------------------------------------------------
+
+EXPECTED = delivery.expected_keys([f"{i:02d}" for i in range(1, 7)])
+
+
+@query
+def delivery_reconcile(spark, sf) -> DataFrame:
+    return delivery.reconcile(sd.pieces(spark, sf), "run", EXPECTED)
+
+
+@query
+def piece_counts(spark, sf) -> DataFrame:
+    """Expected pieces that do not exist exactly once per run."""
+    return delivery.not_exactly_one(sd.pieces(spark, sf), "run", EXPECTED)
+
+
+@query
+def run_guard(spark, sf) -> DataFrame:
+    """Hours without a completed run (a purchase completes the hour)."""
+    rows = sd.pieces(spark, sf)
+    log = rows.filter("event_type = 'purchase'").select("run", F.lit("completed").alias("status"))
+    return delivery.runs_to_do(rows.select("run").distinct(), log, "run")
+
+
+@query
+def asset_audit(spark, sf) -> DataFrame:
+    a = sd.assets(spark, sf)
+    fmt = F.when(F.col("asset_id") % 7 == 0, "JPEG").otherwise("PNG")
+    return a.select(
+        "asset_id", delivery.image_verdict(F.col("n_bytes"), F.col("width"), F.col("height")).alias("image"),
+        delivery.piece_verdict(F.col("n_bytes"), fmt, F.col("width"), F.col("height"), target=(1060, 588)).alias("piece"),
+    )

@@ -217,3 +217,149 @@ select shortlist_id, branch_rank, score as editorial_score, seq, branch as edito
 ORACLES["shortlist_by_branch"] = f"""with {RANKED}, {TOPK.format(src='assigned', norm=normal('source'))}
 select branch as editorial_branch, count(*) as stories,
   string_agg(branch_rank || ':' || shortlist_id || ':' || title, ' | ' order by branch_rank) as listing from short group by branch"""
+
+
+# --- history -------------------------------------------------------------------------------------
+
+HISTORY = f"""{ARTICLES},
+hist as (select doc_id as hist_seq, strftime(date '2024-01-31' - (doc_id % 40)::int, '%Y-%m-%d') as date, branch, title, source,
+  case when doc_id % 2 = 0 then '' else 'doc:' || doc_id end as url,
+  substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key
+  from articles where doc_id in (select doc_id from labels where quality = 1)),
+open as (select * from articles where doc_id not in (select doc_id from labels where quality = 1))"""
+ORACLES["history_prune"] = f"""with {HISTORY} select hist_seq, date, story_key from hist where date::timestamp >= timestamp '2024-01-31' - interval 30 day"""
+ORACLES["history_register"] = f"""with {HISTORY},
+old as (select * replace (case when hist_seq % 40 = 0 then '2024-01-31' else date end as date) from hist),
+kept as (select date, branch, title, source, url, story_key from old where date::timestamp >= timestamp '2024-01-31' - interval 30 day),
+news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else 'doc:' || (doc_id % 97) end as url,
+  substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from open where title <> ''),
+urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
+  qualify row_number() over (partition by url order by doc_id) = 1),
+keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.story_key = n.story_key)
+  and not exists (select 1 from urlrows u where u.story_key = n.story_key and u.doc_id < n.doc_id)
+  qualify row_number() over (partition by story_key order by doc_id) = 1)
+select * from kept
+union all select '2024-01-31', branch, title, source, url, story_key from urlrows
+union all select '2024-01-31', branch, title, source, url, story_key from keyrows"""
+ORACLES["last_history"] = f"""with {HISTORY} select hist_seq, date, title from hist order by hist_seq desc limit 30"""
+
+
+# --- selection and quality -----------------------------------------------------------------------
+
+SCORED = f"""{ARTICLES}, sc as (select doc_id as candidate_id, doc_id as seq, title, branch as editorial_branch, doc_id // 24 as batch,
+  (doc_id * 37) % 101 as editorial_score from articles)"""
+BRANCH_ORD = "case editorial_branch when 'gaming' then 1 when 'tecnologia' then 2 else 3 end"
+ORACLES["two_per_branch"] = f"""with {SCORED},
+t as (select *, row_number() over (partition by batch, editorial_branch order by editorial_score desc, seq) as place from sc qualify place <= 2)
+select batch, lpad((row_number() over (partition by batch order by {BRANCH_ORD}, place))::varchar, 2, '0') as numero, editorial_branch, candidate_id,
+  count(*) over (partition by batch) = 6 as complete from t"""
+ORACLES["quota_select"] = f"""with {SCORED},
+t as (select *, row_number() over (partition by batch, editorial_branch order by editorial_score desc, seq) as branch_place from sc qualify branch_place <= 3),
+b as (select batch, count(*) as base from t where branch_place <= 2 group by batch),
+extra as (select batch, candidate_id from t where branch_place = 3 qualify row_number() over (partition by batch order by editorial_score desc, seq) = 1),
+picked as (select t.* from t join b using (batch) left join extra e on t.candidate_id = e.candidate_id
+  where branch_place <= 2 or (base = 5 and e.candidate_id is not null)),
+stats as (select batch, count(*) = 6 and count(distinct editorial_branch) = 3 as complete from picked group by batch)
+select batch, candidate_id, editorial_branch, branch_place, complete from picked join stats using (batch)"""
+CHOSEN = f"""{SCORED},
+lab as (select sc.*, quality, toxic from sc join labels on candidate_id = doc_id),
+chosen as (select batch, candidate_id, editorial_branch from lab where quality = 1 and toxic = 0),
+proposed as (select batch, case when toxic = 1 then candidate_id + 1 else candidate_id end as candidate_id, editorial_branch, candidate_id as ordinal
+  from lab where quality = 0 or toxic = 1)"""
+JUDGED = f"""{CHOSEN},
+p as (select p.*, case when exists (select 1 from chosen c where c.batch = p.batch and c.candidate_id = p.candidate_id) then 'solapada o duplicada'
+    when sc.candidate_id is null then 'candidate_id inexistente' when sc.editorial_branch <> p.editorial_branch then 'rama alterada' end as own
+  from proposed p left join sc on sc.candidate_id = p.candidate_id),
+firsts as (select batch, candidate_id, min(ordinal) as o, arg_min(editorial_branch, ordinal) as editorial_branch from p where own is null group by all),
+keep as (select * from firsts qualify row_number() over (partition by batch, editorial_branch order by o) <= 2),
+judged as (select p.batch, p.ordinal, p.candidate_id, p.editorial_branch, coalesce(k.o = p.ordinal, false) as kept,
+  case when k.o = p.ordinal then null when k.o < p.ordinal then 'solapada o duplicada' else coalesce(own, 'cupo de rama excedido') end as reason
+  from p left join keep k on k.batch = p.batch and k.candidate_id = p.candidate_id)"""
+ORACLES["reserve_judgement"] = f"with {JUDGED} select batch, ordinal, candidate_id, kept, reason from judged"
+ORACLES["reserve_repair"] = f"""with {JUDGED},
+kk as (select batch, candidate_id, editorial_branch from judged where kept),
+used as (select batch, candidate_id from kk union select batch, candidate_id from chosen),
+free as (select *, row_number() over (partition by batch, editorial_branch order by editorial_score desc, seq) as place
+  from sc where not exists (select 1 from used u where u.batch = sc.batch and u.candidate_id = sc.candidate_id)),
+have as (select batch, editorial_branch, count(*) as n from kk group by all)
+select *, 'kept' as origin from kk union all
+select f.batch, f.candidate_id, f.editorial_branch, 'filled' from free f left join have h using (batch, editorial_branch) where place <= 2 - coalesce(n, 0)"""
+
+
+def _choice(rows: str, least: int, most: int, taken: str) -> str:
+    quota = " or ".join(f"count(*) filter (editorial_branch = '{b}') not between {least} and {most}" for b in fv.BRANCHES)
+    shown = " || ', ' || ".join(f"'{b}=' || count(*) filter (editorial_branch = '{b}')" for b in fv.BRANCHES)
+    return f"""with {CHOSEN},
+r as (select r.*, sc.editorial_branch as known from {rows} r left join sc on sc.candidate_id = r.candidate_id)
+select batch, 'overlap' as rule, candidate_id::varchar as detail, 'error' as severity from r where {taken}
+union all select batch, 'unknown_id', candidate_id::varchar, 'error' from r where known is null
+union all select batch, 'branch_changed', candidate_id || ': ' || known || ' -> ' || editorial_branch, 'error' from r where known <> editorial_branch
+union all select batch, 'duplicate_id', candidate_id::varchar, 'error' from r group by batch, candidate_id having count(*) > 1
+union all select batch, 'count', count(*)::varchar, 'error' from r group by batch having count(*) <> 6
+union all select batch, 'branch_quota', {shown}, 'error' from r group by batch having {quota}"""
+
+
+ORACLES["selection_violations"] = _choice("chosen", 1, 3, "false")
+ORACLES["reserve_violations"] = _choice(
+    "proposed", 2, 2, "exists (select 1 from chosen c where c.batch = r.batch and c.candidate_id = r.candidate_id)")
+
+STORIES = f"""sent as (select doc_id, lang, source, {BRANCH} as b,
+  list_filter(list_transform(string_split_regex(text, '[.\n]+'), lambda s: trim(s)), lambda s: s <> '') as s from documents),
+base as (select *, s[1] as titulo, array_to_string(s[2:], '. ') as resumen, array_to_string(string_split(s[1], ' ')[1:3], ' ') as lead from sent),
+st as (select doc_id, doc_id // 6 as batch, doc_id % 6 + 1 as place,
+  case when doc_id % 29 = 0 then '09' else lpad((doc_id % 6 + 1)::varchar, 2, '0') end as numero,
+  case when doc_id % 31 = 0 then 'deportes' else b end as rama, titulo, resumen,
+  case when lang = 'de' then '¡' || lead else lead end as mark, array_to_string(string_split(resumen, ' ')[1:2], ' ') as mark2,
+  case when doc_id % 37 = 0 then '' else 'doc:' || doc_id end as url from base)"""
+_quota = " or ".join(f"count(*) filter (rama = '{b}') not between 1 and 3" for b in fv.BRANCHES)
+_shown = " || ', ' || ".join(f"'{b}=' || count(*) filter (rama = '{b}')" for b in fv.BRANCHES)
+ORACLES["batch_violations"] = f"""with {STORIES}
+select batch, numero, 'numero' as rule, numero as detail, 'error' as severity from st where numero <> lpad(place::varchar, 2, '0')
+union all select batch, numero, 'branch', rama, 'error' from st where rama = 'deportes'
+union all select batch, numero, 'empty_field', 'titulo', 'error' from st where trim(titulo) = ''
+union all select batch, numero, 'empty_field', 'resumen', 'error' from st where trim(resumen) = ''
+union all select batch, numero, 'empty_field', 'url', 'error' from st where url = ''
+union all select batch, numero, 'highlight_empty', 'tituloDestacado', 'error' from st where trim(mark) = ''
+union all select batch, numero, 'highlight_empty', 'resumenDestacado', 'error' from st where trim(mark2) = ''
+union all select batch, numero, 'highlight_not_literal', 'tituloDestacado: ' || trim(mark), 'warning' from st where trim(mark) <> '' and not contains(titulo, trim(mark))
+union all select batch, numero, 'highlight_not_literal', 'resumenDestacado: ' || case when trim(mark2) <> '' and not contains(trim(resumen), trim(mark2)) then trim(mark2) || ' | ' else '' end || 'zzz', 'warning'
+  from st where not contains(resumen, 'zzz')
+union all select batch, numero, 'duplicate_numero', numero, 'error' from st group by batch, numero having count(*) > 1
+union all select batch, '', 'count', count(*)::varchar, 'error' from st group by batch having count(*) <> 6
+union all select batch, '', 'branch_quota', {_shown}, 'error' from st group by batch having {_quota}"""
+
+
+# --- ledger and delivery -------------------------------------------------------------------------
+
+COSTED = """calls as (select event_id, ts, case when user_id % 2 = 0 then 'gpt-5.6-terra' else 'gpt-5.6-luna' end as model,
+  floor(value * 40)::bigint as i, floor(value * 8)::bigint as o, floor(value * 10)::bigint as c from events),
+costed as (select *, strftime(ts - interval 5 hour, '%Y-%m') as month,
+  (greatest(i - c, 0) * 2.0 + c * 0.2 + o * 12.0) / 1e6 * case when model = 'gpt-5.6-luna' then 0.1 else 1 end as cost from calls)"""
+ORACLES["token_cost"] = """with t as (select conv_id, role, floor(length(text) / 3.2)::bigint + 400 as tokens from conversations),
+s as (select conv_id, (sum(case when role <> 'assistant' then tokens else 0 end))::bigint as input_tokens,
+  (sum(case when role = 'assistant' then tokens else 0 end))::bigint as output_tokens from t group by conv_id)
+select *, round(input_tokens * 2.0::double / 1e6 + output_tokens * 12.0::double / 1e6, 9)::double as cost_usd from s"""
+ORACLES["ledger_month"] = f"with {COSTED} select month, model, count(*) as calls, round(sum(cost::double), 6) as spent_usd from costed group by all"
+ORACLES["budget_status"] = f"""with {COSTED}, t as (select month, count(*) as calls, sum(cost::double) as spent from costed group by month)
+select month, calls, round(spent, 6) as spent_usd, case when spent >= 450 then 'STOP' when spent >= 120 then 'CRITICO' when spent >= 30 then 'ADVERTENCIA' else 'NORMAL' end as level,
+  round(greatest(450 - spent, 0), 6) as remaining_usd from t"""
+ORACLES["call_admission"] = f"""with {COSTED}, t as (select sum(cost::double) as spent from costed where month = '2024-01'),
+r as (select conv_id, sum(floor(length(text) / 3.2)::bigint + 400)::bigint as i from conversations group by conv_id),
+w as (select conv_id, i * 2.0::double / 1e6 + 2 * i * 12.0::double / 1e6 + 0.01 as reserve, spent from r, t)
+select conv_id, round(reserve, 6)::double as reserve_usd, round(spent + reserve, 6)::double as projected_usd, spent < 98.0 and spent + reserve <= 98.0 as admitted from w"""
+
+PIECES = """pieces as (select strftime(ts, '%Y-%m-%d %H') as run, lpad((event_id % 9)::varchar, 2, '0') as key, event_type <> 'error' as delivered, event_type from events)"""
+ORACLES["delivery_reconcile"] = f"""with {PIECES},
+s as (select run, list(distinct key) as found, coalesce(list(distinct key) filter (delivered), []) as sent from pieces where key <= '07' group by run),
+k as (select ['00', '01', '02', '03', '04', '05', '06', '07'] as keys)
+select run, 8::bigint as expected, len(found)::bigint as found, len(sent)::bigint as delivered,
+  array_to_string(list_filter(keys, lambda x: not list_contains(found, x)), ',') as missing,
+  array_to_string(list_filter(keys, lambda x: not list_contains(sent, x)), ',') as undelivered, len(sent) = 8 and len(found) = 8 as complete from s, k"""
+ORACLES["piece_counts"] = f"""with {PIECES}, runs as (select distinct run from pieces),
+keys as (select unnest(['00', '01', '02', '03', '04', '05', '06', '07']) as key),
+n as (select run, key, count(*) as n from pieces group by all)
+select run, key, coalesce(n, 0)::bigint as pieces from runs cross join keys left join n using (run, key) where coalesce(n, 0) <> 1"""
+ORACLES["run_guard"] = f"with {PIECES} select run from pieces group by run having count(*) filter (event_type = 'purchase') = 0"
+ORACLES["asset_audit"] = """with a as (select p_partkey as asset_id, floor(p_retailprice * 21)::bigint as n, 300 + 40 * p_size as w, 170 + 22 * p_size as h from part)
+select asset_id, case when n < 20000 then 'archivo demasiado pequeño: ' || n || ' bytes' when w < 600 or h < 338 then 'dimensiones insuficientes: ' || w || 'x' || h else 'ok' end as image,
+  case when n < 10000 then 'archivo demasiado pequeno' when asset_id % 7 = 0 then 'formato JPEG' when w <> 1060 or h <> 588 then w || 'x' || h || '; se esperaba 1060x588' else 'ok' end as piece from a"""

@@ -107,3 +107,84 @@ EVENT_FAMILIES = {
     "release": ["attion", "to the", "de la"], "delay": ["anea", "und"], "update": ["is the", "la", "the and"],
     "lawsuit": ["thble", "der"],
 }
+
+
+def scored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles as candidates of batches of 24 documents, with an arithmetic score."""
+    rows = articles(spark, sf_dir)
+    return rows.select(
+        "*", F.col("doc_id").alias("candidate_id"), F.col("branch").alias("editorial_branch"),
+        F.floor(F.col("doc_id") / 24).cast("bigint").alias("batch"), ((F.col("doc_id") * 37) % 101).alias("editorial_score"),
+    )
+
+
+def chosen_and_proposed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidates, chosen, proposed reserves) from the labels: good and clean documents are chosen;
+
+    poor ones are proposed; toxic ones propose their successor under their own branch.
+    """
+    cands = scored_articles(spark, sf_dir).select("batch", "candidate_id", "editorial_branch", "editorial_score", "seq")
+    labels = table(spark, sf_dir, "labels")
+    labelled = cands.join(labels, F.col("candidate_id") == F.col("doc_id"))
+    chosen = labelled.filter("quality = 1 and toxic = 0").select("batch", "candidate_id", "editorial_branch")
+    proposed = labelled.filter("quality = 0 or toxic = 1").select(
+        "batch", F.when(F.col("toxic") == 1, F.col("candidate_id") + 1).otherwise(F.col("candidate_id")).alias("candidate_id"),
+        "editorial_branch", F.col("doc_id").alias("ordinal"),
+    )
+    return cands, chosen, proposed
+
+
+def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as finished stories in batches of six, with the faults their ids call for."""
+    docs = table(spark, sf_dir, "documents")
+    sentence = F.filter(F.transform(F.split("text", "[.\n]+"), lambda s: F.trim(s)), lambda s: s != "")
+    rows = docs.select("doc_id", "lang", "source", "text", sentence.alias("s"))
+    title, rest = F.element_at("s", 1), F.array_join(F.slice("s", 2, 2147483647), ". ")
+    place = F.col("doc_id") % 6 + 1
+    lead = F.array_join(F.slice(F.split(title, " "), 1, 3), " ")
+    return rows.select(
+        "doc_id", F.floor(F.col("doc_id") / 6).cast("bigint").alias("batch"), place.alias("place"),
+        F.when(F.col("doc_id") % 29 == 0, "09").otherwise(F.lpad(place.cast("string"), 2, "0")).alias("numero"),
+        F.upper("lang").alias("categoria"), F.when(F.col("doc_id") % 31 == 0, "deportes").otherwise(_branch()).alias("rama"),
+        F.lit("31 ENE 2024").alias("fecha"), title.alias("titulo"),
+        F.when(F.col("lang") == "de", F.array(F.concat(F.lit("¡"), lead))).otherwise(F.array(lead)).alias("tituloDestacado"),
+        rest.alias("resumen"), F.array(F.substring_index(rest, " ", 2), F.lit("zzz")).alias("resumenDestacado"),
+        F.lit("").alias("imagen"), F.col("source").alias("fuente"),
+        F.when(F.col("doc_id") % 37 == 0, "").otherwise(F.concat(F.lit("doc:"), F.col("doc_id").cast("string"))).alias("url"),
+        F.lit("").alias("fecha_original"), F.lit("").alias("por_que_importa"), F.lit("").alias("anguloShort"),
+        F.lit("").alias("imagenFuente"), F.lit("").alias("imagenFuenteUrl"), F.lit("").alias("imagenTipo"),
+    )
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as calls: two models, tokens from the event value."""
+    ev = table(spark, sf_dir, "events")
+    model = F.when(F.col("user_id") % 2 == 0, "gpt-5.6-terra").otherwise("gpt-5.6-luna")
+    return ev.select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), model.alias("model"),
+        F.floor(F.col("value") * 40).cast("bigint").alias("input_tokens"), F.floor(F.col("value") * 8).cast("bigint").alias("output_tokens"),
+        F.floor(F.col("value") * 10).cast("bigint").alias("cached_tokens"),
+    )
+
+
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as delivered pieces: eight a run, an hour is a run, errors were not delivered."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.date_format("ts", "yyyy-MM-dd HH").alias("run"), F.lpad((F.col("event_id") % 9).cast("string"), 2, "0").alias("key"),
+        (F.col("event_type") != "error").alias("delivered"), "event_type",
+    )
+
+
+def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as images of a manifest."""
+    part = table(spark, sf_dir, "part")
+    kinds = F.array(F.lit("article"), F.lit("jsonld"), F.lit("og"), F.lit("twitter"))
+    return part.select(
+        F.col("p_partkey").alias("asset_id"), F.floor(F.col("p_partkey") / 40).cast("bigint").alias("story"),
+        F.concat(F.lit("https://cdn.example.com/"), F.regexp_replace("p_name", " ", "-"), F.lit("-"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("url"),
+        F.lower(F.concat_ws(" ", "p_type", "p_name", "p_brand")).alias("text"),
+        F.element_at(kinds, (F.col("p_partkey") % 4 + 1).cast("int")).alias("kind"),
+        (F.col("p_size") * 40 + 300).alias("width"), (F.col("p_size") * 22 + 170).alias("height"),
+        F.floor(F.col("p_retailprice") * 21).cast("bigint").alias("n_bytes"),
+    )
