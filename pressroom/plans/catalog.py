@@ -429,3 +429,217 @@ def asset_audit(spark, sf) -> DataFrame:
         "asset_id", delivery.image_verdict(F.col("n_bytes"), F.col("width"), F.col("height")).alias("image"),
         delivery.piece_verdict(F.col("n_bytes"), fmt, F.col("width"), F.col("height"), target=(1060, 588)).alias("piece"),
     )
+
+
+# --- pages and images --------------------------------------------------------------------------
+
+from pressroom.functions import html as hx  # noqa: E402
+from pressroom.operators import images, modules, pages  # noqa: E402
+
+
+@query
+def page_metadata(spark, sf) -> DataFrame:
+    rows = pages.page_metadata(sd.table(spark, sf, "pages"))
+    return rows.select("page_id", "page_title", "description", "extract")
+
+
+@query
+def page_article(spark, sf) -> DataFrame:
+    rows = pages.article_text(sd.table(spark, sf, "pages"))
+    return rows.select("page_id", "titulo_original", "descripcion", "extracto", F.array_join("parrafos", " || ").alias("parrafos"), "useful")
+
+
+@query
+def page_context(spark, sf) -> DataFrame:
+    """Context per page's story: its own page when it has paragraphs, a neighbour's, or the headline."""
+    src = sd.table(spark, sf, "pages")
+    texts = pages.article_text(src.filter("page_id % 3 <> 0 or length(html) > 8000"))
+    stories = src.select(F.col("page_id").alias("numero"), F.concat(F.lit("story "), F.col("page_id").cast("string")).alias("titulo"), F.lit("feed").alias("fuente"), "url")
+    other = src.select((F.col("page_id") - 1).alias("numero"), F.lit("").alias("resolved_article_url"), F.col("url").alias("image_source_url"), F.lit("other").alias("image_source"))
+    rows = pages.article_context(stories, texts, other)
+    return rows.select("numero", "titulo_original", "context_source", "context_origin", "estado")
+
+
+@query
+def image_references(spark, sf) -> DataFrame:
+    """Images named by pages written from the manifest, merged by URL."""
+    return pages.image_references(sd.asset_pages(spark, sf)).select("page_id", "url", "kind", "text")
+
+
+def _relevant(spark, sf):
+    return images.with_relevance(sd.assets_with_topic(spark, sf))
+
+
+@query
+def asset_score(spark, sf) -> DataFrame:
+    rows = _relevant(spark, sf)
+    return rows.select(
+        "asset_id", *_long("score"), F.array_join("matched_url_specific", " ").alias("in_url"),
+        F.array_join("matched_text_specific", " ").alias("in_text"),
+    )
+
+
+def _ranked(spark, sf):
+    rows = images.validated(_relevant(spark, sf), "story")
+    return rows.withColumn("source_quality_bonus", images.source_quality(F.col("source"), F.col("url"), **sd.TIERS))
+
+
+@query
+def asset_accept(spark, sf) -> DataFrame:
+    """The image accepted per story among its best six large enough ones."""
+    w = images.winners(_ranked(spark, sf), "story")
+    return w.select("story", "asset_id", *_long("score_with_source", "place"))
+
+
+@query
+def asset_choice(spark, sf) -> DataFrame:
+    """Cascade over groups of three stories: own article, other coverage, second pool."""
+    w = images.winners(_ranked(spark, sf), "story").withColumns({"tier": (F.col("story") % 3).cast("int"), "group": F.floor(F.col("story") / 3)})
+    return images.choose_image(w, "group").select(
+        F.col("group").cast("bigint").alias("group"), "image_candidate_url", "source_type", *_long("relevance_score"), "selection_origin"
+    )
+
+
+@query
+def source_quality(spark, sf) -> DataFrame:
+    """Quality bonus of every document's source, under the fixture's and the fixed tiers."""
+    docs = sd.table(spark, sf, "documents")
+    url = F.concat(F.lit("https://"), F.col("source"), F.lit("x.example.org/"), F.col("doc_id").cast("string"))
+    tiers = {**sd.TIERS, "official": ["src19x.example.org"]}
+    return docs.select("doc_id", images.source_quality(F.col("source"), url, **tiers).cast("bigint").alias("fixture"),
+                       images.source_quality(F.concat(F.col("source"), F.lit(" Wired")), url).cast("bigint").alias("fixed"))
+
+
+@query
+def coverage_topk(spark, sf) -> DataFrame:
+    entries = sd.coverage_entries(spark, sf).withColumn("quality_bonus", images.source_quality(F.col("source"), F.col("url"), **sd.TIERS))
+    top = images.coverage(entries, "story", "query").withColumn("own", F.concat(F.lit("h"), (F.col("story") % 13).cast("string"), F.lit(".example.org")))
+    return top.filter(urls.host(F.col("url")) != F.col("own")).select("story", "url", *_long("place", "quality_bonus"), "pos")
+
+
+@query
+def query_derive(spark, sf) -> DataFrame:
+    """Search texts derived from every page's heading and URL."""
+    heading = hx.plain_text(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
+    rows = sd.table(spark, sf, "pages").withColumn("title", heading)
+    return rows.select("page_id", F.array_join(images.search_queries(F.col("title"), F.lit(""), F.col("url")), " | ").alias("queries"))
+
+
+# --- facts, modules, cards ---------------------------------------------------------------------
+
+def _text_stories(spark, sf):
+    """Stories whose fields are cut from whole texts: sentences two, three and four, and the rest."""
+    s = F.filter(F.transform(F.split("text", "[.\n]+"), lambda x: F.trim(x)), lambda x: x != "")
+    docs = sd.table(spark, sf, "documents").withColumn("s", s)
+
+    def part(i):
+        return F.coalesce(F.get("s", F.lit(i)), F.lit(""))
+
+    return docs.select(
+        "doc_id", part(0).alias("titulo"), part(1).alias("por_que_importa"), part(2).alias("anguloShort"),
+        F.array_join(F.slice("s", 4, 2147483647), ". ").alias("resumen"), F.upper("source").alias("categoria"), sd._branch().alias("rama"),
+        F.lpad((F.col("doc_id") % 6 + 1).cast("string"), 2, "0").alias("numero"), F.col("source").alias("fuente"),
+        F.lit("").alias("imagenFuente"), F.lit("").alias("fecha_original"),
+    )
+
+
+@query
+def fact_extract(spark, sf) -> DataFrame:
+    """Dates, amounts and platforms in every document's whole text."""
+    text = F.col("text")
+    return sd.table(spark, sf, "documents").select(
+        "doc_id", modules.date_in(text).alias("date"), modules.amount_in(text).alias("amount"),
+        F.array_join(modules.platforms_in(text), " / ").alias("platforms"),
+    )
+
+
+@query
+def module_build(spark, sf) -> DataFrame:
+    rows = modules.with_modules(_text_stories(spark, sf)).select("doc_id", F.posexplode("modules").alias("place", "m"))
+    return rows.select("doc_id", *_long("place"), "m.titulo", "m.texto")
+
+
+@query
+def module_pick(spark, sf) -> DataFrame:
+    rows = modules.pick_two(modules.with_modules(_text_stories(spark, sf)))
+    return rows.select("doc_id", F.array_join(F.transform("picked", lambda m: F.concat_ws(": ", m["titulo"], m["texto"])), " || ").alias("picked"))
+
+
+@query
+def card_payload(spark, sf) -> DataFrame:
+    rows = modules.payload(modules.pick_two(modules.with_modules(_text_stories(spark, sf))))
+    return rows.select("doc_id", "numero", "categoria", "rama", "subheadline", "imagenFuente", "moduleCount", "module1Title", "module1Text",
+                       "module2Title", "module2Text", "module3Title", "titleSize", "module1Size", "compact")
+
+
+@query
+def length_buckets(spark, sf) -> DataFrame:
+    """Size classes and cut texts of every headline."""
+    length = F.length("title")
+    return sd.headlines(spark, sf).select(
+        "seq", tx.size_bucket(length, modules.TITLE_STEPS, "title-xlong").alias("title_size"),
+        tx.size_bucket(length, modules.MODULE_STEPS, "module-sm").alias("module_size"),
+        tx.cut_at_word(F.col("title"), 40).alias("cut"), tx.shorten(F.col("title"), 40).alias("short"),
+        tx.first_words(F.col("title"), 3).alias("lead"),
+        tx.highlight(F.col("title"), tx.first_words(F.col("title"), 1), "<b>", "</b>").alias("marked"),
+    )
+
+
+@query
+def final_records(spark, sf) -> DataFrame:
+    """Chosen copy joined with its candidate's facts and numbered."""
+    cands, chosen, _ = sd.chosen_and_proposed(spark, sf)
+    facts = sd.scored_articles(spark, sf).withColumn("url", F.concat(F.lit("doc:"), F.col("doc_id").cast("string")))
+    rows = modules.final_records(chosen.withColumn("ordinal", F.col("candidate_id")), facts, "batch", dates.card_date(dates.clock(sd.AS_OF)))
+    return rows.select("batch", "numero", "candidate_id", "categoria", "rama", "fecha", "fuente", "url", _stamp(F.col("fecha_original")).alias("fecha_original"))
+
+
+# --- streams -----------------------------------------------------------------------------------
+
+from pressroom.session import scratch_path  # noqa: E402
+from pressroom.streaming import streams  # noqa: E402
+
+
+def _stream(spark, sf, name):
+    path = f"{sf}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
+@query
+def stream_dedupe(spark, sf) -> DataFrame:
+    """Story keys of the document stream, each once."""
+    docs = _stream(spark, sf, "documents")
+    rows = docs.select(
+        tx.merge_key(F.lit(""), F.trim(F.regexp_extract("text", r"^[.\n]*([^.\n]+)", 1)), F.col("source")).alias("key"),
+        F.lit(None).cast("timestamp").alias("published"), F.lit(sd.AS_OF).cast("timestamp").alias("arrived"),
+    )
+    out = streams.drain(streams.dedupe_stream(rows), scratch_path(spark, "dedupe"), scratch_path(spark, "dedupe-state"))
+    return out.select("key")
+
+
+@query
+def stream_spend(spark, sf) -> DataFrame:
+    """Daily spend per model from the event stream, with an alert level."""
+    calls = _stream(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("user_id") % 2 == 0, "gpt-5.6-terra").otherwise("gpt-5.6-luna").alias("model"),
+        F.floor(F.col("value") * 40).cast("bigint").alias("i"), F.floor(F.col("value") * 8).cast("bigint").alias("o"),
+    )
+    costed = calls.withColumn("cost_usd", lg.call_cost(F.col("model"), F.col("i"), F.col("o")))
+    out = streams.drain_updates(
+        streams.spend_windows(costed), scratch_path(spark, "spend"), scratch_path(spark, "spend-state"), ["start", "model"]
+    )
+    level = streams.with_alert(out, {"monthly_budget_usd": 10.0, "warning_usd": 0.5, "critical_usd": 2.5, "internal_stop_usd": 3.5})
+    return level.select(_stamp(F.col("start")).alias("start"), "model", "calls", F.round("spent_usd", 6).alias("spent_usd"), "level")
+
+
+@query
+def stream_register(spark, sf) -> DataFrame:
+    """The document stream entered into the published history."""
+    docs = _stream(spark, sf, "documents")
+    news = docs.select(
+        F.trim(F.regexp_extract("text", r"^[.\n]*([^.\n]+)", 1)).alias("title"), sd._branch().alias("branch"), "source",
+        F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("doc:"), (F.col("doc_id") % 97).cast("string"))).alias("url"), F.col("doc_id").alias("seq"),
+    )
+    return streams.register_stream(
+        news, sd.published_history(spark, sf), scratch_path(spark, "registry"), scratch_path(spark, "registry-state"), sd.AS_OF, "2024-01-31"
+    )

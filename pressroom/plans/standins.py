@@ -188,3 +188,44 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") * 40 + 300).alias("width"), (F.col("p_size") * 22 + 170).alias("height"),
         F.floor(F.col("p_retailprice") * 21).cast("bigint").alias("n_bytes"),
     )
+
+
+# source tiers of the driver tables' source names
+TIERS = {"official": ["x.example.org"], "premium": ["src1"], "good": ["src2", "src3"], "low": ["src4", "src5"]}
+
+
+def assets_with_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest images of a story (40 parts) with the story's topic words: those of its first part."""
+    from pressroom.operators import images
+
+    a = assets(spark, sf_dir)
+    lead = a.filter(F.col("asset_id") == F.col("story") * 40).select("story", F.col("text").alias("headline"))
+    topic = images.topic_words(F.col("headline"), F.lit(""), F.lit("https://example.org/gear/official-hot"))
+    return a.join(lead, "story").withColumns({
+        "topic": topic, "seq": F.col("asset_id"), "source": F.concat(F.lit("src"), (F.col("story") % 7).cast("string")),
+        "original": F.col("asset_id") % 3 == 0,
+    })
+
+
+def coverage_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries of coverage searches: 200 documents a story, a language is a query."""
+    docs = table(spark, sf_dir, "documents")
+    number = F.element_at(F.create_map(*[F.lit(x) for p in (("de", 1), ("en", 2), ("es", 3), ("fr", 4)) for x in p]), F.col("lang"))
+    return docs.select(
+        F.floor(F.col("doc_id") / 200).cast("bigint").alias("story"), F.col("lang").alias("query"), number.alias("query_no"),
+        F.col("doc_id").alias("pos"), F.concat(F.lit("https://h"), (F.col("doc_id") % 13).cast("string"), F.lit(".example.org/"), F.floor(F.col("doc_id") / 3).cast("string")).alias("url"),
+        "source",
+    )
+
+
+def asset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest written as pages: every image a figure with alt text and caption, twice."""
+    a = assets(spark, sf_dir)
+    figure = F.concat(
+        F.lit('<figure><img class="x" data-src="'), F.col("url"), F.lit('?w=1" alt="'), F.col("kind"), F.lit('"><figcaption> '),
+        F.col("text"), F.lit(' <b>now</b></figcaption></figure><img src="'), F.col("url"), F.lit('?w=1">'),
+    )
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("asset_id", figure.alias("f")))), lambda x: x["f"]), " ")
+    return a.groupBy(F.col("story").alias("page_id")).agg(F.concat(F.lit("<html><article>"), body, F.lit("</article></html>")).alias("html")).withColumn(
+        "url", F.lit("https://example.org/a/b")
+    )
