@@ -601,8 +601,8 @@ from pressroom.streaming import streams  # noqa: E402
 
 
 def _stream(spark, sf, name):
-    path = f"{sf}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 @query

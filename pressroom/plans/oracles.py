@@ -363,3 +363,150 @@ ORACLES["run_guard"] = f"with {PIECES} select run from pieces group by run havin
 ORACLES["asset_audit"] = """with a as (select p_partkey as asset_id, floor(p_retailprice * 21)::bigint as n, 300 + 40 * p_size as w, 170 + 22 * p_size as h from part)
 select asset_id, case when n < 20000 then 'archivo demasiado pequeño: ' || n || ' bytes' when w < 600 or h < 338 then 'dimensiones insuficientes: ' || w || 'x' || h else 'ok' end as image,
   case when n < 10000 then 'archivo demasiado pequeno' when asset_id % 7 = 0 then 'formato JPEG' when w <> 1060 or h <> 588 then w || 'x' || h || '; se esperaba 1060x588' else 'ok' end as piece from a"""
+
+
+# --- pages and images ----------------------------------------------------------------------------
+
+def plain_html(x: str) -> str:
+    out = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+
+
+def cut(x: str, n: int, ending: str = "…") -> str:
+    return f"case when length({x}) <= {n} then {x} else trim(regexp_replace(substring({x}, 1, {n}), ' [^ ]*$', '')) || '{ending}' end"
+
+
+PAGES = f"""vis as (select page_id, url, html, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g') as v from pages),
+sec as (select *, coalesce(nullif(regexp_extract(v, '(?is)<article\\b[^>]*>(.*?)</article>', 1), ''), nullif(regexp_extract(v, '(?is)<main\\b[^>]*>(.*?)</main>', 1), ''), v) as body,
+  {plain_html("regexp_extract(v, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} as h1, {plain_html("regexp_extract(v, '(?is)<title[^>]*>(.*?)</title>', 1)")} as tt from vis),
+par as (select *, list_transform(regexp_extract_all(body, '(?is)<p\\b[^>]*>(.*?)</p>', 1), lambda p: {plain_html('p')}) as ps from sec)"""
+ORACLES["page_metadata"] = f"""with {PAGES},
+k as (select page_id, h1, list_filter(ps[1:25], lambda p: length(p) >= 70) as good from par),
+d as (select page_id, h1, array_to_string(list_filter(good, lambda p, i: list_position(good, p) = i)[1:2], ' ') as ex from k)
+select page_id, {cut('h1', 320)} as page_title, '' as description, {cut('ex', 1100)} as extract from d"""
+ORACLES["page_article"] = f"""with {PAGES},
+k as (select page_id, case when h1 <> '' then h1 else tt end as t, list_filter(ps[1:35], lambda p: length(p) >= 50) as good from par),
+d as (select page_id, t, list_filter(good, lambda p, i: list_position(list_transform(good, lambda q: lower(q)), lower(p)) = i)[1:8] as kept from k)
+select page_id, t as titulo_original, '' as descripcion, array_to_string(kept[1:3], ' ') as extracto,
+  array_to_string(kept[1:5], ' || ') as parrafos, (t <> '' or len(kept) > 0) as useful from d"""
+_canon = "rtrim(regexp_extract(lower(regexp_extract(url, '^https?://[^/?#]*', 0)) || regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '.*'), '/')"
+ORACLES["page_context"] = f"""with {PAGES},
+t as (select page_id, {_canon} as key, case when h1 <> '' then h1 else tt end as title from par where page_id % 3 <> 0 or length(html) > 8000),
+s as (select page_id as numero, {_canon} as key, 'story ' || page_id as titulo from pages),
+o as (select s.*, a.title as own, b.title as other from s left join t a on a.key = s.key
+  left join s n on n.numero = s.numero + 1 left join t b on b.key = n.key)
+select numero, coalesce(own, other, titulo) as titulo_original, case when own is null and other is not null then 'other' else 'feed' end as context_source,
+  case when own is not null then 'ORIGINAL_ARTICLE' when other is not null then 'ALTERNATIVE_COVERAGE' else 'RSS_FALLBACK' end as context_origin,
+  case when own is null and other is null then 'PARCIAL' else 'OK' end as estado from o"""
+
+PARTS = """a as (select p_partkey as asset_id, p_partkey // 40 as story, 'https://cdn.example.com/' || replace(p_name, ' ', '-') || '-' || p_partkey || '.jpg' as url,
+  lower(p_type || ' ' || p_name || ' ' || p_brand) as text, ['article', 'jsonld', 'og', 'twitter'][p_partkey % 4 + 1] as kind,
+  300 + 40 * p_size as width, 170 + 22 * p_size as height from part)"""
+ORACLES["image_references"] = f"""with {PARTS} select story as page_id, url || '?w=1' as url, 'article' as kind, kind || '  ' || text || ' now' as text from a"""
+_TOPIC = f"""lead as (select story, text as headline from a where asset_id = story * 40),
+topic as (select story, list_filter(list_distinct(regexp_extract_all(headline, '[a-z0-9]+') || ['gear', 'official', 'hot']),
+  lambda w: length(w) >= 3 and not list_contains({words(fv.IMAGE_STOPWORDS)}, w) and not list_contains({words(fv.IMAGE_GENERIC)}, w)) as topic from lead),
+f as (select a.*, topic, list_distinct(regexp_extract_all(lower(regexp_extract(url, '^https://[^/]*([^?#]*)', 1)), '[a-z0-9]+')) as u,
+  list_distinct(regexp_extract_all(text, '[a-z0-9]+')) as t from a join topic using (story)),
+m as (select *, list_sort(list_intersect(topic, u)) as mu, list_sort(list_intersect(topic, t)) as mt,
+  list_intersect({words(fv.IMAGE_GENERIC)}, u) as gu, list_intersect({words(fv.IMAGE_BAD_WORDS)}, u) as bu, list_intersect({words(fv.IMAGE_BAD_WORDS)}, t) as bt,
+  list_filter(u, lambda w: not list_contains({words(fv.IMAGE_GENERIC + fv.IMAGE_BAD_WORDS + ['jpg', 'jpeg', 'png', 'webp', 'image', 'img'])}, w)) as rest from f),
+scored as (select *, (case kind when 'article' then 45 when 'jsonld' then 32 when 'og' then 28 else 22 end + least(len(mu), 5) * 38 + least(len(mt), 5) * 14
+  + case when kind = 'article' and len(mu) > 0 then 20 else 0 end
+  + case when list_has_any(u, {words(fv.IMAGE_PREFERRED_WORDS)}) then 20 when list_has_any(t, {words(fv.IMAGE_PREFERRED_WORDS)}) then 8 else 0 end
+  - case when len(bu) > 0 then 240 when len(bt) > 0 and len(mu) = 0 then 110 else 0 end
+  - case when len(gu) > 0 and len(mu) = 0 and len(mt) < 2 then 140 else 0 end
+  - case when len(rest) <= 1 and len(mu) = 0 and len(mt) < 2 then 45 else 0 end)::bigint as score from m)"""
+ORACLES["asset_score"] = f"""with {PARTS}, {_TOPIC}
+select asset_id, score, array_to_string(mu, ' ') as in_url, array_to_string(mt, ' ') as in_text from scored"""
+_WIN = f"""{PARTS}, {_TOPIC},
+top20 as (select *, row_number() over (partition by story order by score desc, asset_id) as r from scored qualify r <= 20),
+big as (select *, score + case when width >= 1920 and height >= 1080 then 30 when width >= 1200 and height >= 630 then 20 when width >= 800 and height >= 450 then 10 else 0 end as s2
+  from top20 where width >= 600 and height >= 338 and width / height between 0.75 and 2.6),
+rk as (select *, row_number() over (partition by story order by s2 desc, r) as place,
+  case story % 7 when 1 then 30 when 2 then 15 when 3 then 15 when 4 then -30 when 5 then -30 else 0 end as bonus from big),
+ok as (select *, s2 + bonus as total from rk where place <= 6 and len(bu) = 0 and (
+  (s2 + bonus >= 105 and len(mu) > 0) or (asset_id % 3 = 0 and s2 + bonus >= 90 and len(mt) >= 2 and width >= 1000 and height >= 560)
+  or (bonus >= 30 and s2 + bonus >= 95 and len(mt) >= 2 and width >= 1000) or (bonus >= 15 and s2 + bonus >= 110 and len(mt) >= 2))),
+win as (select * from ok qualify row_number() over (partition by story order by place) = 1)"""
+ORACLES["asset_accept"] = f"with {_WIN} select story, asset_id, total::bigint as score_with_source, place from win"
+ORACLES["asset_choice"] = f"""with {_WIN}
+select story // 3 as "group", url as image_candidate_url, case when story % 3 = 0 then kind else 'alternative_' || kind end as source_type,
+  total::bigint as relevance_score, case when story % 3 = 0 then 'ORIGINAL_ARTICLE' else 'ALTERNATIVE_COVERAGE' end as selection_origin
+from win qualify row_number() over (partition by story // 3 order by story % 3, total desc, asset_id) = 1"""
+
+
+def _tiers(name: str, official: str, tiers) -> str:
+    def hit(terms):
+        return " or ".join(f"contains({name}, '{t}')" for t in terms)
+
+    return (f"(case when {official} then 45 when {hit(tiers['premium'])} then 30 when {hit(tiers['good'])} then 15 "
+            f"when {hit(tiers['low'])} then -30 else 0 end)::bigint")
+
+
+ORACLES["source_quality"] = f"""select doc_id, {_tiers('source', "source = 'src19'", sd.TIERS)} as fixture,
+  {_tiers("lower(source || ' Wired')", 'false', {'premium': fv.PREMIUM_SOURCES, 'good': fv.GOOD_SOURCES, 'low': fv.LOW_TRUST_SOURCES})} as fixed from documents"""
+ORACLES["coverage_topk"] = f"""with e as (select doc_id // 200 as story, lang, case lang when 'de' then 1 when 'en' then 2 when 'es' then 3 else 4 end as q, doc_id as pos,
+  'https://h' || (doc_id % 13) || '.example.org/' || (doc_id // 3) as url, source from documents),
+c as (select * from e qualify row_number() over (partition by story, lang order by pos) <= 7),
+o as (select *, {_tiers('source', 'false', sd.TIERS)} as quality_bonus from c qualify row_number() over (partition by story, url order by q, pos) = 1),
+t as (select *, row_number() over (partition by story order by quality_bonus desc, q, pos) as place from o qualify place <= 18)
+select story, url, place, quality_bonus, pos from t where not starts_with(url, 'https://h' || (story % 13) || '.example.org/')"""
+ORACLES["query_derive"] = f"""with {PAGES},
+w as (select page_id, h1, list_filter(list_distinct(regexp_extract_all(strip_accents(lower(h1)), '[a-z0-9]+')),
+    lambda w: length(w) >= 3 and not list_contains({words(fv.IMAGE_STOPWORDS + fv.IMAGE_GENERIC)}, w)) as d0,
+  regexp_extract_all(strip_accents(lower(h1)), '[a-z0-9]+') as raw,
+  list_filter(regexp_extract_all(lower(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1)), '[a-z0-9]+'),
+    lambda w: length(w) >= 3 and not list_contains({words(fv.IMAGE_STOPWORDS + fv.IMAGE_GENERIC)}, w)) as slug from par),
+x as (select *, list_filter(raw, lambda r, i: list_contains(d0, r) and list_position(raw, r) = i) as d from w),
+q as (select page_id, list_filter([h1, array_to_string(slug[1:8], ' '), case when len(d) >= 2 then array_to_string(d[1:2], ' ') end,
+  case when len(d) >= 3 then array_to_string(d[1:3], ' ') end, case when len(d) >= 5 then array_to_string(d[1:5], ' ') end], lambda v: v <> '') as v from x)
+select page_id, array_to_string(list_filter(v, lambda t, i: list_position(v, t) = i)[1:5], ' | ') as queries from q"""
+
+
+# --- facts, modules, cards -----------------------------------------------------------------------
+
+_W = r"[\p{L}\p{N}_]"
+ORACLES["fact_extract"] = f"""select doc_id,
+  coalesce(nullif(regexp_extract(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])((?:\\d{{1,2}}\\s+de\\s+)?(?:{'|'.join(fv.MONTH_NAMES_ES)})\\s+de\\s+20\\d\\d)(?:$|[^\\p{{L}}\\p{{N}}_])', 1), ''),
+    regexp_extract(text, '(?:^|[^\\p{{L}}\\p{{N}}_])(20\\d\\d)(?:$|[^\\p{{L}}\\p{{N}}_])', 1)) as date,
+  regexp_extract(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(\\d[\\d.,]*\\s+(?:millones|mil\\s+millones)\\s+de\\s+d[oó]lares)(?:$|[^\\p{{L}}\\p{{N}}_])', 1) as amount,
+  array_to_string(list_filter([{', '.join(f"case when contains(' ' || lower(strip_accents(text)) || ' ', '{n}') then '{t}' end" for t, n in fv.PLATFORM_NEEDLES)}], lambda x: x is not null), ' / ') as platforms
+from documents"""
+ORACLES["length_buckets"] = f"""with {FEED}
+select seq, case when length(title) <= 34 then 'title-short' when length(title) <= 52 then 'title-medium' when length(title) <= 70 then 'title-long' else 'title-xlong' end as title_size,
+  case when length(title) <= 14 then 'module-xl' when length(title) <= 30 then 'module-lg' when length(title) <= 58 then 'module-md' else 'module-sm' end as module_size,
+  {cut("regexp_replace(title, '\\s+', ' ', 'g')", 40)} as cut,
+  case when length(regexp_replace(title, '\\s+', ' ', 'g')) <= 40 then regexp_replace(title, '\\s+', ' ', 'g') else
+    rtrim(regexp_replace(substring(regexp_replace(title, '\\s+', ' ', 'g'), 1, 40), ' [^ ]*$', ''), ' ,.;:') || '.' end as short,
+  array_to_string(string_split(regexp_replace(title, '\\s+', ' ', 'g'), ' ')[1:3], ' ') as lead,
+  regexp_replace(title, '(' || regexp_escape(string_split(regexp_replace(title, '\\s+', ' ', 'g'), ' ')[1]) || ')', '<b>\\1</b>', 'gi') as marked from feed"""
+ORACLES["final_records"] = f"""with {CHOSEN}
+select c.batch, lpad((row_number() over (partition by c.batch order by c.candidate_id))::varchar, 2, '0') as numero, c.candidate_id,
+  case c.editorial_branch when 'gaming' then 'GAMING' when 'tecnologia' then 'TECNOLOGÍA' else 'CULTURA POP' end as categoria, c.editorial_branch as rama,
+  '30 ENE 2024' as fecha, a.source as fuente, 'doc:' || c.candidate_id as url, {stamp('a.published')} as fecha_original
+from chosen c join articles a on a.doc_id = c.candidate_id"""
+
+
+# --- streams -------------------------------------------------------------------------------------
+
+ORACLES["stream_dedupe"] = f"""with {ARTICLES} select distinct 'title:' || lower(title) || '|source:' || lower(source) as key from articles"""
+ORACLES["stream_spend"] = """with c as (select date_trunc('day', ts) as d, case when user_id % 2 = 0 then 'gpt-5.6-terra' else 'gpt-5.6-luna' end as model,
+  (floor(value * 40) * 2.0::double + floor(value * 8) * 12.0::double) / 1e6 * case when user_id % 2 = 0 then 1 else 0.1::double end as cost from events),
+s as (select d, model, count(*) as calls, sum(cost) as spent from c group by all)
+select strftime(d, '%Y-%m-%d %H:%M:%S') as start, model, calls, round(spent, 6) as spent_usd,
+  case when spent >= 3.5 then 'STOP' when spent >= 2.5 then 'CRITICO' when spent >= 0.5 then 'ADVERTENCIA' else 'NORMAL' end as level from s"""
+ORACLES["stream_register"] = f"""with {HISTORY},
+kept as (select date, branch, title, source, url, story_key from hist where date::timestamp >= timestamp '2024-01-31' - interval 30 day),
+news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else 'doc:' || (doc_id % 97) end as url,
+  substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from articles where title <> ''),
+urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
+  qualify row_number() over (partition by url order by doc_id) = 1),
+keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.story_key = n.story_key)
+  and not exists (select 1 from urlrows u where u.story_key = n.story_key and u.doc_id < n.doc_id)
+  qualify row_number() over (partition by story_key order by doc_id) = 1)
+select * from kept
+union all select '2024-01-31', branch, title, source, url, story_key from urlrows
+union all select '2024-01-31', branch, title, source, url, story_key from keyrows"""
