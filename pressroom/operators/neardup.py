@@ -16,6 +16,8 @@ over the whole input (any fixed order works; this one keeps the groups small):
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom import fixed_values as fv
@@ -42,6 +44,7 @@ def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, fami
     base = base.withColumn(
         "title_id", F.sha2(F.concat_ws("\u0001", F.col(group), F.array_join("words", " "), F.array_join("families", " ")), 256)
     )
+    base = materialize(base, "members")  # read three times below and by callers; scored and normalised once
     titles = (
         base.filter(F.col("_normal") != "")
         .groupBy("title_id")
@@ -51,7 +54,7 @@ def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, fami
         "meaningful": tx.meaningful(F.col("words"), stopwords),
         "entities": tx.entity_words(F.col("words"), noise),
     })
-    return titles, base.drop("_normal", "words", "families")
+    return materialize(titles, "distinct"), base.drop("_normal", "words", "families")
 
 
 def with_frequencies(titles: DataFrame, tokens: Column, group: list[str], name: str) -> DataFrame:
@@ -179,12 +182,16 @@ def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE) -> D
     )["out"]
     # stored once: both sides of the join read it, and only the rows, not the arrays
     side = materialize(whole.withColumn("key", F.explode_outer(walk)).drop("by_pair", "least"), "letters")
+    # lengths differ by at most the factor `spread`, so bands that wide (and a little) touch or agree
+    band = F.floor(F.log(F.col("length").cast("double")) / (-1.001 * math.log(spread)))
     columns = ["title_id", "rank", "length", *[f"bits{w}" for w in range(WORDS)]]
-    a = side.select("grp", "key", *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = side.select("grp", "key", *[F.col(c).alias(f"b_{c}") for c in columns])
+    a = side.select("grp", "key", band.alias("band"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    b = side.select(
+        "grp", "key", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"b_{c}") for c in columns]
+    )
     needed = pair_bound(F.col("a_length") + F.col("b_length"), fuzzy) - 1e-9
     near = (
-        salted_join(a, b, ["grp", "key"], F.col("a_title_id"), F.col("b_title_id"))
+        salted_join(a, b, ["grp", "key", "band"], F.col("a_title_id"), F.col("b_title_id"))
         .filter(F.col("a_rank") < F.col("b_rank"))
         .filter((F.col("a_length") >= spread * F.col("b_length") - 1) & (F.col("b_length") >= spread * F.col("a_length") - 1))
         # a bit only one side has is a pair the other side lacks
@@ -194,7 +201,7 @@ def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE) -> D
     return near.select(F.col("a_title_id").alias("better"), F.col("b_title_id").alias("worse")).distinct()
 
 
-WORDS = 4  # 64-bit words of the letter-pair bitmap
+WORDS = 8  # 64-bit words of the letter-pair bitmap
 
 
 def _bitmap(places: Column, word: int) -> Column:
