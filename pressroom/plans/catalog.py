@@ -185,7 +185,7 @@ from pressroom.operators import history as hist, neardup  # noqa: E402
 def _history_run(spark, sf):
     return hist.block_repeats(
         sd.open_candidates(spark, sf), sd.published_history(spark, sf), sd.AS_OF, classes=sd.EVENT_CLASSES,
-        material=["delay", "cancel", "sales", "beta"],
+        material=["delay", "cancel", "sales", "beta", "announce", "release"],
     )
 
 

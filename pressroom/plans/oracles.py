@@ -510,3 +510,96 @@ keyrows as (select * from news n where url = '' and not exists (select 1 from ke
 select * from kept
 union all select '2024-01-31', branch, title, source, url, story_key from urlrows
 union all select '2024-01-31', branch, title, source, url, story_key from keyrows"""
+
+
+# --- near duplicates and history: all pairs, brute force -------------------------------------------
+
+# longest common subsequence of x and y by the textbook table, row by row
+LCS = """list_reduce(list_transform(string_split(x, ''), lambda ch: list_transform(string_split(y, ''), lambda c: (c = ch)::int)),
+  lambda r, mv: list_reduce(list_transform(range(1, length(y) + 1), lambda j: [mv[j], r[j], r[j + 1]]),
+    lambda acc, el: list_append(acc, case when el[1] = 1 then el[2] + 1 else greatest(acc[len(acc)], el[3]) end), [0]),
+  list_transform(range(0, length(y) + 1), lambda z: 0))[length(y) + 1]"""
+
+
+def ratio_ctes(source: str, a: str, b: str, limit: str, least: str = "lim", p: str = "", more: str = "true") -> str:
+    """CTE `<p>rated`: source plus `ratio`, exact wherever it can reach `least`.
+
+    A pair is only worked out letter by letter when lengths and letter counts leave it open.
+    """
+    below = "closed < lim" if least == "lim" else "closed < 100"
+    return f"""{p}cut as (select *, array_to_string(list_filter({a}, lambda w: list_contains({b}, w)), ' ') as s,
+  array_to_string(list_filter({a}, lambda w: not list_contains({b}, w)), ' ') as x,
+  array_to_string(list_filter({b}, lambda w: not list_contains({a}, w)), ' ') as y from {source}),
+{p}sized as (select *, length(s) as ls, length(s) + (s <> '')::int + length(x) as la, length(s) + (s <> '')::int + length(y) as lb from {p}cut),
+{p}closed as (select *, case when la = 0 or lb = 0 then 0.0 when ls > 0 and (x = '' or y = '') then 100.0
+  when ls > 0 then greatest(100 - 100.0 * (la - ls) / (ls + la), 100 - 100.0 * (lb - ls) / (ls + lb)) else 0.0 end::double as closed, {limit} as lim from {p}sized),
+{p}ask as (select *, {below} and x <> '' and y <> '' and 100 - 100.0 * abs(la - lb) / (la + lb) >= {least} and {more} and
+  100 - 100.0 * (length(x) + length(y) - 2 * list_sum(list_transform(list_distinct(string_split(x, '')), lambda c:
+    least(length(x) - length(replace(x, c, '')), length(y) - length(replace(y, c, '')))))) / (la + lb) >= {least} as ask from {p}closed),
+{p}rated as (select *, case when ask then greatest(closed, 100 - 100.0 * (length(x) + length(y) - 2 * {LCS}) / (la + lb)) else closed end as ratio from {p}ask)"""
+
+
+# numbered letter pairs of the padded words: two texts whose ratio reaches lim share (lim-based) many of them
+PAIRS = """list_transform(flatten(list_transform(w, lambda t: list_transform(range(1, length(t) + 2), lambda i: substring(' ' || t || ' ', i, 2)))), lambda g: g)"""
+NUMBERED = "list_transform(g, lambda t, i: t || len(list_filter(g[1:i], lambda u: u = t)))"
+
+
+def _near(titles: str, group: str, rank: str) -> str:
+    stop, noise = words(fv.RANK_STOPWORDS), words(fv.RANK_STOPWORDS + fv.RANK_EVENT_NOISE)
+    return f"""norms as (select *, {normal('title')} as norm from {titles}),
+sets as (select {group} as grp, {rank} as rk, list_sort(list_distinct({split('norm')})) as w, {families("' ' || norm || ' '", sd.EVENT_FAMILIES)} as f from norms where norm <> ''),
+dist0 as (select grp, w, f, min(rk) as rk, {PAIRS} as g, list_filter(w, lambda x: length(x) >= 3 and not list_contains({stop}, x)) as m,
+  list_filter(w, lambda x: length(x) >= 3 and not list_contains({noise}, x)) as e from sets group by grp, w, f),
+dist as (select *, {NUMBERED} as ng from dist0),
+allpairs as (select a.grp, a.rk as ra, b.rk as rb, a.w as wa, b.w as wb, len(list_intersect(a.ng, b.ng)) as cg, len(a.m) > 0 and len(b.m) > 0 as both_m, len(list_intersect(a.m, b.m)) as cm, least(len(a.m), len(b.m)) as sm,
+  len(list_intersect(a.e, b.e)) as ce, list_has_any(a.f, b.f) as ff, len(a.f) > 0 and len(b.f) > 0 as fam from dist a join dist b on a.grp = b.grp and a.rk < b.rk),
+{ratio_ctes('allpairs', 'wa', 'wb', "case when both_m and cm >= 4 then 72 else 84 end", more="cg >= (0.5 - 1.5 * (1 - lim / 100.0)) * (la + lb) + 1")},
+dup as materialized (select grp, ra, rb from rated where ratio >= lim or (both_m and ((cm >= 4 and cm >= 0.55 * sm) or (ff and ce >= 2) or (ce >= 3 and fam))))"""
+
+
+ORACLES["near_dup_pairs"] = f"""with {ARTICLES}, {_near('articles', 'branch', 'doc_id')}
+select ra as better_doc, rb as worse_doc from dup"""
+_GREEDY = """members as (select s.*, d.rk as best from sets s join dist d on d.grp = s.grp and d.w = s.w and d.f = s.f),
+tags as (select rk, row_number() over (order by rk) as n from dist),
+worse as (select t.n, list(u.n) as better from dup join tags t on t.rk = dup.rb join tags u on u.rk = dup.ra group by t.n),
+walk as (select 0::bigint as n, []::bigint[] as gone union all
+  select walk.n + 1, case when w.n is not null and len(list_filter(w.better, lambda b: not list_contains(walk.gone, b))) > 0 then list_append(walk.gone, walk.n + 1) else walk.gone end
+  from walk left join worse w on w.n = walk.n + 1 where walk.n < (select count(*) from tags)),
+final as (select unnest(gone) as n from (select gone from walk order by n desc limit 1)),
+kept as (select rk from tags where n not in (select n from final))"""
+_GREEDY_RANKED = f"""{ARTICLES}, base as (select seq, title, source, published, [branch] as cats from ROWS),
+{score_cte(sd.fixture_rules(), 'base', 'seq, title, source, cats')},
+assigned as (select seq as doc_id, branch, title, source, score, row_number() over (order by score desc, seq) as rk from scored where list_contains(cats, branch)),
+{_near('assigned', 'branch', 'rk')}, {_GREEDY}"""
+ORACLES["greedy_dedupe"] = f"""with recursive {_GREEDY_RANKED.replace('ROWS', 'articles')}
+select doc_id, branch as editorial_branch, score as editorial_score, norm = '' or rk in (select rk from kept) as accepted from norms"""
+
+_EVENTS = f"list_sort(list_distinct(list_filter(list_transform(p, lambda x: {event_case('x', sd.EVENT_CLASSES)}), lambda e: e is not null)))"
+_JUDGE = f"""told as (select 'c' as side, doc_id as id, null::bigint as age, title from open union all
+  select 'h', hist_seq, floor(epoch(timestamp '2024-01-31' - date::timestamp) / 86400)::bigint, title from hist where date::timestamp >= timestamp '2024-01-31' - interval 10 day),
+toks as (select *, list_sort(list_distinct({split(plain('title'))})) as p from told),
+feat as (select *, {SUBJECT} as sub, {_EVENTS} as ev, list_sort(list_distinct(list_transform(p, lambda x: coalesce({event_case('x', sd.EVENT_CLASSES)}, x)))) as nm from toks),
+pr as (select c.id as cid, h.id as hid, h.age, len(list_intersect(c.sub, h.sub)) as sh, least(len(c.sub), len(h.sub)) as sm, list_sort(list_intersect(c.sub, h.sub)) as shared,
+  len(list_filter(list_intersect(c.sub, h.sub), lambda w: length(w) >= 5)) as st, list_has_any(c.ev, h.ev) as bo, c.nm as wa, h.nm as wb,
+  list_sort(list_intersect(list_filter(c.ev, lambda e: not list_contains(h.ev, e)), ['delay', 'cancel', 'sales', 'beta', 'announce', 'release'])) as newev
+  from feat c join feat h on c.side = 'c' and h.side = 'h' and list_has_any(c.sub, h.sub)),
+likely as (select * from pr where (bo and st >= 1) or (st >= 3 and sh >= 0.6 * sm)),
+{ratio_ctes('likely', 'wa', 'wb', 'null', 'closed', 'h_')},
+same as (select * from h_rated where case when age <= 3 then (bo and ((st >= 1 and ratio >= 84) or st >= 2)) or (st >= 3 and sh >= 0.6 * sm)
+  else bo and ((st >= 1 and ratio >= 92) or (st >= 2 and sh >= 0.55 * sm and ratio >= 78)) end),
+judged as (select cid, min(hid) filter (len(newev) = 0) as hit, arg_min(ratio, hid) filter (len(newev) = 0) as r, arg_min(shared, hid) filter (len(newev) = 0) as w,
+  max(hid) filter (len(newev) > 0) as dev, arg_max(newev, hid) filter (len(newev) > 0) as de from same group by cid),
+verdict as (select o.*, case when hit is not null then 'blocked' when dev is not null then 'development' else 'kept' end as status,
+  case when hit is not null then 'misma historia | sim=' || round_even(r, 0)::int || ' | shared=' || len(w) || case when len(w) > 0 then ' | anchors=' || array_to_string(w[1:8], ', ') else '' end
+    when dev is not null then 'nuevo desarrollo fuerte: ' || array_to_string(de, ', ') end as reason, coalesce(hit, dev) as hist_seq
+  from open o left join judged j on j.cid = o.doc_id)"""
+_JUDGED_HISTORY = f"{HISTORY}, {_JUDGE}"
+_FULL = _GREEDY_RANKED.replace(f"{ARTICLES}, ", "").replace("ROWS", "clean")
+ORACLES["shortlist_deduped"] = f"""with recursive {_JUDGED_HISTORY}, clean as (select * exclude (status, reason, hist_seq) from verdict where status <> 'blocked'),
+{_FULL}, left_over as (select doc_id, doc_id as seq, branch, title, source, score from norms where norm = '' or rk in (select rk from kept)),
+{TOPK.format(src='left_over', norm=normal('source'))}
+select shortlist_id, branch_rank, score as editorial_score, doc_id, branch as editorial_branch, title from short"""
+ORACLES["history_block"] = f"with {_JUDGED_HISTORY} select doc_id, status, reason, hist_seq from verdict"
+ORACLES["history_developments"] = f"with {_JUDGED_HISTORY} select doc_id, reason, hist_seq from verdict where status = 'development'"
+ORACLES["history_split"] = f"""with {_JUDGED_HISTORY} select v.doc_id, reason, h.date, h.title as published_title
+from verdict v join hist h using (hist_seq) where status = 'blocked'"""
