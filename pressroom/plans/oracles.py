@@ -527,16 +527,16 @@ def ratio_ctes(source: str, a: str, b: str, limit: str, least: str = "lim", p: s
     A pair is only worked out letter by letter when lengths and letter counts leave it open.
     """
     below = "closed < lim" if least == "lim" else "closed < 100"
-    return f"""{p}cut as (select *, array_to_string(list_filter({a}, lambda w: list_contains({b}, w)), ' ') as s,
+    return f"""{p}cut as materialized (select *, array_to_string(list_filter({a}, lambda w: list_contains({b}, w)), ' ') as s,
   array_to_string(list_filter({a}, lambda w: not list_contains({b}, w)), ' ') as x,
   array_to_string(list_filter({b}, lambda w: not list_contains({a}, w)), ' ') as y from {source}),
 {p}sized as (select *, length(s) as ls, length(s) + (s <> '')::int + length(x) as la, length(s) + (s <> '')::int + length(y) as lb from {p}cut),
 {p}closed as (select *, case when la = 0 or lb = 0 then 0.0 when ls > 0 and (x = '' or y = '') then 100.0
   when ls > 0 then greatest(100 - 100.0 * (la - ls) / (ls + la), 100 - 100.0 * (lb - ls) / (ls + lb)) else 0.0 end::double as closed, {limit} as lim from {p}sized),
-{p}ask as (select *, {below} and x <> '' and y <> '' and 100 - 100.0 * abs(la - lb) / (la + lb) >= {least} and {more} and
+{p}ask as materialized (select *, {below} and x <> '' and y <> '' and 100 - 100.0 * abs(la - lb) / (la + lb) >= {least} and {more} and
   100 - 100.0 * (length(x) + length(y) - 2 * list_sum(list_transform(list_distinct(string_split(x, '')), lambda c:
     least(length(x) - length(replace(x, c, '')), length(y) - length(replace(y, c, '')))))) / (la + lb) >= {least} as ask from {p}closed),
-{p}rated as (select *, case when ask then greatest(closed, 100 - 100.0 * (length(x) + length(y) - 2 * {LCS}) / (la + lb)) else closed end as ratio from {p}ask)"""
+{p}rated as materialized (select *, case when ask then greatest(closed, 100 - 100.0 * (length(x) + length(y) - 2 * {LCS}) / (la + lb)) else closed end as ratio from {p}ask)"""
 
 
 # numbered letter pairs of the padded words: two texts whose ratio reaches lim share (lim-based) many of them
