@@ -27,7 +27,7 @@ def choice_violations(chosen: DataFrame, candidates: DataFrame, batch: str, coun
     taken already; a branch outside its limits. `least` = `most` = 2 is the reserve contract.
     """
     branches = fv.BRANCHES if branches is None else branches
-    known = candidates.select("candidate_id", F.col("editorial_branch").alias("_branch")).dropDuplicates(["candidate_id"])
+    known = candidates.groupBy("candidate_id").agg(F.max("editorial_branch").alias("_branch"))
     rows = chosen.join(known, "candidate_id", "left")
     if taken is None:
         rows = rows.withColumn("_taken", F.lit(False))

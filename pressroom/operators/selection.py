@@ -50,7 +50,7 @@ def judge_reserves(proposed: DataFrame, chosen: DataFrame, candidates: DataFrame
     An id is taken once it is chosen or kept; of the proposals still valid, the first of each id
     competes, and the first `each` per branch are kept.
     """
-    known = candidates.select("candidate_id", F.col("editorial_branch").alias("_branch")).dropDuplicates(["candidate_id"])
+    known = candidates.groupBy("candidate_id").agg(F.max("editorial_branch").alias("_branch"))
     used = chosen.select(batch, "candidate_id").distinct().withColumn("_chosen", F.lit(True))
     rows = proposed.join(known, "candidate_id", "left").join(used, [batch, "candidate_id"], "left")
     own = (
