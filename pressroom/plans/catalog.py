@@ -555,7 +555,7 @@ def fact_extract(spark, sf) -> DataFrame:
 
 @query
 def module_build(spark, sf) -> DataFrame:
-    rows = modules.with_modules(_text_stories(spark, sf)).select("doc_id", F.posexplode("modules").alias("place", "m"))
+    rows = modules.with_modules(_text_stories(spark, sf)).select("doc_id", F.posexplode_outer("modules").alias("place", "m"))
     return rows.select("doc_id", *_long("place"), "m.titulo", "m.texto")
 
 
