@@ -33,7 +33,7 @@ def targets(sources: DataFrame, share: float = 1.5, weights: tuple[float, ...] =
     """
     order = [F.col("source").isNull().asc(), F.encode("source", "UTF-8").asc()]
     ranked = number_rows(sources.select("source", "source_size"), order, "_rank")
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") - 1) % len(weights) + 1)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_rank") - 1) % len(weights) + 1).cast("int"))
     rows = materialize(ranked.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * most).alias("_cap")), "mix-sources")
     total = rows.agg(F.sum("source_size")).first()[0] or 0
     level, full = 0.0, F.lit(False)
