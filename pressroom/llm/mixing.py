@@ -138,3 +138,16 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         "_row", "_id", "source", "size", "source_size", "target", F.col("_blocks").alias("shard_blocks"),
         F.col("_shard").alias("shard"), F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """docs as the mix takes them, with all their columns: each row as often as its taken words make whole copies.
+
+    The first and last block of a shard's run may cut a document; such a document counts to the nearest whole copy.
+    """
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    taken = mix(docs, **options).filter("taken > 0").select("_row", copies.alias("_copies")).filter("_copies > 0")
+    key = "_row" if "_row" not in docs.columns else "_row_of_mix"
+    many = "_copies" if "_copies" not in docs.columns else "_copies_of_mix"
+    joined = docs.withColumn(key, F.monotonically_increasing_id()).join(taken.toDF(key, many), key)
+    return joined.withColumn(many, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*docs.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm import exact_dedup, language, mixing, quality, url_filter
+from pressroom.llm import exact_dedup, language, minhash, mixing, packing, quality, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -90,3 +90,21 @@ from e
 def op9_source_mix(spark, sf_dir) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(F.col("_id").alias("doc_id"), "size", "source", "source_size", "target", "taken")
+
+
+@query
+def op2_minhash_dedup(spark, sf_dir) -> DataFrame:
+    """Components of documents with similar shingle sets; the smallest doc_id stays."""
+    return minhash.near_groups(table(spark, sf_dir, "documents")).select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id",
+    )
+
+
+@query
+def op5_packing(spark, sf_dir) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens, with a checksum of their ids."""
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select(
+        F.col("_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), "sequence_id", "offset",
+    )
