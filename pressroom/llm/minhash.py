@@ -4,12 +4,13 @@
   permutation yields its minimum and its maximum, so 72 permutations make 144 values, cut into 36 bands of 4. A pair at
   similarity 0.75 shares no band with chance (1 - 0.75^4)^36, about 1e-6.
 * Documents with one digest are one class; only class representatives go on, so exact copies cost one row.
-* Candidates of a bucket are compared with the bucket's leader only (its first row), not with one another. Confirmed
-  links are joined to components; then, in buckets that still hold several components, members outside the leader's
-  component meet those of other components. After that every pair of a bucket is either confirmed to be in one
-  component or was compared on its full sets, except pairs whose 144 sketch bytes agree in less than half (at 0.75 the
-  chance of that is below 1e-10).
-* A leader with many members is cut into chunks of CHUNK members, each with its own copy of the leader's text.
+* Candidates of a bucket are compared with the bucket's leader only, not with one another. The leader is the member that
+  meets most others over all its buckets, so the common source of edited copies leads wherever it is present.
+* Confirmed links are joined to components. Where a bucket still holds several, the members outside its leader's
+  component are the open ones: they are dealt into blocks, and every member of a bucket of that leader's component is held against
+  whole blocks inside a task, on full sets. Only links leave the task. After that every two members of a bucket are
+  in one component or have been compared.
+* Leaders, blocks and members are dealt in cells of bounded size, each with its own copy of the texts it needs.
 * Components by alternating large-star and small-star rounds on stored edges; nothing but counts reaches the driver.
 
 Joins on a hot class or bucket read stored tables on both sides, so Spark's adaptive skew join can split them.
@@ -18,7 +19,6 @@ Joins on a hot class or bucket read stored tables on both sides, so Spark's adap
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,7 +29,7 @@ BANDS, BAND_ROWS = 36, 4
 SHINGLE = 5
 LEAST_PERCENT = 75
 CHUNK = 128
-SKETCH_SHARE = 0.5
+BLOCK = 256
 
 _rng = np.random.default_rng(2)
 SCALE = _rng.integers(1, 2**63, BANDS * BAND_ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -37,7 +37,7 @@ SHIFT = _rng.integers(0, 2**63, BANDS * BAND_ROWS // 2, dtype=np.uint64)
 BAND_STEP = _rng.integers(1, 2**63, BAND_ROWS, dtype=np.uint64) | np.uint64(1)
 BAND_SEED = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
-FEATURES = "_row long, _id long, n_shingles long, _d1 long, _d2 long, _bands array<long>, _sketch binary"
+FEATURES = "_row long, _id long, n_shingles long, _d1 long, _d2 long, _bands array<long>"
 
 
 def signature(items: np.ndarray) -> np.ndarray:
@@ -57,26 +57,23 @@ def bands(values: np.ndarray) -> np.ndarray:
 
 def _features(batches):
     for batch in batches:
-        n, d1, d2, keys, sizes, sketch = [], [], [], [], [], []
+        n, d1, d2, keys, sizes = [], [], [], [], []
         for words in text_words(batch.column("_text"), lower=True):
             items = shingles(words, SHINGLE)
             n.append(len(items))
             if len(items):
-                values = signature(items)
                 d1.append(items.sum(dtype=np.uint64))
                 d2.append(mix(items).sum(dtype=np.uint64))
-                keys.append(bands(values))
-                sketch.append(((values >> np.uint64(40)) & np.uint64(255)).astype(np.uint8).tobytes())
+                keys.append(bands(signature(items)))
             else:
                 d1.append(0)
                 d2.append(0)
-                sketch.append(None)
             sizes.append(BANDS if len(items) else 0)
         flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), batch.column("_id"), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), lists, pa.array(sketch, pa.binary())],
-            names=["_row", "_id", "n_shingles", "_d1", "_d2", "_bands", "_sketch"],
+            [batch.column("_row"), batch.column("_id"), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), lists],
+            names=["_row", "_id", "n_shingles", "_d1", "_d2", "_bands"],
         )
 
 
@@ -109,18 +106,53 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return ordered.select("_lead", "_node", "_text").mapInArrow(_confirm, "a long, b long")
 
 
-def alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose sketches agree in at least SKETCH_SHARE of their bytes."""
-    @F.pandas_udf("boolean")
-    def agree(x, y):
-        left = np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1)
-        right = np.frombuffer(b"".join(y), np.uint8).reshape(len(y), -1)
-        return pd.Series((left == right).mean(axis=1) >= SKETCH_SHARE)
+def _against_block(batches):
+    """Rows sorted by cell, the block's own rows first: links between the block and the other rows of its cell."""
+    cell, block, tokens, owners, sizes = None, [], None, None, None
+    for batch in batches:
+        a, b = [], []
+        rows = zip(*(batch.column(c).to_pylist() for c in ("_group", "_block", "_chunk", "_open", "_node")), text_words(batch.column("_text"), lower=True), strict=True)
+        for *place, is_open, node, words in rows:
+            items = shingles(words, SHINGLE)
+            if place != cell:
+                cell, block, tokens = place, [], None
+            if is_open:
+                block.append((node, items))
+                continue
+            if not block:
+                continue
+            if tokens is None:
+                joined = np.concatenate([x for _, x in block])
+                order = np.argsort(joined, kind="stable")
+                tokens = joined[order]
+                owners = np.repeat(np.arange(len(block)), [len(x) for _, x in block])[order]
+                sizes = np.array([len(x) for _, x in block])
+            low, high = np.searchsorted(tokens, items, "left"), np.searchsorted(tokens, items, "right")
+            n = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            both = np.bincount(owners[at], minlength=len(block))
+            for i in np.flatnonzero(100 * both >= LEAST_PERCENT * (sizes + len(items) - both)).tolist():
+                if block[i][0] != node:
+                    a.append(block[i][0])
+                    b.append(node)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    both = pairs.join(sketches.select(F.col("_row").alias("a"), F.col("_sketch").alias("_x")), "a").join(
-        sketches.select(F.col("_row").alias("b"), F.col("_sketch").alias("_y")), "b",
-    )
-    return both.filter(agree("_x", "_y")).select("a", "b")
+
+def open_links(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) across components. placed: _key, _row, _lead, _label of every member of a bucket."""
+    spread = placed.groupBy("_key").agg(F.min("_label").alias("_x"), F.max("_label").alias("_y"), F.max(F.when(F.col("_row") == F.col("_lead"), F.col("_label"))).alias("_group"))
+    mixed = placed.join(materialize(spread.filter("_x < _y").select("_key", "_group"), "near-spread"), "_key")
+    nodes = materialize(mixed.groupBy("_group", "_row").agg(F.max(F.col("_label") != F.col("_group")).alias("_open")), "near-open")
+    sizes = materialize(nodes.groupBy("_group").agg(
+        F.ceil(F.sum(F.col("_open").cast("long")) / BLOCK).alias("_blocks"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("_chunks"),
+    ), "near-cells")
+    dealt = nodes.join(sizes, "_group")
+    every = dealt.withColumn("_chunk", F.pmod(F.xxhash64("_row"), F.col("_chunks"))).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).withColumn("_open", F.lit(False))
+    blocks = dealt.filter("_open").withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(1)), F.col("_blocks"))).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)))
+    columns = ["_group", "_block", "_chunk", "_open", F.col("_row").alias("_node")]
+    asked = every.select(*columns).unionByName(blocks.select(*columns)).join(texts.withColumnRenamed("_row", "_node"), "_node")
+    ordered = asked.repartition("_group", "_block", "_chunk").sortWithinPartitions("_group", "_block", "_chunk", F.col("_open").desc())
+    return ordered.mapInArrow(_against_block, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -165,22 +197,18 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     )
     reps = filled.join(classes.select(F.col("_rep").alias("_row")), "_row", "left_semi")
     keys = reps.select("_row", F.explode("_bands").alias("_key"))
-    leaders = materialize(keys.groupBy("_key").agg(F.min("_row").alias("_lead"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "near-buckets")
-    members = materialize(keys.join(leaders, "_key"), "near-members")
+    buckets = materialize(keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "near-buckets")
+    found = materialize(keys.join(buckets, "_key"), "near-found")
+    degrees = materialize(found.groupBy("_row").agg(F.sum("_n").alias("_degree")), "near-degrees")
+    leaders = found.join(degrees, "_row").groupBy("_key").agg(F.max(F.struct(F.col("_degree"), (-F.col("_row")).alias("_r"))).alias("_m"))
+    leaders = materialize(leaders.select("_key", (-F.col("_m._r")).alias("_lead")), "near-leads")
+    members = materialize(found.select("_key", "_row").join(leaders, "_key"), "near-members")
     pairs = materialize(members.filter("_row <> _lead").select(F.col("_lead").alias("a"), F.col("_row").alias("b")).distinct(), "near-pairs")
-    nodes = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct()
-    texts = materialize(own.select("_row", "_text").join(nodes, "_row", "left_semi"), "near-texts")
-    sketches = materialize(reps.select("_row", "_sketch").join(nodes, "_row", "left_semi"), "near-sketches")
-    links = materialize(confirmed(alike(pairs, sketches), texts), "near-links")
-    label = materialize(components(links), "near-labels")
-
-    placed = materialize(members.join(label.withColumnRenamed("node", "_row"), "_row", "left").select("_key", "_row", "_lead", F.coalesce("label", "_row").alias("_label")), "near-placed")
-    spread = placed.groupBy("_key").agg(F.min("_label").alias("_x"), F.max("_label").alias("_y"), F.max(F.when(F.col("_row") == F.col("_lead"), F.col("_label"))).alias("_main"))
-    mixed = materialize(placed.join(materialize(spread.filter("_x < _y").select("_key", "_main"), "near-spread"), "_key"), "near-mixed")
-    other = mixed.filter("_label <> _main").select("_key", F.col("_row").alias("_p"), F.col("_label").alias("_pl"))
-    rest = mixed.filter("_row <> _lead").select("_key", F.col("_row").alias("_q"), F.col("_label").alias("_ql"))
-    cross = other.join(rest, "_key").filter("_pl <> _ql").select(F.least("_p", "_q").alias("a"), F.greatest("_p", "_q").alias("b")).distinct()
-    more = materialize(confirmed(materialize(alike(cross, sketches), "near-cross"), texts), "near-more")
+    texts = materialize(own.select("_row", "_text").join(degrees.select("_row"), "_row", "left_semi"), "near-texts")
+    label = materialize(components(materialize(confirmed(pairs, texts), "near-links")), "near-labels")
+
+    placed = materialize(members.join(label.withColumnRenamed("node", "_row"), "_row", "left").withColumn("_label", F.coalesce("label", "_row")).drop("label"), "near-placed")
+    more = materialize(open_links(placed, texts), "near-more")
     if not more.isEmpty():
         label = materialize(components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)), "near-labels")
 
