@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm import exact_dedup, language, minhash, mixing, packing, quality, url_filter
+from pressroom.llm import exact_dedup, language, minhash, mixing, packing, quality, suffix_dedup, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -108,3 +108,9 @@ def op5_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select(
         F.col("_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), "sequence_id", "offset",
     )
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """Spans of 50 words or more that another document has too."""
+    return suffix_dedup.spans(table(spark, sf_dir, "documents")).select(F.col("_id").alias("doc_id"), "start_word", "n_words", "other_id")
