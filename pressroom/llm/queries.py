@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm import exact_dedup, language, minhash, mixing, packing, quality, suffix_dedup, url_filter
+from pressroom.llm import exact_dedup, html_text, language, licenses, minhash, mixing, packing, quality, suffix_dedup, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -114,3 +114,15 @@ def op5_packing(spark, sf_dir) -> DataFrame:
 def op1_suffix_dedup(spark, sf_dir) -> DataFrame:
     """Spans of 50 words or more that another document has too."""
     return suffix_dedup.spans(table(spark, sf_dir, "documents")).select(F.col("_id").alias("doc_id"), "start_word", "n_words", "other_id")
+
+
+@query
+def op10_license_scan(spark, sf_dir) -> DataFrame:
+    """License notices of every whole text, with the share of the notice that is there."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select(F.col("_id").alias("doc_id"), "license", "containment", "start_word", "n_words")
+
+
+@query
+def op7_html_text(spark, sf_dir) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages")).select(F.col("_id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))

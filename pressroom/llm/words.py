@@ -59,11 +59,11 @@ def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, np.nda
         first = last
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and for each document the number of its first word (n + 1 entries)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
-    inside = ~WHITE[data]
+    inside = ~between[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[bounds] = True
     starts = np.flatnonzero(inside & (cut[:-1] | np.r_[True, ~inside[:-1]]))
