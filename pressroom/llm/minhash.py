@@ -97,10 +97,13 @@ def _confirm(batches):
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough. texts (_row, _text) holds every node."""
-    sizes = materialize(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("_chunks")), "near-leaders")
-    members = pairs.join(sizes, "a").select(F.col("a").alias("_lead"), F.pmod(F.xxhash64("b"), F.col("_chunks")).alias("_chunk"), F.col("b").alias("_node"))
-    leads = sizes.select(F.col("a").alias("_lead"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)).alias("_chunk"), F.col("a").alias("_node"))
+    """Those pairs (a, b, degree of a) whose full sets are similar enough. texts (_row, _text) holds every node.
+
+    A leader's degree is at least the number of its members, and for members that are confirmed about ten times as large.
+    """
+    chunk = F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / (8 * CHUNK)))
+    members = pairs.select(F.col("a").alias("_lead"), chunk.alias("_chunk"), F.col("b").alias("_node"))
+    leads = members.select("_lead", "_chunk").distinct().withColumn("_node", F.col("_lead"))
     asked = members.unionByName(leads).join(texts.withColumnRenamed("_row", "_node"), "_node")
     ordered = asked.repartition("_lead", "_chunk").sortWithinPartitions("_lead", "_chunk", F.col("_node") != F.col("_lead"))
     return ordered.select("_lead", "_node", "_text").mapInArrow(_confirm, "a long, b long")
@@ -155,23 +158,26 @@ def open_links(placed: DataFrame, texts: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_against_block, "a long, b long")
 
 
+def settled(stars: DataFrame) -> bool:
+    """Whether every u of the edges (u, v) has one v only and no v is a u: then v is the label of u."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("head")).unionByName(
+        stars.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("head")),
+    )
+    wrong = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("head").alias("head")).filter("child + head > 1")
+    return wrong.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of edges (a, b): label is the least node it is connected with."""
     stars = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-edges")
-    before = None
-    while True:
-        sign = tuple(stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if sign == before or not sign[0]:
-            break
-        before = sign
+    while not settled(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "near-low")
-        large = materialize(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "near-large")
-        own = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "near-own")
-        small = large.join(own, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = materialize(small.unionByName(own.withColumnRenamed("m", "v")).distinct(), "near-stars")
-    nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return nodes.unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "near-low")  # stored: u may be hot
+        large = materialize(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "near-large")
+        own = large.groupBy("u").agg(F.min("v").alias("m"))  # here u has few rows
+        small = large.join(own, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        stars = materialize(small.filter("u <> v").distinct(), "near-stars")
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def first_of(id: Column, row: Column) -> Column:
@@ -191,28 +197,35 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     own = numbered(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")))
     seen = materialize(own.mapInArrow(_features, FEATURES), "near-features")
     filled = seen.filter("n_shingles > 0")
+    first = first_of(F.col("_id"), F.col("_row"))
     classes = materialize(
-        filled.groupBy("_d1", "_d2", "n_shingles").agg(F.min("_row").alias("_rep"), F.min(first_of(F.col("_id"), F.col("_row"))).alias("_first")),
+        filled.groupBy("_d1", "_d2", "n_shingles").agg(F.min("_row").alias("_rep"), F.min(first).alias("_first"), F.min_by("_bands", "_row").alias("_bands")),
         "near-classes",
     )
-    reps = filled.join(classes.select(F.col("_rep").alias("_row")), "_row", "left_semi")
-    keys = reps.select("_row", F.explode("_bands").alias("_key"))
+    keys = classes.select(F.col("_rep").alias("_row"), F.explode("_bands").alias("_key"))
     buckets = materialize(keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "near-buckets")
-    found = materialize(keys.join(buckets, "_key"), "near-found")
-    degrees = materialize(found.groupBy("_row").agg(F.sum("_n").alias("_degree")), "near-degrees")
-    leaders = found.join(degrees, "_row").groupBy("_key").agg(F.max(F.struct(F.col("_degree"), (-F.col("_row")).alias("_r"))).alias("_m"))
-    leaders = materialize(leaders.select("_key", (-F.col("_m._r")).alias("_lead")), "near-leads")
+    # at most BANDS keys a node
+    nodes = materialize(keys.join(buckets, "_key").groupBy("_row").agg(F.sum("_n").alias("_degree"), F.collect_list("_key").alias("_keys")), "near-nodes")
+    found = nodes.select("_row", "_degree", F.explode("_keys").alias("_key"))
+    best = found.groupBy("_key").agg(F.max(F.struct(F.col("_degree"), (-F.col("_row")).alias("_r"))).alias("_m"))
+    leaders = materialize(best.select("_key", (-F.col("_m._r")).alias("_lead"), F.col("_m._degree").alias("_lead_degree")), "near-leads")
     members = materialize(found.select("_key", "_row").join(leaders, "_key"), "near-members")
-    pairs = materialize(members.filter("_row <> _lead").select(F.col("_lead").alias("a"), F.col("_row").alias("b")).distinct(), "near-pairs")
-    texts = materialize(own.select("_row", "_text").join(degrees.select("_row"), "_row", "left_semi"), "near-texts")
-    label = materialize(components(materialize(confirmed(pairs, texts), "near-links")), "near-labels")
+    texts = materialize(own.select("_row", "_text").join(nodes.select("_row"), "_row", "left_semi"), "near-texts")
+    pairs = members.filter("_row <> _lead").groupBy("_lead", "_row").agg(F.max("_lead_degree").alias("degree"))
+    links = confirmed(materialize(pairs.select(F.col("_lead").alias("a"), F.col("_row").alias("b"), "degree"), "near-pairs"), texts)
+    label = materialize(components(links), "near-labels")
 
     placed = materialize(members.join(label.withColumnRenamed("node", "_row"), "_row", "left").withColumn("_label", F.coalesce("label", "_row")).drop("label"), "near-placed")
     more = materialize(open_links(placed, texts), "near-more")
     if not more.isEmpty():
-        label = materialize(components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)), "near-labels")
-
-    joined = materialize(classes.join(label.withColumnRenamed("node", "_rep"), "_rep", "left").withColumn("_root", F.coalesce("label", "_rep")).drop("label"), "near-rooted")
+        ends = more
+        for end in ("a", "b"):
+            ends = ends.join(label.toDF(end, "_to"), end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+        higher = materialize(components(ends), "near-higher")
+        merged = label.unionByName(higher.select(F.col("node"), F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("_old"))
+        label = materialize(merged.join(higher.toDF("_old", "label"), "_old", "left").select("node", F.coalesce("label", "_old").alias("label")), "near-labels")
+
+    joined = materialize(classes.drop("_bands").join(label.withColumnRenamed("node", "_rep"), "_rep", "left").withColumn("_root", F.coalesce("label", "_rep")).drop("label"), "near-rooted")
     heads = materialize(joined.groupBy("_root").agg(F.min("_first").alias("_head")), "near-heads")
     named = materialize(joined.join(heads, "_root").select("_d1", "_d2", "n_shingles", F.col("_first.id").alias("class_id"), F.col("_head.id").alias("_comp"), F.col("_head.row").alias("_keep")), "near-named")
     out = seen.select("_row", "_id", "n_shingles", "_d1", "_d2")
