@@ -13,7 +13,8 @@ of lengths, not of documents, and is broadcast.
 
 from __future__ import annotations
 
-import os
+import json
+from array import array
 from collections import deque
 
 import numpy as np
@@ -25,22 +26,39 @@ from pressroom.session import scratch_path
 
 WINDOW = 1024
 END_ID = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 LONGEST_CACHED = 48
 _STATE = {}
 
 
+# Fixed value: the pre-tokeniser's pattern of byte-level vocabularies.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def _tokenizer(path: str):
-    if _STATE.get("path") != path:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """An encoder with the vocabulary of a byte-level tokenizer file, whose ids are in the order of its merges.
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _STATE.update(path=path, made=made, head={}, rest={})
+    It gives the ids of the tokenizers library (tests compare them) at several times the speed for single words.
+    """
+    if _STATE.get("path") != path:
+        import tiktoken
+
+        # the file writes each byte as a printable character: printable bytes as themselves, the others from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        as_byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {x["content"] for x in spec.get("added_tokens", ())}
+        ranks = {bytes(as_byte[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
+        _STATE.update(path=path, made=tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), head={}, rest={})
     return _STATE["made"]
 
 
+def _ids(made, text: str) -> bytes:
+    return array("I", made.encode_ordinary(text)).tobytes()
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
@@ -53,38 +71,26 @@ def encode(texts: list[str], path: str) -> list[bytes]:
     if len(head) + len(rest) > CACHE_WORDS:
         head.clear()
         rest.clear()
-    split, missing, whole = [], {}, []
-    for i, text in enumerate(texts):
-        parts = text.split(" ")
-        risky = False
-        for p in parts[1:]:
-            if p not in rest:
+    out = []
+    for text in texts:
+        first, *parts = text.split(" ")
+        own = head.get(first)
+        if own is None:
+            own = _ids(made, first)
+            if len(first) <= LONGEST_CACHED:
+                head[first] = own
+        found = [own]
+        for p in parts:
+            own = rest.get(p)
+            if own is None:
                 if not p or p[0].isspace():
-                    risky = True
+                    found = None
                     break
-                missing[" " + p] = None
-        if not risky and parts[0] not in head:
-            missing[parts[0]] = None
-        split.append(None if risky else parts)
-        if risky:
-            whole.append(i)
-    asked = list(missing)
-    new = dict(zip(asked, (np.array(e.ids, "<u4").tobytes() for e in made.encode_batch_fast(asked, add_special_tokens=False)), strict=True)) if asked else {}
-    out = [b""] * len(texts)
-    for i, e in zip(whole, made.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else [], strict=True):
-        out[i] = np.array(e.ids, "<u4").tobytes()
-    for i, parts in enumerate(split):
-        if parts is not None:
-            first = head.get(parts[0])
-            found = [new[parts[0]] if first is None else first]
-            found += [rest[p] if p in rest else new[" " + p] for p in parts[1:]]
-            out[i] = b"".join(found)
-    for p, ids in new.items():
-        if len(p) <= LONGEST_CACHED:
-            if p[:1] == " ":
-                rest[p[1:]] = ids
-            else:
-                head[p] = ids
+                own = _ids(made, " " + p)
+                if len(p) <= LONGEST_CACHED:
+                    rest[p] = own
+            found.append(own)
+        out.append(_ids(made, text) if found is None else b"".join(found))
     return out
 
 
