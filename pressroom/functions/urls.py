@@ -85,11 +85,12 @@ def absolute_url(base: Column, ref: Column) -> Column:
     folder = F.regexp_extract(path(base), r"^(.*/)", 1)
     folder = F.when(folder == "", "/").otherwise(folder)
     joined = F.concat(folder, ref)
-    # drop './' and resolve 'x/../', a few levels deep
-    clean = F.regexp_replace(joined, r"/(\./)+", "/")
-    for _ in range(4):
-        clean = F.regexp_replace(clean, r"/(?!\.\./)[^/?#]+/\.\./", "/")
-    clean = F.regexp_replace(clean, r"^(/\.\.)+/", "/")
+    # './' and '../' at any depth: walk the segments, '..' takes back the last one
+    segments = F.split(F.regexp_extract(joined, r"^/([^?#]*)", 1), "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(segments, none, lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(s == ".", done).otherwise(F.array_append(done, s)))
+    open_end = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    clean = F.concat(F.lit("/"), F.array_join(kept, "/"), open_end, F.regexp_extract(joined, r"^[^?#]*(.*)$", 1))
     return (
         F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
         .when(ref.startswith("//"), F.concat(F.lit("https:"), ref))

@@ -130,19 +130,20 @@ def _records(frame: pd.DataFrame) -> list[dict]:
     return rows
 
 
-def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int = 64) -> DataFrame:
+def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None) -> DataFrame:
     """Replace stories that repeat the history or an accepted story by a clean reserve of the branch.
 
     Rows need seq (order in the batch), title, link, editorial_branch, reserve (bool), blocked
     (repeats the history) and healthy (false: replace anyway, keep the healthy ones first). Output: a
     row per main story: batch, slot, seq of the story placed there, status 'kept' | 'replaced' |
-    'no_reserve'. Every batch is decided on its own, in parallel; a batch beyond `max_rows` breaks
-    the contract of six stories and six reserves and comes back as 'invalid_batch', undecided.
+    'no_reserve'. Every batch is decided on its own, in parallel, whatever its size; only where the
+    caller sets `max_rows` do larger batches come back undecided, as 'invalid_batch'.
     """
     material = set(fv.MATERIAL_EVENTS if material is None else material)
     sizes = batches.groupBy(batch).agg(F.count(F.lit(1)).alias("_rows"))
     sized = with_story_facts(batches, classes).join(sizes, batch)
-    fit = sized.filter(F.col("_rows") <= max_rows).select(
+    fits = F.lit(True) if max_rows is None else F.col("_rows") <= max_rows
+    fit = sized.filter(fits).select(
         F.col(batch).cast("bigint").alias("batch"), "seq", "title", "_url", "editorial_branch", "reserve", "blocked", "healthy", *FACTS
     )
 
@@ -176,17 +177,17 @@ def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_
         return result
 
     decided = fit.groupBy("batch").applyInPandas(decide, "batch bigint, slot bigint, seq bigint, status string")
-    big = sized.filter((F.col("_rows") > max_rows) & ~F.col("reserve")).select(
+    big = sized.filter(~fits & ~F.col("reserve")).select(
         F.col(batch).cast("bigint").alias("batch"), F.lit(None).cast("bigint").alias("slot"), "seq", F.lit("invalid_batch").alias("status")
     )
     return decided.unionByName(big)
 
 
-def batch_repeats(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int = 64) -> DataFrame:
+def batch_repeats(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None) -> DataFrame:
     """Pairs of stories of one batch, earlier against later, that still tell the same story."""
     material = set(fv.MATERIAL_EVENTS if material is None else material)
     sizes = batches.groupBy(batch).agg(F.count(F.lit(1)).alias("_rows"))
-    sized = with_story_facts(batches, classes).join(sizes.filter(F.col("_rows") <= max_rows), batch)
+    sized = with_story_facts(batches, classes).join(sizes if max_rows is None else sizes.filter(F.col("_rows") <= max_rows), batch)
     fit = sized.select(F.col(batch).cast("bigint").alias("batch"), "seq", "title", "_url", *FACTS)
 
     def check(frame: pd.DataFrame) -> pd.DataFrame:

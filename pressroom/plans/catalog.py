@@ -453,7 +453,7 @@ def page_article(spark, sf) -> DataFrame:
 def page_context(spark, sf) -> DataFrame:
     """Context per page's story: its own page when it has paragraphs, a neighbour's, or the headline."""
     src = sd.table(spark, sf, "pages")
-    texts = pages.article_text(src.filter("page_id % 3 <> 0 or length(html) > 8000"))
+    texts = pages.article_text(src)
     stories = src.select(F.col("page_id").alias("numero"), F.concat(F.lit("story "), F.col("page_id").cast("string")).alias("titulo"), F.lit("feed").alias("fuente"), "url")
     other = src.select((F.col("page_id") - 1).alias("numero"), F.lit("").alias("resolved_article_url"), F.col("url").alias("image_source_url"), F.lit("other").alias("image_source"), F.col("page_id").alias("seq"))
     rows = pages.article_context(stories, texts, other)

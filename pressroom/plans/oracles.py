@@ -393,7 +393,7 @@ select page_id, t as titulo_original, '' as descripcion, array_to_string(kept[1:
   array_to_string(kept[1:5], ' || ') as parrafos, (t <> '' or len(kept) > 0) as useful from d"""
 _canon = "rtrim(regexp_extract(lower(regexp_extract(url, '^https?://[^/?#]*', 0)) || regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '.*'), '/')"
 ORACLES["page_context"] = f"""with {PAGES},
-t as (select page_id, {_canon} as key, case when h1 <> '' then h1 else tt end as title from par where page_id % 3 <> 0 or length(html) > 8000
+t as (select page_id, {_canon} as key, case when h1 <> '' then h1 else tt end as title from par
   qualify row_number() over (partition by key order by page_id) = 1),
 s as (select page_id as numero, {_canon} as key, 'story ' || page_id as titulo from pages),
 o as (select s.*, a.title as own, b.title as other from s left join t a on a.key = s.key

@@ -29,10 +29,13 @@ def rss_items(spark: SparkSession, path: str, as_of, branch: str, query: str, da
 
 
 def json_list(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Rows of JSON list files; nothing when the path is missing, broken records are left out."""
-    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED")
+    """Rows of JSON list files; nothing when the path is missing.
+
+    A mistyped field is null and its record stays; records without any readable field and broken files give no rows.
+    """
+    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
     try:
-        return reader.json(path)
+        return reader.json(path).dropna(how="all")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

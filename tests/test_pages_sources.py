@@ -106,3 +106,23 @@ def test_outputs(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     assert spark.read.parquet(f"{path}_snapshots/run1").count() == 3
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_mistyped_record_loses_its_field_only(spark, tmp_path):
+    (tmp_path / "mixed.json").write_text('[{"n": 1, "t": "a"}, {"n": "x", "t": "b"}, {"n": 3, "t": "c"}]')
+    rows = landed.json_list(spark, str(tmp_path / "mixed.json"), "n int, t string").collect()
+    assert [(r.n, r.t) for r in rows] == [(1, "a"), (None, "b"), (3, "c")]
+
+
+def test_dot_segments_at_any_depth(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    from pressroom.functions import urls
+
+    base = "https://a.b/1/2/3/4/5/6/7/p.html"
+    refs = ["../../../../../x.jpg", "../" * 9 + "x.jpg", "./x.jpg", "y/./../x.jpg?q=../z", "..", "../.", "a/b/", "x.jpg#../q"]
+    df = spark.createDataFrame([(base, r) for r in refs], "base string, ref string")
+    got = [r[0] for r in df.select(urls.absolute_url(F.col("base"), F.col("ref"))).collect()]
+    assert got == [urljoin(base, r) for r in refs]
