@@ -98,10 +98,11 @@ def ascii_words(col: Column) -> Column:
     return F.trim(F.regexp_replace(unlinked, "[^a-z0-9]+", " "))
 
 
-def slug(col: Column, limit: int = 140) -> Column:
-    """ASCII words joined by '-', cut at `limit` characters (links are kept as words)."""
+def slug(col: Column, limit: int | None = 140) -> Column:
+    """ASCII words joined by '-', cut at `limit` characters unless that is None (links are kept as words)."""
     folded = fold_accents(F.lower(F.coalesce(col, F.lit(""))))
-    return F.substring(F.trim(F.regexp_replace(folded, "[^a-z0-9]+", "-"), F.lit("-")), 1, limit)
+    whole = F.trim(F.regexp_replace(folded, "[^a-z0-9]+", "-"), F.lit("-"))
+    return whole if limit is None else F.substring(whole, 1, limit)
 
 
 def file_slug(col: Column) -> Column:

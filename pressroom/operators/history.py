@@ -111,8 +111,11 @@ def block_repeats(candidates: DataFrame, history: DataFrame, as_of, seq: str = "
     })
     old = materialize(old.select(seq, "title_id", "band", "old_url", "_told"), "history").filter("_told")
     titles = old.groupBy("title_id", "band").agg(F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
+    # rows without a URL get a key of their own that meets nothing, so they do not gather in one task
+    link = urls.canonical_url(F.col(url))
     rows = candidates.withColumns({
-        "title_id": title_id(F.col(title)), "_url": urls.canonical_url(F.col(url)),
+        "title_id": title_id(F.col(title)),
+        "_url": F.when(link != "", link).otherwise(F.concat(F.lit("\u0001"), F.monotonically_increasing_id().cast("string"))),
         "_told": tx.blank_if_null(F.col(title)) != "",
     })
     rows = materialize(rows, "candidates")
@@ -165,7 +168,8 @@ def prune_history(history: DataFrame, as_of, days: int = fv.KEEP_DAYS) -> DataFr
 def register(news: DataFrame, history: DataFrame, as_of, today: str, seq: str = "seq") -> DataFrame:
     """The pruned history plus today's stories it does not have yet.
 
-    A story is known when today's history has its URL, or, for a story without one, its story key.
+    A story is known when today's history has its URL, or, for a story without one, its whole title as words; the
+    stored story key is the title's beginning and for display only. A stored key that is not its title's counts itself.
     Within the batch the first row by `seq` counts. Running it twice changes nothing.
     `news` needs title, branch, source, url; rows without a title are skipped.
     """
@@ -173,20 +177,22 @@ def register(news: DataFrame, history: DataFrame, as_of, today: str, seq: str =
     new = news.filter(tx.blank_if_null(F.col("title")) != "").select(
         F.lit(today).alias("date"), "branch", tx.strip(F.col("title")).alias("title"), "source",
         tx.blank_if_null(F.col("url")).alias("url"), tx.slug(F.col("title")).alias("story_key"), F.col(seq).alias("_seq"),
+        tx.slug(F.col("title"), None).alias("_key"),
     )
     # a row with a URL is known by URL; a row without one by key, whatever URL the known row has
     today_rows = kept.filter(F.col("date") == today)
     fresh = new.join(
         today_rows.filter("url <> ''").select("url").distinct(), "url", "left_anti"
     )
-    known_keys = today_rows.select("story_key").distinct()
+    own_key = tx.slug(F.col("title")) == F.col("story_key")
+    known_keys = today_rows.select(F.when(own_key, tx.slug(F.col("title"), None)).otherwise(F.col("story_key")).alias("_key")).distinct()
     with_url = fresh.filter("url <> ''")
     first_of_url = with_url.groupBy("url").agg(F.min_by(F.struct(*[c for c in new.columns]), "_seq").alias("r")).select("r.*")
-    no_url = fresh.filter("url = ''").join(known_keys, "story_key", "left_anti")
+    no_url = fresh.filter("url = ''").join(known_keys, "_key", "left_anti")
     # a URL row that comes earlier in the batch makes the key known as well
-    earlier = first_of_url.groupBy("story_key").agg(F.min("_seq").alias("_before"))
-    first_of_key = no_url.groupBy("story_key").agg(F.min_by(F.struct(*[c for c in new.columns]), "_seq").alias("r")).select("r.*")
-    first_of_key = first_of_key.join(earlier, "story_key", "left").filter(
+    earlier = first_of_url.groupBy("_key").agg(F.min("_seq").alias("_before"))
+    first_of_key = no_url.groupBy("_key").agg(F.min_by(F.struct(*[c for c in new.columns]), "_seq").alias("r")).select("r.*")
+    first_of_key = first_of_key.join(earlier, "_key", "left").filter(
         F.col("_before").isNull() | (F.col("_before") > F.col("_seq"))
     )
     columns = ["date", "branch", "title", "source", "url", "story_key"]

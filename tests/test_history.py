@@ -118,3 +118,17 @@ def test_split(spark):
     kept, blocked = hist.split_blocked(judged, h)
     assert kept.count() + blocked.count() == len(CANDIDATES)
     assert all(r.history_match.title for r in blocked.collect())
+
+
+def test_titles_that_differ_late_are_both_registered(spark):
+    start = "word " * 40
+    old = spark.createDataFrame(
+        [("2024-01-31", "gaming", start + "one", "s", "", ("word-" * 28))], "date string, branch string, title string, source string, url string, story_key string",
+    )
+    news = spark.createDataFrame(
+        [(1, "gaming", start + "one", "s", ""), (2, "gaming", start + "two", "s", ""), (3, "gaming", start + "three", "s", "u"), (4, "gaming", start + "three", "s", "")],
+        "seq int, branch string, title string, source string, url string",
+    )
+    rows = hist.register(news, old, AS_OF, "2024-01-31").collect()
+    assert sorted((r.title.split()[-1], r.url) for r in rows) == [("one", ""), ("three", "u"), ("two", "")]
+    assert {len(r.story_key) for r in rows} == {140}
