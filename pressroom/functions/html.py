@@ -49,10 +49,10 @@ def section(html: Column) -> Column:
     return F.coalesce(F.nullif(article, F.lit("")), F.nullif(main, F.lit("")), html)
 
 
-def paragraphs(html: Column, first: int) -> Column:
-    """Texts of the first `first` paragraphs of a fragment."""
+def paragraphs(html: Column, first: int | None = None) -> Column:
+    """Texts of the paragraphs of a fragment; only the first `first` if a number is given."""
     found = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), 1)
-    return F.transform(F.slice(found, 1, first), plain_text)
+    return F.transform(found if first is None else F.slice(found, 1, first), plain_text)
 
 
 def keep_first(texts: Column, by=lambda t: t) -> Column:

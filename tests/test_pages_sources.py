@@ -126,3 +126,28 @@ def test_dot_segments_at_any_depth(spark):
     df = spark.createDataFrame([(base, r) for r in refs], "base string, ref string")
     got = [r[0] for r in df.select(urls.absolute_url(F.col("base"), F.col("ref"))).collect()]
     assert got == [urljoin(base, r) for r in refs]
+
+
+def test_no_paragraph_is_left_out(spark):
+    texts = [f"Paragraph number {i} " + "with enough words to count as a good one " * 3 for i in range(60)]
+    html = "<article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article>"
+    df = spark.createDataFrame([(1, "https://a.example/x", html)], "page_id int, url string, html string")
+    assert len(pages.article_text(df).first().parrafos) == 60
+    assert len(pages.article_text(df, looked_at=35, most=8, shown=5).first().parrafos) == 5
+
+
+def test_stories_without_a_url_find_no_text(spark):
+    texts = pages.article_text(spark.createDataFrame([(1, "", "<h1>Lost page</h1>"), (2, "https://a.example/x", "<h1>Found page</h1>")], "page_id int, url string, html string"))
+    stories = spark.createDataFrame([(1, "one", "s", ""), (2, "two", "s", None), (3, "three", "s", "https://a.example/x")], "numero int, titulo string, fuente string, url string")
+    got = {r.numero: (r.titulo_original, r.estado) for r in pages.article_context(stories, texts).collect()}
+    assert got == {1: ("one", "PARCIAL"), 2: ("two", "PARCIAL"), 3: ("Found page", "OK")}
+
+
+def test_addresses_in_linked_data():
+    document = {"@graph": [{"image": {"url": ["https://a/1", {"contentUrl": "//a/2", "caption": "https://a/no"}]}, "url": "https://a/no"},
+                           {"author": {"image": "https://a/3", "logo": {"image": ["https://a/4", "data:x"]}}}]}
+    assert pages.image_addresses(document) == ["https://a/1", "//a/2", "https://a/3", "https://a/4"]
+    deep = "https://a/5"
+    for _ in range(5000):
+        deep = [deep]
+    assert pages.image_addresses({"image": deep}) == ["https://a/5"] and pages.image_addresses(None) == []
