@@ -67,3 +67,22 @@ def runs_to_do(runs: DataFrame, log: DataFrame, key: str = "date") -> DataFrame:
     """Runs the log does not have as completed."""
     done = log.filter("status = 'completed'").select(key).distinct()
     return runs.join(done, key, "left_anti")
+
+
+def mark_completed(runs: DataFrame, log: DataFrame, at: str, key: str = "date") -> DataFrame:
+    """The log (key, status, completed_at) with a row for each run that it does not have as completed.
+
+    Running it again with its own result changes nothing.
+    """
+    new = runs_to_do(runs.select(key).distinct(), log, key)
+    stamped = new.select(key, F.lit("completed").alias("status"), F.lit(at).cast("timestamp").alias("completed_at"))
+    return log.select(key, "status", "completed_at").unionByName(stamped)
+
+
+def status_counts(rows: DataFrame, status: str, names: dict[str, str], by: list[str] = ()) -> DataFrame:
+    """Rows per status and `total`, in each group of `by`; `names` gives the column of a status.
+
+    Null and unnamed statuses count in the total only.
+    """
+    counts = [F.count_if(F.col(status) == value).alias(name) for value, name in names.items()]
+    return rows.groupBy(*by).agg(*counts, F.count(F.lit(1)).alias("total"))

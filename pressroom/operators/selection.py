@@ -130,15 +130,20 @@ def _records(frame: pd.DataFrame) -> list[dict]:
     return rows
 
 
-def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None) -> DataFrame:
+def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None,
+               used: DataFrame | None = None, id: str = "seq") -> DataFrame:
     """Replace stories that repeat the history or an accepted story by a clean reserve of the branch.
 
     Rows need seq (order in the batch), title, link, editorial_branch, reserve (bool), blocked
     (repeats the history) and healthy (false: replace anyway, keep the healthy ones first). Output: a
     row per main story: batch, slot, seq of the story placed there, status 'kept' | 'replaced' |
     'no_reserve'. Every batch is decided on its own, in parallel, whatever its size; only where the
-    caller sets `max_rows` do larger batches come back undecided, as 'invalid_batch'.
+    caller sets `max_rows` do larger batches come back undecided, as 'invalid_batch'. Reserves that
+    `used` (batch, `id`) names were placed before and are not placed again.
     """
+    if used is not None:
+        placed = used.select(batch, id).distinct().withColumn("reserve", F.lit(True))
+        batches = batches.join(placed, [batch, id, "reserve"], "left_anti")
     material = set(fv.MATERIAL_EVENTS if material is None else material)
     sizes = batches.groupBy(batch).agg(F.count(F.lit(1)).alias("_rows"))
     sized = with_story_facts(batches, classes).join(sizes, batch)

@@ -18,9 +18,14 @@ def dedupe_stream(rows: DataFrame, key: str = "key", published: str = "published
     return timed.withWatermark("event_time", window).dropDuplicatesWithinWatermark([key])
 
 
-def spend_windows(calls: DataFrame, length: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Calls and spend per tumbling window and model; `calls` have ts, model and cost_usd."""
-    grouped = calls.withWatermark("ts", late).groupBy(F.window("ts", length), "model")
+def spend_windows(calls: DataFrame, length: str = "1 day", late: str | None = None) -> DataFrame:
+    """Calls and spend per tumbling window and model; `calls` have ts, model and cost_usd.
+
+    Every call counts, however late: the state is one row per window and model. Only a caller who names `late`
+    closes windows after that time and leaves later calls out.
+    """
+    timed = calls if late is None else calls.withWatermark("ts", late)
+    grouped = timed.groupBy(F.window("ts", length), "model")
     return grouped.agg(
         F.count(F.lit(1)).alias("calls"), F.sum(F.col("cost_usd").cast("decimal(28,9)")).cast("double").alias("spent_usd")
     ).select(F.col("window.start").alias("start"), "model", "calls", "spent_usd")

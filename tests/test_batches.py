@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import reference_rules as rules
 from pressroom import fixed_values as fv
-from pressroom.operators import merge, quality, selection
+from pressroom.operators import delivery, merge, quality, selection
 from pressroom.operators.skew import salted_join
 from pressroom.streaming import streams
 
@@ -155,3 +155,36 @@ def test_streams_in_several_batches(spark, tmp_path):
     args = (str(tmp_path / "reg"), str(tmp_path / "c3"), "2024-01-31 00:00:00", "2024-01-31")
     reg = streams.register_stream(news, start, *args)
     assert sorted(r.title for r in reg.collect()) == [f"k{i}" for i in range(5)]
+
+
+def test_late_calls_count(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for i, day in enumerate(["2024-01-20", "2024-01-01", "2024-01-20"]):
+        spark.range(5).select(F.lit("m").alias("model"), F.lit(0.5).alias("cost_usd"), F.to_timestamp(F.lit(day)).alias("ts")).coalesce(1).write.parquet(f"{src}/part={i}")
+    schema = spark.read.parquet(f"{src}/part=0").schema
+    calls = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src)
+    spend = streams.drain_updates(streams.spend_windows(calls), str(tmp_path / "sp"), str(tmp_path / "c"), ["start", "model"])
+    assert sorted((str(r.start)[:10], r.calls) for r in spend.collect()) == [("2024-01-01", 5), ("2024-01-20", 10)]
+
+
+def test_used_reserves_are_not_placed_again(spark):
+    rows = [(1, 1, "Falcon Rocket delayed", "", "gaming", False, False, False), (1, 2, "Quantum Lantern launch", "", "gaming", True, False, True),
+            (1, 3, "Nebula Garden beta", "", "gaming", True, False, True)]
+    df = spark.createDataFrame(rows, "batch int, seq int, title string, link string, editorial_branch string, reserve boolean, blocked boolean, healthy boolean")
+    used = spark.createDataFrame([(1, 2), (1, 2), (9, 3)], "batch int, seq int")
+    assert [(r.seq, r.status) for r in selection.substitute(df, "batch").collect()] == [(2, "replaced")]
+    assert [(r.seq, r.status) for r in selection.substitute(df, "batch", used=used).collect()] == [(3, "replaced")]
+
+
+def test_completed_runs_are_logged_once(spark):
+    log = spark.createDataFrame([("a", "completed", None), ("b", "failed", None)], "date string, status string, completed_at timestamp")
+    runs = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "date string")
+    once = delivery.mark_completed(runs, log, "2024-01-31 00:00:00")
+    assert sorted((r.date, r.status) for r in once.collect()) == [("a", "completed"), ("b", "completed"), ("b", "failed"), ("c", "completed")]
+    assert delivery.mark_completed(runs, once, "2024-02-01 00:00:00").count() == 4
+
+
+def test_status_counts(spark):
+    df = spark.createDataFrame([("OK",), ("OK",), ("PARCIAL",), (None,), ("other",)], "estado string")
+    assert tuple(delivery.status_counts(df, "estado", {"OK": "ok", "PARCIAL": "partial"}).first()) == (2, 1, 5)
+    assert delivery.status_counts(df.limit(0), "estado", {"OK": "ok"}).first().total == 0
