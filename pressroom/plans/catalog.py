@@ -421,6 +421,17 @@ def run_guard(spark, sf) -> DataFrame:
     return delivery.runs_to_do(rows.select("run").distinct(), log, "run")
 
 
+@query
+def run_log(spark, sf) -> DataFrame:
+    """The log of completed hours after those whose pieces are all delivered are entered."""
+    rows = sd.pieces(spark, sf)
+    log = rows.filter("event_type = 'purchase'").select("run").distinct().select(
+        "run", F.lit("completed").alias("status"), F.lit("2024-01-30 00:00:00").cast("timestamp").alias("completed_at")
+    )
+    done = delivery.reconcile(rows, "run", EXPECTED).filter("complete")
+    return delivery.mark_completed(done, log, sd.AS_OF, "run").withColumn("completed_at", _stamp(F.col("completed_at")))
+
+
 @query
 def asset_audit(spark, sf) -> DataFrame:
     a = sd.assets(spark, sf)
@@ -460,6 +471,19 @@ def page_context(spark, sf) -> DataFrame:
     return rows.select("numero", "titulo_original", "context_source", "context_origin", "estado")
 
 
+@query
+def context_counts(spark, sf) -> DataFrame:
+    """Stories with a whole and with a partial context, per origin."""
+    return delivery.status_counts(page_context(spark, sf), "estado", {"OK": "ok", "PARCIAL": "partial"}, ["context_origin"])
+
+
+@query
+def duplicate_counts(spark, sf) -> DataFrame:
+    """Articles of each branch that the greedy walk keeps and removes."""
+    rows = greedy_dedupe(spark, sf).withColumn("state", F.when(F.col("accepted"), "kept").otherwise("removed"))
+    return delivery.status_counts(rows, "state", {"kept": "kept", "removed": "removed"}, ["editorial_branch"])
+
+
 @query
 def image_references(spark, sf) -> DataFrame:
     """Images named by pages written from the manifest, merged by URL."""

@@ -221,6 +221,11 @@ select branch as editorial_branch, count(*) as stories,
 
 # --- history -------------------------------------------------------------------------------------
 
+def whole(row: str) -> str:
+    """The whole title of a row as words: what tells stories apart."""
+    return f"trim(regexp_replace(strip_accents(lower({row}.title)), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
 HISTORY = f"""{ARTICLES},
 hist as (select doc_id as hist_seq, strftime(date '2024-01-31' - (doc_id % 40)::int, '%Y-%m-%d') as date, branch, title, source,
   case when doc_id % 2 = 0 then '' else 'doc:' || doc_id end as url,
@@ -235,9 +240,9 @@ news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then ''
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from open where title <> ''),
 urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
   qualify row_number() over (partition by url order by doc_id) = 1),
-keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.story_key = n.story_key)
-  and not exists (select 1 from urlrows u where u.story_key = n.story_key and u.doc_id < n.doc_id)
-  qualify row_number() over (partition by story_key order by doc_id) = 1)
+keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and {whole('k')} = {whole('n')})
+  and not exists (select 1 from urlrows u where {whole('u')} = {whole('n')} and u.doc_id < n.doc_id)
+  qualify row_number() over (partition by {whole('n')} order by doc_id) = 1)
 select * from kept
 union all select '2024-01-31', branch, title, source, url, story_key from urlrows
 union all select '2024-01-31', branch, title, source, url, story_key from keyrows"""
@@ -360,6 +365,10 @@ keys as (select unnest(['00', '01', '02', '03', '04', '05', '06', '07']) as key)
 n as (select run, key, count(*) as n from pieces group by all)
 select run, key, coalesce(n, 0)::bigint as pieces from runs cross join keys left join n using (run, key) where coalesce(n, 0) <> 1"""
 ORACLES["run_guard"] = f"with {PIECES} select run from pieces group by run having count(*) filter (event_type = 'purchase') = 0"
+ORACLES["run_log"] = f"""with {PIECES}, log as (select distinct run from pieces where event_type = 'purchase'),
+done as (select run from pieces where key <= '07' group by run having count(distinct key) = 8 and count(distinct key) filter (delivered) = 8)
+select run, 'completed' as status, '2024-01-30 00:00:00' as completed_at from log
+union all select run, 'completed', strftime(timestamp '{sd.AS_OF}', '%Y-%m-%d %H:%M:%S') from done where run not in (select run from log)"""
 ORACLES["asset_audit"] = """with a as (select p_partkey as asset_id, floor(p_retailprice * 21)::bigint as n, 300 + 40 * p_size as w, 170 + 22 * p_size as h from part)
 select asset_id, case when n < 20000 then 'archivo demasiado pequeño: ' || n || ' bytes' when w < 600 or h < 338 then 'dimensiones insuficientes: ' || w || 'x' || h else 'ok' end as image,
   case when n < 10000 then 'archivo demasiado pequeno' when asset_id % 7 = 0 then 'formato JPEG' when w <> 1060 or h <> 588 then w || 'x' || h || '; se esperaba 1060x588' else 'ok' end as piece from a"""
@@ -383,14 +392,14 @@ sec as (select *, coalesce(nullif(regexp_extract(v, '(?is)<article\\b[^>]*>(.*?)
   {plain_html("regexp_extract(v, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} as h1, {plain_html("regexp_extract(v, '(?is)<title[^>]*>(.*?)</title>', 1)")} as tt from vis),
 par as (select *, list_transform(regexp_extract_all(body, '(?is)<p\\b[^>]*>(.*?)</p>', 1), lambda p: {plain_html('p')}) as ps from sec)"""
 ORACLES["page_metadata"] = f"""with {PAGES},
-k as (select page_id, h1, list_filter(ps[1:25], lambda p: length(p) >= 70) as good from par),
+k as (select page_id, h1, list_filter(ps, lambda p: length(p) >= 70) as good from par),
 d as (select page_id, h1, array_to_string(list_filter(good, lambda p, i: list_position(good, p) = i)[1:2], ' ') as ex from k)
-select page_id, {cut('h1', 320)} as page_title, '' as description, {cut('ex', 1100)} as extract from d"""
+select page_id, h1 as page_title, '' as description, ex as extract from d"""
 ORACLES["page_article"] = f"""with {PAGES},
-k as (select page_id, case when h1 <> '' then h1 else tt end as t, list_filter(ps[1:35], lambda p: length(p) >= 50) as good from par),
-d as (select page_id, t, list_filter(good, lambda p, i: list_position(list_transform(good, lambda q: lower(q)), lower(p)) = i)[1:8] as kept from k)
+k as (select page_id, case when h1 <> '' then h1 else tt end as t, list_filter(ps, lambda p: length(p) >= 50) as good from par),
+d as (select page_id, t, list_filter(good, lambda p, i: list_position(list_transform(good, lambda q: lower(q)), lower(p)) = i) as kept from k)
 select page_id, t as titulo_original, '' as descripcion, array_to_string(kept[1:3], ' ') as extracto,
-  array_to_string(kept[1:5], ' || ') as parrafos, (t <> '' or len(kept) > 0) as useful from d"""
+  array_to_string(kept, ' || ') as parrafos, (t <> '' or len(kept) > 0) as useful from d"""
 _canon = "rtrim(regexp_extract(lower(regexp_extract(url, '^https?://[^/?#]*', 0)) || regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '.*'), '/')"
 ORACLES["page_context"] = f"""with {PAGES},
 t as (select page_id, {_canon} as key, case when h1 <> '' then h1 else tt end as title from par
@@ -402,6 +411,9 @@ select numero, coalesce(own, other, titulo) as titulo_original, case when own is
   case when own is not null then 'ORIGINAL_ARTICLE' when other is not null then 'ALTERNATIVE_COVERAGE' else 'RSS_FALLBACK' end as context_origin,
   case when own is null and other is null then 'PARCIAL' else 'OK' end as estado from o"""
 
+ORACLES["context_counts"] = f"""select context_origin, count(*) filter (where estado = 'OK') as ok, count(*) filter (where estado = 'PARCIAL') as partial, count(*) as total
+from ({ORACLES["page_context"]}) group by context_origin"""
+
 PARTS = """a as (select p_partkey as asset_id, p_partkey // 40 as story, 'https://cdn.example.com/' || replace(p_name, ' ', '-') || '-' || p_partkey || '.jpg' as url,
   lower(p_type || ' ' || p_name || ' ' || p_brand) as text, ['article', 'jsonld', 'og', 'twitter'][p_partkey % 4 + 1] as kind,
   300 + 40 * p_size as width, 170 + 22 * p_size as height from part)"""
@@ -505,9 +517,9 @@ news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then ''
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from articles where title <> ''),
 urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
   qualify row_number() over (partition by url order by doc_id) = 1),
-keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.story_key = n.story_key)
-  and not exists (select 1 from urlrows u where u.story_key = n.story_key and u.doc_id < n.doc_id)
-  qualify row_number() over (partition by story_key order by doc_id) = 1)
+keyrows as (select * from news n where url = '' and not exists (select 1 from kept k where k.date = '2024-01-31' and {whole('k')} = {whole('n')})
+  and not exists (select 1 from urlrows u where {whole('u')} = {whole('n')} and u.doc_id < n.doc_id)
+  qualify row_number() over (partition by {whole('n')} order by doc_id) = 1)
 select * from kept
 union all select '2024-01-31', branch, title, source, url, story_key from urlrows
 union all select '2024-01-31', branch, title, source, url, story_key from keyrows"""
@@ -574,6 +586,8 @@ assigned as (select seq as doc_id, branch, title, source, score, row_number() ov
 {_near('assigned', 'branch', 'rk')}, {_GREEDY}"""
 ORACLES["greedy_dedupe"] = f"""with recursive {_GREEDY_RANKED.replace('ROWS', 'articles')}
 select doc_id, branch as editorial_branch, score as editorial_score, norm = '' or rk in (select rk from kept) as accepted from norms"""
+ORACLES["duplicate_counts"] = f"""select editorial_branch, count(*) filter (where accepted) as kept, count(*) filter (where not accepted) as removed, count(*) as total
+from ({ORACLES["greedy_dedupe"]}) group by editorial_branch"""
 
 _EVENTS = f"list_sort(list_distinct(list_filter(list_transform(p, lambda x: {event_case('x', sd.EVENT_CLASSES)}), lambda e: e is not null)))"
 _JUDGE = f"""told as (select 'c' as side, doc_id as id, null::bigint as age, title from open union all
