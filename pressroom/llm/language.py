@@ -96,15 +96,16 @@ def text_runs(texts: list[str | None]):
 def _counts(batches):
     for batch in batches:
         texts = batch.column("_text").to_pylist()
-        found = [dict() for _ in texts]
+        keys, sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for places, own in text_runs(texts):
             bucket, owner = subwords(own)
             pair, n = np.unique(places[owner] * BUCKETS + bucket, return_counts=True)
-            for p, c in zip(pair.tolist(), n.tolist(), strict=True):
-                cell = found[p // BUCKETS]
-                cell[p % BUCKETS] = cell.get(p % BUCKETS, 0) + c
+            keys, at = np.unique(np.r_[keys, pair], return_inverse=True)  # a long text may go on in the next run
+            sizes = np.bincount(at, np.r_[sizes, n], len(keys)).astype(np.int64)
+        cuts = np.searchsorted(keys, np.arange(1, len(texts)) * BUCKETS)
+        found = [np.split(x.astype("<i4"), cuts) if len(texts) else [] for x in (keys % BUCKETS, sizes)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), batch.column("_lang"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))],
+            [batch.column("_row"), batch.column("_lang"), *(pa.array([x.tobytes() for x in own], pa.binary()) for own in found)],
             names=["_row", "_lang", "_buckets", "_n"],
         )
 
@@ -154,7 +155,10 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS, ra
             weights -= now * (hidden.T @ error)
             bias -= now * 0.1 * error.mean(axis=0)
             # a bucket's step is scaled by the number of buckets its text averages over
-            np.subtract.at(vectors, index, np.repeat(now * back * sizes[:, None] * 0.05, sizes, axis=0) * share[:, None])
+            pull = now * back * sizes[:, None] * 0.05
+            for i, at_row, n in zip(range(len(own)), starts.tolist(), sizes.tolist(), strict=True):  # a text has each bucket once
+                part = slice(at_row, at_row + n)
+                vectors[index[part]] -= share[part, None] * pull[i]
             step += 1
     logits = (vectors @ weights).astype(np.float32)
     model = Model(languages, logits, bias.astype(np.float32))
@@ -182,9 +186,9 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
         return None
     order = W.partitionBy("_lang").orderBy(F.xxhash64("_id", "_row"), "_row")
     chosen = materialize(known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max(10, sample_rows // n)).select("_row"), "sample")
-    rows = own.select("_row", "_lang", "_text").join(chosen, "_row", "left_semi").mapInArrow(_counts, "_row long, _lang string, _buckets array<int>, _n array<int>")
+    rows = own.select("_row", "_lang", "_text").join(chosen, "_row", "left_semi").mapInArrow(_counts, "_row long, _lang string, _buckets binary, _n binary")
     found = sorted(rows.collect())  # sample_rows vectors of at most BUCKETS counts
-    return fit([(r[1], np.array(r[2], np.int64), np.array(r[3], np.float64)) for r in found])
+    return fit([(r[1], np.frombuffer(r[2], "<i4").astype(np.int64), np.frombuffer(r[3], "<i4").astype(np.float64)) for r in found])
 
 
 def predict(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
