@@ -181,11 +181,15 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     """Fit on at most `sample_rows` labelled rows (of those that `learn` allows), chosen by a hash of id and row; None without any."""
     own = numbered(docs).select("_row", F.col(id).cast("string").alias("_id"), F.col(lang).cast("string").alias("_lang"), F.col(text).cast("string").alias("_text"), (learn if learn is not None else F.lit(True)).alias("_learn"))
     known = own.filter("_learn and _lang is not null").drop("_text")
-    n = known.agg(F.count_distinct("_lang")).first()[0]
+    sizes = materialize(known.groupBy("_lang").agg(F.count(F.lit(1)).alias("_all")), "languages")
+    n = sizes.count()
     if not n:
         return None
-    order = W.partitionBy("_lang").orderBy(F.xxhash64("_id", "_row"), "_row")
-    chosen = materialize(known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max(10, sample_rows // n)).select("_row"), "sample")
+    least = max(10, sample_rows // n)
+    # four times as many rows as needed are expected below the limit, so the window gets a bounded number of rows per language
+    near = known.withColumn("_place", F.xxhash64("_id", "_row")).join(sizes, "_lang").filter(F.col("_place") / 2.0**64 + 0.5 <= 4.0 * least / F.col("_all"))
+    order = W.partitionBy("_lang").orderBy("_place", "_row")
+    chosen = materialize(near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= least).select("_row"), "sample")
     rows = own.select("_row", "_lang", "_text").join(chosen, "_row", "left_semi").mapInArrow(_counts, "_row long, _lang string, _buckets binary, _n binary")
     found = sorted(rows.collect())  # sample_rows vectors of at most BUCKETS counts
     return fit([(r[1], np.frombuffer(r[2], "<i4").astype(np.int64), np.frombuffer(r[3], "<i4").astype(np.float64)) for r in found])
