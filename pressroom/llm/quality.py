@@ -56,30 +56,41 @@ def repeated_words(words: np.ndarray) -> int:
     return int(marked.sum())
 
 
+def measured_texts(texts) -> dict[str, np.ndarray]:
+    """The base numbers of each text of an Arrow string column."""
+    found = {name: np.zeros(len(texts), np.int64) for name in FEATURES}
+    for first, data, bounds in runs(texts):
+        n = len(bounds) - 1
+        starts, ends, word = word_bounds(data, bounds)
+        hashes = word_hashes(data, starts, ends)
+        points = np.r_[0, np.cumsum(~WHITE[data] & ((data & 0xC0) != 0x80))]
+        symbols = np.r_[0, np.cumsum(SYMBOLS[data])]
+        own = slice(first, first + n)
+        found["n_words"][own] = np.diff(word)
+        found["word_chars"][own] = np.diff(points[bounds])
+        found["n_symbols"][own] = np.diff(symbols[bounds])
+        raw = data.tobytes()
+        for i in range(n):
+            lines = [x for x in raw[bounds[i]:bounds[i + 1]].split(b"\n") if x and not x.isspace()]
+            found["n_dup_lines"][first + i] = len(lines) - len(set(lines))
+            found["n_repeat_words"][first + i] = repeated_words(hashes[word[i]:word[i + 1]])
+    return found
+
+
 def _features(batches):
     for batch in batches:
-        found = {name: np.zeros(batch.num_rows, np.int64) for name in FEATURES}
-        for first, data, bounds in runs(batch.column("_text")):
-            n = len(bounds) - 1
-            starts, ends, word = word_bounds(data, bounds)
-            hashes = word_hashes(data, starts, ends)
-            points = np.r_[0, np.cumsum(~WHITE[data] & ((data & 0xC0) != 0x80))]
-            symbols = np.r_[0, np.cumsum(SYMBOLS[data])]
-            own = slice(first, first + n)
-            found["n_words"][own] = np.diff(word)
-            found["word_chars"][own] = np.diff(points[bounds])
-            found["n_symbols"][own] = np.diff(symbols[bounds])
-            raw = data.tobytes()
-            for i in range(n):
-                lines = [x for x in raw[bounds[i]:bounds[i + 1]].split(b"\n") if x and not x.isspace()]
-                found["n_dup_lines"][first + i] = len(lines) - len(set(lines))
-                found["n_repeat_words"][first + i] = repeated_words(hashes[word[i]:word[i + 1]])
+        found = measured_texts(batch.column("_text"))
         yield pa.RecordBatch.from_arrays(
             [batch.column("_row"), batch.column("_id"), batch.column("_stratum"), *(pa.array(found[k]) for k in FEATURES)],
             names=["_row", "_id", "_stratum", *FEATURES],
         )
 
 
+def _struct_of_features(texts: pa.Array) -> pa.Array:
+    found = measured_texts(texts)
+    return pa.StructArray.from_arrays([pa.array(found[k]) for k in FEATURES], names=FEATURES)
+
+
 def features(docs: DataFrame, id: str = "doc_id", text: str = "text", stratum: Column | None = None) -> DataFrame:
     """_row, _id, _stratum and the base numbers of each whole text; a null text has none of anything."""
     own = numbered(docs.select(
@@ -209,8 +220,17 @@ def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     )
 
 
-def drop_bad(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of docs that judge keeps, with all their columns."""
-    kept = judge(docs, labels, **options).filter("kept").select("_row")
-    key = "_row" if "_row" not in docs.columns else "_row_of_quality"
-    return numbered(docs, key).join(kept.withColumnRenamed("_row", key), key, "left_semi").drop(key)
+def drop_bad(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str | None = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """The rows of docs that judge keeps, with all their columns.
+
+    Texts are measured a second time in the map that filters them, so that no text is shuffled to meet its verdict.
+    """
+    own = F.col(stratum) if stratum else None
+    cutoffs = calibrate(materialize(features(docs, id, text, own), "quality"), labels, risk, delta)
+    # not deterministic by name only: the filter stays above, so each text is measured once
+    measure = F.arrow_udf(_struct_of_features, "struct<" + ", ".join(f"{n}: bigint" for n in FEATURES) + ">").asNondeterministic()
+    name = own.cast("string") if own is not None else F.lit("")
+    seen = docs.select(F.struct("*").alias("_doc"), F.coalesce(name, F.lit("")).alias("_stratum"), measure(F.col(text).cast("string")).alias("_m"))
+    return seen.select("_doc", "_stratum", "_m.*").filter(
+        ~F.when(base_failed(), F.lit(True)).otherwise(F.size(rejected_by(cutoffs)) > 0)
+    ).select("_doc.*")
