@@ -19,7 +19,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.words import as_bytes, numbered
+from pressroom.llm.words import as_bytes, numbered, stored
 from pressroom.session import materialize
 
 CHAIN_BYTES = 64 << 20
@@ -118,8 +118,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket
 
     Texts are equal when identical after each run of white space is one space; null counts as empty. Of equal
     texts the row with the smallest id is kept; null ids come last, and of repeated ids the first row is
-    kept. keep_id is null if all ids of the group are. An empty table gives no rows. `docs` is a stored table
-    (see words.numbered); other columns are not read, so their names don't matter.
+    kept. keep_id is null if all ids of the group are. An empty table gives no rows. Rows are named by
+    words.numbered; other columns are not read, so their names don't matter.
     """
     own = numbered(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")))
     prepared = materialize(own.mapInArrow(_local_chains, PREPARED), "exact-data")
@@ -150,6 +150,7 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that exact_groups keeps, with all their columns."""
+    docs = stored(docs)
     kept = exact_groups(docs, id, text).filter("kept").select("_row")
     key = "_row" if "_row" not in docs.columns else "_row_of_exact"
     return numbered(docs, key).join(kept.withColumnRenamed("_row", key), key, "left_semi").drop(key)

@@ -237,7 +237,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     """One row per row of pages: _row, _id, url, text (blocks in page order joined by one space, empty if none).
 
     Null and empty pages have an empty text; a null URL is the host ''. Repeated rows are pages of their own. Very long pages are read
-    whole. An empty table gives no rows. `pages` is a stored table (see words.numbered); other columns are not read.
+    whole. An empty table gives no rows. Rows are named by words.numbered; other columns are not read.
     """
     own = numbered(pages.select(F.col(id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html")))
     seen = materialize(own.select("_row", "_url", "_html").mapInArrow(_keys, "_row long, _host string, _main long, _keys array<long>"), "html-keys")

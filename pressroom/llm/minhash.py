@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.words import mix, numbered, shingles, text_words
+from pressroom.llm.words import mix, numbered, shingles, stored, text_words
 from pressroom.session import materialize
 
 BANDS, BAND_ROWS = 36, 4
@@ -192,7 +192,7 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     sequence of a shorter text. Sets are linked at 100 * intersection >= 75 * union. component_id is the smallest id
     reachable; class_id is the smallest id with the same set. `kept` marks one row per component: the smallest id,
     null ids last, the first row of repeated ids. Null, empty and blank texts have no set, are linked with nothing and kept. An
-    empty table gives no rows. `docs` is a stored table (see words.numbered); other columns are not read.
+    empty table gives no rows. Rows are named by words.numbered; other columns are not read.
     """
     own = numbered(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")))
     seen = materialize(own.mapInArrow(_features, FEATURES), "near-features")
@@ -238,6 +238,7 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
 def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that near_groups keeps, with all their columns."""
+    docs = stored(docs)
     kept = near_groups(docs, id, text).filter("kept").select("_row")
     key = "_row" if "_row" not in docs.columns else "_row_of_near"
     return numbered(docs, key).join(kept.withColumnRenamed("_row", key), key, "left_semi").drop(key)

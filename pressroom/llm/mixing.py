@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom.operators.merge import number_rows
+from pressroom.llm.words import numbered, stored
 from pressroom.session import materialize
 
 BLOCK_WORDS = 8
@@ -93,6 +94,20 @@ def shard_quotas(shards: DataFrame, block_words: int) -> DataFrame:
     ).withColumn("_take", F.least(F.col("_blocks") * block_words, 2 * F.col("_words")))
 
 
+def with_place(sized: DataFrame) -> DataFrame:
+    """sized (_row, _same and others) with `_place`, the number of a row among those with its `_same`, from 0.
+
+    Few rows are repeated, and only those are numbered; by range of hash and row, so one row repeated many times is no hot task.
+    """
+    repeated = materialize(sized.groupBy("_same").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_same"), "mix-repeated")
+    if repeated.isEmpty():
+        return sized.withColumn("_place", F.lit(0).cast("long"))
+    ranked = materialize(number_rows(sized.select("_same", "_row").join(repeated, "_same"), [F.col("_same"), F.col("_row")], "_rank"), "mix-ranked")
+    first = ranked.groupBy("_same").agg(F.min("_rank").alias("_first"))
+    places = ranked.join(first, "_same").select("_row", (F.col("_rank") - F.col("_first")).cast("long").alias("_place"))
+    return materialize(sized.join(places, "_row", "left").fillna(0, ["_place"]), "mix-places")
+
+
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11, share: float = 1.5,
         weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per row of docs: _row, _id, source, size, source_size, target, quota_blocks, shard, taken.
@@ -100,10 +115,12 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     A shard is a ring of its documents in seeded order, cut into blocks of `block_words` words. Its quota is a run
     of whole blocks from a seeded first block on, as often round the ring as it needs; `taken` is the number of a document's
     words in that run, at most twice its size. Null texts have size 0 and are never taken; a null source is a source of
-    its own; a source whose quota is below one block may take none. Order and draws depend on seed, id and row only.
+    its own; a source whose quota is below one block may take none. Order and draws depend on seed, id, source, text and the
+    place among rows equal in these, so they are the same for every layout of the table.
     """
-    own = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id).alias("_id"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"))
-    sized = materialize(own, "mix-sizes")
+    own = numbered(docs.select(F.col(id).alias("_id"), F.col(source).cast("string").alias("source"), F.col(text).cast("string").alias("_text")))
+    same = F.xxhash64("_id", F.col("source").isNull(), "source", "_text")
+    sized = with_place(materialize(own.select("_row", "_id", "source", size_of(F.col("_text")).alias("size"), same.alias("_same")), "mix-sizes"))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     aimed = materialize(targets(sources, share, weights), "mix-targets")
     blocks = int(round((aimed.agg(F.sum("target")).first()[0] or 0.0) / block_words))
@@ -114,14 +131,14 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         }).withColumnRenamed("_seats", "_quota"),
         "mix-quotas",
     )
-    draw = F.xxhash64(F.lit(seed), F.col("_id"), F.col("_row"))
+    draw = F.xxhash64(F.lit(seed), F.col("_same"), F.col("_place"))
     few = quota.select("_source", "source_size", "target", "_quota", F.greatest("_shards", F.lit(1)).alias("_shards"))
     placed = sized.withColumns({"_source": name, "_draw": draw}).join(few, "_source")
     placed = placed.withColumn("_shard", F.pmod(F.xxhash64(F.col("_draw"), F.lit(1)), F.col("_shards")))
     placed = materialize(placed, "mix-placed")
     words = placed.groupBy("_source", "_shard").agg(F.sum("size").alias("_words")).filter("_words > 0")
     takes = shard_quotas(words.join(few.select("_source", "source_size", "_quota"), "_source"), block_words)
-    order = W.partitionBy("_source", "_shard").orderBy("_draw", "_row")
+    order = W.partitionBy("_source", "_shard").orderBy("_draw", "_same", "_place")
     ring = placed.withColumn("_end", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
     ring = ring.join(takes.select("_source", "_shard", "_blocks", "_words", "_take"), ["_source", "_shard"], "left")
     start = F.col("_end") - F.col("size")
@@ -145,9 +162,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     The first and last block of a shard's run may cut a document; such a document counts to the nearest whole copy.
     """
+    docs = stored(docs)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     taken = mix(docs, **options).filter("taken > 0").select("_row", copies.alias("_copies")).filter("_copies > 0")
     key = "_row" if "_row" not in docs.columns else "_row_of_mix"
     many = "_copies" if "_copies" not in docs.columns else "_copies_of_mix"
-    joined = docs.withColumn(key, F.monotonically_increasing_id()).join(taken.toDF(key, many), key)
+    joined = numbered(docs, key).join(taken.toDF(key, many), key)
     return joined.withColumn(many, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*docs.columns)

@@ -19,6 +19,7 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pressroom.llm.words import numbered
@@ -99,7 +100,7 @@ def tokenised(docs: DataFrame, path: str, id: str, text: str, window: int, end_i
     end = np.array([end_id], "<u4").tobytes()
 
     def made(batches):
-        full_so_far, ranks = 0, {}
+        full_so_far, ranks, part = 0, {}, TaskContext.get().partitionId()
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             for at in range(0, max(len(texts), 1), 1000):
@@ -113,7 +114,7 @@ def tokenised(docs: DataFrame, path: str, id: str, text: str, window: int, end_i
                     rank.append(ranks.get(k % window, 0))
                     ranks[k % window] = rank[-1] + 1
                 yield pa.RecordBatch.from_arrays(
-                    [own.column("_row"), own.column("_id"), pa.array([r >> 33 for r in own.column("_row").to_pylist()], pa.int64()), *(pa.array(x, pa.int64()) for x in (n, [k // window for k in n], before, [k % window for k in n], rank)), pa.array(ids, pa.binary())],
+                    [own.column("_row"), own.column("_id"), pa.array([part] * len(n), pa.int64()), *(pa.array(x, pa.int64()) for x in (n, [k // window for k in n], before, [k % window for k in n], rank)), pa.array(ids, pa.binary())],
                     names=["_row", "_id", "_part", "tokens", "_full", "_full_before", "_class", "_rank", "_ids"],
                 )
 

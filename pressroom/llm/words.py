@@ -12,7 +12,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pressroom.session import materialize
+
 RUN_BYTES = 1 << 20
+PLACE_BITS = 40
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -24,9 +27,31 @@ _STEP = np.random.default_rng(21).integers(1, 2**63, 64, dtype=np.uint64) | np.u
 _POWERS = {}
 
 
+def reads_files(df: DataFrame) -> bool:
+    """Whether df is columns and filters of one Parquet table, whose rows have a file and a place in it."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().head()
+    return node.nodeName().startswith("LogicalRelation") and node.relation().getClass().getSimpleName() == "HadoopFsRelation" and node.relation().fileFormat().toString() == "Parquet"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df where its rows can be named by file and place, else a copy of it that is written once."""
+    return df if reads_files(df) else materialize(df, "stored")
+
+
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
-    """df with a 64-bit row number. df is a stored table: reading it again gives the same numbers."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """df with a 64-bit row number: the number of the file by its path, and the row's place in the file.
+
+    Unlike numbers counted in tasks these do not depend on how a scan is split, so every scan of the same files gives the same
+    ones. Who numbers a df twice passes it through `stored` first.
+    """
+    df = stored(df)
+    found = df.select(df.metadataColumn("_metadata")["file_path"].alias("p")).distinct()
+    files = sorted(r.p for r in found.collect())  # paths, which the driver has listed for the scan as well
+    numbers = df.sparkSession.createDataFrame([(p, i << PLACE_BITS) for i, p in enumerate(files)], "_path_of_row string, _file_of_row long")
+    own = df.withColumns({"_path_of_row": df.metadataColumn("_metadata")["file_path"], name: df.metadataColumn("_metadata")["row_index"]})
+    return own.join(F.broadcast(numbers), "_path_of_row").select(*[c for c in df.columns if c != name], (F.col("_file_of_row") + F.col(name)).alias(name))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -375,3 +375,34 @@ def test_pipeline(spark, small):
     assert max(Counter(ids).values()) <= 2
     pieces = p.STAGES[-1][1](spark, docs, small).collect()
     assert {r.doc_id for r in pieces} == set(ids)
+
+
+def test_row_numbers_do_not_follow_splits(spark, docs):
+    texts = docs.select("doc_id", "text")
+    stored = materialize(texts.repartition(5), "layout")
+    assert words.reads_files(stored.filter("doc_id >= 0").select("text")) and not words.reads_files(texts.repartition(2))
+
+    def numbers(df):
+        return {r.doc_id: r._row for r in words.numbered(df.select("doc_id")).collect()}
+
+    first = numbers(stored)
+    assert len(set(first.values())) == docs.count()
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert stored.rdd.getNumPartitions() != 5 and numbers(stored) == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    shuffled = texts.repartition(3)
+    assert exact_dedup.drop_copies(shuffled).count() == exact_dedup.drop_copies(stored).count()
+
+
+def test_mix_is_the_same_for_every_layout(spark, docs, odd):
+    for df in (docs, odd):
+        def taken(n):
+            got = mixing.mix(materialize(df.repartition(n), "layout")).collect()
+            return Counter((r._id, r.source, r.size, r.taken) for r in got)
+
+        assert taken(1) == taken(7)
