@@ -14,6 +14,7 @@ of lengths, not of documents, and is broadcast.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections import deque
 
@@ -29,6 +30,8 @@ WINDOW = 1024
 END_ID = 0
 CACHE_WORDS = 800_000
 LONGEST_CACHED = 48
+LONG_TEXT = 10_000
+LONG_BLANK = re.compile(r"\s{2000}")
 _STATE = {}
 
 
@@ -39,7 +42,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 def _tokenizer(path: str):
     """An encoder with the vocabulary of a byte-level tokenizer file, whose ids are in the order of its merges.
 
-    It gives the ids of the tokenizers library (tests compare them) at several times the speed for single words.
+    It gives the ids of the tokenizers library (tests compare them) at several times the speed for single words. It knows no added
+    tokens: encode_documents finds those.
     """
     if _STATE.get("path") != path:
         import tiktoken
@@ -52,16 +56,38 @@ def _tokenizer(path: str):
             spec = json.load(f)
         special = {x["content"] for x in spec.get("added_tokens", ())}
         ranks = {bytes(as_byte[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
+        _STATE.update(library=None, added=_added(spec))
         _STATE.update(path=path, made=tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), head={}, rest={})
     return _STATE["made"]
 
 
+def _added(spec: dict) -> tuple[list[str], re.Pattern | None, dict[str, bytes]]:
+    """The file's added tokens, their pattern (None if one has options, so that only the library can find it) and their ids."""
+    tokens = [x for x in spec.get("added_tokens", ()) if x["content"]]
+    names = sorted((x["content"] for x in tokens), key=len, reverse=True)
+    plain = not any(x.get(k) for x in tokens for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    ids = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in tokens}
+    return names, re.compile("|".join(map(re.escape, names))) if names and plain else None, ids
+
+
+def _library(path: str, plain: bool):
+    """The tokenizers library's own encoder of the file; `plain` reads added tokens as text."""
+    if _STATE.get("library") is None:
+        from tokenizers import Tokenizer
+
+        _STATE["library"] = Tokenizer.from_file(path)
+    _STATE["library"].encode_special_tokens = plain
+    return _STATE["library"]
+
+
 def _ids(made, text: str) -> bytes:
+    if len(text) > LONG_TEXT and LONG_BLANK.search(text):  # the fast encoder's pattern overflows its stack on such runs
+        return np.array(_library(_STATE["path"], True).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     return array("I", made.encode_ordinary(text)).tobytes()
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers.
+    """Ids of each text as little-endian 32-bit numbers; added tokens of the file are read as text (see encode_documents).
 
     The byte-level pre-tokeniser never joins across a single space that follows no white space, so a text is the
     parts between spaces, each with its leading space, and equal parts have equal ids: they are encoded once and kept. Texts with
@@ -95,6 +121,21 @@ def encode(texts: list[str], path: str) -> list[bytes]:
     return out
 
 
+def encode_documents(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as the library gives them at its default setting: an added token of the file in a text has its own id."""
+    _tokenizer(path)
+    names, pattern, ids = _STATE["added"]
+    out = encode([t if not any(x in t for x in names) else "" for t in texts], path)
+    for i, text in enumerate(texts):
+        if any(x in text for x in names):
+            if pattern is None:
+                out[i] = np.array(_library(path, False).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                continue
+            between, found = encode(pattern.split(text), path), pattern.findall(text)
+            out[i] = b"".join(x for pair in zip(between, [*(ids[x] for x in found), b""], strict=True) for x in pair)
+    return out
+
+
 def tokenised(docs: DataFrame, path: str, id: str, text: str, window: int, end_id: int) -> DataFrame:
     """_row, _id, _part, tokens, _full (whole windows), _full_before, _class (remaining length), _rank (in part and class), _ids."""
     end = np.array([end_id], "<u4").tobytes()
@@ -105,7 +146,7 @@ def tokenised(docs: DataFrame, path: str, id: str, text: str, window: int, end_i
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             for at in range(0, max(len(texts), 1), 1000):
                 own = batch.slice(at, 1000)
-                ids = [x + end for x in encode(texts[at:at + 1000], path)]
+                ids = [x + end for x in encode_documents(texts[at:at + 1000], path)]
                 n = [len(x) // 4 for x in ids]
                 before, rank = [], []
                 for k in n:

@@ -406,3 +406,26 @@ def test_mix_is_the_same_for_every_layout(spark, docs, odd):
             return Counter((r._id, r.source, r.size, r.taken) for r in got)
 
         assert taken(1) == taken(7)
+
+
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> z ", " x  <|endoftext|>\n\n y", "<|endoftext|", "a <|ENDOFTEXT|> b",
+    " " * 2_000_000 + "x y", "a" + "\n" * 300_000 + "b", "\n " * 200_000 + "<|endoftext|>" + "\t" * 300_000, "é\u00a0" + "\u00a0" * 20_000 + "w",
+])
+def test_documents_have_the_ids_of_the_library(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.encode_documents([text, "", text], path) == [want, b"", want]
+
+
+def test_packing_of_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = materialize(spark.createDataFrame([(1, "a <|endoftext|> b"), (2, " " * 400_000 + "end")], "doc_id long, text string"), "added")
+    texts = {r._row: r.text for r in words.numbered(df.select("text")).collect()}
+    check_pieces(packing.pack(df, path).collect(), {k: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [0] for k, t in texts.items()})
