@@ -2,10 +2,10 @@
 
 Every page is read into a small element tree. Elements that say what they are (menus, footers, forms, scripts, adverts,
 comments and so on, by tag, role or class) go, and the article is taken as the main part where the page has one. Inside the main part
-every element's subtree (tags, classes and text) has a hash; Spark counts the pages of each host that hold it, and subtrees on
-many pages of a host, at least MANY and SHARE of them, are site templates and are deleted.
+every element's subtree (tags, classes and text) has a hash; Spark counts the different main parts of each host that hold it, and subtrees in
+many of them, at least MANY and SHARE of a host's, are site templates and are deleted on all pages.
 
-A page whose whole main part stands on other pages of its host as well is a copy of an article, not a template: it loses nothing.
+Pages of a host with the same main part are copies and count once, so an article under many URLs makes no template of its own text.
 Counts combine before the shuffle, so a host with a third of all pages is no hot task. Pages are read twice; between the readings only hashes
 move, and page texts are joined with the few template hashes found on them.
 """
@@ -224,13 +224,14 @@ def _texts(batches):
 
 def site_templates(seen: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
     """(_row, _gone): template keys on each page. seen: _row, _host, _main, _keys."""
-    each = seen.select("_row", "_host", F.explode("_keys").alias("_key"))
+    # keys hold the host, so equal main parts are copies on one host, with the same keys: together they count as one page
+    mains = materialize(seen.groupBy("_main").agg(F.min("_host").alias("_host"), F.first("_keys").alias("_keys")), "html-mains")
+    each = mains.select("_host", F.explode("_keys").alias("_key"))
     counts = materialize(each.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_host").alias("_host")).filter(F.col("_n") >= many), "html-counts")
-    hosts = materialize(seen.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "html-hosts")
+    hosts = materialize(mains.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "html-hosts")
     templates = materialize(counts.join(hosts, "_host").filter(F.col("_n") >= share * F.col("_pages")).select("_key"), "html-templates")
-    copied = materialize(seen.groupBy("_main").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_main"), "html-copies")
-    single = seen.select("_row", "_main", "_keys").join(copied, "_main", "left_anti").select("_row", F.explode("_keys").alias("_key"))
-    return single.join(templates, "_key").groupBy("_row").agg(F.collect_list("_key").alias("_gone"))
+    on_pages = seen.select("_row", F.explode("_keys").alias("_key"))
+    return on_pages.join(templates, "_key").groupBy("_row").agg(F.collect_list("_key").alias("_gone"))
 
 
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", many: int = MANY, share: float = SHARE) -> DataFrame:

@@ -429,3 +429,17 @@ def test_packing_of_added_tokens(spark):
     df = materialize(spark.createDataFrame([(1, "a <|endoftext|> b"), (2, " " * 400_000 + "end")], "doc_id long, text string"), "added")
     texts = {r._row: r.text for r in words.numbered(df.select("text")).collect()}
     check_pieces(packing.pack(df, path).collect(), {k: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [0] for k, t in texts.items()})
+
+
+def test_html_copies_lose_templates_and_make_none(spark):
+    def page(notice, text):
+        return f"<article><div>{notice}</div><p>{text}</p><p>more {text}</p></article>"
+
+    pages = [(i, f"http://twice.org/{i // 2}?utm={i % 2}", page("Follow us", f"own {i // 2}")) for i in range(40)]
+    pages += [(100 + i, f"http://one.org/?utm={i}", page("Note", "told once")) for i in range(30)]
+    pages += [(200 + i, f"http://one.org/{i}", page(f"Own note {i}", f"other {i}")) for i in range(5)]
+    df = materialize(spark.createDataFrame(pages, "page_id long, url string, html string"), "pages")
+    got = {r._id: r.text for r in html_text.extract(df).collect()}
+    assert all(got[i] == f"own {i // 2} more own {i // 2}" for i in range(40))
+    assert all(got[100 + i] == "Note told once more told once" for i in range(30))
+    assert all(got[200 + i] == f"Own note {i} other {i} more other {i}" for i in range(5))
