@@ -1,7 +1,7 @@
 """Main text of pages, with site templates removed by counting element subtrees.
 
 Every page is read into a small element tree. Elements that say what they are (menus, footers, forms, scripts, adverts,
-comments and so on, by tag, role or class) go, and the article is taken as the main part where the page has one. Inside the main part
+comments and so on, by tag, role or class) go, and the articles are taken as the main part where the page has any. Inside the main part
 every element's subtree (tags, classes and text) has a hash; Spark counts the different main parts of each host that hold it, and subtrees in
 many of them, at least MANY and SHARE of a host's, are site templates and are deleted on all pages.
 
@@ -24,6 +24,7 @@ from pressroom.session import materialize
 
 MANY = 10
 SHARE = 0.5
+CLEARLY = 2
 
 # HTML elements without content, those that end an open paragraph, and what closes what.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -139,24 +140,39 @@ def text_size(e: Element) -> int:
 
 
 def main_part(root: Element) -> Element:
-    """The largest article outside junk; else the main element, a content container, or the whole page."""
+    """All articles outside junk, else all main elements, all content containers, or the whole page.
+
+    Of elements in one another the outer one counts. A later kind with more than CLEARLY times the text of the kinds before it is taken
+    instead of them: then the articles are teasers.
+    """
     found: dict[str, list[Element]] = {"article": [], "main": [], "content": []}
-    todo = [root]
-    while todo:
-        e = todo.pop()
-        for x in reversed(e.parts):
-            if isinstance(x, Element) and not is_junk(x, False):
-                kind = "article" if x.tag == "article" else "main" if x.tag == "main" or x.attrs.get("role") == "main" else None
-                if kind is None and MAIN_WORDS.intersection((x.attrs.get("class", "") + " " + x.attrs.get("id", "")).lower().split()):
-                    kind = "content"
-                if kind:
-                    found[kind].append(x)
-                if kind != "article":
-                    todo.append(x)
-    for kind in ("article", "main", "content"):
-        if found[kind]:
-            return max(found[kind], key=text_size)
-    return root
+    todo = [(root, frozenset())]
+    while todo:  # elements come in page order
+        e, inside = todo.pop()
+        kind = None
+        if e is not root:
+            kind = "article" if e.tag == "article" else "main" if e.tag == "main" or e.attrs.get("role") == "main" else None
+            if kind is None and MAIN_WORDS.intersection((e.attrs.get("class", "") + " " + e.attrs.get("id", "")).lower().split()):
+                kind = "content"
+            if kind and kind not in inside:
+                found[kind].append(e)
+        if kind != "article":
+            within = inside | {kind} if kind else inside
+            todo.extend((x, within) for x in reversed(e.parts) if isinstance(x, Element) and not is_junk(x, False))
+    taken, size = root, None
+    for own in found.values():
+        if own:
+            own_size = sum(map(text_size, own))
+            if size is None or own_size > CLEARLY * size:
+                taken, size = own[0] if len(own) == 1 else joined(own), own_size
+    return taken
+
+
+def joined(elements: list[Element]) -> Element:
+    """One element that holds the given ones in page order."""
+    whole = Element("main", {})
+    whole.parts.extend(elements)
+    return whole
 
 
 def subtree_keys(main: Element, host: str) -> tuple[int, dict[int, int]]:

@@ -443,3 +443,16 @@ def test_html_copies_lose_templates_and_make_none(spark):
     assert all(got[i] == f"own {i // 2} more own {i // 2}" for i in range(40))
     assert all(got[100 + i] == "Note told once more told once" for i in range(30))
     assert all(got[200 + i] == f"Own note {i} other {i} more other {i}" for i in range(5))
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<article>one two</article><div><article>three</article></div><p>outside</p>", "one two three"),
+    ("<main><p>a long body of the page, longer than the teaser</p><article>teaser</article></main>", "a long body of the page, longer than the teaser teaser"),
+    ("<article>teaser</article><div class='entry-content'>a long body of the page</div>", "a long body of the page"),
+    ("<main>intro <article>a long text of the article</article></main>", "a long text of the article"),
+    ("<div class='content'>a<div class='content'>b</div></div><div class='story-body'>c</div>", "a b c"),
+    ("<article>a<article>b</article>c</article><nav><article>d</article></nav>", "a b c"),
+])
+def test_html_takes_all_main_parts(html, want):
+    main = html_text.main_part(html_text.read_tree(f"<html><body>{html}</body></html>"))
+    assert html_text.main_text(main, {}, frozenset()) == want
