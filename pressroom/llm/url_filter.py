@@ -71,8 +71,9 @@ def judge_urls(pages: DataFrame, id: str = "page_id", url: str = "url", rules: l
                strict: list[str] = STRICT, soft: list[str] = SOFT, soft_hits: int = SOFT_HITS) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, strict_terms and soft_terms (distinct, in order).
 
-    The longest fitting rule decides; otherwise the vocabulary does, over host and path with A-Z folded: one
-    strict term or `soft_hits` distinct soft terms block. Null and malformed URLs have empty parts and are allowed.
+    The longest fitting rule decides; otherwise the vocabulary does, over the whole URL with A-Z folded: one
+    strict term or `soft_hits` distinct soft terms block. Texts without :// have empty parts, so no rule fits, and are searched
+    as they are; null counts as empty and is allowed.
     Repeated rows are judged one by one; other columns are not read.
     """
     index = automaton(list(strict), list(soft)) if strict or soft else None
@@ -83,8 +84,8 @@ def judge_urls(pages: DataFrame, id: str = "page_id", url: str = "url", rules: l
         return pd.DataFrame({"strict_terms": [sorted(a) for a, _ in rows], "soft_terms": [sorted(b) for _, b in rows]})
 
     host, path = parts(F.col("_url"))
-    rows = pages.select(F.col(id).alias("_id"), F.col(url).cast("string").alias("_url")).select("_id", host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("_terms", terms(F.translate(F.concat("host", "path"), UPPER, LOWER)))
+    rows = pages.select(F.col(id).alias("_id"), F.col(url).cast("string").alias("_url")).select("_id", "_url", host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("_terms", terms(F.translate(F.coalesce("_url", F.lit("")), UPPER, LOWER)))
     rules = list(rules)
     bad = (F.size("_terms.strict_terms") > 0) | (F.size("_terms.soft_terms") >= soft_hits)
     verdict = F.coalesce(rule_column(F.col("host"), F.col("path"), rules, 0), F.when(bad, "block").otherwise("allow"))

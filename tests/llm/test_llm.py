@@ -456,3 +456,14 @@ def test_html_copies_lose_templates_and_make_none(spark):
 def test_html_takes_all_main_parts(html, want):
     main = html_text.main_part(html_text.read_tree(f"<html><body>{html}</body></html>"))
     assert html_text.main_text(main, {}, frozenset()) == want
+
+
+def test_url_terms_of_the_whole_url(spark):
+    urls = ["http://x.org/go?to=casino", "http://x.org/#Porn", "casino.org/x", "http://x.org/free?a=bonus", "http://x.org/free?a=freedom", "http://x.org/fr/?q=casino", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.verdict, r.strict_terms, r.soft_terms) for r in url_filter.judge_urls(df, rules=url_filter.RULES).collect()}
+    assert got == {
+        0: ("x.org", "/go", "block", ["casino"], []), 1: ("x.org", "/", "block", ["porn"], []), 2: ("", "", "block", ["casino"], []),
+        3: ("x.org", "/free", "block", [], ["bonus", "free"]), 4: ("x.org", "/free", "allow", [], ["free"]),
+        5: ("x.org", "/fr/", "allow", ["casino"], []), 6: ("", "", "allow", [], []),
+    }
