@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm import exact_dedup, html_text, language, licenses, minhash, mixing, packing, quality, suffix_dedup, url_filter
+from pressroom.llm import bpe, centroids, exact_dedup, hard_negatives, html_text, language, licenses, minhash, mixing, packing, quality, suffix_dedup, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -126,3 +126,67 @@ def op10_license_scan(spark, sf_dir) -> DataFrame:
 def op7_html_text(spark, sf_dir) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages")).select(F.col("_id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir) -> DataFrame:
+    """Hard negatives inside a window of each positive's score, for every fiftieth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0)
+
+
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+ORACLES["op11_hard_negatives"] = f"""
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+           from embeddings where label is not null and {_FINITE}),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+             list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]))::bigint as score
+      from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, row_number() over w as rank, s.id as negative_id, positive_score, s.score as negative_score
+from p join s using (anchor_id)
+where not s.same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by s.score desc, s.id)
+qualify row_number() over w <= 3
+"""
+
+
+@query
+def op12_centroids(spark, sf_dir) -> DataFrame:
+    """Exact clusters of all vectors around sixteen centroids after three rounds."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    sha = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select(F.col("_id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", sha.alias("centroid_sha256"))
+
+
+def _round_sql(i: int) -> str:
+    return f"""
+a{i} as (select vec_id, cluster, d from (select x.vec_id, c.cluster, sum((x.v - c.v) * (x.v - c.v)) as d from x join c{i} c using (dim) group by all)
+         qualify row_number() over (partition by vec_id order by d, cluster) = 1),
+m{i} as (select cluster, dim, sum(x.v) as s, count(*) as n from a{i} join x using (vec_id) group by all),
+c{i + 1} as (select c.cluster, c.dim, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.v) as v from c{i} c left join m{i} m using (cluster, dim))"""
+
+
+ORACLES["op12_centroids"] = f"""
+with k as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as e from embeddings where len(embedding) = 64 and {_FINITE}),
+f as (select row_number() over (order by sha256('1:' || vec_id)) - 1 as cluster, e from k qualify cluster < 16),
+x as (select vec_id, unnest(e) as v, unnest(range(64)) as dim from k),
+c0 as (select cluster, unnest(e) as v, unnest(range(64)) as dim from f),
+{",".join(_round_sql(i) for i in range(4))},
+h as (select cluster, sha256(string_agg(v::bigint::varchar, ',' order by dim)) as centroid_sha256 from c3 group by cluster)
+select vec_id, cluster, d::bigint as distance, (sum(d) over (partition by cluster))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia, centroid_sha256
+from a3 join h using (cluster)
+"""
+
+
+@query
+def op13_byte_bpe(spark, sf_dir) -> DataFrame:
+    """Ids of every whole text and the bytes they decode to, as checksums."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    made = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return made.select(F.col("_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
