@@ -14,18 +14,3 @@ def subsequence(a: str, b: str) -> int:
         hit = row & places.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
     return len(a) - row.bit_count()
-
-
-def token_set_ratio(a: set, b: set) -> float:
-    if not a or not b:
-        return 0.0
-    common, left, right = a & b, a - b, b - a
-    if common and (not left or not right):
-        return 100.0
-    s, x, y = (" ".join(sorted(p)) for p in (common, left, right))
-    gap = 1 if s else 0
-    one, two = len(s) + gap + len(x), len(s) + gap + len(y)
-    best = 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / (one + two)
-    for whole in (one, two) if s else ():
-        best = max(best, 100.0 - 100.0 * (whole - len(s)) / (len(s) + whole))
-    return best

@@ -90,6 +90,23 @@ def story_pairs(newer: DataFrame, older: DataFrame, classes=None, material=None,
     return judged.filter("fresh or aged").select("n", "o", "fresh", "aged", "ratio", "shared_words", "new_events")
 
 
+def batch_story_pairs(rows: DataFrame, batch: str, classes=None, material=None, hot: int = HOT) -> DataFrame:
+    """(batch, n, o): title n tells the story of title o of the same batch, by the rule of fresh stories; rows: batch, title_id.
+
+    Distinct titles are compared, so copies cost nothing; a title that repeats itself is a pair with itself.
+    """
+    titles = materialize(rows.select(batch, "title_id").filter("title_id <> ''").distinct(), "batch-titles")
+    facts = title_facts(titles.select("title_id").distinct(), classes)
+    facts = materialize(with_frequencies(facts, F.col("strong"), [], "by_word"), "facts")
+    keyed = materialize(titles.join(_keys(facts, hot), "title_id"), "batch-keys")
+    n, o = (keyed.select(batch, "key", F.col("title_id").alias(name)) for name in "no")
+    met = salted_join(n, o, [batch, "key"], F.col("n"), F.col("o")).select(batch, "n", "o").distinct()
+    columns = ("subject", "events", "named", "strong")
+    a, b = (facts.select(F.col("title_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns]) for name in "no")
+    judged = same_story(met.join(a, "n").join(b, "o"), material)
+    return judged.filter((F.size("new_events") == 0) & F.col("fresh")).select(batch, "n", "o")
+
+
 def block_repeats(candidates: DataFrame, history: DataFrame, as_of, seq: str = "hist_seq", title: str = "title",
                   url: str = "link", **lists) -> DataFrame:
     """Classify candidates against the recent history.

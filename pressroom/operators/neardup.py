@@ -11,14 +11,17 @@ over the whole input (any fixed order works; this one keeps the groups small):
 * ratio from lengths alone: the common words make up a fixed part of one title's characters, so
   one of that title's rarest words up to the rest of its characters is in the other title.
 * ratio from the remainders: both titles share a fixed number of letter pairs (each deleted
-  character breaks at most two pairs, each inserted one at most one), so their rarest pairs meet.
+  character breaks at most two pairs, each inserted one at most one). At this ratio two texts need no common word
+  and no common run of more than a few letters, so no key is selective; blocks of titles of near lengths are compared by matrix
+  products of their letter-pair profiles instead (see letter_candidates).
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom import fixed_values as fv
 from pressroom.functions import events as ev, similarity as sim, text as tx
@@ -26,6 +29,8 @@ from pressroom.operators.skew import salted_join
 from pressroom.session import materialize
 
 HOT = 1000  # a key word in more titles than this is combined with a second word
+BLOCKS, LEAST_BLOCK, MOST_BLOCK = 64, 256, 8192  # titles of a block of the letter comparison: a share of all, within bounds
+MOST_TASKS = 10_000
 
 
 def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, families=None, noise=None,
@@ -95,23 +100,13 @@ def covering_words(ordered: Column, share: float) -> Column:
     return walk["out"]
 
 
-def letter_pairs(words: Column) -> Column:
-    """All letter pairs of the blank-padded words, repeats included; independent of word order."""
-    return F.flatten(F.transform(words, lambda w: _pairs(F.concat(F.lit(" "), w, F.lit(" ")))))
-
-
-def _pairs(padded: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: padded.substr(i, F.lit(2)))
+def pair_terms(limit: float) -> tuple[float, float]:
+    """(f, r) so that texts of L1 and L2 letters with a remainders' ratio of `limit` have at least f (L1 + L2) + r letter pairs in common.
 
-
-def pair_bound(total_length: Column, limit: float) -> Column:
-    """Least number of common letter pairs when the remainders' ratio reaches `limit`.
-
-    With L1 + L2 characters the distance is at most (1 - limit) (L1 + L2), and the mean of
-    the two pair counts, (L1 + L2 + 2) / 2, shrinks by at most 1.5 per unit of distance.
+    The distance is at most (1 - limit) (L1 + L2), and the mean of the two pair counts,
+    (L1 + L2 + 2) / 2, shrinks by at most 1.5 per unit of distance.
     """
-    slack = 1.5 * (1 - limit / 100)
-    return total_length * (0.5 - slack) + 1
+    return 0.5 - 1.5 * (1 - limit / 100), 1.0
 
 
 def _ordered_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -150,72 +145,99 @@ def word_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, hot: i
     return met.unionByName(_ordered_pairs(rare, every, ids)).distinct()
 
 
-def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE) -> DataFrame:
-    """Pairs whose remainders can be alike enough letter by letter, with no common word needed."""
-    base = titles.withColumn("length", F.length(F.array_join("words", " ")))
-    spread = fuzzy / (200 - fuzzy)  # the shorter text is at least this part of the longer
-    least = F.ceil(pair_bound(F.col("length") * (1 + spread), fuzzy) - 1e-9).cast("int")
-    single = base.select("title_id", "grp", F.explode(letter_pairs(F.col("words"))).alias("token"))
-    counted = single.groupBy("title_id", "grp", "token").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    spread_of = counted.groupBy("grp", "token").agg(F.count(F.lit(1)).alias("df"))
-    # repeats are numbered, so that a set of numbered pairs stands for the pairs with multiplicity
-    places = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.pmod(F.xxhash64("token", i), F.lit(64 * WORDS)))
-    grams = (
-        counted.join(spread_of, ["grp", "token"])
-        .withColumn("places", places)
-        .groupBy("title_id")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("df", "token", "n"))).alias("by_pair"),
-            *[F.bit_or(_bitmap(F.col("places"), w)).alias(f"bits{w}") for w in range(WORDS)],
-        )
-    )
-    whole = base.select("title_id", "rank", "grp", "length", least.alias("least")).join(grams, "title_id")
-    # the rarest pairs, repeats counted, up to where fewer than `least` are left
-    walk = F.aggregate(
-        "by_pair",
-        F.struct(F.lit(0).alias("seen"), F.array().cast("array<string>").alias("out")),
-        lambda a, t: F.struct(
-            (a["seen"] + t["n"]).alias("seen"),
-            F.when(a["seen"] <= F.col("length") + 1 - F.col("least"), F.concat(a["out"], F.array(t["token"])))
-            .otherwise(a["out"]).alias("out"),
-        ),
-    )["out"]
-    # stored once: both sides of the join read it, and only the rows, not the arrays
-    side = materialize(whole.withColumn("key", F.explode_outer(walk)).drop("by_pair", "least"), "letters")
-    # lengths differ by at most the factor `spread`, so bands that wide (and a little) touch or agree
-    band = F.floor(F.log(F.col("length").cast("double")) / (-1.001 * math.log(spread)))
-    columns = ["title_id", "rank", "length", *[f"bits{w}" for w in range(WORDS)]]
-    a = side.select("grp", "key", band.alias("band"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = side.select(
-        "grp", "key", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"b_{c}") for c in columns]
-    )
-    needed = pair_bound(F.col("a_length") + F.col("b_length"), fuzzy) - 1e-9
-    near = (
-        salted_join(a, b, ["grp", "key", "band"], F.col("a_title_id"), F.col("b_title_id"))
-        .filter(F.col("a_rank") < F.col("b_rank"))
-        .filter((F.col("a_length") >= spread * F.col("b_length") - 1) & (F.col("b_length") >= spread * F.col("a_length") - 1))
-        # a bit only one side has is a pair the other side lacks
-        .filter(F.col("a_length") + 1 - _only("a", "b") >= needed)
-        .filter(F.col("b_length") + 1 - _only("b", "a") >= needed)
-    )
-    return near.select(F.col("a_title_id").alias("better"), F.col("b_title_id").alias("worse")).distinct()
-
-
-WORDS = 8  # 64-bit words of the letter-pair bitmap
+def length_blocks(titles: DataFrame, rows: int) -> DataFrame:
+    """titles (grp, length, title_id) with `block`: about `rows` titles of a group each, numbered in the order of their lengths.
 
+    A length's titles are dealt over its places by hash, so one length with a third of all titles fills many blocks.
+    """
+    cells = titles.groupBy("grp", "length").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("grp").orderBy("length")) - F.col("_n")  # a row per length
+    placed = titles.join(cells.withColumn("_start", before), ["grp", "length"])
+    return placed.withColumn("block", F.floor((F.col("_start") + F.pmod(F.xxhash64("title_id"), F.col("_n"))) / rows)).drop("_n", "_start")
+
+
+def pair_profiles(texts: list[str], dims: int) -> np.ndarray:
+    """A 0/1 row per text: its letter pairs, repeats numbered, hashed to `dims` places."""
+    padded = [f" {t} " for t in texts]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4").astype(np.uint64)
+    ends = np.cumsum([len(t) for t in padded])
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in padded])[:-1]
+    pair = (codes[:-1] << np.uint64(32)) | codes[1:]
+    inside = np.ones(len(pair), bool)
+    inside[ends[:-1] - 1] = False
+    owner, pair = owner[inside], pair[inside]
+    order = np.lexsort((pair, owner))
+    owner, pair = owner[order], pair[order]
+    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])])
+    times = np.arange(len(pair)) - np.repeat(first, np.diff(np.r_[first, len(pair)]))
+    key = (pair ^ (times.astype(np.uint64) << np.uint64(24))) * np.uint64(0x9E3779B97F4A7C15)
+    out = np.zeros((len(texts), dims), np.float32)
+    out[owner, (key >> np.uint64(40)) % np.uint64(dims)] = 1
+    return out
+
+
+def _alike(fuzzy: float, tile: int = 1024):
+    spread = fuzzy / (200 - fuzzy)
+    per_letter, rest = pair_terms(fuzzy)
+
+    def made(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Pairs of titles of two blocks whose letter pairs leave the ratio open."""
+        found = [[], []]
+        if left.num_rows and right.num_rows:
+            same = left.column("i")[0].as_py() == right.column("j")[0].as_py()
+            sides = []
+            longest = max(pc.max(t.column("length")).as_py() for t in (left, right))
+            dims = min(2048, max(256, 1 << (4 * longest).bit_length()))
+            for t in (left, right):
+                t = t.sort_by([("length", "ascending"), ("title_id", "ascending")])  # one order for a block on either side
+                length = t.column("length").to_numpy().astype(np.float32)
+                profile = pair_profiles(t.column("text").to_pylist(), dims)
+                # bits that only one side has are pairs the other lacks; `loose` is what hashing hides of a side's pairs
+                sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, profile, length + 1 - profile.sum(axis=1)))
+            (ids_a, len_a, bits_a, loose_a), (ids_b, len_b, bits_b, loose_b) = sides
+            for i in range(0, len(ids_a), tile):
+                a = slice(i, i + tile)
+                lo, hi = np.searchsorted(len_b, [spread * len_a[a][0] - 1.01, (len_a[a][-1] + 1.01) / spread])
+                for k in range(lo, hi, tile):
+                    b = slice(k, min(k + tile, hi))
+                    common = bits_a[a] @ bits_b[b].T
+                    x, y = len_a[a][:, None], len_b[b]
+                    ok = common + np.minimum(loose_a[a][:, None], loose_b[b]) >= (x + y) * per_letter + rest - 1e-3
+                    ok &= (x >= spread * y - 1.001) & (y >= spread * x - 1.001)
+                    at, to = np.nonzero(ok)
+                    if same:
+                        at, to = (z[at + i < to + k] for z in (at, to))
+                    found[0].append(ids_a[a][at])
+                    found[1].append(ids_b[b][to])
+        return pa.table([pa.array(np.concatenate(f) if f else [], pa.string()) for f in found], names=["a", "b"])
+
+    return made
+
+
+def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, block: int | None = None) -> DataFrame:
+    """Pairs (a, b) whose remainders can be alike enough letter by letter, with no common word needed.
+
+    Titles of a group are dealt to blocks in the order of their lengths, and only blocks with lengths near enough meet. Inside a task
+    a matrix product counts the common letter pairs of two blocks, and pairs that reach the bound leave it: no row is
+    made for a pair that does not, and no key is needed that every text shares.
+    """
+    text = F.array_join("words", " ")
+    base = materialize(titles.select("title_id", "grp", text.alias("text"), F.length(text).alias("length")), "letters")
+    rows = block or min(MOST_BLOCK, max(LEAST_BLOCK, base.count() // BLOCKS))
+    placed = materialize(length_blocks(base, rows), "blocks")
+    spread = fuzzy / (200 - fuzzy)  # the shorter text is at least this part of the longer
+    extent = placed.groupBy("grp", "block").agg(F.min("length").alias("lo"), F.max("length").alias("hi"))
+    i, j = extent.select("grp", F.col("block").alias("i"), "hi"), extent.select("grp", F.col("block").alias("j"), "lo")
+    meet = materialize(i.join(j, "grp").filter((F.col("i") <= F.col("j")) & (F.col("hi") >= spread * F.col("lo") - 1)).select("grp", "i", "j"), "block-pairs")
+    tasks = max(1, min(meet.count(), MOST_TASKS))
 
-def _bitmap(places: Column, word: int) -> Column:
-    mine = F.filter(places, lambda h: (h >= 64 * word) & (h < 64 * word + 64))
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(
-        mine, F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", one, (h % 64).cast("int")))
-    )
-
+    def side(own: str) -> DataFrame:
+        # columns under new ids: both sides of the cogroup come from the same tables
+        rows = placed.select(F.col("block").alias(own), *[F.col(c).alias(c) for c in ("grp", "title_id", "text", "length")])
+        return rows.join(meet.select(*[F.col(c).alias(c) for c in ("grp", "i", "j")]), ["grp", own]).repartition(tasks, "grp", "i", "j")
 
-def _only(one: str, other: str) -> Column:
-    """How many bits are set on one side only; that many pairs at least are not common."""
-    counts = [F.bit_count(F.col(f"{one}_bits{w}").bitwiseAND(F.bitwise_not(F.col(f"{other}_bits{w}")))) for w in range(WORDS)]
-    return sum(counts[1:], counts[0])
+    keys = ("grp", "i", "j")
+    return side("i").groupBy(*keys).cogroup(side("j").groupBy(*keys)).applyInArrow(_alike(fuzzy), "a string, b string")
 
 
 def with_duplicate_rule(pairs: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic: float = fv.TOPIC_DUPLICATE) -> DataFrame:
@@ -249,15 +271,17 @@ def duplicate_titles(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic
                      hot: int = HOT) -> DataFrame:
     """All pairs (better, worse) of distinct titles that are duplicates of each other."""
     stored = materialize(with_frequencies(titles, F.col("words"), ["grp"], "by_word"), "titles")
-    found = word_candidates(stored, fuzzy, hot).unionByName(letter_candidates(stored, fuzzy)).distinct()
-    facts = ("title_id", "words", "meaningful", "entities", "families")
+    by_word = word_candidates(stored, fuzzy, hot).select(F.least("better", "worse").alias("a"), F.greatest("better", "worse").alias("b"))
+    by_letter = letter_candidates(stored, fuzzy).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = by_word.unionByName(by_letter).distinct()
+    facts = ("title_id", "words", "meaningful", "entities", "families", "rank")
     a = stored.select(*[F.col(c).alias(f"a_{c}") for c in facts])
     b = stored.select(*[F.col(c).alias(f"b_{c}") for c in facts])
-    pairs = (
-        found.join(a, F.col("better") == F.col("a_title_id"))
-        .join(b, F.col("worse") == F.col("b_title_id"))
+    pairs = found.join(a, F.col("a") == F.col("a_title_id")).join(b, F.col("b") == F.col("b_title_id"))
+    first = F.col("a_rank") < F.col("b_rank")  # the rule is symmetric
+    return with_duplicate_rule(pairs, fuzzy, topic).select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("better"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("worse"),
     )
-    return with_duplicate_rule(pairs, fuzzy, topic).select("better", "worse")
 
 
 def rejected_titles(edges: DataFrame) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom import fixed_values as fv
-from pressroom.functions import urls
-from pressroom.functions.pairwise import token_set_ratio
-from pressroom.operators import history as hist
+from pressroom.functions import text as tx, urls
+from pressroom.operators import history as hist, merge
 from pressroom.operators.ranking import branch_order, top_in_group
+from pressroom.session import materialize
 
 
 def first_per_branch(rows: DataFrame, batch: str, order: list[Column], each: int = 2) -> DataFrame:
@@ -95,39 +94,53 @@ def fill_reserves(judged: DataFrame, chosen: DataFrame, candidates: DataFrame, b
     )
 
 
-# --- substitution within bounded batches -------------------------------------------------------
+# --- substitution: all batches and slots at once, in rounds ---------------------------------------
 
-FACTS = ("subject", "strong", "events", "named")
+CHUNK = 10_000
 
 
-def with_story_facts(rows: DataFrame, classes=None) -> DataFrame:
-    """Add what same-story checks inside a batch need."""
-    facts = hist.title_facts(rows.withColumn("title_id", hist.title_id(F.col("title"))), classes).drop("words")
-    return facts.withColumn("_url", urls.canonical_url(F.col("link")))
+def place_within(rows: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """Number the rows of each group 1..n by `order`; a group may span any number of tasks."""
+    numbered = materialize(merge.number_rows(rows, [F.col(c) for c in (*keys, order)], "_n"), "placed")
+    first = numbered.groupBy(*keys).agg(F.min("_n").alias("_first"))
+    return numbered.join(first, keys).withColumn(name, F.col("_n") - F.col("_first") + 1).drop("_n", "_first")
 
 
-def _repeats(new: dict, old: dict, material: set) -> bool:
-    """Does `new` tell the story of `old` of the same batch? (Undated: the rule of fresh stories.)"""
-    if not new["title"].strip() or not old["title"].strip():
-        return False
-    if new["_url"] and new["_url"] == old["_url"]:
-        return True
-    strong = len(new["strong"] & old["strong"])
-    if not strong:
-        return False
-    both = bool(new["events"] & old["events"])
-    smaller = min(len(new["subject"]), len(old["subject"]))
-    cover = len(new["subject"] & old["subject"]) / smaller if smaller else 0.0
-    same = (both and strong >= 2) or (strong >= 3 and cover >= 0.60) or (both and token_set_ratio(new["named"], old["named"]) >= 84)
-    return same and not ((new["events"] - old["events"]) & material)
+def count_before(rows: DataFrame, keys: list[str], place: str, flag: Column, name: str, chunk: int = CHUNK) -> DataFrame:
+    """Add how many rows of the group with a smaller place have the flag: counted in chunks, plus the sums of the chunks before."""
+    cut = rows.withColumns({"_chunk": F.floor((F.col(place) - 1) / chunk), "_flag": flag.cast("int")})
+    sums = cut.groupBy(*keys, "_chunk").agg(F.sum("_flag").alias("_sum"))
+    earlier = F.coalesce(F.sum("_sum").over(W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = F.coalesce(F.sum("_flag").over(W.partitionBy(*keys, "_chunk").orderBy(place).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    whole = cut.withColumn("_within", within).join(sums.select(*keys, "_chunk", earlier.alias("_earlier")), [*keys, "_chunk"])
+    return whole.withColumn(name, F.col("_within") + F.col("_earlier")).drop("_chunk", "_flag", "_within", "_earlier")
 
 
-def _records(frame: pd.DataFrame) -> list[dict]:
-    rows = frame.to_dict("records")
-    for row in rows:
-        for name in FACTS:
-            row[name] = set(row[name])
-    return rows
+def _first_conflict(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Add `first`: the earliest time at which a story was accepted that the row would repeat, by title or by URL."""
+    accepted = rows.filter("time is not null and told")
+    titles = accepted.groupBy("batch", F.col("title_id").alias("o")).agg(F.min("time").alias("_t"))
+    by_title = edges.join(titles, ["batch", "o"]).groupBy("batch", F.col("n").alias("title_id")).agg(F.min("_t").alias("_by_title"))
+    by_url = accepted.filter("url <> ''").groupBy("batch", "url").agg(F.min("time").alias("_by_url"))
+    found = rows.join(by_title, ["batch", "title_id"], "left").join(by_url, ["batch", "url"], "left")
+    return found.withColumn("first", F.when(F.col("told"), F.least("_by_title", "_by_url"))).drop("_by_title", "_by_url")
+
+
+def _round(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """One round: every row's time of acceptance anew, from the times of the round before."""
+    judged = _first_conflict(rows, edges).withColumns({"_before": F.col("time"), "_alive": F.col("alive")})
+    judged = materialize(judged, "round-judged")
+    main, spare = judged.filter("not reserve"), judged.filter("reserve")
+    free = F.col("first").isNull() | (F.col("first") >= F.col("slot"))
+    main = main.withColumn("alive", F.when(F.col("recovering"), F.col("healthy")).otherwise(~F.col("blocked") & free))
+    main = main.withColumn("time", F.when(F.col("alive"), F.when(F.col("recovering"), 0).otherwise(F.col("slot"))))
+    keys = ["batch", "branch"]
+    open_slots = count_before(main, keys, "place", ~F.col("alive"), "_turn").filter("not alive").select(*keys, "_turn", F.col("slot").alias("_slot"))
+    # a reserve's turn comes at the open slot that the fit reserves before it leave; it is fit if it repeats nothing accepted until then
+    asked = count_before(spare, keys, "place", F.col("alive"), "_turn").join(open_slots, [*keys, "_turn"], "left")
+    asked = asked.withColumn("alive", F.col("_slot").isNull() | F.col("first").isNull() | (F.col("first") >= F.col("_slot")))
+    asked = asked.withColumn("time", F.when(F.col("alive"), F.col("_slot"))).drop("_turn", "_slot")
+    return main.unionByName(asked)
 
 
 def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None,
@@ -135,76 +148,68 @@ def substitute(batches: DataFrame, batch: str, classes=None, material=None, max_
     """Replace stories that repeat the history or an accepted story by a clean reserve of the branch.
 
     Rows need seq (order in the batch), title, link, editorial_branch, reserve (bool), blocked
-    (repeats the history) and healthy (false: replace anyway, keep the healthy ones first). Output: a
+    (repeats the history) and healthy (false: replace anyway, keep the healthy ones first); null flags are false. Output: a
     row per main story: batch, slot, seq of the story placed there, status 'kept' | 'replaced' |
-    'no_reserve'. Every batch is decided on its own, in parallel, whatever its size; only where the
-    caller sets `max_rows` do larger batches come back undecided, as 'invalid_batch'. Reserves that
+    'no_reserve'. Only where the caller sets `max_rows` do larger batches come back undecided, as 'invalid_batch'. Reserves that
     `used` (batch, `id`) names were placed before and are not placed again.
+
+    The rule walks a batch slot by slot: a story is kept unless it repeats one accepted before, and an open slot takes the branch's
+    first reserve that is fit then. Which titles repeat which is a table of pairs (history.batch_story_pairs). All slots of all batches are
+    decided at once from the times of acceptance of the round before, until a round changes nothing. A decision depends on earlier times only, so
+    that state is the walk's; rounds grow with the longest chain of decisions that turn on each other, not with the rows of a batch.
     """
     if used is not None:
         placed = used.select(batch, id).distinct().withColumn("reserve", F.lit(True))
         batches = batches.join(placed, [batch, id, "reserve"], "left_anti")
-    material = set(fv.MATERIAL_EVENTS if material is None else material)
-    sizes = batches.groupBy(batch).agg(F.count(F.lit(1)).alias("_rows"))
-    sized = with_story_facts(batches, classes).join(sizes, batch)
-    fits = F.lit(True) if max_rows is None else F.col("_rows") <= max_rows
-    fit = sized.filter(fits).select(
-        F.col(batch).cast("bigint").alias("batch"), "seq", "title", "_url", "editorial_branch", "reserve", "blocked", "healthy", *FACTS
+    flag = lambda name: F.coalesce(F.col(name), F.lit(False)).alias(name)
+    rows = materialize(batches.select(
+        F.col(batch).cast("bigint").alias("batch"), F.col("seq").cast("bigint").alias("seq"), F.coalesce("editorial_branch", F.lit("\u0001")).alias("branch"),
+        flag("reserve"), flag("blocked"), flag("healthy"), hist.title_id(F.col("title")).alias("title_id"), urls.canonical_url(F.col("link")).alias("url"),
+        (tx.blank_if_null(F.col("title")) != "").alias("told"),
+    ), "batches")
+    sizes = rows.groupBy("batch").agg(F.count(F.lit(1)).alias("_rows"), F.max(~F.col("reserve") & ~F.col("healthy")).alias("recovering"))
+    if max_rows is not None:
+        undecided = rows.join(sizes.filter(F.col("_rows") > max_rows), "batch", "left_semi").filter("not reserve").select(
+            "batch", F.lit(None).cast("bigint").alias("slot"), "seq", F.lit("invalid_batch").alias("status")
+        )
+        sizes = sizes.filter(F.col("_rows") <= max_rows)
+    taking_part = rows.filter("not reserve or not blocked").join(sizes.drop("_rows"), "batch")
+    in_branch = place_within(taking_part, ["batch", "branch", "reserve"], "seq", "place")
+    main = place_within(in_branch.filter("not reserve"), ["batch"], "seq", "slot")
+    main = main.withColumn("time", F.when(~F.col("blocked"), F.col("slot")))
+    spare = in_branch.filter("reserve").withColumns({"slot": F.lit(None).cast("bigint"), "time": F.lit(None).cast("bigint")})
+    now = materialize(main.unionByName(spare).withColumn("alive", F.lit(True)), "round")
+    edges = materialize(hist.batch_story_pairs(now.filter("told"), "batch", classes, material), "conflicts")
+    while True:
+        after = materialize(_round(now, edges), "round")
+        changed = after.filter(~F.col("time").eqNullSafe(F.col("_before")) | (F.col("alive") != F.col("_alive")))
+        now = after.drop("first", "_before", "_alive")
+        if changed.isEmpty():
+            break
+    picks = now.filter("reserve and time is not null").select("batch", F.col("time").alias("slot"), F.col("seq").alias("_pick"))
+    status = F.when(F.col("alive"), "kept").when(F.col("_pick").isNotNull(), "replaced").otherwise("no_reserve")
+    decided = now.filter("not reserve").join(picks, ["batch", "slot"], "left").select(
+        "batch", "slot", F.when(F.col("alive"), F.col("seq")).otherwise(F.coalesce("_pick", "seq")).alias("seq"), status.alias("status")
     )
-
-    def decide(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = _records(frame.sort_values("seq"))
-        main = [r for r in rows if not r["reserve"]]
-        spare = [r for r in rows if r["reserve"] and not r["blocked"]]
-        accepted = [r for r in main if r["healthy"]] if any(not r["healthy"] for r in main) else []
-        recovering = bool(accepted) or any(not r["healthy"] for r in main)
-        out = []
-        for slot, row in enumerate(main, start=1):
-            if recovering and row["healthy"]:
-                out.append((slot, row["seq"], "kept"))
-                continue
-            if not recovering and not row["blocked"] and not any(_repeats(row, a, material) for a in accepted):
-                accepted.append(row)
-                out.append((slot, row["seq"], "kept"))
-                continue
-            pick = next(
-                (r for r in spare if r["editorial_branch"] == row["editorial_branch"]
-                 and not any(_repeats(r, a, material) for a in accepted)), None,
-            )
-            if pick is None:
-                out.append((slot, row["seq"], "no_reserve"))
-                continue
-            spare.remove(pick)
-            accepted.append(pick)
-            out.append((slot, pick["seq"], "replaced"))
-        result = pd.DataFrame(out, columns=["slot", "seq", "status"])
-        result.insert(0, "batch", frame["batch"].iloc[0])
-        return result
-
-    decided = fit.groupBy("batch").applyInPandas(decide, "batch bigint, slot bigint, seq bigint, status string")
-    big = sized.filter(~fits & ~F.col("reserve")).select(
-        F.col(batch).cast("bigint").alias("batch"), F.lit(None).cast("bigint").alias("slot"), "seq", F.lit("invalid_batch").alias("status")
-    )
-    return decided.unionByName(big)
+    return decided if max_rows is None else decided.unionByName(undecided)
 
 
 def batch_repeats(batches: DataFrame, batch: str, classes=None, material=None, max_rows: int | None = None) -> DataFrame:
-    """Pairs of stories of one batch, earlier against later, that still tell the same story."""
-    material = set(fv.MATERIAL_EVENTS if material is None else material)
-    sizes = batches.groupBy(batch).agg(F.count(F.lit(1)).alias("_rows"))
-    sized = with_story_facts(batches, classes).join(sizes if max_rows is None else sizes.filter(F.col("_rows") <= max_rows), batch)
-    fit = sized.select(F.col(batch).cast("bigint").alias("batch"), "seq", "title", "_url", *FACTS)
-
-    def check(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = _records(frame.sort_values("seq"))
-        found = [
-            (a["seq"], b["seq"]) for i, a in enumerate(rows) for b in rows[i + 1:] if _repeats(a, b, material)
-        ]
-        result = pd.DataFrame(found, columns=["earlier", "later"]).astype("int64")
-        result.insert(0, "batch", frame["batch"].iloc[0])
-        return result
-
-    return fit.groupBy("batch").applyInPandas(check, "batch bigint, earlier bigint, later bigint")
+    """Pairs of stories of one batch, earlier against later, that still tell the same story: by title, or by an equal URL."""
+    rows = batches.select(
+        F.col(batch).cast("bigint").alias("batch"), F.col("seq").cast("bigint").alias("seq"), hist.title_id(F.col("title")).alias("title_id"),
+        urls.canonical_url(F.col("link")).alias("url"), (tx.blank_if_null(F.col("title")) != "").alias("told"),
+    )
+    if max_rows is not None:
+        rows = rows.join(rows.groupBy("batch").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") <= max_rows), "batch", "left_semi")
+    rows = materialize(rows.filter("told"), "batches")
+    edges = materialize(hist.batch_story_pairs(rows, "batch", classes, material), "conflicts")
+    a = rows.select("batch", F.col("title_id").alias("n"), F.col("url").alias("url"), F.col("seq").alias("earlier"))
+    b = rows.select("batch", F.col("title_id").alias("o"), F.col("url").alias("url"), F.col("seq").alias("later"))
+    by_title = edges.join(a.drop("url"), ["batch", "n"]).join(b.drop("url"), ["batch", "o"])
+    by_url = a.filter("url <> ''").join(b, ["batch", "url"])
+    pairs = by_title.select("batch", "earlier", "later").unionByName(by_url.select("batch", "earlier", "later"))
+    return pairs.filter("earlier < later").distinct()
 
 
 def latest_rows(history: DataFrame, count: int = 30, seq: str = "hist_seq") -> DataFrame:
