@@ -216,9 +216,7 @@ def history_prune(spark, sf) -> DataFrame:
 @query
 def history_register(spark, sf) -> DataFrame:
     """Today's articles entered into the pruned history."""
-    news = sd.open_candidates(spark, sf).withColumn(
-        "url", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("doc:"), (F.col("doc_id") % 97).cast("string")))
-    )
+    news = sd.open_candidates(spark, sf).withColumn("url", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.regexp_extract("link", "^([^?#]*)", 1)))
     old = sd.published_history(spark, sf).withColumn("date", F.when(F.col("hist_seq") % 40 == 0, "2024-01-31").otherwise(F.col("date")))
     return hist.register(news, old, sd.AS_OF, "2024-01-31")
 
@@ -232,7 +230,7 @@ def _article_order():
 @query
 def near_dup_pairs(spark, sf) -> DataFrame:
     """Pairs of distinct article titles of a branch that are duplicates, each with its best article."""
-    titles, _ = neardup.distinct_titles(sd.articles(spark, sf), "branch", "title", _article_order(), sd.EVENT_FAMILIES)
+    titles, _ = neardup.distinct_titles(sd.page_articles(spark, sf), "branch", "title", _article_order(), sd.EVENT_FAMILIES)
     pairs = neardup.duplicate_titles(titles)
     best = titles.select("title_id", F.col("rank.doc_id").alias("doc"))
     return (
@@ -245,7 +243,7 @@ def near_dup_pairs(spark, sf) -> DataFrame:
 @query
 def greedy_dedupe(spark, sf) -> DataFrame:
     """Scored articles of each branch walked by rank; a repeat of a kept one is dropped."""
-    rows = _scored(sd.articles(spark, sf), sd.fixture_rules())
+    rows = _scored(sd.page_articles(spark, sf), sd.fixture_rules())
     order = F.struct((-F.col("editorial_score")).alias("neg"), F.col("seq"))
     kept = neardup.greedy_dedupe(rows, "editorial_branch", "title", order, families=sd.EVENT_FAMILIES)
     return kept.select("doc_id", "editorial_branch", *_long("editorial_score"), "accepted")
@@ -320,19 +318,14 @@ def batch_violations(spark, sf) -> DataFrame:
 
 
 def _batches(spark, sf):
-    """Labelled articles in batches, judged against the other documents' history."""
-    labels = sd.table(spark, sf, "labels")
-    rows = sd.scored_articles(spark, sf).join(labels, "doc_id")
-    past = sd.articles(spark, sf).join(labels.select("doc_id"), "doc_id", "left_anti").select(
-        F.col("doc_id").alias("hist_seq"), "title", F.lit("").alias("url"),
-        F.date_format(F.date_sub(F.lit("2024-01-31").cast("date"), (F.col("doc_id") % 40).cast("int")), "yyyy-MM-dd").alias("date"),
-    )
-    judged = hist.block_repeats(rows, past, sd.AS_OF, classes=sd.EVENT_CLASSES)
-    return judged.withColumns({"reserve": F.col("quality") == 0, "blocked": F.col("status") == "blocked", "healthy": F.lit(True)})
+    """Open stories in batches, judged against the published history."""
+    judged = hist.block_repeats(sd.page_batches(sd.open_candidates(spark, sf)), sd.published_history(spark, sf), sd.AS_OF, classes=sd.EVENT_CLASSES)
+    return judged.withColumns({"blocked": F.col("status") == "blocked", "healthy": F.lit(True)})
 
 
 @query
 def batch_substitute(spark, sf) -> DataFrame:
+    """Stories that repeat the history or their batch give their slot to a reserve."""
     return selection.substitute(_batches(spark, sf), "batch", sd.EVENT_CLASSES)
 
 
@@ -349,7 +342,8 @@ def asset_recover(spark, sf) -> DataFrame:
 
 @query
 def batch_pair_check(spark, sf) -> DataFrame:
-    return selection.batch_repeats(sd.scored_articles(spark, sf), "batch", sd.EVENT_CLASSES)
+    """Pairs of stories of one batch, all pages, that tell the same story."""
+    return selection.batch_repeats(sd.page_batches(sd.page_articles(spark, sf)), "batch", sd.EVENT_CLASSES)
 
 
 # --- ledger ------------------------------------------------------------------------------------
@@ -631,12 +625,10 @@ def _stream(spark, sf, name):
 
 @query
 def stream_dedupe(spark, sf) -> DataFrame:
-    """Story keys of the document stream, each once."""
-    docs = _stream(spark, sf, "documents")
-    rows = docs.select(
-        tx.merge_key(F.lit(""), F.trim(F.regexp_extract("text", r"^[.\n]*([^.\n]+)", 1)), F.col("source")).alias("key"),
-        F.lit(None).cast("timestamp").alias("published"), F.lit(sd.AS_OF).cast("timestamp").alias("arrived"),
-    )
+    """Story keys of the page stream, each once: by link, and by whole title and source for pages whose link is left out."""
+    fed = sd.page_feed(_stream(spark, sf, "pages"))
+    link = F.when(F.col("doc_id") % 3 == 0, "").otherwise(urls.canonical_url(F.col("link")))
+    rows = fed.select(tx.merge_key(link, F.col("title"), F.col("source")).alias("key"), "published", F.lit(sd.AS_OF).cast("timestamp").alias("arrived"))
     out = streams.drain(streams.dedupe_stream(rows), scratch_path(spark, "dedupe"), scratch_path(spark, "dedupe-state"))
     return out.select("key")
 
@@ -658,12 +650,9 @@ def stream_spend(spark, sf) -> DataFrame:
 
 @query
 def stream_register(spark, sf) -> DataFrame:
-    """The document stream entered into the published history."""
-    docs = _stream(spark, sf, "documents")
-    news = docs.select(
-        F.trim(F.regexp_extract("text", r"^[.\n]*([^.\n]+)", 1)).alias("title"), sd._branch().alias("branch"), "source",
-        F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("doc:"), (F.col("doc_id") % 97).cast("string"))).alias("url"), F.col("doc_id").alias("seq"),
-    )
+    """The page stream entered into the published history."""
+    fed = sd.page_feed(_stream(spark, sf, "pages"))
+    news = fed.select("title", "branch", "source", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.regexp_extract("link", "^([^?#]*)", 1)).alias("url"), "seq")
     return streams.register_stream(
         news, sd.published_history(spark, sf), scratch_path(spark, "registry"), scratch_path(spark, "registry-state"), sd.AS_OF, "2024-01-31"
     )

@@ -19,8 +19,13 @@ feed as (
 )"""
 ARTICLES = f"""
 articles as (
-  select doc_id, doc_id as seq, trim(regexp_extract(text, '^[.\n]*([^.\n]+)', 1)) as title, source, {BRANCH} as branch,
-    {PUBLISHED} as published from documents
+  select doc_id, doc_id as seq, trim(text) as title, source, {BRANCH} as branch, {PUBLISHED} as published from documents
+)"""
+PAGE_ARTICLES = f"""
+page_rows as (select page_id as doc_id, trim(regexp_extract(html, '{sd.HEADING}', 1)) as title, regexp_extract(url, '{sd.PAGE_HOST}', 1) as source,
+  regexp_extract(url, '{sd.PAGE_LANGUAGE}', 1) as lang, url as link from pages),
+articles as (select doc_id, doc_id as seq, title, source, {BRANCH} as branch, {PUBLISHED} as published, link,
+  rtrim(regexp_extract(link, '^([^?#]*)', 1), '/') as canonical from page_rows
 )"""
 
 
@@ -226,17 +231,16 @@ def whole(row: str) -> str:
     return f"trim(regexp_replace(strip_accents(lower({row}.title)), '[^a-z0-9]+', '-', 'g'), '-')"
 
 
-HISTORY = f"""{ARTICLES},
-hist as (select doc_id as hist_seq, strftime(date '2024-01-31' - (doc_id % 40)::int, '%Y-%m-%d') as date, branch, title, source,
-  case when doc_id % 2 = 0 then '' else 'doc:' || doc_id end as url,
+HISTORY = f"""{PAGE_ARTICLES},
+hist as (select doc_id as hist_seq, strftime(date '2024-01-31' - (doc_id % 40)::int, '%Y-%m-%d') as date, branch, title, source, link as url, canonical,
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key
-  from articles where doc_id in (select doc_id from labels where quality = 1)),
-open as (select * from articles where doc_id not in (select doc_id from labels where quality = 1))"""
+  from articles where not regexp_matches(link, '[?#]')),
+open as (select * from articles where regexp_matches(link, '[?#]'))"""
 ORACLES["history_prune"] = f"""with {HISTORY} select hist_seq, date, story_key from hist where date::timestamp >= timestamp '2024-01-31' - interval 30 day"""
 ORACLES["history_register"] = f"""with {HISTORY},
 old as (select * replace (case when hist_seq % 40 = 0 then '2024-01-31' else date end as date) from hist),
 kept as (select date, branch, title, source, url, story_key from old where date::timestamp >= timestamp '2024-01-31' - interval 30 day),
-news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else 'doc:' || (doc_id % 97) end as url,
+news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else regexp_extract(link, '^([^?#]*)', 1) end as url,
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from open where title <> ''),
 urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
   qualify row_number() over (partition by url order by doc_id) = 1),
@@ -505,7 +509,8 @@ from chosen c join articles a on a.doc_id = c.candidate_id"""
 
 # --- streams -------------------------------------------------------------------------------------
 
-ORACLES["stream_dedupe"] = f"""with {ARTICLES} select distinct 'title:' || lower(title) || '|source:' || lower(source) as key from articles"""
+ORACLES["stream_dedupe"] = f"""with {PAGE_ARTICLES}
+select distinct case when doc_id % 3 = 0 or canonical = '' then 'title:' || lower(title) || '|source:' || lower(source) else 'url:' || canonical end as key from articles"""
 ORACLES["stream_spend"] = """with c as (select date_trunc('day', ts) as d, case when user_id % 2 = 0 then 'gpt-5.6-terra' else 'gpt-5.6-luna' end as model,
   (floor(value * 40) * 2.0::double + floor(value * 8) * 12.0::double) / 1e6 * case when user_id % 2 = 0 then 1 else 0.1::double end as cost from events),
 s as (select d, model, count(*) as calls, sum(cost) as spent from c group by all)
@@ -513,7 +518,7 @@ select strftime(d, '%Y-%m-%d %H:%M:%S') as start, model, calls, round(spent, 6)
   case when spent >= 3.5 then 'STOP' when spent >= 2.5 then 'CRITICO' when spent >= 0.5 then 'ADVERTENCIA' else 'NORMAL' end as level from s"""
 ORACLES["stream_register"] = f"""with {HISTORY},
 kept as (select date, branch, title, source, url, story_key from hist where date::timestamp >= timestamp '2024-01-31' - interval 30 day),
-news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else 'doc:' || (doc_id % 97) end as url,
+news as (select doc_id, branch, title, source, case when doc_id % 3 = 0 then '' else regexp_extract(link, '^([^?#]*)', 1) end as url,
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key from articles where title <> ''),
 urlrows as (select * from news n where url <> '' and not exists (select 1 from kept k where k.date = '2024-01-31' and k.url = n.url)
   qualify row_number() over (partition by url order by doc_id) = 1),
@@ -570,7 +575,7 @@ allpairs as (select a.grp, a.rk as ra, b.rk as rb, a.w as wa, b.w as wb, len(lis
 dup as materialized (select grp, ra, rb from rated where ratio >= lim or (both_m and ((cm >= 4 and cm >= 0.55 * sm) or (ff and ce >= 2) or (ce >= 3 and fam))))"""
 
 
-ORACLES["near_dup_pairs"] = f"""with {ARTICLES}, {_near('articles', 'branch', 'doc_id')}
+ORACLES["near_dup_pairs"] = f"""with {PAGE_ARTICLES}, {_near('articles', 'branch', 'doc_id')}
 select ra as better_doc, rb as worse_doc from dup"""
 _GREEDY = """members as (select s.*, d.rk as best from sets s join dist d on d.grp = s.grp and d.w = s.w and d.f = s.f),
 tags as (select rk, row_number() over (order by rk) as n from dist),
@@ -580,7 +585,7 @@ walk as (select 0::bigint as n, []::bigint[] as gone union all
   from walk left join worse w on w.n = walk.n + 1 where walk.n < (select count(*) from tags)),
 final as (select unnest(gone) as n from (select gone from walk order by n desc limit 1)),
 kept as (select rk from tags where n not in (select n from final))"""
-_GREEDY_RANKED = f"""{ARTICLES}, base as (select seq, title, source, published, [branch] as cats from ROWS),
+_GREEDY_RANKED = f"""{PAGE_ARTICLES}, base as (select seq, title, source, published, [branch] as cats from ROWS),
 {score_cte(sd.fixture_rules(), 'base', 'seq, title, source, cats')},
 assigned as (select seq as doc_id, branch, title, source, score, row_number() over (order by score desc, seq) as rk from scored where list_contains(cats, branch)),
 {_near('assigned', 'branch', 'rk')}, {_GREEDY}"""
@@ -590,13 +595,17 @@ ORACLES["duplicate_counts"] = f"""select editorial_branch, count(*) filter (wher
 from ({ORACLES["greedy_dedupe"]}) group by editorial_branch"""
 
 _EVENTS = f"list_sort(list_distinct(list_filter(list_transform(p, lambda x: {event_case('x', sd.EVENT_CLASSES)}), lambda e: e is not null)))"
-_JUDGE = f"""told as (select 'c' as side, doc_id as id, null::bigint as age, title from open union all
+
+
+def judge(material) -> str:
+    """CTEs up to `verdict`: the open stories with status, reason and the matched history row."""
+    return f"""told as (select 'c' as side, doc_id as id, null::bigint as age, title from open union all
   select 'h', hist_seq, floor(epoch(timestamp '2024-01-31' - date::timestamp) / 86400)::bigint, title from hist where date::timestamp >= timestamp '2024-01-31' - interval 10 day),
 toks as (select *, list_sort(list_distinct({split(plain('title'))})) as p from told),
 feat as (select *, {SUBJECT} as sub, {_EVENTS} as ev, list_sort(list_distinct(list_transform(p, lambda x: coalesce({event_case('x', sd.EVENT_CLASSES)}, x)))) as nm from toks),
 pr as (select c.id as cid, h.id as hid, h.age, len(list_intersect(c.sub, h.sub)) as sh, least(len(c.sub), len(h.sub)) as sm, list_sort(list_intersect(c.sub, h.sub)) as shared,
   len(list_filter(list_intersect(c.sub, h.sub), lambda w: length(w) >= 5)) as st, list_has_any(c.ev, h.ev) as bo, c.nm as wa, h.nm as wb,
-  list_sort(list_intersect(list_filter(c.ev, lambda e: not list_contains(h.ev, e)), ['delay', 'cancel', 'sales', 'beta', 'announce', 'release'])) as newev
+  list_sort(list_intersect(list_filter(c.ev, lambda e: not list_contains(h.ev, e)), {words(material)})) as newev
   from feat c join feat h on c.side = 'c' and h.side = 'h' and list_has_any(c.sub, h.sub)),
 likely as (select * from pr where (bo and st >= 1) or (st >= 3 and sh >= 0.6 * sm)),
 {ratio_ctes('likely', 'wa', 'wb', 'null', 'closed', 'h_')},
@@ -604,12 +613,16 @@ same as (select * from h_rated where case when age <= 3 then (bo and ((st >= 1 a
   else bo and ((st >= 1 and ratio >= 92) or (st >= 2 and sh >= 0.55 * sm and ratio >= 78)) end),
 judged as (select cid, min(hid) filter (len(newev) = 0) as hit, arg_min(ratio, hid) filter (len(newev) = 0) as r, arg_min(shared, hid) filter (len(newev) = 0) as w,
   max(hid) filter (len(newev) > 0) as dev, arg_max(newev, hid) filter (len(newev) > 0) as de from same group by cid),
-verdict as (select o.*, case when hit is not null then 'blocked' when dev is not null then 'development' else 'kept' end as status,
-  case when hit is not null then 'misma historia | sim=' || round_even(r, 0)::int || ' | shared=' || len(w) || case when len(w) > 0 then ' | anchors=' || array_to_string(w[1:8], ', ') else '' end
-    when dev is not null then 'nuevo desarrollo fuerte: ' || array_to_string(de, ', ') end as reason, coalesce(hit, dev) as hist_seq
-  from open o left join judged j on j.cid = o.doc_id)"""
-_JUDGED_HISTORY = f"{HISTORY}, {_JUDGE}"
-_FULL = _GREEDY_RANKED.replace(f"{ARTICLES}, ", "").replace("ROWS", "clean")
+by_url as (select o.doc_id as cid, min(h.hist_seq) as url_hit from open o join hist h on o.canonical = h.canonical and h.canonical <> '' and o.title <> '' and h.title <> ''
+  where h.date::timestamp >= timestamp '2024-01-31' - interval 10 day group by o.doc_id),
+verdict as (select o.*, case when least(hit, url_hit) is not null then 'blocked' when dev is not null then 'development' else 'kept' end as status,
+  case when url_hit = least(hit, url_hit) then 'misma URL' when hit is not null then 'misma historia | sim=' || round_even(r, 0)::int || ' | shared=' || len(w) || case when len(w) > 0 then ' | anchors=' || array_to_string(w[1:8], ', ') else '' end
+    when dev is not null then 'nuevo desarrollo fuerte: ' || array_to_string(de, ', ') end as reason, coalesce(least(hit, url_hit), dev) as hist_seq
+  from open o left join judged j on j.cid = o.doc_id left join by_url u on u.cid = o.doc_id)"""
+
+
+_JUDGED_HISTORY = f"{HISTORY}, {judge(['delay', 'cancel', 'sales', 'beta', 'announce', 'release'])}"
+_FULL = _GREEDY_RANKED.replace(f"{PAGE_ARTICLES}, ", "").replace("ROWS", "clean")
 ORACLES["shortlist_deduped"] = f"""with recursive {_JUDGED_HISTORY}, clean as (select * exclude (status, reason, hist_seq) from verdict where status <> 'blocked'),
 {_FULL}, left_over as (select doc_id, doc_id as seq, branch, title, source, score from norms where norm = '' or rk in (select rk from kept)),
 {TOPK.format(src='left_over', norm=normal('source'))}
@@ -618,3 +631,45 @@ ORACLES["history_block"] = f"with {_JUDGED_HISTORY} select doc_id, status, reaso
 ORACLES["history_developments"] = f"with {_JUDGED_HISTORY} select doc_id, reason, hist_seq from verdict where status = 'development'"
 ORACLES["history_split"] = f"""with {_JUDGED_HISTORY} select v.doc_id, reason, h.date, h.title as published_title
 from verdict v join hist h using (hist_seq) where status = 'blocked'"""
+
+
+# --- batches: pairs by brute force, the walk slot by slot ------------------------------------------
+
+def _same_batch(src: str) -> str:
+    """CTE `conflicts` (n, o): story n repeats story o of its batch, by title or by URL; src: batch, doc_id, title, canonical."""
+    return f"""b_toks as (select batch, doc_id as id, list_sort(list_distinct({split(plain('title'))})) as p from {src} where title <> ''),
+b_feat as (select *, {SUBJECT} as sub, {_EVENTS} as ev, list_sort(list_distinct(list_transform(p, lambda x: coalesce({event_case('x', sd.EVENT_CLASSES)}, x)))) as nm from b_toks),
+b_pr as (select n.id as n, o.id as o, len(list_intersect(n.sub, o.sub)) as sh, least(len(n.sub), len(o.sub)) as sm, len(list_filter(list_intersect(n.sub, o.sub), lambda w: length(w) >= 5)) as st,
+  list_has_any(n.ev, o.ev) as bo, n.nm as wa, o.nm as wb, len(list_intersect(list_filter(n.ev, lambda e: not list_contains(o.ev, e)), {words(fv.MATERIAL_EVENTS)})) as newev
+  from b_feat n join b_feat o on n.batch = o.batch and n.id <> o.id and list_has_any(n.sub, o.sub)),
+{ratio_ctes('b_pr', 'wa', 'wb', 'null', 'closed', 'b_')},
+conflicts as (select n, o from b_rated where newev = 0 and ((bo and ((st >= 1 and ratio >= 84) or st >= 2)) or (st >= 3 and sh >= 0.6 * sm))
+  union select n.doc_id, o.doc_id from {src} n join {src} o on n.batch = o.batch and n.doc_id <> o.doc_id and n.canonical = o.canonical and n.canonical <> '' and n.title <> '' and o.title <> '')"""
+
+
+ORACLES["batch_pair_check"] = f"""with {PAGE_ARTICLES}, b as (select doc_id // 24 as batch, * from articles), {_same_batch('b')}
+select b.batch, n as earlier, o as later from conflicts join b on b.doc_id = n where n < o"""
+
+
+def _walk(healthy: str) -> str:
+    return f"""with recursive {HISTORY}, {judge(fv.MATERIAL_EVENTS)},
+b as (select v.doc_id // 24 as batch, v.*, regexp_matches(v.source, '^(m|blog)\\.') as reserve, v.status = 'blocked' as blocked, {healthy} as healthy from verdict v),
+{_same_batch('b')},
+os as (select b.*, (select coalesce(list(o), []) from conflicts where n = b.doc_id) as os from b),
+mains as (select *, row_number() over (partition by batch order by doc_id) as slot, bool_or(not healthy) over (partition by batch) as recovering from os where not reserve),
+spares as (select batch, branch, list({{'id': doc_id, 'os': os}} order by doc_id) as items from os where reserve and not blocked group by all),
+walk as (select batch, 0::bigint as slot, case when bool_or(recovering) then coalesce(list(doc_id) filter (healthy), []) else []::bigint[] end as accepted, []::bigint[] as used,
+    null::bigint as seq, null::varchar as status from mains group by batch
+  union all
+  select batch, slot, case when keep and recovering then accepted when keep then list_append(accepted, doc_id) when pick is not null then list_append(accepted, pick) else accepted end,
+    case when keep or pick is null then used else list_append(used, pick) end, case when keep or pick is null then doc_id else pick end,
+    case when keep then 'kept' when pick is not null then 'replaced' else 'no_reserve' end
+  from (select w.batch, m.slot, w.accepted, w.used, m.doc_id, m.recovering, case when m.recovering then m.healthy else not m.blocked and not list_has_any(m.os, w.accepted) end as keep,
+      list_filter(s.items, lambda x: not list_contains(w.used, x.id) and not list_has_any(x.os, w.accepted))[1].id as pick
+    from walk w join mains m on m.batch = w.batch and m.slot = w.slot + 1 left join spares s on s.batch = m.batch and s.branch = m.branch))
+select batch, slot, seq, status from walk where slot > 0"""
+
+
+ORACLES["batch_substitute"] = _walk("true")
+ORACLES["asset_recover"] = _walk(
+    "coalesce((select floor(p_retailprice * 21) >= 20000 and 300 + 40 * p_size >= 600 and 170 + 22 * p_size >= 338 from part where p_partkey = v.doc_id), false)")

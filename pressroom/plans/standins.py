@@ -1,14 +1,14 @@
 """The driver tables seen as feed, history, asset and ledger tables.
 
-Every row of a table takes part. Headlines are all sentences of a document's whole text; an
-article's own title is its first sentence. Dates are arithmetic on ids, so that SQL agrees.
+Every row of a table takes part. Headlines are all sentences of a document's whole text. Stories that are told apart
+by their titles are the pages: the title is the whole heading, the link the page's URL. Dates are arithmetic on ids, so that SQL agrees.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressroom.functions import text as tx
+from pressroom.functions import text as tx, urls
 
 AS_OF = "2024-01-31 00:00:00"
 BRANCH_OF_LANG = {"en": "gaming", "es": "tecnologia", "fr": "cultura_pop", "de": "cultura_pop"}
@@ -29,7 +29,7 @@ def _branch():
     return out
 
 
-def _feed_columns(df: DataFrame) -> DataFrame:
+def _feed_columns(df: DataFrame, link: Column | None = None) -> DataFrame:
     hours = F.col("doc_id") % 240
     known = F.timestamp_micros(F.unix_micros(F.lit(AS_OF).cast("timestamp")) - hours * 3_600_000_000)
     branch = _branch()
@@ -38,7 +38,7 @@ def _feed_columns(df: DataFrame) -> DataFrame:
         branch.alias("branch"),
         F.array(branch).alias("categories_seen"),
         F.when(F.col("doc_id") % 17 == 0, None).otherwise(known).alias("published"),
-        F.lit("").alias("link"),
+        (F.lit("") if link is None else link).alias("link"),
         tx.merge_key(F.lit(""), F.col("title"), F.col("source")).alias("key"),
     )
 
@@ -52,28 +52,55 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One feed row per document; its title is the first sentence."""
+    """One feed row per document, with its whole text for a title."""
     docs = table(spark, sf_dir, "documents")
-    first = F.trim(F.regexp_extract("text", r"^[.\n]*([^.\n]+)", 1))
-    return _feed_columns(docs.select("doc_id", "lang", "source", first.alias("title"), F.col("doc_id").alias("seq")))
+    return _feed_columns(docs.select("doc_id", "lang", "source", F.trim("text").alias("title"), F.col("doc_id").alias("seq")))
+
+
+HEADING = r"<h1[^>]*>(.*?)</h1>"
+PAGE_HOST = r"^https?://([^/?#]+)"
+PAGE_LANGUAGE = r"^https?://[^/?#]+/([a-z]+)/"
+
+
+def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed row per page: the whole heading as title, the host as source, the path's language as branch."""
+    return page_feed(table(spark, sf_dir, "pages"))
+
+
+def page_feed(pages: DataFrame) -> DataFrame:
+    rows = pages.select(
+        F.col("page_id").alias("doc_id"), F.col("page_id").alias("seq"), F.trim(F.regexp_extract("html", HEADING, 1)).alias("title"),
+        F.regexp_extract("url", PAGE_HOST, 1).alias("source"), F.regexp_extract("url", PAGE_LANGUAGE, 1).alias("lang"), "url",
+    )
+    fed = _feed_columns(rows, F.coalesce("url", F.lit("")))
+    return fed.withColumn("key", tx.merge_key(urls.canonical_url(F.col("link")), F.col("title"), F.col("source")))
+
+
+def _decorated():
+    """Whether a link has a query or a fragment: such pages came through a feed, the others are the site's own."""
+    return F.col("link").rlike("[?#]")
 
 
 def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents labelled as good quality, as stories published up to 40 days ago."""
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    rows = articles(spark, sf_dir).join(good, "doc_id", "left_semi")
+    """Pages under plain links, as stories published up to 40 days ago."""
+    rows = page_articles(spark, sf_dir).filter(~_decorated())
     day = F.date_format(F.date_sub(F.lit("2024-01-31").cast("date"), (F.col("doc_id") % 40).cast("int")), "yyyy-MM-dd")
-    url = F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")))
     return rows.select(
-        F.col("doc_id").alias("hist_seq"), day.alias("date"), "branch", "title", "source", url.alias("url"),
+        F.col("doc_id").alias("hist_seq"), day.alias("date"), "branch", "title", "source", F.col("link").alias("url"),
         tx.slug(F.col("title")).alias("story_key"),
     )
 
 
 def open_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles that are not part of the published history."""
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return articles(spark, sf_dir).join(good, "doc_id", "left_anti")
+    """Pages under links with a query or a fragment."""
+    return page_articles(spark, sf_dir).filter(_decorated())
+
+
+def page_batches(rows: DataFrame) -> DataFrame:
+    """Page stories in batches of 24 ids; those of mobile and blog hosts are reserves."""
+    return rows.withColumns({
+        "batch": F.floor(F.col("doc_id") / 24).cast("bigint"), "editorial_branch": F.col("branch"), "reserve": F.col("source").rlike(r"^(m|blog)\."),
+    })
 
 
 def fixture_rules():
