@@ -19,7 +19,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.words import as_bytes, numbered, stored
+from pressroom.llm.words import as_bytes, numbered, stored, unused
 from pressroom.session import materialize
 
 CHAIN_BYTES = 64 << 20
@@ -149,8 +149,11 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket
 
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that exact_groups keeps, with all their columns."""
+    """The rows of docs that exact_groups keeps, with all their columns, whatever their names.
+
+    Nulls, empty texts, equal ids and repeated rows are dealt with as exact_groups says; an empty table gives no rows.
+    """
     docs = stored(docs)
     kept = exact_groups(docs, id, text).filter("kept").select("_row")
-    key = "_row" if "_row" not in docs.columns else "_row_of_exact"
+    key = unused(docs, "_row")
     return numbered(docs, key).join(kept.withColumnRenamed("_row", key), key, "left_semi").drop(key)

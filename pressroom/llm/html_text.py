@@ -2,10 +2,11 @@
 
 Every page is read into a small element tree. Elements that say what they are (menus, footers, forms, scripts, adverts,
 comments and so on, by tag, role or class) go, and the articles are taken as the main part where the page has any. Inside the main part
-every element's subtree (tags, classes and text) has a hash; Spark counts the different main parts of each host that hold it, and subtrees in
+every element's subtree (tags, classes and text) has a hash; Spark counts the articles of each host that hold it, and subtrees in
 many of them, at least MANY and SHARE of a host's, are site templates and are deleted on all pages.
 
-Pages of a host with the same main part are copies and count once, so an article under many URLs makes no template of its own text.
+Pages of a host whose longest block of text is the same are one article and count once, so neither an article under many URLs nor its
+edited copies make a template of its text.
 Counts combine before the shuffle, so a host with a third of all pages is no hot task. Pages are read twice; between the readings only hashes
 move, and page texts are joined with the few template hashes found on them.
 """
@@ -23,8 +24,9 @@ from pressroom.llm.words import numbered
 from pressroom.session import materialize
 
 MANY = 10
-SHARE = 0.5
+SHARE = 0.1
 CLEARLY = 2
+MOST = 0.8
 
 # HTML elements without content, those that end an open paragraph, and what closes what.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,11 +39,12 @@ CLOSES = {
     "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody"),
 }
 SCOPE = frozenset("ul ol dl table menu article section div body html td th".split())
+LISTS = frozenset("ul ol dl table menu select".split())
 
 # Elements, roles and class words that are not part of an article.
 JUNK_TAGS = frozenset(
-    "script style noscript template nav footer aside form button select textarea iframe object svg canvas dialog menu head title "
-    "datalist audio video map".split()
+    "script style noscript template nav footer aside button select textarea iframe object svg canvas dialog menu head title "
+    "datalist audio video map label".split()
 )
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 JUNK_WORDS = frozenset(
@@ -51,41 +54,60 @@ JUNK_WORDS = frozenset(
 )
 JUNK_NAMES = frozenset("header site-header page-header top-header siteheader pageheader topbar top-bar".split())
 MAIN_WORDS = frozenset("article-body article-content entry-content post-content post-body main-content story-body content".split())
-WORD = re.compile(r"[A-Za-z0-9]+")
+# First words of class names that state a layout, a state or a topic of an element, not what it is.
+LAYOUT_WORDS = frozenset("no not has have with without is hide hidden show enable enabled disable disabled single category tag topic section type format status lang".split())
+PARTS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parts")
+    """size: characters of text outside JUNK_TAGS; kept: it holds the page's main text, whatever its names."""
+
+    __slots__ = ("tag", "attrs", "parts", "size", "kept")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.parts = tag, attrs, []
+        self.tag, self.attrs, self.parts, self.size, self.kept = tag, attrs, [], 0, False
 
 
 class TreeReader(HTMLParser):
-    """Elements and texts of a page; unclosed elements end where HTML lets them end."""
+    """Elements and texts of a page; unclosed elements end where HTML lets them end.
+
+    The places of open elements are kept by tag, so that no tag walks over all open ones.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close_from(self, place: int) -> None:
+        for e in self.open[place:]:
+            self.places[e.tag].pop()
+            if e.tag in BLOCK:
+                self.blocks.pop()
+        del self.open[place:]
 
     def close_to(self, tags: tuple[str, ...], scope: frozenset[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in tags:
-                del self.open[i:]
-                return
-            if tag in scope:
-                return
+        place = self.last(tags)
+        if place and place >= self.last(scope):
+            self.close_from(place)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.close_to(("p",), SCOPE)
         if tag in CLOSES:
-            self.close_to(CLOSES[tag], frozenset("ul ol dl table menu select".split()))
+            self.close_to(CLOSES[tag], LISTS)
         made = Element(tag, {k: v or "" for k, v in attrs})
         self.open[-1].parts.append(made)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
+            if tag in BLOCK:
+                self.blocks.append(len(self.open))
             self.open.append(made)
 
     def handle_startendtag(self, tag, attrs):
@@ -94,13 +116,9 @@ class TreeReader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            own = self.open[i].tag
-            if own == tag:
-                del self.open[i:]
-                return
-            if own in BLOCK and tag not in BLOCK:
-                return
+        place = self.last((tag,))
+        if place and (tag in BLOCK or not self.blocks or self.blocks[-1] <= place):
+            self.close_from(place)
 
     def handle_data(self, data):
         self.open[-1].parts.append(data)
@@ -110,23 +128,63 @@ def read_tree(html: str) -> Element:
     reader = TreeReader()
     reader.feed(html)
     reader.close()
+    mark_kept(reader.root)
     return reader.root
 
 
-def is_junk(e: Element, in_main: bool) -> bool:
-    if e.tag in JUNK_TAGS or (e.tag == "header" and not in_main) or "hidden" in e.attrs:
-        return True
-    if e.tag in ("html", "body", "main"):
-        return False
-    if e.attrs.get("role", "").lower() in JUNK_ROLES:
+def is_core(e: Element) -> bool:
+    return e.tag in ("article", "main") or e.attrs.get("role") == "main" or bool(MAIN_WORDS.intersection(f"{e.attrs.get('class', '')} {e.attrs.get('id', '')}".lower().split()))
+
+
+def mark_kept(root: Element) -> None:
+    """Text sizes of all elements, and the elements around and at the page's largest article, main part or content container as kept.
+
+    Elements that call themselves junk are taken for it last. On a page without such an element those with MOST of its text are kept.
+    """
+    stack, order, above = [(root, None, False)], [], {}
+    while stack:
+        e, parent, named = stack.pop()
+        if e.tag in JUNK_TAGS:
+            continue
+        above[id(e)] = parent
+        named = named or names_junk(e)
+        order.append((e, parent, named))
+        e.size = sum(len(x.strip()) for x in e.parts if isinstance(x, str))
+        stack.extend((x, e, named) for x in e.parts if isinstance(x, Element))
+    for e, parent, _ in reversed(order):
+        if parent is not None:
+            parent.size += e.size
+    cores = [(not named, e.size, e) for e, parent, named in order if parent is not None and e.size and is_core(e)]
+    if cores:
+        e = max(cores, key=lambda c: c[:2])[2]
+        while e is not None:
+            e.kept = True
+            e = above[id(e)]
+    else:
+        for e, _, _ in order:
+            e.kept = e.size > MOST * root.size
+
+
+def names_junk(e: Element) -> bool:
+    """Whether the element's role, or the first or last word of one of its class names or its id, says that it is no part of an article."""
+    if e.attrs.get("role", "").lower() in JUNK_ROLES or e.tag == "form":
         return True
     for name in ("class", "id"):
-        value = e.attrs.get(name, "").lower()
-        if value and (JUNK_WORDS.intersection(WORD.findall(value)) or JUNK_NAMES.intersection(value.split())):
-            return True
+        for value in e.attrs.get(name, "").split():
+            parts = [x.lower() for x in PARTS.findall(value)]
+            if value.lower() in JUNK_NAMES or (parts and parts[0] not in LAYOUT_WORDS and (parts[0] in JUNK_WORDS or parts[-1] in JUNK_WORDS)):
+                return True
     return False
 
 
+def is_junk(e: Element, in_main: bool) -> bool:
+    if e.kept:
+        return False
+    if e.tag in JUNK_TAGS or (e.tag == "header" and not in_main) or "hidden" in e.attrs:
+        return True
+    return e.tag not in ("html", "body", "main") and names_junk(e)
+
+
 def text_size(e: Element) -> int:
     size, todo = 0, [e]
     while todo:
@@ -191,6 +249,18 @@ def subtree_keys(main: Element, host: str) -> tuple[int, dict[int, int]]:
     return keys[id(main)], keys
 
 
+def longest_block(main: Element, keys: dict[int, int]) -> int:
+    """Key of the block element with the most text of its own, inline elements included; the first of several."""
+    sizes: dict[int, int] = {}
+    todo = [(main, main)]
+    while todo:
+        e, block = todo.pop()
+        block = e if e.tag in BLOCK else block
+        sizes[id(block)] = sizes.get(id(block), 0) + sum(len(x.strip()) for x in e.parts if isinstance(x, str))
+        todo.extend((x, block) for x in reversed(e.parts) if isinstance(x, Element) and id(x) in keys)
+    return keys[max(sizes, key=sizes.get)]
+
+
 def main_text(main: Element, keys: dict[int, int], templates: frozenset[int]) -> str:
     out, stack = [], [main]
     while stack:
@@ -214,17 +284,18 @@ def host_of(url: str | None) -> str:
 
 def _keys(batches):
     for batch in batches:
-        hosts, mains, inner = [], [], []
+        out = [[], [], [], []]
         for url, html in zip(batch.column("_url").to_pylist(), batch.column("_html").to_pylist(), strict=True):
             host = host_of(url)
             main = main_part(read_tree(html or ""))
             own, keys = subtree_keys(main, host)
+            lead = longest_block(main, keys)
             keys.pop(id(main))
-            hosts.append(host)
-            mains.append(own)
-            inner.append(list(set(keys.values())))
+            for column, value in zip(out, (host, own, lead, list(set(keys.values()))), strict=True):
+                column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), pa.array(hosts, pa.string()), pa.array(mains, pa.int64()), pa.array(inner, pa.list_(pa.int64()))], names=["_row", "_host", "_main", "_keys"],
+            [batch.column("_row"), *(pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True))],
+            names=["_row", "_host", "_main", "_lead", "_keys"],
         )
 
 
@@ -239,12 +310,13 @@ def _texts(batches):
 
 
 def site_templates(seen: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
-    """(_row, _gone): template keys on each page. seen: _row, _host, _main, _keys."""
-    # keys hold the host, so equal main parts are copies on one host, with the same keys: together they count as one page
-    mains = materialize(seen.groupBy("_main").agg(F.min("_host").alias("_host"), F.first("_keys").alias("_keys")), "html-mains")
-    each = mains.select("_host", F.explode("_keys").alias("_key"))
+    """(_row, _gone): template keys on each page. seen: _row, _host, _main, _lead, _keys."""
+    # keys hold the host, so equal main parts are copies on one host, with the same keys
+    mains = materialize(seen.groupBy("_main").agg(F.min("_host").alias("_host"), F.first("_lead").alias("_lead"), F.first("_keys").alias("_keys")), "html-mains")
+    # copies with other edits have the same longest block: together they count as one page
+    each = mains.select("_host", "_lead", F.explode("_keys").alias("_key")).groupBy("_key", "_lead").agg(F.min("_host").alias("_host"))
     counts = materialize(each.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_host").alias("_host")).filter(F.col("_n") >= many), "html-counts")
-    hosts = materialize(mains.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "html-hosts")
+    hosts = materialize(mains.groupBy("_host", "_lead").agg(F.lit(1).alias("_one")).groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "html-hosts")
     templates = materialize(counts.join(hosts, "_host").filter(F.col("_n") >= share * F.col("_pages")).select("_key"), "html-templates")
     on_pages = seen.select("_row", F.explode("_keys").alias("_key"))
     return on_pages.join(templates, "_key").groupBy("_row").agg(F.collect_list("_key").alias("_gone"))
@@ -257,6 +329,6 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     whole. An empty table gives no rows. Rows are named by words.numbered; other columns are not read.
     """
     own = numbered(pages.select(F.col(id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html")))
-    seen = materialize(own.select("_row", "_url", "_html").mapInArrow(_keys, "_row long, _host string, _main long, _keys array<long>"), "html-keys")
+    seen = materialize(own.select("_row", "_url", "_html").mapInArrow(_keys, "_row long, _host string, _main long, _lead long, _keys array<long>"), "html-keys")
     gone = materialize(site_templates(seen, many, share), "html-gone")
     return own.join(gone, "_row", "left").mapInArrow(_texts, "_row long, _id long, url string, text string")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.words import mix, numbered, shingles, stored, text_words
+from pressroom.llm.words import mix, numbered, shingles, stored, text_words, unused
 from pressroom.session import materialize
 
 BANDS, BAND_ROWS = 36, 4
@@ -237,8 +237,11 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
 
 def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that near_groups keeps, with all their columns."""
+    """The rows of docs that near_groups keeps, with all their columns, whatever their names.
+
+    Nulls, texts without words, equal ids and repeated rows are dealt with as near_groups says; an empty table gives no rows.
+    """
     docs = stored(docs)
     kept = near_groups(docs, id, text).filter("kept").select("_row")
-    key = "_row" if "_row" not in docs.columns else "_row_of_near"
+    key = unused(docs, "_row")
     return numbered(docs, key).join(kept.withColumnRenamed("_row", key), key, "left_semi").drop(key)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom.operators.merge import number_rows
-from pressroom.llm.words import numbered, stored
+from pressroom.llm.words import numbered, stored, unused
 from pressroom.session import materialize
 
 BLOCK_WORDS = 8
@@ -160,12 +160,12 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """docs as the mix takes them, with all their columns: each row as often as its taken words make whole copies.
 
-    The first and last block of a shard's run may cut a document; such a document counts to the nearest whole copy.
+    The first and last block of a shard's run may cut a document; such a document counts to the nearest whole copy. Documents without
+    words have no size and are not taken; repeated rows are drawn one by one, whatever the names of other columns; an empty table gives no rows.
     """
     docs = stored(docs)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     taken = mix(docs, **options).filter("taken > 0").select("_row", copies.alias("_copies")).filter("_copies > 0")
-    key = "_row" if "_row" not in docs.columns else "_row_of_mix"
-    many = "_copies" if "_copies" not in docs.columns else "_copies_of_mix"
+    key, many = unused(docs, "_row"), unused(docs, "_copies")
     joined = numbered(docs, key).join(taken.toDF(key, many), key)
-    return joined.withColumn(many, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*docs.columns)
+    return joined.withColumn(many, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,12 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom.session import materialize
 
 RUN_BYTES = 1 << 20
-PLACE_BITS = 40
+SEEDS = 100
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -40,18 +40,32 @@ def stored(df: DataFrame) -> DataFrame:
     return df if reads_files(df) else materialize(df, "stored")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
-    """df with a 64-bit row number: the number of the file by its path, and the row's place in the file.
+    """df with a 64-bit row number, never negative: a hash of the file's path, and the row's place in the file below it.
 
     Unlike numbers counted in tasks these do not depend on how a scan is split, so every scan of the same files gives the same
-    ones. Who numbers a df twice passes it through `stored` first.
+    ones. The place takes as many bits as the longest file needs and the hash the others; one look at the paths and places, no other column,
+    finds a seed with which no two files agree. Who numbers a df twice passes it through `stored` first.
     """
     df = stored(df)
-    found = df.select(df.metadataColumn("_metadata")["file_path"].alias("p")).distinct()
-    files = sorted(r.p for r in found.collect())  # paths, which the driver has listed for the scan as well
-    numbers = df.sparkSession.createDataFrame([(p, i << PLACE_BITS) for i, p in enumerate(files)], "_path_of_row string, _file_of_row long")
-    own = df.withColumns({"_path_of_row": df.metadataColumn("_metadata")["file_path"], name: df.metadataColumn("_metadata")["row_index"]})
-    return own.join(F.broadcast(numbers), "_path_of_row").select(*[c for c in df.columns if c != name], (F.col("_file_of_row") + F.col(name)).alias(name))
+    path, place = (df.metadataColumn("_metadata")[c] for c in ("file_path", "row_index"))
+    files = materialize(df.select(path.alias("p"), place.alias("i")).groupBy("p").agg(F.max("i").alias("i")), "files")  # a row per file
+    n, longest = files.agg(F.count(F.lit(1)), F.coalesce(F.max("i"), F.lit(0))).first()
+    bits = max(1, longest.bit_length())
+
+    def high(column: Column, seed: int) -> Column:
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64(column, F.lit(seed)), bits + 1), bits)
+
+    seed = next(s for s in range(SEEDS) if files.select(high(F.col("p"), s).alias("h")).distinct().count() == n)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != name], high(path, seed).bitwiseOR(place).alias(name))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

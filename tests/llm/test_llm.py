@@ -272,12 +272,12 @@ PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header>Sit
 
 
 def test_html(spark):
-    pages = [(i, f"http://h{i % 2}.org/{i}", PAGE % ("Follow us", f"own text {i}")) for i in range(40)]
+    pages = [(i, f"http://h{i % 2}.org/{i}", PAGE % ("Follow us", f"own text {i} of this page")) for i in range(40)]
     pages += [(100, None, None), (101, "x", ""), (102, "http://h9.org/", "<p>plain <script>var t='</p>';</script>text"), (103, "http://h9.org", "<main>a<aside>b</aside></main>")]
     pages += [(i, "http://copies.org/", PAGE % ("Same", "same text")) for i in range(200, 230)]
     df = materialize(spark.createDataFrame(pages, "page_id long, url string, html string"), "pages")
     got = {r._id: r.text for r in html_text.extract(df).collect()}
-    assert got[3] == "own text 3"  # the other blocks stand on all pages of the host
+    assert got[3] == "own text 3 of this page"  # the other blocks stand on all pages of the host
     assert got[100] == got[101] == "" and got[102] == "plain text" and got[103] == "a"
     assert got[200] == "Head & tail One two three four Same same text"
     assert html_text.extract(df.limit(0)).count() == 0
@@ -467,3 +467,126 @@ def test_url_terms_of_the_whole_url(spark):
         3: ("x.org", "/free", "block", [], ["bonus", "free"]), 4: ("x.org", "/free", "allow", [], ["free"]),
         5: ("x.org", "/fr/", "allow", ["casino"], []), 6: ("", "", "allow", [], []),
     }
+
+
+@pytest.mark.parametrize("html", [
+    '<article class="post no-comments"><p>Text of it.</p></article>', '<div class="has-sidebar"><main><p>Text of it.</p></main></div>',
+    '<form id="aspnetForm"><input><article><p>Text of it.</p></article><button>Go</button></form>', '<div class="category-social"><p>Text of it.</p></div>',
+    '<div class="sidebar-layout"><article><p>Text of it.</p></article><div class="sidebar">Links</div></div>', '<article class="sponsored"><p>Text of it.</p></article>',
+    '<form><label>Find</label><input><div><p>Text of it.</p></div></form>', '<article><p>Text of it.</p></article><div class="comments-area"><article><p>me too, and much longer than the text</p></article></div>',
+    '<article><p>Text of it.</p></article><div class="related"><article class="teaser"><p>More</p></article></div>', '<div id="cookieBanner">We use</div><div><p>Text of it.</p></div>',
+])
+def test_html_names_do_not_lose_the_text(html):
+    main = html_text.main_part(html_text.read_tree(f"<html><body>{html}</body></html>"))
+    assert html_text.main_text(main, {}, frozenset()) == "Text of it."
+
+
+def test_html_reader_is_linear():
+    import time
+
+    for html in ("<div>" * 20_000 + "</section>" * 20_000, "<p><table>" + "<b>" * 20_000 + "<li>" * 20_000, "<p><div>" + "<b>" * 20_000 + "<li></p>" * 20_000, "<b></i>" * 20_000):
+        start = time.perf_counter()
+        html_text.read_tree(html + "text")
+        assert time.perf_counter() - start < 2
+
+
+def test_html_shared_paragraphs_stay_and_notices_go(spark):
+    """Planted templates on hosts of 200 pages; a long passage on twelve pages, and edited copies of an article."""
+    notice, passage = "<p>Subscribe to our letter today.</p>", "<p>" + "a passage that twelve pages of this host have in common " * 3 + "</p>"
+    body = lambda i: "".join(f"<p>{' '.join(f'w{i}x{k}x{j}' for j in range(12))}</p>" for k in range(3))
+    made, want = [], {}
+    for i in range(200):
+        planted = {"site": notice if i % 10 == 0 else "", "news": passage if i % 17 == 0 else ""}
+        for host, extra in planted.items():
+            made.append((len(made), f"http://{host}.org/{i}", f"<article><h1>Head {i}</h1>{body(i)}{extra}</article>"))
+            want[len(made) - 1] = (bool(extra), host)
+    copies = [(1000 + i, f"http://copies.org/{i}", f"<article>{body(7)}{passage}<p>own {i}</p></article>") for i in range(12)]
+    df = materialize(spark.createDataFrame(made + copies, "page_id long, url string, html string"), "planted")
+    got = {r._id: r.text for r in html_text.extract(df).collect()}
+    notices = [i for i, (there, host) in want.items() if there and host == "site"]
+    assert len(notices) == 20 and not any("Subscribe" in got[i] for i in notices)
+    assert all("a passage" in got[i] for i, (there, host) in want.items() if there and host == "news")
+    assert all("a passage" in got[1000 + i] and f"own {i}" in got[1000 + i] and "w7x0x0" in got[1000 + i] for i in range(12))
+    assert all(len(got[i].split()) >= 38 for i in want)  # no article loses a paragraph
+
+
+@pytest.mark.parametrize("parts", [1, 2, 8, 50])
+def test_repeats_do_not_depend_on_partitions(spark, parts):
+    passage = " ".join(f"p{i}" for i in range(60))
+    many = " ".join(f"{passage} a{i}" for i in range(200))
+    df = materialize(spark.createDataFrame([(1, many), (2, f"x y {passage} z")], "doc_id long, text string"), "two")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = suffix_dedup.spans(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r.n_words for r in got if r._id == 1) == 12_000 and len([r for r in got if r._id == 1]) == 200
+    assert [(r.start_word, r.n_words) for r in got if r._id == 2] == [(2, 60)]
+
+
+def repeated_words(texts, least):
+    """Numbers of the words inside a run of `least` words that another text has too, by text."""
+    where = defaultdict(set)
+    for k, t in texts.items():
+        w = WORD.findall(t or "")
+        for i in range(len(w) - least + 1):
+            where[tuple(w[i:i + least])].add((k, i))
+    out = defaultdict(set)
+    for own in where.values():
+        if len({k for k, _ in own}) > 1:
+            for k, i in own:
+                out[k].update(range(i, i + least))
+    return out
+
+
+@pytest.mark.parametrize("parts", [3, 40])
+def test_repeats_equal_brute_force(spark, docs, parts):
+    """The query on all documents, whatever the number of partitions; every repeated word is found and none else."""
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = QUERIES["op1_suffix_dedup"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = defaultdict(set)
+    for r in got:
+        found[r.doc_id].update(range(r.start_word, r.start_word + r.n_words))
+    assert dict(found) == dict(repeated_words(texts, suffix_dedup.LEAST))
+
+
+def test_cut_repeats_keeps_the_first(spark, odd, empty):
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = {1: f"a b {passage} c", 2: f"{passage}", 3: f"d {passage} e {passage} f", 4: "none", 5: "", 6: None}
+    rows_ = [(k, t, "path", 9, "file", 1.5) for k, t in texts.items()] + [(None, f"late {passage}", "path", 9, "file", 1.5)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, _path_of_row string, _row long, _cuts string, _id double").coalesce(2)
+    out = suffix_dedup.cut_repeats(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert {k: " ".join((r.text or "").split()) for k, r in got.items()} == {1: f"a b {passage} c", 2: "", 3: "d e f", 4: "none", 5: "", 6: "", None: "late"}
+    assert got[6].text is None and all((r._path_of_row, r._row, r._cuts, r._id) == ("path", 9, "file", 1.5) for r in got.values())
+    assert suffix_dedup.cut_repeats(odd).columns == odd.columns and suffix_dedup.cut_repeats(empty).count() == 0
+    cut = {(r.doc_id, r.text) for r in suffix_dedup.cut_repeats(odd).filter("doc_id in (7, 8)").collect()}
+    assert cut == {(7, FISH), (8, "")} or {t.strip() for k, t in cut if k == 8} == {""}
+
+
+CLASHES = "_path_of_row string, _file_of_row string, _row string, _row_of_near string, _row_of_mix string, _copies string, _metadata string, p string, `a.b` string"
+
+
+@pytest.mark.parametrize("stage", ["quality_rules", "exact_copies", "near_copies", "source_mix", "packed"])
+def test_stages_take_any_columns(spark, small, stage):
+    """Nulls, repeated rows and clashing names come back unchanged; an empty table gives no rows."""
+    import corpus_pipeline
+
+    names = [c.strip().split(" ")[0].strip("`") for c in CLASHES.split(",")]
+    rows_ = [(*r[:5], *names) for r in ODD]
+    df = materialize(spark.createDataFrame(rows_, f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"), "clash")
+    call = dict(corpus_pipeline.STAGES)[stage]
+    out = call(spark, df, small)
+    if stage != "packed":
+        assert out.columns == df.columns
+        got = [tuple(r) for r in out.collect()]
+        assert all(r[5:] == tuple(names) for r in got) and {r[:5] for r in got} <= {r[:5] for r in rows_}
+        assert got or stage == "quality_rules"
+    assert call(spark, df.limit(0), small).count() == 0
