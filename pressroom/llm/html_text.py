@@ -24,7 +24,7 @@ from pressroom.llm.words import numbered
 from pressroom.session import materialize
 
 MANY = 10
-SHARE = 0.1
+SHARE = 0.5
 CLEARLY = 2
 MOST = 0.8
 
