@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, functions as F
 
 from pressroom import fixed_values as fv
+from pressroom.functions import text as tx
 
 HOUR = 3_600_000_000
 
@@ -89,3 +90,9 @@ def card_date(moment: Column, zone: str = fv.LOCAL_ZONE) -> Column:
     return F.concat_ws(
         " ", F.date_format(local, "dd"), F.element_at(months, F.month(local)), F.date_format(local, "yyyy")
     )
+
+
+def cover_date(shown: Column, moment: Column, zone: str = fv.LOCAL_ZONE) -> Column:
+    """The date on a cover: the first story's own, in capitals, else the card date of the moment."""
+    own = tx.blank_if_null(shown)
+    return F.when(own != "", F.upper(own)).otherwise(card_date(moment, zone))

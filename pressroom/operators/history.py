@@ -149,7 +149,9 @@ def block_repeats(candidates: DataFrame, history: DataFrame, as_of, seq: str = "
         F.max_by("new_events", F.when(~blocks, F.col("last_seq"))).alias("_dev"),
     )
     by_url = old.filter("old_url <> ''").groupBy(F.col("old_url").alias("_url")).agg(F.min(seq).alias("_url_seq"))
-    out = rows.join(per_title, "title_id", "left").join(by_url, "_url", "left")
+    row = F.monotonically_increasing_id()
+    out = salted_join(rows.withColumn("_place", row), per_title, ["title_id"], F.col("_place"), F.col("title_id"), how="left")
+    out = salted_join(out, by_url, ["_url"], F.col("_place"), F.col("_url"), how="left")
     url_seq = F.when(F.col("_told"), F.col("_url_seq"))
     blocked = F.least(F.col("_seq"), url_seq)
     status = F.when(blocked.isNotNull(), "blocked").when(F.col("_dev_seq").isNotNull(), "development").otherwise("kept")
@@ -182,35 +184,35 @@ def prune_history(history: DataFrame, as_of, days: int = fv.KEEP_DAYS) -> DataFr
     return history.filter(dates.since_day(dates.day_of(F.col("date")), as_of, days))
 
 
-def register(news: DataFrame, history: DataFrame, as_of, today: str, seq: str = "seq") -> DataFrame:
-    """The pruned history plus today's stories it does not have yet.
+COLUMNS = ["date", "branch", "title", "source", "url", "story_key"]
+
+
+def new_entries(news: DataFrame, today_rows: DataFrame, today: str, seq: str = "seq") -> DataFrame:
+    """The rows of `news` that today's history does not have, as history rows. Only today's rows are asked.
 
     A story is known when today's history has its URL, or, for a story without one, its whole title as words; the
     stored story key is the title's beginning and for display only. A stored key that is not its title's counts itself.
-    Within the batch the first row by `seq` counts. Running it twice changes nothing.
+    Within the batch the first row by `seq` counts.
     `news` needs title, branch, source, url; rows without a title are skipped.
     """
-    kept = prune_history(history, as_of)
     new = news.filter(tx.blank_if_null(F.col("title")) != "").select(
         F.lit(today).alias("date"), "branch", tx.strip(F.col("title")).alias("title"), "source",
         tx.blank_if_null(F.col("url")).alias("url"), tx.slug(F.col("title")).alias("story_key"), F.col(seq).alias("_seq"),
         tx.slug(F.col("title"), None).alias("_key"),
     )
-    # a row with a URL is known by URL; a row without one by key, whatever URL the known row has
-    today_rows = kept.filter(F.col("date") == today)
-    fresh = new.join(
-        today_rows.filter("url <> ''").select("url").distinct(), "url", "left_anti"
-    )
+    # a row with a URL is known by URL; a row without one by key, whatever URL the known row has. Rows of one URL or key become one before they are joined
+    first = lambda rows, key: rows.groupBy(key).agg(F.min_by(F.struct(*new.columns), "_seq").alias("r")).select("r.*")
+    first_of_url = first(new.filter("url <> ''"), "url").join(today_rows.filter("url <> ''").select("url").distinct(), "url", "left_anti")
     own_key = tx.slug(F.col("title")) == F.col("story_key")
     known_keys = today_rows.select(F.when(own_key, tx.slug(F.col("title"), None)).otherwise(F.col("story_key")).alias("_key")).distinct()
-    with_url = fresh.filter("url <> ''")
-    first_of_url = with_url.groupBy("url").agg(F.min_by(F.struct(*[c for c in new.columns]), "_seq").alias("r")).select("r.*")
-    no_url = fresh.filter("url = ''").join(known_keys, "_key", "left_anti")
+    first_of_key = first(new.filter("url = ''"), "_key").join(known_keys, "_key", "left_anti")
     # a URL row that comes earlier in the batch makes the key known as well
     earlier = first_of_url.groupBy("_key").agg(F.min("_seq").alias("_before"))
-    first_of_key = no_url.groupBy("_key").agg(F.min_by(F.struct(*[c for c in new.columns]), "_seq").alias("r")).select("r.*")
-    first_of_key = first_of_key.join(earlier, "_key", "left").filter(
-        F.col("_before").isNull() | (F.col("_before") > F.col("_seq"))
-    )
-    columns = ["date", "branch", "title", "source", "url", "story_key"]
-    return kept.select(*columns).unionByName(first_of_url.select(*columns)).unionByName(first_of_key.select(*columns))
+    first_of_key = first_of_key.join(earlier, "_key", "left").filter(F.col("_before").isNull() | (F.col("_before") > F.col("_seq")))
+    return first_of_url.select(*COLUMNS).unionByName(first_of_key.select(*COLUMNS))
+
+
+def register(news: DataFrame, history: DataFrame, as_of, today: str, seq: str = "seq") -> DataFrame:
+    """The pruned history plus today's stories it does not have yet (new_entries). Running it twice changes nothing."""
+    kept = prune_history(history, as_of)
+    return kept.select(*COLUMNS).unionByName(new_entries(news, kept.filter(F.col("date") == today), today, seq))

@@ -160,15 +160,23 @@ def choose_image(found: DataFrame, story: str, tier: str = "tier", seq: str = "s
 
 
 def coverage(entries: DataFrame, story: str, query: str, place: str = "pos", per_query: int = 7, most: int = 18,
-             quality: str = "quality_bonus", own_host: str | None = None) -> DataFrame:
+             quality: str = "quality_bonus", own_host: str | None = None, queries: int | None = None) -> DataFrame:
     """Other coverage of a story: first entries per query, distinct URLs, the best sources.
 
+    `queries` limits the search texts that are asked. An entry without a URL takes its place among a query's first, but is no coverage.
+
     Entries on the host of the original article are left out at the end, as they were counted
     before.
     """
     order = [F.col("query_no").asc(), F.col(place).asc()]
-    cut = top_in_group(entries, [story, query], [F.col(place).asc()], per_query, "_place").drop("_place")
+    asked = entries if queries is None else entries.filter(F.col("query_no") <= queries)
+    cut = top_in_group(asked, [story, query], [F.col(place).asc()], per_query, "_place").drop("_place").filter("url <> ''")
     rest = [c for c in cut.columns if c not in (story, "url")]
     once = cut.groupBy(story, "url").agg(F.min_by(F.struct(*rest), F.struct("query_no", place)).alias("r")).select(story, "url", "r.*")
     best = top_in_group(once, [story], [F.col(quality).desc(), *order], most, "place")
     return best if own_host is None else best.filter(urls.host(F.col("url")) != F.col(own_host))
+
+
+def second_pool(entries: DataFrame, story: str, query: str, **options) -> DataFrame:
+    """The pool asked when the first coverage has no image: fewer search texts, fewer entries, fewer sources."""
+    return coverage(entries, story, query, **{"per_query": 5, "most": 12, "queries": 3, **options})

@@ -31,6 +31,7 @@ from pressroom.session import materialize
 HOT = 1000  # a key word in more titles than this is combined with a second word
 BLOCKS, LEAST_BLOCK, MOST_BLOCK = 64, 256, 8192  # titles of a block of the letter comparison: a share of all, within bounds
 MOST_TASKS = 10_000
+FREQUENT, MOST_FREQUENT = 4, 200_000
 
 
 def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, families=None, noise=None,
@@ -62,12 +63,17 @@ def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, fami
     return materialize(titles, "distinct"), base.drop("_normal", "words", "families")
 
 
-def with_frequencies(titles: DataFrame, tokens: Column, group: list[str], name: str) -> DataFrame:
-    """Add `name`: the tokens as structs (df, token), rarest first within the group."""
-    single = titles.select("title_id", *group, F.explode(tokens).alias("token"))
-    counts = single.groupBy(*group, "token").agg(F.count(F.lit(1)).alias("df"))
-    ordered = single.join(counts, [*group, "token"]).groupBy("title_id").agg(
-        F.array_sort(F.collect_list(F.struct("df", "token"))).alias(name)
+def with_frequencies(titles: DataFrame, tokens: Column, group: list[str], name: str, most: int = MOST_FREQUENT) -> DataFrame:
+    """Add `name`: the tokens as structs (df, token), rarest first within the group.
+
+    Any order that all titles agree on gives right keys. Tokens in at least FREQUENT titles have their count, of the `most` most frequent ones, from
+    a broadcast table of 64-bit hashes; all others count as 0. So no task sees all places of a frequent token.
+    """
+    single = titles.select("title_id", *group, F.explode(tokens).alias("token")).withColumn("_token", F.xxhash64(*group, "token"))
+    counts = single.groupBy("_token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= FREQUENT)
+    frequent = materialize(counts.orderBy(F.desc("df"), "_token").limit(most), "frequent")  # at most `most` rows of 16 bytes
+    ordered = single.join(F.broadcast(frequent), "_token", "left").groupBy("title_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias(name)
     )
     return titles.join(ordered, "title_id", "left")
 

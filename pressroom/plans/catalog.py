@@ -348,6 +348,9 @@ def batch_pair_check(spark, sf) -> DataFrame:
 
 # --- ledger ------------------------------------------------------------------------------------
 
+QUEUE_STOP_USD = 20.0
+
+
 def _costed(spark, sf):
     rows = sd.ledger(spark, sf)
     return rows.withColumn("cost_usd", lg.call_cost(F.col("model"), F.col("input_tokens"), F.col("output_tokens"), F.col("cached_tokens")))
@@ -391,6 +394,18 @@ def call_admission(spark, sf) -> DataFrame:
     return out.select("conv_id", F.round("reserve_usd", 6).alias("reserve_usd"), F.round("projected_usd", 6).alias("projected_usd"), "admitted")
 
 
+@query
+def call_queue(spark, sf) -> DataFrame:
+    """Every event as a request in a queue: an admitted call spends, a blocked one does not."""
+    calls = _costed(spark, sf).select(
+        F.col("event_id").alias("id"), "ts", dates.month_key(F.col("ts")).alias("month"), "model", "input_tokens",
+        (F.col("output_tokens") * 2).alias("max_output_tokens"), "cost_usd",
+    )
+    out = lg.admit_queue(calls, budget={**fv.BUDGET, "internal_stop_usd": QUEUE_STOP_USD})
+    nano = lambda c: F.round(F.col(c) * 1e9).cast("bigint")
+    return out.select(F.col("id").alias("event_id"), "month", nano("reserve_usd").alias("reserve"), nano("spent_usd").alias("spent"), "admitted")
+
+
 # --- delivery ----------------------------------------------------------------------------------
 
 EXPECTED = delivery.expected_keys([f"{i:02d}" for i in range(1, 7)])
@@ -514,7 +529,8 @@ def asset_choice(spark, sf) -> DataFrame:
     """Cascade over groups of three stories: own article, other coverage, second pool."""
     w = images.winners(_ranked(spark, sf), "story").withColumns({"tier": (F.col("story") % 3).cast("int"), "group": F.floor(F.col("story") / 3)})
     return images.choose_image(w, "group").select(
-        F.col("group").cast("bigint").alias("group"), "image_candidate_url", "source_type", *_long("relevance_score"), "selection_origin"
+        F.col("group").cast("bigint").alias("group"), "image_candidate_url", "source_type", *_long("relevance_score"), "selection_origin",
+        F.array_join("alternatives", " ").alias("alternatives"),
     )
 
 
@@ -535,6 +551,13 @@ def coverage_topk(spark, sf) -> DataFrame:
     return top.filter(urls.host(F.col("url")) != F.col("own")).select("story", "url", *_long("place", "quality_bonus"), "pos")
 
 
+@query
+def coverage_second(spark, sf) -> DataFrame:
+    """The second pool: three search texts, five entries each, twelve sources."""
+    entries = sd.coverage_entries(spark, sf).withColumn("quality_bonus", images.source_quality(F.col("source"), F.col("url"), **sd.TIERS))
+    return images.second_pool(entries, "story", "query").select("story", "url", *_long("place", "quality_bonus"), "pos")
+
+
 @query
 def query_derive(spark, sf) -> DataFrame:
     """Search texts derived from every page's heading and URL."""
@@ -545,8 +568,12 @@ def query_derive(spark, sf) -> DataFrame:
 
 # --- facts, modules, cards ---------------------------------------------------------------------
 
+def _phrase():
+    return F.element_at(F.array(*[F.lit(x) for x in sd.PHRASES]), (F.col("doc_id") % len(sd.PHRASES) + 1).cast("int"))
+
+
 def _text_stories(spark, sf):
-    """Stories whose fields are cut from whole texts: sentences two, three and four, and the rest."""
+    """Stories whose fields are a whole text's sentences: one each, and all others with a phrase of the module rules."""
     s = F.filter(F.transform(F.split("text", "[.\n]+"), lambda x: F.trim(x)), lambda x: x != "")
     docs = sd.table(spark, sf, "documents").withColumn("s", s)
 
@@ -555,7 +582,7 @@ def _text_stories(spark, sf):
 
     return docs.select(
         "doc_id", part(0).alias("titulo"), part(1).alias("por_que_importa"), part(2).alias("anguloShort"),
-        F.array_join(F.slice("s", 4, 2147483647), ". ").alias("resumen"), F.upper("source").alias("categoria"), sd._branch().alias("rama"),
+        F.concat_ws(". ", F.array_join(F.slice("s", 4, 2147483647), ". "), _phrase()).alias("resumen"), F.upper("source").alias("categoria"), sd._branch().alias("rama"),
         F.lpad((F.col("doc_id") % 6 + 1).cast("string"), 2, "0").alias("numero"), F.col("source").alias("fuente"),
         F.lit("").alias("imagenFuente"), F.lit("").alias("fecha_original"),
     )
@@ -656,3 +683,67 @@ def stream_register(spark, sf) -> DataFrame:
     return streams.register_stream(
         news, sd.published_history(spark, sf), scratch_path(spark, "registry"), scratch_path(spark, "registry-state"), sd.AS_OF, "2024-01-31"
     )
+
+
+# --- landed files and outputs --------------------------------------------------------------------
+
+from pressroom.sources import landed, outputs  # noqa: E402
+
+
+@query
+def landed_list(spark, sf) -> DataFrame:
+    """Every record of landed JSON lists: read, or rejected, or both where only a field is mistyped."""
+    path = scratch_path(spark, "lists")
+    sd.landed_lists(spark, sf, path)
+    rows, rejected = landed.json_records(spark, path, "doc_id bigint, n_chars bigint, more struct<source:string>, text string")
+    number = F.regexp_extract("record", r'doc_id"?: (\d+)', 1).cast("bigint")
+    bad = rejected.select(number.alias("doc_id"), F.lit(None).cast("bigint").alias("n_chars"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("text_md5"), F.lit("rejected").alias("state"))
+    return rows.select("doc_id", "n_chars", F.col("more.source").alias("source"), F.md5("text").alias("text_md5"), F.lit("read").alias("state")).unionByName(bad)
+
+
+@query
+def landed_rss(spark, sf) -> DataFrame:
+    """Entries of landed RSS files that are undated or recent."""
+    path = scratch_path(spark, "feed")
+    sd.landed_feed(spark, sf, path)
+    return landed.rss_items(spark, path, sd.AS_OF, "gaming", "q", 3).select("link", "title", "source", _stamp(F.col("published")).alias("published"))
+
+
+@query
+def image_headers(spark, sf) -> DataFrame:
+    """Format, size and verdict of every landed image, from its headers."""
+    path = scratch_path(spark, "images")
+    sd.image_files(spark, sf, path)
+    rows = landed.image_manifest(spark, path).withColumn("key", F.regexp_extract("path", r"([0-9]+)$", 1).cast("bigint"))
+    verdict = delivery.image_verdict(F.col("n_bytes"), F.col("width"), F.col("height"))
+    return rows.select("key", "n_bytes", "format", *_long("width", "height"), verdict.alias("verdict"))
+
+
+@query
+def stage_versions(spark, sf) -> DataFrame:
+    """A stage table replaced by a later run that reads it: the newest version, and the earlier run's snapshot."""
+    path, schema = scratch_path(spark, "stage"), "doc_id bigint, source string, n_chars bigint"
+    outputs.overwrite(sd.table(spark, sf, "documents").select("doc_id", "source", "n_chars"), path, "monday")
+    outputs.overwrite(outputs.stage_table(spark, path, schema).filter("n_chars > 500"), path, "tuesday")
+    newest = outputs.stage_table(spark, path, schema).withColumn("version", F.lit("newest"))
+    return newest.unionByName(outputs.stage_table(spark, path, schema, "monday").withColumn("version", F.lit("monday")))
+
+
+@query
+def canonical_records(spark, sf) -> DataFrame:
+    """Records under alias names: the first name that holds something counts."""
+    docs = sd.table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" Re: "), "text")).alias("title"), F.when(F.col("doc_id") % 3 == 0, F.lit("  ")).otherwise(F.col("text")).alias("titulo"),
+        F.lit("").alias("source"), F.col("source").alias("fuente"),
+    )
+    out = merge.canonical_rows(docs, headline=["title", "titulo"], origin=["source", "fuente"], address=["url", "link"])
+    return out.select("doc_id", F.md5("headline").alias("headline"), "origin", "address")
+
+
+@query
+def cover_dates(spark, sf) -> DataFrame:
+    """The date on each batch's cover: its first story's, or the card date of the run."""
+    docs = sd.table(spark, sf, "documents")
+    shown = F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.concat(F.lit(" "), (F.col("doc_id") % 28 + 1).cast("string"), F.lit(" ene 2024")))
+    first = docs.groupBy(F.floor(F.col("doc_id") / 6).cast("bigint").alias("batch")).agg(F.min_by(shown, "doc_id").alias("shown"))
+    return first.select("batch", dates.cover_date(F.col("shown"), dates.clock(sd.AS_OF)).alias("cover"))

@@ -357,6 +357,16 @@ r as (select conv_id, sum(floor(length(text) / 3.2)::bigint + 400)::bigint as i
 w as (select conv_id, i * 2.0::double / 1e6 + 2 * i * 12.0::double / 1e6 + 0.01 as reserve, spent from r, t)
 select conv_id, round(reserve, 6)::double as reserve_usd, round(spent + reserve, 6)::double as projected_usd, spent < 98.0 and spent + reserve <= 98.0 as admitted from w"""
 
+ORACLES["call_queue"] = f"""with recursive {COSTED},
+calls2 as (select *, round(((greatest(i, 0) * 2.0::double + 2 * o * 12.0::double) / 1e6 * case when model = 'gpt-5.6-luna' then 0.1::double else 1 end + 0.01) * 1e9)::bigint as reserve,
+  round(cost::double * 1e9)::bigint as nano from costed),
+q as (select *, row_number() over (partition by month order by ts, event_id) as n from calls2),
+lists as (select month, list(reserve order by n) as r, list(nano order by n) as c, count(*) as rows from q group by month),
+walk as (select month, 1::bigint as n, 0::bigint as spent from lists union all
+  select w.month, w.n + 1, case when w.spent + l.r[w.n] <= 20000000000 and w.spent < 20000000000 then w.spent + l.c[w.n] else w.spent end
+  from walk w join lists l on l.month = w.month where w.n < l.rows)
+select event_id, month, reserve, spent, spent < 20000000000 and spent + reserve <= 20000000000 as admitted from q join walk using (month, n)"""
+
 PIECES = """pieces as (select strftime(ts, '%Y-%m-%d %H') as run, lpad((event_id % 9)::varchar, 2, '0') as key, event_type <> 'error' as delivered, event_type from events)"""
 ORACLES["delivery_reconcile"] = f"""with {PIECES},
 s as (select run, list(distinct key) as found, coalesce(list(distinct key) filter (delivered), []) as sent from pieces where key <= '07' group by run),
@@ -421,7 +431,13 @@ from ({ORACLES["page_context"]}) group by context_origin"""
 PARTS = """a as (select p_partkey as asset_id, p_partkey // 40 as story, 'https://cdn.example.com/' || replace(p_name, ' ', '-') || '-' || p_partkey || '.jpg' as url,
   lower(p_type || ' ' || p_name || ' ' || p_brand) as text, ['article', 'jsonld', 'og', 'twitter'][p_partkey % 4 + 1] as kind,
   300 + 40 * p_size as width, 170 + 22 * p_size as height from part)"""
-ORACLES["image_references"] = f"""with {PARTS} select story as page_id, url || '?w=1' as url, 'article' as kind, kind || '  ' || text || ' now' as text from a"""
+ORACLES["image_references"] = f"""with {PARTS}, m as (select *, url || '?w=1' as u, asset_id % 6 as way from a)
+select story as page_id, u as url, 'article' as kind, kind || '  ' || text || ' now' as text from m where way = 0
+union all select story, u, 'og', 'A & B' from m where way = 1
+union all select story, 'https://cdn.example.com/tw-' || asset_id || '.jpg', 'twitter', '' from m where way = 2
+union all select story, unnest([u, u || '&amp;t=1', 'https://cdn.example.com/deep-' || asset_id || '.jpg']), 'jsonld', '' from m where way = 3
+union all select story, 'https://example.org/s-' || asset_id || '-900.jpg', 'article', ' wide ' from m where way = 4
+union all select story, 'https://example.org/img/' || asset_id || '.png', 'article', 'lazy  ' from m where way = 5"""
 _TOPIC = f"""lead as (select story, text as headline from a where asset_id = story * 40),
 topic as (select story, list_filter(list_distinct(regexp_extract_all(headline, '[a-z0-9]+') || ['gear', 'official', 'hot']),
   lambda w: length(w) >= 3 and not list_contains({words(fv.IMAGE_STOPWORDS)}, w) and not list_contains({words(fv.IMAGE_GENERIC)}, w)) as topic from lead),
@@ -451,7 +467,8 @@ win as (select * from ok qualify row_number() over (partition by story order by
 ORACLES["asset_accept"] = f"with {_WIN} select story, asset_id, total::bigint as score_with_source, place from win"
 ORACLES["asset_choice"] = f"""with {_WIN}
 select story // 3 as "group", url as image_candidate_url, case when story % 3 = 0 then kind else 'alternative_' || kind end as source_type,
-  total::bigint as relevance_score, case when story % 3 = 0 then 'ORIGINAL_ARTICLE' else 'ALTERNATIVE_COVERAGE' end as selection_origin
+  total::bigint as relevance_score, case when story % 3 = 0 then 'ORIGINAL_ARTICLE' else 'ALTERNATIVE_COVERAGE' end as selection_origin,
+  (select string_agg(o.url, ' ' order by o.total desc, o.asset_id) from win o where o.story // 3 = win.story // 3 and o.story % 3 = win.story % 3) as alternatives
 from win qualify row_number() over (partition by story // 3 order by story % 3, total desc, asset_id) = 1"""
 
 
@@ -471,6 +488,11 @@ c as (select * from e qualify row_number() over (partition by story, lang order
 o as (select *, {_tiers('source', 'false', sd.TIERS)} as quality_bonus from c qualify row_number() over (partition by story, url order by q, pos) = 1),
 t as (select *, row_number() over (partition by story order by quality_bonus desc, q, pos) as place from o qualify place <= 18)
 select story, url, place, quality_bonus, pos from t where not starts_with(url, 'https://h' || (story % 13) || '.example.org/')"""
+ORACLES["coverage_second"] = f"""with e as (select doc_id // 200 as story, lang, case lang when 'de' then 1 when 'en' then 2 when 'es' then 3 else 4 end as q, doc_id as pos,
+  'https://h' || (doc_id % 13) || '.example.org/' || (doc_id // 3) as url, source from documents),
+c as (select * from e where q <= 3 qualify row_number() over (partition by story, lang order by pos) <= 5),
+o as (select *, {_tiers('source', 'false', sd.TIERS)} as quality_bonus from c qualify row_number() over (partition by story, url order by q, pos) = 1)
+select story, url, row_number() over (partition by story order by quality_bonus desc, q, pos) as place, quality_bonus, pos from o qualify place <= 12"""
 ORACLES["query_derive"] = f"""with {PAGES},
 w as (select page_id, h1, list_filter(list_distinct(regexp_extract_all(strip_accents(lower(h1)), '[a-z0-9]+')),
     lambda w: length(w) >= 3 and not list_contains({words(fv.IMAGE_STOPWORDS + fv.IMAGE_GENERIC)}, w)) as d0,
@@ -492,6 +514,66 @@ ORACLES["fact_extract"] = f"""select doc_id,
   regexp_extract(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(\\d[\\d.,]*\\s+(?:millones|mil\\s+millones)\\s+de\\s+d[oó]lares)(?:$|[^\\p{{L}}\\p{{N}}_])', 1) as amount,
   array_to_string(list_filter([{', '.join(f"case when contains(' ' || lower(strip_accents(text)) || ' ', '{n}') then '{t}' end" for t, n in fv.PLATFORM_NEEDLES)}], lambda x: x is not null), ' / ') as platforms
 from documents"""
+def short(x: str, n: int) -> str:
+    c = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"case when length({c}) <= {n} then {c} else rtrim(regexp_replace(substring({c}, 1, {n}), ' [^ ]*$', ''), ' ,.;:') || '.' end"
+
+
+def _has(*needles: str) -> str:
+    return "(" + " or ".join(f"contains(folded, '{n}')" for n in needles) + ")"
+
+
+def _plain_words(x: str) -> str:
+    return split(f"regexp_replace(regexp_replace(lower(strip_accents({x})), '[^\\x00-\\x7f]', '', 'g'), '[^a-z0-9]+', ' ', 'g')")
+
+
+_month = "|".join(fv.MONTH_NAMES_ES)
+_edge, _end = "(?:^|[^\\p{L}\\p{N}_])", "(?:$|[^\\p{L}\\p{N}_])"
+_needs = {t: n for t, n in fv.MODULE_NEEDS.items() if t is not None}
+_need = lambda k: "case title " + " ".join(f"when '{t}' then {n[k]}" for t, n in _needs.items()) + f" else {fv.MODULE_NEEDS[None][k]} end"
+MODULES = f"""sent as (select doc_id, source, {BRANCH} as rama, list_filter(list_transform(string_split_regex(text, '[.\n]+'), lambda s: trim(s)), lambda s: s <> '') as s from documents),
+story as (select doc_id, rama, source, coalesce(s[1], '') as titulo, coalesce(s[2], '') as importa, coalesce(s[3], '') as angulo,
+  array_to_string(s[4:], '. ') || '. ' || ({words(sd.PHRASES)})[doc_id % {len(sd.PHRASES)} + 1] as resumen, upper(source) as categoria from sent),
+corpus as (select *, concat_ws(' ', titulo, resumen, angulo, importa, categoria) as corpus, case when angulo <> '' then angulo else resumen end as angle from story),
+facts as (select *, lower(strip_accents(corpus)) as folded,
+  coalesce(nullif(regexp_extract(corpus, '(?i){_edge}((?:\\d{{1,2}}\\s+de\\s+)?(?:{_month})\\s+de\\s+20\\d\\d){_end}', 1), ''), regexp_extract(corpus, '{_edge}(20\\d\\d){_end}', 1)) as day,
+  regexp_extract(corpus, '(?i){_edge}(\\d[\\d.,]*\\s+(?:millones|mil\\s+millones)\\s+de\\s+d[oó]lares){_end}', 1) as amount,
+  list_filter([{", ".join(f"case when contains(' ' || lower(strip_accents(corpus)) || ' ', '{n}') then '{t}' end" for t, n in fv.PLATFORM_NEEDLES)}], lambda x: x is not null) as platforms from corpus),
+lead as (select *, case when {_has("inviert", "inversion")} and amount <> '' then {{'t': 'INVERSIÓN', 'x': amount}} when {_has("retras", "aplaz")} and day <> '' then {{'t': 'FECHA', 'x': day}}
+  when {_has("nintendo switch 2")} then {{'t': 'PLATAFORMA', 'x': 'Nintendo Switch 2'}} when {_has("pelicula")} and day <> '' then {{'t': 'LANZAMIENTO', 'x': day}}
+  when {_has("ciberataque", "hackeo", "robo de datos")} then {{'t': 'QUÉ CAMBIA', 'x': {short("angle", 88)}}} when {_has("semanal", "cada semana")} then {{'t': 'DISPONIBILIDAD', 'x': {short("angle", 88)}}}
+  else {{'t': 'CONTEXTO', 'x': {short("categoria", 72)}}} end as m1 from facts),
+mods as (select doc_id, unnest([m1, {{'t': 'POR QUÉ IMPORTA', 'x': {short("case when importa <> '' then importa else angle end", 96)}}},
+  case when {_has("nvlink fusion")} then {{'t': 'TECNOLOGÍA', 'x': 'NVLink Fusion'}} when day <> '' and m1.t not in ('FECHA', 'LANZAMIENTO') then {{'t': 'FECHA', 'x': day}}
+    when len(platforms) > 0 and m1.t <> 'PLATAFORMA' then {{'t': 'PLATAFORMAS', 'x': array_to_string(platforms[1:3], ' / ')}} else {{'t': 'DATO CLAVE', 'x': {short("angle", 96)}}} end]) as m,
+  unnest([0, 1, 2]) as place from lead)"""
+ORACLES["module_build"] = f"with {MODULES} select doc_id, place::bigint as place, m.t as titulo, m.x as texto from mods"
+_same = "(len({a}.w) > 0 and len({b}.w) > 0 and ({a}.w = {b}.w or (least(len(list_distinct({a}.w)), len(list_distinct({b}.w))) >= 5 and len(list_intersect({a}.w, {b}.w)) >= 0.82 * least(len(list_distinct({a}.w)), len(list_distinct({b}.w))))))"
+PICKED = f"""{MODULES},
+d0 as (select doc_id, place, m.t as titulo, m.x as texto, {_plain_words('m.x')} as w, upper(array_to_string({_plain_words('m.t')}, ' ')) as title, length(trim(m.x)) as n from mods),
+d1 as (select *, n < {_need(0)} or (len(w) <= 1 and len(w) >= {_need(2)} and n < {_need(1)}) as weak from d0),
+d as (select *, least(n, 100) + len(w) * 4 + case title {" ".join(f"when '{t}' then {b}" for t, b in fv.MODULE_BONUS.items())} else 0 end - case when weak then 120 else 0 end as score,
+  count(*) filter (not weak) over (partition by doc_id) as strong from d1),
+u as (select *, case when strong < 2 then row_number() over (partition by doc_id order by score desc, place) else row_number() over (partition by doc_id order by place) end as up
+  from d where strong < 2 or not weak),
+k as (select c.*, (a.up is not null and c.up > 1 and {_same.format(a='c', b='a')}) as like1, b.up is not null and c.up > 2 and {_same.format(a='c', b='b')} and not {_same.format(a='b', b='a')} as like2
+  from u c left join u a on a.doc_id = c.doc_id and a.up = 1 left join u b on b.doc_id = c.doc_id and b.up = 2),
+o as (select *, count(*) filter (not coalesce(like1, false) and not coalesce(like2, false)) over (partition by doc_id) as kept from k),
+c as (select *, row_number() over (partition by doc_id order by up) as ci, list_contains({words(fv.EDITORIAL_MODULES)}, title) as ed, list_contains({words(fv.CONCRETE_MODULES)}, title) as co
+  from o where kept < 2 or (not coalesce(like1, false) and not coalesce(like2, false))),
+r as (select *, case when ed and row_number() over (partition by doc_id, ed order by score desc, ci) = 1 then 0 when co and row_number() over (partition by doc_id, co order by score desc, ci) = 1 then 1 else 2 end as prio from c),
+once as (select * from r qualify row_number() over (partition by doc_id, titulo, texto order by prio, score desc, ci) = 1),
+two as (select *, row_number() over (partition by doc_id order by prio, score desc, ci) as pick from once qualify pick <= 2)"""
+ORACLES["module_pick"] = f"with {PICKED} select doc_id, string_agg(titulo || ': ' || texto, ' || ' order by pick) as picked from two group by doc_id"
+_label = lambda x: "case upper(" + x + ") " + " ".join(f"when '{k}' then '{v}'" for k, v in fv.MODULE_LABELS.items()) + f" else upper({x}) end"
+ORACLES["card_payload"] = f"""with {PICKED},
+p as (select doc_id, count(*) as n, coalesce(max(titulo) filter (pick = 1), '') as t1, coalesce(max(texto) filter (pick = 1), '') as x1, coalesce(max(titulo) filter (pick = 2), '') as t2,
+  coalesce(max(texto) filter (pick = 2), '') as x2 from two group by doc_id)
+select doc_id, lpad((doc_id % 6 + 1)::varchar, 2, '0') as numero, categoria, rama, case when importa <> '' then importa else angulo end as subheadline, source as "imagenFuente",
+  n::bigint as "moduleCount", {_label('t1')} as "module1Title", x1 as "module1Text", {_label('t2')} as "module2Title", x2 as "module2Text", '' as "module3Title",
+  case when length(titulo) <= 34 then 'title-short' when length(titulo) <= 52 then 'title-medium' when length(titulo) <= 70 then 'title-long' else 'title-xlong' end as "titleSize",
+  case when length(trim(x1)) <= 14 then 'module-xl' when length(trim(x1)) <= 30 then 'module-lg' when length(trim(x1)) <= 58 then 'module-md' else 'module-sm' end as "module1Size",
+  length(x1) + length(x2) >= 300 as compact from story join p using (doc_id)"""
 ORACLES["length_buckets"] = f"""with {FEED}
 select seq, case when length(title) <= 34 then 'title-short' when length(title) <= 52 then 'title-medium' when length(title) <= 70 then 'title-long' else 'title-xlong' end as title_size,
   case when length(title) <= 14 then 'module-xl' when length(title) <= 30 then 'module-lg' when length(title) <= 58 then 'module-md' else 'module-sm' end as module_size,
@@ -673,3 +755,21 @@ select batch, slot, seq, status from walk where slot > 0"""
 ORACLES["batch_substitute"] = _walk("true")
 ORACLES["asset_recover"] = _walk(
     "coalesce((select floor(p_retailprice * 21) >= 20000 and 300 + 40 * p_size >= 600 and 170 + 22 * p_size >= 338 from part where p_partkey = v.doc_id), false)")
+
+
+# --- landed files and outputs ----------------------------------------------------------------------
+
+ORACLES["landed_list"] = """select doc_id, case when doc_id % 50 = 7 then null else n_chars end as n_chars, source, md5(text) as text_md5, 'read' as state from documents where doc_id % 50 <> 9
+union all select doc_id, null, null, null, 'rejected' from documents where doc_id % 50 in (7, 9)"""
+ORACLES["landed_rss"] = f"""with {PAGE_ARTICLES}
+select link, replace(title, '&amp;', '&') || ' - ' || upper(source) as title, source, {stamp('published')} as published from articles where false
+union all select link, replace(title, '&amp;', '&') as title, source, {stamp('published')} as published from articles
+where published is null or published >= timestamp '2024-01-31' - interval {fv.PRIMARY_WINDOW_DAYS * 24 + fv.WINDOW_GRACE_HOURS} hour"""
+ORACLES["image_headers"] = """with f as (select s_suppkey::bigint as key, 300 + s_suppkey * 37 % 1700 as w, 200 + s_suppkey * 53 % 900 as h, s_suppkey % 2 = 1 as jpeg, s_suppkey % 60000 as pad from supplier),
+g as (select *, not jpeg or key % 5 <> 0 as sized, 10 * key % 50000 + case when not jpeg then 24 when key % 5 = 0 then 24 + pad + 4 else 24 + pad + 2 * (key % 3) + 9 end as n from f)
+select key, n as n_bytes, case when jpeg then 'JPEG' else 'PNG' end as format, case when sized then w end as width, case when sized then h end as height,
+  case when n < 20000 then 'archivo demasiado pequeño: ' || n || ' bytes' when not sized then 'imagen inválida' when w < 600 or h < 338 then 'dimensiones insuficientes: ' || w || 'x' || h else 'ok' end as verdict from g"""
+ORACLES["stage_versions"] = """select doc_id, source, n_chars, 'newest' as version from documents where n_chars > 500
+union all select doc_id, source, n_chars, 'monday' from documents"""
+ORACLES["canonical_records"] = """select doc_id, md5(case when doc_id % 2 = 0 then trim('Re: ' || text, E' \\t\\n\\r') when doc_id % 3 = 0 then '' else trim(text, E' \\t\\n\\r') end) as headline, source as origin, '' as address from documents"""
+ORACLES["cover_dates"] = """select doc_id // 6 as batch, arg_min(case when doc_id % 4 = 0 then '30 ENE 2024' else (doc_id % 28 + 1) || ' ENE 2024' end, doc_id) as cover from documents group by 1"""

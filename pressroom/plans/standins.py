@@ -246,13 +246,85 @@ def coverage_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest written as pages: every image a figure with alt text and caption, twice."""
+    """The manifest written as pages: each image is named in one of six ways, those in the text twice."""
     a = assets(spark, sf_dir)
-    figure = F.concat(
-        F.lit('<figure><img class="x" data-src="'), F.col("url"), F.lit('?w=1" alt="'), F.col("kind"), F.lit('"><figcaption> '),
-        F.col("text"), F.lit(' <b>now</b></figcaption></figure><img src="'), F.col("url"), F.lit('?w=1">'),
+    url, number = F.concat(F.col("url"), F.lit("?w=1")), F.col("asset_id").cast("string")
+
+    def made(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    ways = [
+        made('<figure><img class="x" data-src="', url, '" alt="', F.col("kind"), '"><figcaption> ', F.col("text"), ' <b>now</b></figcaption></figure><article><img src="', url, '"></article>'),
+        made('<meta property="og:image" content="', url, '">'),
+        made("<meta name='twitter:image' content='//cdn.example.com/tw-", number, ".jpg'>"),
+        made('<script type="application/ld+json">{"@graph":[{"name":"image","image":{"url":"', url, '","thumbnailUrl":["', url, '&amp;t=1"]}},{"a":{"b":[{"image":["//cdn.example.com/deep-', number, '.jpg","no address"]}]}}]}</script>'),
+        made('<img srcset="/s-', number, '-300.jpg 300w, /s-', number, '-900.jpg 900w" src="/s-', number, '.jpg" title="wide">'),
+        made("<img data-lazy-src=../img/", number, ".png src='/blank.gif' alt='lazy'><img src='/logo-", number, ".svg'>"),
+    ]
+    way = F.element_at(F.array(*ways), (F.col("asset_id") % 6 + 1).cast("int"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("asset_id", way.alias("f")))), lambda x: x["f"]), " ")
+    html = F.concat(F.lit('<html><meta property="og:image:alt" content="A &amp; B"><article>'), body, F.lit("<script type='application/ld+json'>{broken</script></article><img src='/outside.jpg'></html>"))
+    return a.groupBy(F.col("story").alias("page_id")).agg(html.alias("html")).withColumn("url", F.lit("https://example.org/a/b"))
+
+
+# what the rules for information modules look for; the driver tables hold none of it, so each document gets one of them by its id
+PHRASES = [
+    "", "La inversion es de 30 millones de dólares", "Se retrasa a mayo de 2026", "Llega a Nintendo Switch 2", "La pelicula llega el 3 de junio de 2025",
+    "Un ciberataque a gran escala", "Habrá uno cada semana", "Con NVLink Fusion", "En PlayStation y Xbox", "En 2027 para PC y Xbox", "A corto plazo, en Netflix",
+]
+
+
+def json_text(value):
+    """A column as JSON; null is null."""
+    return F.coalesce(F.nullif(F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1), F.lit("")), F.lit("null"))
+
+
+def landed_lists(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Documents written as indented JSON lists of up to 500 records; some records have a mistyped field, some are broken."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.when(F.col("doc_id") % 50 == 9, "doc_id").otherwise('"doc_id"')
+    size = F.when(F.col("doc_id") % 50 == 7, '"many"').otherwise(F.col("n_chars").cast("string"))
+    record = F.concat(
+        F.lit("  {\n    "), name, F.lit(": "), F.col("doc_id").cast("string"), F.lit(',\n    "n_chars": '), size, F.lit(',\n    "more": {\n      "source": '),
+        json_text(F.col("source")), F.lit('\n    },\n    "text": '), json_text(F.col("text")), F.lit("\n  }"),
     )
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("asset_id", figure.alias("f")))), lambda x: x["f"]), " ")
-    return a.groupBy(F.col("story").alias("page_id")).agg(F.concat(F.lit("<html><article>"), body, F.lit("</article></html>")).alias("html")).withColumn(
-        "url", F.lit("https://example.org/a/b")
+    lists = docs.select(F.floor(F.col("doc_id") / 500).alias("part"), F.struct("doc_id", record.alias("r")).alias("r")).groupBy("part").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    whole = F.concat(F.lit("[\n"), F.array_join(F.transform("rs", lambda x: x["r"]), ",\n"), F.lit("\n]"))
+    lists.select("part", whole.alias("value")).write.partitionBy("part").text(path)
+
+
+def landed_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Pages written as RSS files of up to 500 entries."""
+    rows = page_articles(spark, sf_dir)
+    date = F.coalesce(F.concat(F.lit("<pubDate>"), F.date_format("published", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>")), F.lit(""))
+    link = F.replace(F.col("link"), F.lit("&"), F.lit("&amp;"))
+    item = F.concat(
+        F.lit("<item><title>"), F.col("title"), F.lit(" - "), F.upper("source"), F.lit("</title><link>"), link, F.lit("</link>"), date, F.lit('<source url="https://x">'), F.col("source"), F.lit("</source></item>"),
     )
+    files = rows.groupBy(F.floor(F.col("doc_id") / 500).alias("part")).agg(F.array_join(F.collect_list(item), "\n").alias("items"))
+    files.select("part", F.concat(F.lit("<rss><channel>\n"), "items", F.lit("\n</channel></rss>")).alias("value")).write.partitionBy("part").text(path)
+
+
+def image_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """An image header per supplier, with a size from its key: PNG files, and JPEG files with segments before the size."""
+    import struct
+
+    import pyarrow as pa
+
+    from pressroom.sources.landed import arrow_file
+
+    def write(batches):
+        for batch in batches:
+            place, folder = arrow_file(path)
+            place.create_dir(folder, recursive=True)
+            for key in batch.column(0).to_pylist():
+                width, height = 300 + key * 37 % 1700, 200 + key * 53 % 900
+                data = b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", width, height)
+                if key % 2:
+                    data = b"\xff\xd8\xff\xe0" + struct.pack(">H", 16) + b"JFIF" + b"\0" * 10 + b"\xff\xe1" + struct.pack(">H", 2 + key % 60_000) + b"\xff" * (key % 60_000)
+                    data += b"\xff\xff" * (key % 3) + b"\xff\xc2" + struct.pack(">HBHH", 17, 8, height, width) if key % 5 else b"\xff\xda\0\0"
+                with place.open_output_stream(f"{folder}/{key}") as f:
+                    f.write(data + b"\0" * (10 * key % 50_000))
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["key"])
+
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("key")).mapInArrow(write, "key bigint").count()

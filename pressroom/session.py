@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +38,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: spark.checkpoint.dir of the session.
 
-    Only a local-mode session that names none gets a temporary folder; a cluster must name one,
+    Only a local-mode session that names none gets a temporary folder, which goes when the process ends; a cluster must name one,
     because a folder of one machine is lost with that machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,6 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="pressroom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -55,6 +58,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/pressroom/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of the library in the shared folder; for the end of a run, when no result that reads them is open."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/pressroom")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write df once to the shared scratch folder and read it back.
 

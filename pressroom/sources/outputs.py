@@ -7,21 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pressroom.operators.history import split_blocked
 from pressroom.operators.ranking import by_branch
 from pressroom.session import materialize
+from pressroom.sources import versions
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a stage table. The rows are stored in the scratch folder first when they may come
+def overwrite(df: DataFrame, path: str, run_id: str) -> int:
+    """Replace a stage table: the rows are written beside the old ones and then become the newest version.
 
-    from the table itself, so that reading and replacing do not meet.
+    df may read the table itself. A write that fails leaves the old version readable. Returns the version's number.
     """
-    materialize(df, "output").write.mode("overwrite").format(fmt).save(path)
+    return versions.publish(df, path, run_id)
 
 
-def snapshot(spark: SparkSession, path: str, run_id: str, fmt: str = "parquet") -> str:
-    """Copy a table to a folder named after the run, before it is replaced."""
-    target = f"{path.rstrip('/')}_snapshots/{run_id}"
-    spark.read.format(fmt).load(path).write.mode("overwrite").format(fmt).save(target)
-    return target
+def stage_table(spark: SparkSession, path: str, schema, run_id: str | None = None) -> DataFrame:
+    """The newest version of a stage table, or the snapshot that a run left."""
+    return versions.published(spark, path, schema, run_id)
 
 
 def write_shortlist(rows: DataFrame, path: str, nested_path: str, columns: list[str]) -> None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pressroom import fixed_values as fv
+from pressroom.functions import dates
 from pressroom.operators import history as hist, ledger as lg
+from pressroom.sources import versions
 
 
 def dedupe_stream(rows: DataFrame, key: str = "key", published: str = "published", arrived: str = "arrived") -> DataFrame:
@@ -63,26 +65,40 @@ def drain_updates(stream: DataFrame, path: str, checkpoint: str, keys: list[str]
     return rows.groupBy(*keys).agg(F.max_by(value, "batch").alias("v")).select(*keys, "v.*")
 
 
-def register_stream(news: DataFrame, start: DataFrame, path: str, checkpoint: str, as_of, today: str, seq: str = "seq") -> DataFrame:
+MERGE_AT = 16
+
+
+def register_stream(news: DataFrame, start: DataFrame, path: str, checkpoint: str, as_of, today: str, seq: str = "seq", merge_at: int = MERGE_AT) -> DataFrame:
     """Enter a stream of stories into the history, batch by batch, and return the registry.
 
-    Version n+1 of the table is version n with batch n registered, each in its own folder: a batch
-    that is run again after a failure reads the same version and writes the same result.
+    The registry is a versioned table with a folder per day. A batch reads today's folders only, writes its new rows to a folder
+    of its own and then the manifest of the next version, so what it moves does not grow with the history. Days past the retention leave the
+    manifest; today's folders become one when there are `merge_at`. Batch n starts from version n: run again after a failure it
+    finds the same version and writes the same result. Versions but the last two are deleted with what only they name.
     """
     spark = news.sparkSession
-    columns = ["date", "branch", "title", "source", "url", "story_key"]
-    start.select(*columns).write.mode("overwrite").parquet(f"{path}/version=0")
+    schema = start.select(*hist.COLUMNS).schema
+    if versions.newest(spark, path)[0] < 0:
+        first = hist.prune_history(start, as_of).select(*hist.COLUMNS, F.date_format(dates.day_of(F.col("date")), "yyyy-MM-dd").alias("day"))
+        first.write.mode("overwrite").partitionBy("day").parquet(f"{path}/data/start")
+        days = [r.day for r in first.select("day").distinct().collect()]  # at most the days of the retention
+        versions.switch(spark, path, 0, [(day, f"{path}/data/start/day={day}") for day in days])
 
     def enter(batch: DataFrame, number: int) -> None:
-        old = spark.read.schema(start.select(*columns).schema).parquet(f"{path}/version={number}")
-        hist.register(batch, old, as_of, today, seq).write.mode("overwrite").parquet(f"{path}/version={number + 1}")
+        parts = versions.newest(spark, path, until=number)[1]
+        oldest = spark.range(1).select(F.date_format(F.date_sub(F.lit(today).cast("date"), fv.KEEP_DAYS), "yyyy-MM-dd")).first()[0]
+        mine = [folder for day, folder in parts if day == today]
+        have = versions.read_folders(spark, mine, schema)
+        added = hist.new_entries(batch, have.filter(F.col("date") == today), today, seq)
+        folder = f"{path}/data/batch={number}"
+        merging = len(mine) >= merge_at
+        (have.unionByName(added) if merging else added).write.mode("overwrite").parquet(folder)
+        kept = [(day, f) for day, f in parts if day >= oldest and not (merging and day == today)]
+        versions.switch(spark, path, number + 1, [*kept, (today, folder)])
+        versions.forget(spark, path)
 
     query = (
         news.writeStream.foreachBatch(enter).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    if query.lastProgress:
-        last = query.lastProgress["batchId"] + 1
-    else:  # restarted with nothing new: the newest version on disk
-        last = spark.read.parquet(path).agg(F.max("version")).first()[0]
-    return spark.read.schema(start.select(*columns).schema).parquet(f"{path}/version={last}")
+    return versions.published(spark, path, schema)

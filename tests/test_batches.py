@@ -188,3 +188,66 @@ def test_status_counts(spark):
     df = spark.createDataFrame([("OK",), ("OK",), ("PARCIAL",), (None,), ("other",)], "estado string")
     assert tuple(delivery.status_counts(df, "estado", {"OK": "ok", "PARCIAL": "partial"}).first()) == (2, 1, 5)
     assert delivery.status_counts(df.limit(0), "estado", {"OK": "ok"}).first().total == 0
+
+
+def test_no_task_holds_a_hot_key(spark):
+    """A third of both sides share one key; nothing is broadcast but the bounded table of hot keys, and nothing is split at run time."""
+    n = 60_000
+    left = spark.range(n).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))
+    right = spark.range(300).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(keep, ("-1", "false", "40"), strict=True):
+            spark.conf.set(k, v)
+        for how in ("inner", "left"):
+            out = salted_join(left, right.filter("k <> -1 or r = 0") if how == "left" else right, ["k"], F.col("l"), F.col("r"), hot=500, how=how)
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert max(sizes) < 0.12 * sum(sizes), (how, sorted(sizes))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    plain = left.join(right, "k", "left").select("k", "l", "r")
+    salted = salted_join(left, right, ["k"], F.col("l"), F.col("r"), hot=500, how="left").select("k", "l", "r")
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_registry_batches_move_what_they_bring(spark, tmp_path):
+    """Bytes and rows that a micro-batch writes do not grow with the history; days past the retention and old versions go."""
+    import os
+
+    from pressroom.sources import versions
+
+    written = {}
+    for size in (100, 20_000):
+        root = tmp_path / str(size)
+        src = str(root / "in")
+        for i in range(4):
+            spark.range(30).select(
+                F.concat(F.lit(f"story {i} "), F.col("id")).alias("title"), F.lit("gaming").alias("branch"), F.lit("s").alias("source"),
+                F.when(F.col("id") % 2 == 0, F.concat(F.lit(f"http://a/{i % 2}/"), F.col("id"))).otherwise("").alias("url"), F.col("id").alias("seq"),
+            ).coalesce(1).write.mode("append").parquet(src)
+        news = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+        day = F.date_format(F.date_sub(F.lit("2024-01-31").cast("date"), (F.col("id") % 50).cast("int")), "yyyy-MM-dd")
+        start = spark.range(size).select(day.alias("date"), F.lit("gaming").alias("branch"), F.concat(F.lit("old "), F.col("id")).alias("title"), F.lit("s").alias("source"), F.lit("").alias("url"), F.concat(F.lit("old-"), F.col("id")).alias("story_key"))
+        path = str(root / "reg")
+        got = streams.register_stream(news, start, path, str(root / "c"), "2024-01-31 00:00:00", "2024-01-31")
+        kept = start.filter("date >= '2024-01-01'").count()
+        # two of the four batches bring the links of the two before, and titles of their own without a link
+        assert got.filter("date >= '2024-01-01'").count() == got.count() == kept + 30 + 60
+        written[size] = [sum(os.path.getsize(f"{d}/{f}") for f in os.listdir(d) if f.endswith(".parquet")) for n in range(4) if os.path.isdir(d := f"{path}/data/batch={n}")]
+        assert versions.manifests(spark, path).select("version").distinct().count() == 2
+        again = streams.register_stream(news, start, path, str(root / "c"), "2024-01-31 00:00:00", "2024-01-31")
+        assert again.count() == got.count()
+    assert written[100] == written[20_000]
+
+
+def test_registry_folders_of_a_day_become_one(spark, tmp_path):
+    from pressroom.sources import versions
+
+    src, path = str(tmp_path / "in"), str(tmp_path / "reg")
+    for i in range(5):
+        spark.range(3).select(F.concat(F.lit(f"story {i} "), F.col("id")).alias("title"), F.lit("gaming").alias("branch"), F.lit("s").alias("source"), F.lit("").alias("url"), F.col("id").alias("seq")).coalesce(1).write.mode("append").parquet(src)
+    news = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    start = spark.createDataFrame([("2024-01-31", "gaming", "k0", "s", "", "k0")], "date string, branch string, title string, source string, url string, story_key string")
+    got = streams.register_stream(news, start, path, str(tmp_path / "c"), "2024-01-31 00:00:00", "2024-01-31", merge_at=2)
+    assert got.count() == 16 and len(versions.newest(spark, path)[1]) <= 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressroom.operators import images, pages
 from pressroom.session import scratch_path
-from pressroom.sources import landed, outputs
+from pressroom.sources import landed, outputs, versions
 
 PAGE = """<html><head>
 <meta property="og:image" content="//cdn.x/og.jpg"><meta property="og:image:alt" content="Alt og">
@@ -95,19 +95,42 @@ def test_manifest(spark, tmp_path):
     rows = {r.path.rsplit("/", 1)[1]: r for r in landed.image_manifest(spark, str(tmp_path)).collect()}
     png = rows["00_cover.png"]
     assert (png.format, png.width, png.height, png.n_bytes) == ("PNG", 1080, 1350, 24 + 12000)
-    assert rows["x.jpg"].format == "JPEG" and rows["x.jpg"].width is None
+    assert rows["x.jpg"].format == "JPEG" and rows["x.jpg"].width is None and rows["x.jpg"].n_bytes == 54
 
 
 def test_outputs(spark, tmp_path):
     path = str(tmp_path / "t")
-    outputs.overwrite(spark.range(3), path)
-    outputs.snapshot(spark, path, "run1")
-    outputs.overwrite(spark.read.parquet(path).filter("id > 0"), path)  # reads what it replaces
-    assert spark.read.parquet(path).count() == 2
-    assert spark.read.parquet(f"{path}_snapshots/run1").count() == 3
+    assert outputs.stage_table(spark, path, "id long").count() == 0
+    outputs.overwrite(spark.range(3), path, "run1")
+    outputs.overwrite(outputs.stage_table(spark, path, "id long").filter("id > 0"), path, "run2")  # reads what it replaces
+    assert outputs.stage_table(spark, path, "id long").count() == 2
+    assert outputs.stage_table(spark, path, "id long", "run1").count() == 3  # the snapshot of a run
+    outputs.overwrite(spark.range(0), path, "run3")
+    assert outputs.stage_table(spark, path, "id long").count() == 0
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    outputs.overwrite(spark.range(100), path, "run1")
+    broken = spark.range(100).withColumn("id", F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+    with pytest.raises(Exception, match="broken"):
+        outputs.overwrite(broken, path, "run2")
+    assert outputs.stage_table(spark, path, "id long").count() == 100
+    assert outputs.stage_table(spark, path, "id long", "run2").count() == 0
+    outputs.overwrite(spark.range(7), path, "run2")
+    assert outputs.stage_table(spark, path, "id long").count() == 7
+
+
+def test_old_versions_go_with_what_only_they_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        outputs.overwrite(spark.range(n + 1), path, f"run{n}")
+    assert len(versions.forget(spark, path, keep=2)) == 3
+    assert [outputs.stage_table(spark, path, "id long", f"run{n}").count() for n in range(5)] == [0, 0, 0, 4, 5]
+    assert versions.forget(spark, path, keep=2) == [] and versions.forget(spark, str(tmp_path / "none")) == []
+
+
 def test_mistyped_record_loses_its_field_only(spark, tmp_path):
     (tmp_path / "mixed.json").write_text('[{"n": 1, "t": "a"}, {"n": "x", "t": "b"}, {"n": 3, "t": "c"}]')
     rows = landed.json_list(spark, str(tmp_path / "mixed.json"), "n int, t string").collect()
@@ -143,11 +166,90 @@ def test_stories_without_a_url_find_no_text(spark):
     assert got == {1: ("one", "PARCIAL"), 2: ("two", "PARCIAL"), 3: ("Found page", "OK")}
 
 
-def test_addresses_in_linked_data():
-    document = {"@graph": [{"image": {"url": ["https://a/1", {"contentUrl": "//a/2", "caption": "https://a/no"}]}, "url": "https://a/no"},
-                           {"author": {"image": "https://a/3", "logo": {"image": ["https://a/4", "data:x"]}}}]}
-    assert pages.image_addresses(document) == ["https://a/1", "//a/2", "https://a/3", "https://a/4"]
-    deep = "https://a/5"
-    for _ in range(5000):
-        deep = [deep]
-    assert pages.image_addresses({"image": deep}) == ["https://a/5"] and pages.image_addresses(None) == []
+def test_addresses_in_linked_data(spark):
+    deep = '"https://a/5"'
+    for _ in range(40):
+        deep = f"[{deep}]"
+    texts = [
+        '{"@graph": [{"image": {"url": ["https://a/1", {"contentUrl": "//a/2", "caption": "https://a/no"}]}, "url": "https://a/no"}, {"author": {"image": "https://a/3", "logo": {"image": ["https://a/4", "data:x", 7, null]}}}]}',
+        f'{{"image": {deep}}}', "null", "{broken", '"https://a/no"', '{"image": "{\\"url\\": \\"https://a/no\\"}"}', '[{"z": 1, "image": "https://z", "a": {"image": "https://y"}}, []]', None,
+    ]
+    df = spark.createDataFrame([(i, [0], t) for i, t in enumerate(texts)], "page int, at array<int>, json string")
+    got = {}
+    for r in pages.linked_data_images(df, "page").orderBy("page", "at").collect():
+        got.setdefault(r.page, []).append(r.url)
+    assert got == {0: ["https://a/1", "//a/2", "https://a/3", "https://a/4"], 1: ["https://a/5"], 6: ["https://z", "https://y"]}
+    assert pages.linked_data_images(df.limit(0), "page").count() == 0
+
+
+def test_nested_elements_stay_whole(spark):
+    from pressroom.functions import html as hx
+
+    cases = {
+        "a<article class='x'>one <article>two</article> <ARTICLE>three</ARTICLE > four</article>five": "one <article>two</article> <ARTICLE>three</article> four",
+        "<article>open <article>inner</article> rest": "open <article>inner</article> rest", "<p>none</p>": "", "<article></article><article>second</article>": "",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    assert [r.e for r in df.select(hx.whole_element(F.col("h"), "article").alias("e")).collect()] == list(cases.values())
+
+
+def test_attributes_are_read_once(spark):
+    from pressroom.functions import html as hx
+
+    tag = """<img SRC='/a b.jpg' alt="x > 'y' &amp; z" data-src=lazy.png title = "T" srcset="" alt="second">"""
+    df = spark.createDataFrame([(tag,)], "t string").select(hx.attributes(F.col("t")).alias("r"))
+    row = df.select(*[hx.value_of(F.col("r"), n).alias(n.replace("-", "_")) for n in ("src", "alt", "data-src", "title", "srcset", "none")]).first()
+    assert tuple(row) == ("/a b.jpg", "x > 'y' & z", "lazy.png", "T", "", "")
+
+
+def test_list_records_are_split_over_tasks(spark, tmp_path):
+    import json
+
+    records = [{"n": i, "t": f'a "quoted"\n  }} text {i}', "more": {"x": [1, {"y": 2}]}} for i in range(5000)]
+    (tmp_path / "list.json").write_text(json.dumps(records, indent=2))
+    (tmp_path / "empty.json").write_text("[]")
+    (tmp_path / "odd.json").write_text('[\n  {\n    "n": "x",\n    "t": "mistyped"\n  },\n  {\n    n: 1\n  },\n  {\n    "n": 7\n  }\n]')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+        rows, rejected = landed.json_records(spark, str(tmp_path), "n int, t string")
+        assert rows.rdd.getNumPartitions() >= 4
+        got = {(r.n, r.t) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(r["n"], r["t"]) for r in records} | {(None, "mistyped"), (7, None)}
+    assert sorted((r.file.rsplit("/", 1)[1], "mistyped" in r.record) for r in rejected.collect()) == [("odd.json", False), ("odd.json", True)]
+    assert [x.count() for x in landed.json_records(spark, str(tmp_path / "missing"), "n int")] == [0, 0]
+
+
+def test_image_sizes_read_headers_only():
+    import io
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            Counted.taken += len(out)
+            return out
+
+    def jpeg(*parts):
+        return b"\xff\xd8" + b"".join(parts)
+
+    app = b"\xff\xe1" + struct.pack(">H", 60_000) + b"\xff" * 59_998
+    size = b"\xff\xc2" + struct.pack(">HBHH", 17, 8, 480, 640) + b"\0" * 12
+    cases = {
+        jpeg(app, app, b"\xff", size): ("JPEG", 640, 480), jpeg(app, b"\xff\xda\0\0"): ("JPEG", None, None), jpeg(b"\xff\xc4\0\x04ab", size): ("JPEG", 640, 480),
+        jpeg(app, size[:6]): ("JPEG", None, None), jpeg(b"\xff\xd0" * 3000, size): ("JPEG", None, None), b"\x89PNG\r\n\x1a\n": ("PNG", None, None), b"": (None, None, None), b"GIF89a": (None, None, None),
+    }
+    for data, want in cases.items():
+        Counted.taken = 0
+        assert landed.image_size(Counted(data + b"\0" * 500_000 if want[1] else data)) == want
+        assert Counted.taken <= 24 + 9 * landed.MOST_SEGMENTS
+
+
+def test_second_pool(spark):
+    rows = [(1, f"q{q}", q, p, "" if p == 0 else f"https://h{q}/{p}", 10 * q) for q in range(1, 6) for p in range(8)]
+    df = spark.createDataFrame(rows, "story int, query string, query_no int, pos int, url string, quality_bonus int")
+    got = images.second_pool(df, "story", "query").orderBy("place").collect()
+    assert [(r.query_no, r.pos) for r in got] == [(q, p) for q in (3, 2, 1) for p in range(1, 5)]
