@@ -8,7 +8,7 @@ many of them, at least MANY and SHARE of a host's, are site templates and are de
 Pages of a host whose longest block of text is the same are one article and count once, so neither an article under many URLs nor its
 edited copies make a template of its text.
 Counts combine before the shuffle, so a host with a third of all pages is no hot task. Pages are read twice; between the readings only hashes
-move, and page texts are joined with the few template hashes found on them.
+move. Up to MOST_BROADCAST template hashes are broadcast to the second reading; if there are more, each page is joined with those found on it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import hashlib
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,6 +28,7 @@ MANY = 10
 SHARE = 0.5
 CLEARLY = 2
 MOST = 0.8
+MOST_BROADCAST = 500_000
 
 # HTML elements without content, those that end an open paragraph, and what closes what.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -299,27 +301,36 @@ def _keys(batches):
         )
 
 
-def _texts(batches):
-    for batch in batches:
-        out = []
-        for url, html, gone in zip(*(batch.column(c).to_pylist() for c in ("_url", "_html", "_gone")), strict=True):
-            main = main_part(read_tree(html or ""))
-            keys = subtree_keys(main, host_of(url))[1] if gone else {}
-            out.append(main_text(main, keys, frozenset(gone or ())))
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), batch.column("_url"), pa.array(out, pa.string())], names=["_row", "_id", "url", "text"])
+def _texts(known):
+    """Texts of pages without their template subtrees; known: broadcast sorted template keys, or None where each page brings its own."""
+    def made(batches):
+        every = None if known is None else known.value
+        for batch in batches:
+            out = []
+            own_keys = batch.column("_gone").to_pylist() if known is None else [None] * batch.num_rows
+            for url, html, own in zip(batch.column("_url").to_pylist(), batch.column("_html").to_pylist(), own_keys, strict=True):
+                main = main_part(read_tree(html or ""))
+                gone = frozenset(own or ())
+                keys = subtree_keys(main, host_of(url))[1] if gone or (every is not None and len(every)) else {}
+                if every is not None and keys:
+                    here = np.fromiter(set(keys.values()), np.int64)
+                    at = np.minimum(np.searchsorted(every, here), len(every) - 1)
+                    gone = frozenset(here[every[at] == here].tolist())
+                out.append(main_text(main, keys, gone))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), batch.column("_url"), pa.array(out, pa.string())], names=["_row", "_id", "url", "text"])
+
+    return made
 
 
 def site_templates(seen: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
-    """(_row, _gone): template keys on each page. seen: _row, _host, _main, _lead, _keys."""
+    """(_key): the template keys of all hosts. seen: _row, _host, _main, _lead, _keys."""
     # keys hold the host, so equal main parts are copies on one host, with the same keys
     mains = materialize(seen.groupBy("_main").agg(F.min("_host").alias("_host"), F.first("_lead").alias("_lead"), F.first("_keys").alias("_keys")), "html-mains")
     # copies with other edits have the same longest block: together they count as one page
     each = mains.select("_host", "_lead", F.explode("_keys").alias("_key")).groupBy("_key", "_lead").agg(F.min("_host").alias("_host"))
     counts = materialize(each.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_host").alias("_host")).filter(F.col("_n") >= many), "html-counts")
     hosts = materialize(mains.groupBy("_host", "_lead").agg(F.lit(1).alias("_one")).groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "html-hosts")
-    templates = materialize(counts.join(hosts, "_host").filter(F.col("_n") >= share * F.col("_pages")).select("_key"), "html-templates")
-    on_pages = seen.select("_row", F.explode("_keys").alias("_key"))
-    return on_pages.join(templates, "_key").groupBy("_row").agg(F.collect_list("_key").alias("_gone"))
+    return counts.join(hosts, "_host").filter(F.col("_n") >= share * F.col("_pages")).select("_key")
 
 
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", many: int = MANY, share: float = SHARE) -> DataFrame:
@@ -330,5 +341,11 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     """
     own = numbered(pages.select(F.col(id).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html")))
     seen = materialize(own.select("_row", "_url", "_html").mapInArrow(_keys, "_row long, _host string, _main long, _lead long, _keys array<long>"), "html-keys")
-    gone = materialize(site_templates(seen, many, share), "html-gone")
-    return own.join(gone, "_row", "left").mapInArrow(_texts, "_row long, _id long, url string, text string")
+    templates = materialize(site_templates(seen, many, share), "html-templates")
+    result = "_row long, _id long, url string, text string"
+    if templates.count() <= MOST_BROADCAST:  # 8 bytes each, so pages stay where they are
+        known = pages.sparkSession.sparkContext.broadcast(np.sort(templates.toArrow().column("_key").to_numpy()))
+        return own.mapInArrow(_texts(known), result)
+    on_pages = seen.select("_row", F.explode("_keys").alias("_key")).join(templates, "_key")
+    gone = materialize(on_pages.groupBy("_row").agg(F.collect_list("_key").alias("_gone")), "html-gone")
+    return own.join(gone, "_row", "left").mapInArrow(_texts(None), result)

@@ -490,8 +490,10 @@ def test_html_reader_is_linear():
         assert time.perf_counter() - start < 2
 
 
-def test_html_shared_paragraphs_stay_and_notices_go(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_html_shared_paragraphs_stay_and_notices_go(spark, monkeypatch, most):
     """Planted templates on hosts of 200 pages; a long passage on twelve pages, and edited copies of an article."""
+    monkeypatch.setattr(html_text, "MOST_BROADCAST", most)
     notice, passage = "<p>Subscribe to our letter today.</p>", "<p>" + "a passage that twelve pages of this host have in common " * 3 + "</p>"
     body = lambda i: "".join(f"<p>{' '.join(f'w{i}x{k}x{j}' for j in range(12))}</p>" for k in range(3))
     made, want = [], {}
