@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressroom import fixed_values as fv
 from pressroom.functions import events as ev, similarity as sim, text as tx
+from pressroom.functions.pairwise import subsequence
 from pressroom.operators.skew import salted_join
 from pressroom.session import materialize
 
@@ -182,12 +183,31 @@ def pair_profiles(texts: list[str], dims: int) -> np.ndarray:
     return out
 
 
+LETTERS = 61
+
+
+def letter_bags(texts: list[str]) -> np.ndarray:
+    """How often each letter is in each text, letters hashed to LETTERS places, blanks left out."""
+    out = np.zeros((len(texts), LETTERS), np.int32)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    inside = codes != 32
+    np.add.at(out, (owner[inside], codes[inside] % LETTERS), 1)
+    return out
+
+
+def rest_alike(a: frozenset, b: frozenset, total: int, fuzzy: float) -> bool:
+    """Whether the words that only one title has, joined, are alike enough letter by letter; total: the length of both titles."""
+    x, y = " ".join(sorted(a - b)), " ".join(sorted(b - a))
+    return 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / total >= fuzzy - 1e-6
+
+
 def _alike(fuzzy: float, tile: int = 1024):
     spread = fuzzy / (200 - fuzzy)
     per_letter, rest = pair_terms(fuzzy)
 
     def made(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Pairs of titles of two blocks whose letter pairs leave the ratio open."""
+        """Pairs of titles of two blocks whose remainders reach the ratio: those whose letter pairs and letters leave it open are worked out."""
         found = [[], []]
         if left.num_rows and right.num_rows:
             same = left.column("i")[0].as_py() == right.column("j")[0].as_py()
@@ -199,8 +219,10 @@ def _alike(fuzzy: float, tile: int = 1024):
                 length = t.column("length").to_numpy().astype(np.float32)
                 profile = pair_profiles(t.column("text").to_pylist(), dims)
                 # bits that only one side has are pairs the other lacks; `loose` is what hashing hides of a side's pairs
-                sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, profile, length + 1 - profile.sum(axis=1)))
-            (ids_a, len_a, bits_a, loose_a), (ids_b, len_b, bits_b, loose_b) = sides
+                texts = t.column("text").to_pylist()
+                sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, profile, length + 1 - profile.sum(axis=1), letter_bags(texts), [frozenset(x.split(" ")) for x in texts]))
+            (ids_a, len_a, bits_a, loose_a, bags_a, words_a), (ids_b, len_b, bits_b, loose_b, bags_b, words_b) = sides
+            letters_a, letters_b = bags_a.sum(axis=1), bags_b.sum(axis=1)
             for i in range(0, len(ids_a), tile):
                 a = slice(i, i + tile)
                 lo, hi = np.searchsorted(len_b, [spread * len_a[a][0] - 1.01, (len_a[a][-1] + 1.01) / spread])
@@ -211,21 +233,27 @@ def _alike(fuzzy: float, tile: int = 1024):
                     ok = common + np.minimum(loose_a[a][:, None], loose_b[b]) >= (x + y) * per_letter + rest - 1e-3
                     ok &= (x >= spread * y - 1.001) & (y >= spread * x - 1.001)
                     at, to = np.nonzero(ok)
+                    at, to = at + i, to + k
                     if same:
-                        at, to = (z[at + i < to + k] for z in (at, to))
-                    found[0].append(ids_a[a][at])
-                    found[1].append(ids_b[b][to])
+                        at, to = (z[at < to] for z in (at, to))
+                    # letters that only one text has, and the words that one has more of, are that much distance at least
+                    apart = letters_a[at] + letters_b[to] - 2 * np.minimum(bags_a[at], bags_b[to]).sum(axis=1) + np.abs((len_a[at] - letters_a[at]) - (len_b[to] - letters_b[to]))
+                    total = len_a[at] + len_b[to]
+                    near = apart <= (1 - fuzzy / 100) * total + 1e-3
+                    good = [(p, q) for p, q, n in zip(at[near].tolist(), to[near].tolist(), total[near].tolist()) if rest_alike(words_a[p], words_b[q], n, fuzzy)]
+                    found[0].append(ids_a[[p for p, _ in good]])
+                    found[1].append(ids_b[[q for _, q in good]])
         return pa.table([pa.array(np.concatenate(f) if f else [], pa.string()) for f in found], names=["a", "b"])
 
     return made
 
 
 def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, block: int | None = None) -> DataFrame:
-    """Pairs (a, b) whose remainders can be alike enough letter by letter, with no common word needed.
+    """Pairs (a, b) whose remainders are alike enough letter by letter, with no common word needed.
 
     Titles of a group are dealt to blocks in the order of their lengths, and only blocks with lengths near enough meet. Inside a task
-    a matrix product counts the common letter pairs of two blocks, and pairs that reach the bound leave it: no row is
-    made for a pair that does not, and no key is needed that every text shares.
+    a matrix product counts the common letter pairs of two blocks; pairs that reach the bound, and the bound of their single letters, are
+    worked out, and only alike ones leave the task: no row is made for another pair, and no key is needed that every text shares.
     """
     text = F.array_join("words", " ")
     base = materialize(titles.select("title_id", "grp", text.alias("text"), F.length(text).alias("length")), "letters")
