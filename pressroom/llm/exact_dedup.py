@@ -25,6 +25,7 @@ from pressroom.session import materialize
 CHAIN_BYTES = 64 << 20
 BUCKET_ROWS = 200_000
 BUCKET_BYTES = 64 << 20
+TASK_BYTES = 1 << 26
 LAST_DEPTH = 48
 
 PREPARED = "_row long, _id long, _entry long, _hash long, _sha string, _size long, _body binary"
@@ -128,10 +129,12 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket
     depths = [r[0] for r in buckets.select("_depth").distinct().orderBy("_depth").collect()] or [1]  # at most 48 numbers
     probes = entries.withColumn("_depth", F.explode(F.array(*[F.lit(d) for d in depths]))).withColumn("_prefix", prefix(F.col("_depth"))) if len(depths) > 1 else entries.withColumn("_depth", F.lit(depths[0])).withColumn("_prefix", prefix(F.lit(depths[0])))
     placed = probes.join(buckets.select("_depth", "_prefix"), ["_depth", "_prefix"], "left_semi") if len(depths) > 1 else probes
+    size = buckets.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))  # a task owns a few buckets, each a range of hashes
     owned = (
         placed.withColumn("_bucket", F.concat_ws("/", F.col("_depth").cast("string"), F.hex("_prefix")))
         .select("_bucket", "_hash", "_entry", "_body")
-        .repartition(F.col("_bucket"))
+        .repartition(tasks, F.col("_bucket"))
         .sortWithinPartitions("_bucket", "_hash", "_entry")
     )
     groups = materialize(owned.mapInArrow(_walk_chains, "_entry long, _group long"), "exact-chains")

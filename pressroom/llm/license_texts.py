@@ -1,4 +1,8 @@
-"""License notices, as public licenses ask to state them. Name -> text."""
+"""Notices and operative passages of public licenses. Name -> text.
+
+Scope: the notices that the licenses ask to state, and of the licenses' own texts the passages that tell them apart (grants, conditions,
+definitions, disclaimers). Not whole license texts: a document that quotes only another section of one has no row.
+"""
 
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -50,4 +54,84 @@ TEMPLATES = {
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "All-rights-reserved": "All rights reserved.",
+    "CC-BY-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "MIT-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+        "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"
+    ),
+    "BSD-3-Clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission."
+    ),
+    "ISC-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS."
+    ),
+    "Apache-2.0-definitions": (
+        '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. '
+        '"Licensor" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.'
+    ),
+    "Apache-2.0-copyright-grant": (
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, "
+        "royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and "
+        "distribute the Work and such Derivative Works in Source or Object form."
+    ),
+    "Apache-2.0-disclaimer": (
+        'Unless required by applicable law or agreed to in writing, Licensor provides the Work (and each Contributor provides its Contributions) on an "AS IS" '
+        "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied, including, without limitation, any warranties or conditions of TITLE, "
+        "NON-INFRINGEMENT, MERCHANTABILITY, or FITNESS FOR A PARTICULAR PURPOSE."
+    ),
+    "GPL-warranty-notice": (
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "GPL-preamble": (
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and other practical "
+        "works are designed to take away your freedom to share and change the works."
+    ),
+    "LGPL-2.1-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "LGPL-3.0-or-later": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "MPL-2.0-grant": (
+        "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license under intellectual property rights (other than patent or trademark) "
+        "Licensable by such Contributor to use, reproduce, make available, modify, display, perform, distribute, and otherwise exploit its Contributions"
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions"
+    ),
+    "Unlicense-grant": (
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "OFL-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
 }

@@ -32,14 +32,41 @@ BETWEEN = np.ones(256, bool)
 BETWEEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def text_shingles(column: pa.Array):
-    """The shingle hashes of each document in order, repeats included; a text below five words is one shingle."""
+def without_marks(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with blanks for typographic quotes, dashes, dots and spaces (U+2000 to U+206F, U+00A0, U+00AB, U+00BB), which part words as their plain forms do."""
+    if len(data) < 2 or not (data >= 128).any():
+        return data
+    gone = np.zeros(len(data) + 2, bool)
+    general = np.flatnonzero((data[:-1] == 0xE2) & ((data[1:] == 0x80) | (data[1:] == 0x81)))
+    general = general[general + 2 < len(data)]
+    general = general[(data[general + 1] == 0x80) | (data[general + 2] <= 0xAF)]
+    latin = np.flatnonzero((data[:-1] == 0xC2) & np.isin(data[1:], (0xA0, 0xAB, 0xBB)))
+    for at, width in ((general, 3), (latin, 2)):
+        for k in range(width):
+            gone[at + k] = True
+    return np.where(gone[:len(data)], np.uint8(0x20), data)
+
+
+def text_words(column: pa.Array):
+    """The word hashes of each document in order, letters folded."""
     for _, data, bounds in runs(column):
+        data = without_marks(data)
         starts, ends, first = word_bounds(data, bounds, BETWEEN)
         hashes = word_hashes(data, starts, ends, True)
         for i in range(len(bounds) - 1):
-            words = hashes[first[i]:first[i + 1]]
-            yield grams(words, SHINGLE) if len(words) >= SHINGLE else (mix(grams(words, len(words)) + np.uint64(len(words))) if len(words) else words)
+            yield hashes[first[i]:first[i + 1]]
+
+
+def shingles_of(words: np.ndarray) -> np.ndarray:
+    """Shingle hashes in order, repeats included; a text below five words is one shingle."""
+    if len(words) >= SHINGLE:
+        return grams(words, SHINGLE)
+    return mix(grams(words, len(words)) + np.uint64(len(words))) if len(words) else words
+
+
+def text_shingles(column: pa.Array):
+    """The shingle hashes of each document."""
+    return map(shingles_of, text_words(column))
 
 
 def size_class(n: int) -> int:
@@ -53,11 +80,15 @@ class Index:
         names = [n for n in templates if templates[n]]
         self.names, self.sets, self.sizes = names, [], []
         self.by_class: dict[int, list[int]] = {}
-        for i, items in enumerate(text_shingles(pa.array([templates[n] for n in names], pa.string()))):
+        self.short: list[tuple[int, int, np.uint64]] = []  # templates below five words are found as they stand: (template, words, hash)
+        for i, words in enumerate(text_words(pa.array([templates[n] for n in names], pa.string()))):
+            items = shingles_of(words)
             own = np.unique(items)
             self.sets.append(own)
             self.sizes.append(len(items))
-            if len(own):
+            if 0 < len(words) < SHINGLE:
+                self.short.append((i, len(words), grams(words, len(words))[0]))
+            elif len(own):
                 self.by_class.setdefault(size_class(len(items)), []).append(i)
         self.signs = [signature(x) if len(x) else None for x in self.sets]
 
@@ -137,8 +168,9 @@ def window_hit(blocks: np.ndarray, sign: np.ndarray, beyond) -> bool:
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """One row per row of docs and template found: _row, _id, license, containment, start_word, n_words.
 
-    A template is found where at least `least` of its distinct shingles lie within a run of twice its number of shingles. Words are
-    counted as this module cuts them. Null and empty texts have no license; repeated rows are scanned one by one; an empty table
+    A template is found where at least `least` of its distinct shingles lie within a run of twice its number of shingles; one of fewer than
+    five words where these stand next to one another. Words are counted as this module cuts them: runs of letters and digits, case folded,
+    typographic marks like plain ones. Null and empty texts have no license; repeated rows are scanned one by one; an empty table
     or list of templates gives no rows; other columns are not read.
     """
     index = Index(dict(templates))
@@ -146,7 +178,12 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dic
     def found(batches):
         for batch in batches:
             out = []
-            for row, id_, items in zip(batch.column("_row").to_pylist(), batch.column("_id").to_pylist(), text_shingles(batch.column("_text")), strict=True):
+            for row, id_, words in zip(batch.column("_row").to_pylist(), batch.column("_id").to_pylist(), text_words(batch.column("_text")), strict=True):
+                for i, n, own in index.short:
+                    at = np.flatnonzero(grams(words, n) == own)
+                    if len(at):
+                        out.append((row, id_, index.names[i], 1.0, int(at[0]), n))
+                items = shingles_of(words)
                 for i in sorted(index.candidates(items)) if len(items) else ():
                     share, first, last = index.contained(items, i)
                     if share >= least:

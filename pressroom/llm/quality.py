@@ -1,6 +1,7 @@
 """Quality rules whose cutoffs come with a bound on false rejections.
 
-The labelled documents are halved by a hash of their id. The first half chooses, for each stratum and rule,
+The labelled documents are halved by a hash of their words, and equal texts count once, with the worse of their labels, so that no copy of a
+text that chose a cutoff tests it, and none counts twice. The first half chooses, for each stratum and rule,
 whether the rule separates bad from good and how strict it may get; the second half tests cutoffs from the lenient end on
 and stops at the first whose exact binomial test fails. The share `risk` of good documents that a stratum may lose is
 divided among its rules, the error probability `delta` among all tests of all strata (Bonferroni; within one rule the
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.words import WHITE, grams, numbered, runs, word_bounds, word_hashes
+from pressroom.llm.words import WHITE, grams, mix, numbered, runs, word_bounds, word_hashes
 from pressroom.session import materialize
 
 SYMBOLS = np.zeros(256, bool)
@@ -56,9 +57,15 @@ def repeated_words(words: np.ndarray) -> int:
     return int(marked.sum())
 
 
-def measured_texts(texts) -> dict[str, np.ndarray]:
-    """The base numbers of each text of an Arrow string column."""
-    found = {name: np.zeros(len(texts), np.int64) for name in FEATURES}
+def text_key(words: np.ndarray) -> int:
+    """A hash of the sequence of words."""
+    place = mix(np.arange(1, len(words) + 1, dtype=np.uint64))
+    return int((mix(words) * (place | np.uint64(1))).sum(dtype=np.uint64).view(np.int64))
+
+
+def measured_texts(texts, keys: bool = False) -> dict[str, np.ndarray]:
+    """The base numbers of each text of an Arrow string column; with `keys` also _body, the hash of its words."""
+    found = {name: np.zeros(len(texts), np.int64) for name in [*FEATURES, *(["_body"] if keys else [])]}
     for first, data, bounds in runs(texts):
         n = len(bounds) - 1
         starts, ends, word = word_bounds(data, bounds)
@@ -74,15 +81,17 @@ def measured_texts(texts) -> dict[str, np.ndarray]:
             lines = [x for x in raw[bounds[i]:bounds[i + 1]].split(b"\n") if x and not x.isspace()]
             found["n_dup_lines"][first + i] = len(lines) - len(set(lines))
             found["n_repeat_words"][first + i] = repeated_words(hashes[word[i]:word[i + 1]])
+            if keys:
+                found["_body"][first + i] = text_key(hashes[word[i]:word[i + 1]])
     return found
 
 
 def _features(batches):
     for batch in batches:
-        found = measured_texts(batch.column("_text"))
+        found = measured_texts(batch.column("_text"), keys=True)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), batch.column("_id"), batch.column("_stratum"), *(pa.array(found[k]) for k in FEATURES)],
-            names=["_row", "_id", "_stratum", *FEATURES],
+            [batch.column("_row"), batch.column("_id"), batch.column("_stratum"), *(pa.array(x) for x in found.values())],
+            names=["_row", "_id", "_stratum", *found],
         )
 
 
@@ -92,12 +101,12 @@ def _struct_of_features(texts: pa.Array) -> pa.Array:
 
 
 def features(docs: DataFrame, id: str = "doc_id", text: str = "text", stratum: Column | None = None) -> DataFrame:
-    """_row, _id, _stratum and the base numbers of each whole text; a null text has none of anything."""
+    """_row, _id, _stratum, the base numbers of each whole text and _body, the hash of its words; a null text has none of anything."""
     own = numbered(docs.select(
         F.col(id).cast("long").alias("_id"), F.coalesce(stratum.cast("string") if stratum is not None else F.lit(""), F.lit("")).alias("_stratum"),
         F.col(text).cast("string").alias("_text"),
     ))
-    return own.mapInArrow(_features, "_row long, _id long, _stratum string, " + ", ".join(f"{n} long" for n in FEATURES))
+    return own.mapInArrow(_features, "_row long, _id long, _stratum string, " + ", ".join(f"{n} long" for n in [*FEATURES, "_body"]))
 
 
 def base_failed() -> Column:
@@ -179,11 +188,15 @@ def select_cutoffs(counts: dict[tuple[str, str], dict[str, np.ndarray]], risk: f
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, id: str = "doc_id", quality: str = "quality") -> dict[str, dict[str, int]]:
-    """Cutoffs from labels (id, quality 0/1): null labels are left out, a document with two labels counts as the worse."""
+    """Cutoffs from labels (id, quality 0/1): null labels are left out, a document or text with two labels counts as the worse.
+
+    The bound is on the share of different texts, drawn independently; near copies with other words are different texts.
+    """
     known = labels.select(F.col(id).cast("long").alias("_id"), F.col(quality).cast("int").alias("_good")).filter("_id is not null and _good in (0, 1)")
     known = known.groupBy("_id").agg(F.min("_good").alias("_good"))
-    seen = measured.filter(~base_failed()).join(known, "_id")
-    half = F.when(F.crc32(F.col("_id").cast("string")) % 2 == 0, "fit").otherwise("test")
+    labelled = measured.filter(~base_failed()).join(known, "_id")
+    seen = labelled.groupBy("_stratum", "_body", *FEATURES).agg(F.min("_good").alias("_good"))  # equal texts count once
+    half = F.when(F.pmod(F.xxhash64("_body"), F.lit(2)) == 0, "fit").otherwise("test")
     seen = seen.withColumn("_kind", F.concat(half, F.when(F.col("_good") == 1, "_good").otherwise("_bad")))
     bins = F.array(*[F.struct(F.lit(name).alias("rule"), F.expr(value).cast("int").alias("bin")) for name, (value, _) in RULES.items()])
     cells = seen.select("_stratum", "_kind", F.explode(bins).alias("_b")).groupBy("_stratum", "_kind", "_b").count()
@@ -209,8 +222,8 @@ def rejected_by(cutoffs: dict[str, dict[str, int]]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str | None = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row per row of docs: _row, _id, the five numbers, base_failed, rejected_by (rules) and kept.
 
-    Null and empty texts have no words and fail the base rules. Unknown and null strata are judged by the
-    base rules only, unless null itself has enough labels. Repeated rows are judged one by one; an empty
+    Null and empty texts have no words and fail the base rules. Null and '' are one stratum; strata without enough labels are judged by the
+    base rules only. Repeated rows are judged one by one; an empty
     table gives no rows, empty labels no cutoffs. Other columns are not read.
     """
     measured = materialize(features(docs, id, text, F.col(stratum) if stratum else None), "quality")
@@ -221,7 +234,7 @@ def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 
 def drop_bad(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str | None = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The rows of docs that judge keeps, with all their columns.
+    """The rows of docs that judge keeps, with all their columns, whatever their names; an empty table gives no rows.
 
     Texts are measured a second time in the map that filters them, so that no text is shuffled to meet its verdict.
     """

@@ -77,7 +77,7 @@ with a as (select page_id, case when strpos(url, '://') > 0 then substr(url, str
 b as (select page_id, regexp_extract(r, '^[^?#]*') as r from a),
 c as (select page_id, translate(regexp_extract(r, '^[^/]*'), '{url_filter.UPPER}', '{url_filter.LOWER}') as host,
              case when strpos(r, '/') > 0 then substr(r, strpos(r, '/')) else '' end as path from b),
-d as (select *, translate(host || path, '{url_filter.UPPER}', '{url_filter.LOWER}') as t from c),
+d as (select c.*, translate(coalesce(url, ''), '{url_filter.UPPER}', '{url_filter.LOWER}') as t from c join pages using (page_id)),
 e as (select *, {_listed(url_filter.STRICT)} as st, {_listed(url_filter.SOFT)} as so from d)
 select page_id, host, path, {_rule_sql("rule")} as rule,
        coalesce({_rule_sql("verdict")}, case when st <> '' or (so <> '' and length(so) - length(replace(so, ' ', '')) + 1 >= {url_filter.SOFT_HITS}) then 'block' else 'allow' end) as verdict,

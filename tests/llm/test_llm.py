@@ -293,6 +293,24 @@ def test_url_rules(spark):
     ]
 
 
+def test_url_sql_reads_the_whole_url(spark, tmp_path):
+    """The query and its SQL on URLs whose terms stand in the query, the fragment, or where no host is."""
+    import duckdb
+
+    from pressroom.llm.queries import ORACLES
+
+    urls = ["http://x.org/go?to=casino", "http://x.org/#porn", "casino.org/x", "http://x.org/free?bet=1", "http://example.net/en/?q=casino", "http://ok.org/", "HTTP://X.ORG/?A=CASINO", None, ""]
+    spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    result = con.execute(ORACLES["op8_url_filter"])
+    names = [d[0] for d in result.description]
+    want = sorted(map(repr, (dict(sorted(zip(names, r, strict=True))) for r in result.fetchall())))
+    rows_ = QUERIES["op8_url_filter"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, (dict(sorted(r.asDict().items())) for r in rows_))) == want
+    assert [r.verdict for r in sorted(rows_, key=lambda r: r.page_id)][:3] == ["block"] * 3
+
+
 def water_fill(sizes, share=1.5, weights=(5, 2, 1)):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
@@ -360,6 +378,37 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(odd).count() == 0
 
 
+def test_license_query_equals_brute_force(spark, small, docs):
+    """Every template in every document, by plain sets of shingles over all runs of twice its size."""
+
+
+    def words_of(text):
+        return [w for w in re.split(r"[^0-9A-Za-z\u0080-\U0010ffff]+|[\u00a0\u00ab\u00bb\u2000-\u206f]+", (text or "").translate(FOLD)) if w]
+
+
+    texts = {r.doc_id: words_of(r.text) for r in docs.collect()}
+    want = set()
+    for name, template in licenses.TEMPLATES.items():
+        own = words_of(template)
+        n = min(5, len(own))
+        shingles = [tuple(own[i:i + n]) for i in range(len(own) - n + 1)]
+        kinds, width = set(shingles), 2 * len(shingles)
+        for doc, w in texts.items():
+            hits = [(i, s) for i in range(len(w) - n + 1) if (s := tuple(w[i:i + n])) in kinds]
+            share = max((len({s for i, s in hits if a <= i < a + (width if n == 5 else 1)}) / len(kinds) for a, _ in hits), default=0)
+            if share >= 0.75:
+                want.add((doc, name, round(share, 9)))
+    got = {(r.doc_id, r.license, round(r.containment, 9)) for r in QUERIES["op10_license_scan"](spark, small).collect()}
+    assert got == want and len({n for _, n, _ in want}) > 2
+
+
+def test_license_marks_and_short_notices(spark):
+    quoted = licenses.TEMPLATES["Apache-2.0-definitions"].replace('"', "\u201c").replace(" ", "\u00a0")
+    texts = {1: quoted, 2: "Copyright X. All rights\nreserved \u2014 by us", 3: "all of the rights are reserved", 4: "ALL\u2003RIGHTS\u2026RESERVED", 5: "\u00e2\u20ac all rights reserved\u00e9"}
+    df = materialize(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "marks")
+    assert {(r._id, r.license) for r in licenses.scan(df).collect()} == {(1, "Apache-2.0-definitions"), (2, "All-rights-reserved"), (4, "All-rights-reserved")}
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline as p
 
@@ -592,3 +641,39 @@ def test_stages_take_any_columns(spark, small, stage):
         assert all(r[5:] == tuple(names) for r in got) and {r[:5] for r in got} <= {r[:5] for r in rows_}
         assert got or stage == "quality_rules"
     assert call(spark, df.limit(0), small).count() == 0
+
+
+def test_quality_copies_stand_in_one_half(spark):
+    """Equal texts count once, whatever their ids and white space, with the worse label."""
+    import pyarrow as pa
+
+    keys = quality.measured_texts(pa.array(["a b c", " a\nb  c ", "a c b", "", None, "a b c d"]), keys=True)["_body"].tolist()
+    assert keys[0] == keys[1] and keys[3] == keys[4] and len(set(keys)) == 4
+    body = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{body} copy" if i < 300 else f"{body} {i}", "en") for i in range(400)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i != 7)) for i in range(400)], "doc_id long, quality int")
+    seen = []
+    original = quality.select_cutoffs
+    try:
+        quality.select_cutoffs = lambda counts, risk, delta: seen.append(counts) or {}
+        quality.calibrate(materialize(quality.features(docs, stratum=F.col("lang")), "measured"), labels)
+    finally:
+        quality.select_cutoffs = original
+    own = seen[0]["en", "symbols"]
+    assert own["fit_good"].sum() + own["test_good"].sum() == 100 and own["fit_bad"].sum() + own["test_bad"].sum() == 1
+
+
+def test_quality_bound_holds_over_many_draws():
+    """The share of draws in which a stratum loses more than `risk` of its good documents stays under `delta`."""
+    rng = np.random.default_rng(12)
+    steps = np.arange(quality.MOST_BIN + 1)
+    weight = np.exp(-steps / 60.0)
+    good, bad = weight / weight.sum(), np.roll(weight, 150) / weight.sum()
+    worse, found = 0, 0
+    for _ in range(400):
+        draw = {f"{h}_{k}": rng.multinomial(300, p / p.sum()) for h in ("fit", "test") for k, p in (("good", good), ("bad", bad))}
+        cutoffs = quality.select_cutoffs({("en", "symbols"): draw})
+        if cutoffs:
+            found += 1
+            worse += good[cutoffs["en"]["symbols"]:].sum() > quality.RISK
+    assert found > 100 and worse <= quality.DELTA * 400
