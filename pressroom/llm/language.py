@@ -201,30 +201,32 @@ def predict(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str
     `und` with score 0 where the text is null or has no letter, or nothing was learned. `accepted` is false for those and for
     scores below the calibrated limit. Whole texts count; repeated rows are scored one by one; no other column is read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages numbers, whatever the corpus
+    # plain arrays, BUCKETS x languages numbers, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else (model.languages, model.logits, model.bias, model.temperature, model.least))
 
     def scored(batches):
         own = shared.value
+        languages, logits, bias, temperature, least = own or ([], None, None, 1.0, 0.0)
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             name, score = ["und"] * len(texts), np.zeros(len(texts))
             if own is not None and texts:
-                total, n = np.zeros((len(texts), len(own.languages))), np.zeros(len(texts))
+                total, n = np.zeros((len(texts), len(languages))), np.zeros(len(texts))
                 for places, parts in text_runs(texts):
                     bucket, owner = subwords(parts)
                     if not len(bucket):
                         continue
-                    for c in range(len(own.languages)):
-                        sums = np.bincount(owner, own.logits[:, c][bucket], len(parts))
+                    for c in range(len(languages)):
+                        sums = np.bincount(owner, logits[:, c][bucket], len(parts))
                         np.add.at(total[:, c], places, sums)
                     np.add.at(n, places, np.bincount(owner, minlength=len(parts)))
                 letters = np.flatnonzero(n > 0)
                 if len(letters):
-                    p = softmax((total[letters] / n[letters, None] + own.bias) / own.temperature)
+                    p = softmax((total[letters] / n[letters, None] + bias) / temperature)
                     score[letters] = p.max(axis=1)
                     for i, best in zip(letters.tolist(), p.argmax(axis=1).tolist(), strict=True):
-                        name[i] = own.languages[best]
-            took = [x != "und" and s >= own.least for x, s in zip(name, score, strict=True)]
+                        name[i] = languages[best]
+            took = [x != "und" and s >= least for x, s in zip(name, score, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), pa.array(name, pa.string()), pa.array(score), pa.array(took, pa.bool_())], names=["_row", "_id", "lang_pred", "score", "accepted"])
 
     own = numbered(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")))

@@ -172,6 +172,34 @@ def test_language(spark, small, odd, empty):
     assert language.train(empty) is None and {r.lang_pred for r in language.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_scores_equal_brute_force(spark, docs):
+    """Each score from a plain walk over the subwords of the whole text, texts beyond a run's length included."""
+    model = language.train(docs, learn=F.col("doc_id") % 2 == 0)
+    long = " ".join(r.text or "" for r in docs.orderBy("doc_id").collect())
+    long *= 1 + (language.RUN_CHARS * 5 // 2) // len(long)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: long, -2: "", -3: None, -4: "12 34 ..."}
+    df = materialize(spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string"), "spoken")
+
+    def hashed(word):  # the subwords of one word, as the module hashes them
+        return language.subwords([word])[0].tolist()
+
+    seen = {}
+    for r in language.predict(df, model).collect():
+        tally = Counter("".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in texts[r._id] or "").split())
+        total, n = np.zeros(len(model.languages)), 0
+        for word, times in tally.items():
+            buckets = seen.setdefault(word, hashed(word))
+            n += times * len(buckets)
+            for b in buckets:
+                total += times * model.logits[b].astype(float)
+        if not n:
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0.0, False)
+            continue
+        z = (total / n + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert abs(r.score - p.max()) < 1e-4 and (p.max() - np.sort(p)[-2] < 1e-3 or r.lang_pred == model.languages[int(p.argmax())]) and r.accepted == (r.score >= model.least)
+
+
 def check_pieces(pieces, ids, window=1024):
     cover, sequences = defaultdict(list), defaultdict(list)
     for r in pieces:
