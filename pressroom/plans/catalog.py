@@ -110,6 +110,15 @@ def candidate_merge(spark, sf) -> DataFrame:
     )
 
 
+@query
+def page_merge(spark, sf) -> DataFrame:
+    """Pages merged by canonical link, and by whole title and source where the link is left out."""
+    rows = sd.page_articles(spark, sf)
+    link = F.when(F.col("doc_id") % 5 == 0, "").otherwise(urls.canonical_url(F.col("link")))
+    rows = rows.withColumns({"key": tx.merge_key(link, F.col("title"), F.col("source")), "discovery_window_days": F.lit(3)})
+    return merge.merge_rows(rows).select("key", "seq", "merged_rows", "title", F.array_join("categories_seen", ",").alias("categories"), _stamp(F.col("published")).alias("published"))
+
+
 def _merged(spark, sf, rows=None):
     rows = sd.headlines(spark, sf) if rows is None else rows
     return merge.merge_rows(rows.withColumn("discovery_window_days", F.lit(fv.PRIMARY_WINDOW_DAYS)))

@@ -125,6 +125,11 @@ ORACLES["candidate_merge"] = f"""with {MERGED}
 select key, seq, merged_rows, title, source, array_to_string(cats, ',') as categories,
   win::bigint as discovery_window_days, {stamp('published')} as published from merged"""
 
+ORACLES["page_merge"] = f"""with {PAGE_ARTICLES},
+k as (select *, case when doc_id % 5 = 0 or canonical = '' then 'title:' || lower(title) || '|source:' || lower(source) else 'url:' || canonical end as key from articles)
+select key, min(seq) as seq, count(*) as merged_rows, arg_min(title, seq) as title, array_to_string(list_sort(list(distinct branch)), ',') as categories,
+  {stamp('arg_min(published, seq) filter (where published is not null)')} as published from k group by key"""
+
 ORACLES["branch_discovery_counts"] = f"""with {MERGED}
 select branch, count(*) as stories from (select unnest(cats) as branch from merged) group by branch"""
 
@@ -235,7 +240,7 @@ HISTORY = f"""{PAGE_ARTICLES},
 hist as (select doc_id as hist_seq, strftime(date '2024-01-31' - (doc_id % 40)::int, '%Y-%m-%d') as date, branch, title, source, link as url, canonical,
   substring(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 140) as story_key
   from articles where not regexp_matches(link, '[?#]')),
-open as (select * from articles where regexp_matches(link, '[?#]'))"""
+open as (select * replace (case when doc_id % 3 = 1 then title || ' {sd.NEWS_WORD}' else title end as title) from articles where regexp_matches(link, '[?#]'))"""
 ORACLES["history_prune"] = f"""with {HISTORY} select hist_seq, date, story_key from hist where date::timestamp >= timestamp '2024-01-31' - interval 30 day"""
 ORACLES["history_register"] = f"""with {HISTORY},
 old as (select * replace (case when hist_seq % 40 = 0 then '2024-01-31' else date end as date) from hist),

@@ -91,9 +91,14 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# every third open story brings a word of an event that the published ones seldom have
+NEWS_WORD = "ontilayed"
+
+
 def open_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages under links with a query or a fragment."""
-    return page_articles(spark, sf_dir).filter(_decorated())
+    """Pages under links with a query or a fragment; every third heading carries its story on."""
+    rows = page_articles(spark, sf_dir).filter(_decorated())
+    return rows.withColumn("title", F.when(F.col("doc_id") % 3 == 1, F.concat_ws(" ", "title", F.lit(NEWS_WORD))).otherwise(F.col("title")))
 
 
 def page_batches(rows: DataFrame) -> DataFrame:
