@@ -298,13 +298,20 @@ def landed_lists(spark: SparkSession, sf_dir: str, path: str) -> None:
     lists.select("part", whole.alias("value")).write.partitionBy("part").text(path)
 
 
+def xml_text(value):
+    """A column as the text of an XML element."""
+    for plain, written in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        value = F.replace(value, F.lit(plain), F.lit(written))
+    return value
+
+
 def landed_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Pages written as RSS files of up to 500 entries."""
+    """Pages written as RSS files of up to 500 entries; a heading's &amp; is a plain & there, and what is markup in XML is escaped."""
     rows = page_articles(spark, sf_dir)
+    title = xml_text(F.replace(F.col("title"), F.lit("&amp;"), F.lit("&")))
     date = F.coalesce(F.concat(F.lit("<pubDate>"), F.date_format("published", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>")), F.lit(""))
-    link = F.replace(F.col("link"), F.lit("&"), F.lit("&amp;"))
     item = F.concat(
-        F.lit("<item><title>"), F.col("title"), F.lit(" - "), F.upper("source"), F.lit("</title><link>"), link, F.lit("</link>"), date, F.lit('<source url="https://x">'), F.col("source"), F.lit("</source></item>"),
+        F.lit("<item><title>"), title, F.lit(" - "), xml_text(F.upper("source")), F.lit("</title><link>"), xml_text(F.col("link")), F.lit("</link>"), date, F.lit('<source url="https://x">'), xml_text(F.col("source")), F.lit("</source></item>"),
     )
     files = rows.groupBy(F.floor(F.col("doc_id") / 500).alias("part")).agg(F.array_join(F.collect_list(item), "\n").alias("items"))
     files.select("part", F.concat(F.lit("<rss><channel>\n"), "items", F.lit("\n</channel></rss>")).alias("value")).write.partitionBy("part").text(path)
