@@ -656,7 +656,8 @@ from pressroom.streaming import streams  # noqa: E402
 
 def _stream(spark, sf, name):
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # a pattern that only the table's own path fits: a stream reads a plain path as a folder, and the table may be one file or a folder of files
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 @query
