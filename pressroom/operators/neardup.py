@@ -30,7 +30,7 @@ from pressroom.operators.skew import salted_join
 from pressroom.session import materialize
 
 HOT = 1000  # a key word in more titles than this is combined with a second word
-BLOCKS, LEAST_BLOCK, MOST_BLOCK = 64, 256, 8192  # titles of a block of the letter comparison: a share of all, within bounds
+BLOCKS, LEAST_BLOCK, MOST_BLOCK = 32, 256, 8192  # titles of a block of the letter comparison: a share of all, within bounds
 MOST_TASKS = 10_000
 FREQUENT, MOST_FREQUENT = 4, 200_000
 
@@ -202,6 +202,91 @@ def rest_alike(a: frozenset, b: frozenset, total: int, fuzzy: float) -> bool:
     return 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / total >= fuzzy - 1e-6
 
 
+WORD = 64  # bits of a machine word: a title of fewer letters is compared in one
+PAIRS = 8192  # pairs worked out together
+
+
+def letter_counts(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 0/1 row per text, so that the product of two rows is how many letters, blanks included, the texts have in common, whatever their order."""
+    codes, owner = np.frombuffer("".join(left + right).encode("utf-32-le"), "<u4"), np.repeat(np.arange(len(left) + len(right)), [len(t) for t in left + right])
+    _, letter = np.unique(codes, return_inverse=True)
+    order = np.lexsort((letter, owner))
+    owner, letter = owner[order], letter[order]
+    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (letter[1:] != letter[:-1])][:len(owner)])
+    times = np.arange(len(owner)) - np.repeat(first, np.diff(np.r_[first, len(owner)]))
+    _, place = np.unique(letter * WORD + times, return_inverse=True)  # the n-th occurrence of a letter has a place of its own
+    out = np.zeros((len(left) + len(right), int(place.max(initial=-1)) + 1), np.float32)
+    out[owner, place] = 1
+    return out[:len(left)], out[len(left):]
+
+
+class ShortTitles:
+    """Titles of fewer than WORD letters, each as a row of letters with a blank after every word, and the places of its words."""
+
+    def __init__(self, texts: list[str], letters: dict[str, int], words: dict[str, int], none: int):
+        slots = max((t.count(" ") + 1 for t in texts), default=1)
+        self.codes = np.full((len(texts), WORD), len(letters), np.int64)
+        self.words, self.places = np.full((len(texts), slots), none, np.int64), np.zeros((len(texts), slots), np.uint64)
+        for i, text in enumerate(texts):
+            self.codes[i, :len(text) + 1] = [letters[c] for c in text + " "]
+            at = 0
+            for k, word in enumerate(text.split(" ")):
+                self.words[i, k], self.places[i, k] = words[word], ((1 << len(word) + 1) - 1) << at
+                at += len(word) + 1
+        self.longest = max((len(t) for t in texts), default=0) + 1
+
+    def masks(self, letters: int, rows: slice) -> np.ndarray:
+        """Per title of `rows` and letter, the places that hold it."""
+        codes = self.codes[rows]
+        out, every = np.zeros((len(codes), letters + 1), np.uint64), np.arange(len(codes))
+        for k in range(self.longest):
+            out[every, codes[:, k]] |= np.uint64(1 << k)
+        out[:, letters] = 0
+        return out
+
+
+def rest_distances(a: ShortTitles, b: ShortTitles, masks: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """For pairs (at, to): insertions and deletions between the words that only one title has, joined. `masks`: a's, a row per pair.
+
+    The longest common subsequence of all pairs at once, a letter of b a step, one word of bits a pair; letters of common words are
+    masked out. Both texts end in a blank, which changes no distance unless one of them is empty.
+    """
+    same = a.words[at][:, :, None] == b.words[to][:, None, :]
+    zero, one = np.uint64(0), np.uint64(1)
+    own_a, own_b = (np.where(gone, zero, x.places[i]).sum(axis=1, dtype=np.uint64) for x, i, gone in ((a, at, same.any(axis=2)), (b, to, same.any(axis=1))))
+    codes, row, each = b.codes[to], np.full(len(at), ~zero, np.uint64), np.arange(len(at))
+    for k in range(b.longest):
+        hit = row & masks[each, codes[:, k]] & own_a & (zero - ((own_b >> np.uint64(k)) & one))
+        row = (row + hit) | (row - hit)
+    common = np.bitwise_count(~row).astype(np.int64)
+    size_a, size_b = (np.bitwise_count(x).astype(np.int64) for x in (own_a, own_b))
+    return size_a + size_b - 2 * common - ((size_a == 0) != (size_b == 0))
+
+
+def _alike_short(a: list[str], b: list[str], fuzzy: float, tile: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of the pairs of two blocks of short titles that reach the ratio; in a block met with itself, each pair once.
+
+    A matrix product of letter counts gives the least distance; pairs that it leaves open, seldom one in a hundred, are worked out together.
+    """
+    letters = {c: i for i, c in enumerate(sorted(set("".join(a + b)) | {" "}))}
+    words = {w: i for i, w in enumerate({w for t in a + b for w in t.split(" ")})}
+    left, right = ShortTitles(a, letters, words, -1), ShortTitles(b, letters, words, -2)
+    (bag_a, bag_b), len_a, len_b = letter_counts(a, b), *(np.array([len(t) for t in x], np.float32) for x in (a, b))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i in range(0, len(a), tile):
+        masks = left.masks(len(letters), slice(i, i + tile))
+        for k in range(i if same else 0, len(b), tile):
+            total = len_a[i:i + tile, None] + len_b[k:k + tile]
+            at, to = np.nonzero(2 * (bag_a[i:i + tile] @ bag_b[k:k + tile].T) >= fuzzy / 100 * total - 1e-3)
+            if same and i == k:
+                at, to = (z[at < to] for z in (at, to))
+            for n in range(0, len(at), PAIRS):
+                p, q = at[n:n + PAIRS], to[n:n + PAIRS]
+                good = 100.0 - 100.0 * rest_distances(left, right, masks[p], p + i, q + k) / (len_a[p + i] + len_b[q + k]).astype(np.float64) >= fuzzy - 1e-6
+                found.append((p[good] + i, q[good] + k))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _alike(fuzzy: float, tile: int = 1024):
     spread = fuzzy / (200 - fuzzy)
     per_letter, rest = pair_terms(fuzzy)
@@ -217,13 +302,19 @@ def _alike(fuzzy: float, tile: int = 1024):
             for t in (left, right):
                 t = t.sort_by([("length", "ascending"), ("title_id", "ascending")])  # one order for a block on either side
                 length = t.column("length").to_numpy().astype(np.float32)
-                profile = pair_profiles(t.column("text").to_pylist(), dims)
-                # bits that only one side has are pairs the other lacks; `loose` is what hashing hides of a side's pairs
                 texts = t.column("text").to_pylist()
-                sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, profile, length + 1 - profile.sum(axis=1), letter_bags(texts), [frozenset(x.split(" ")) for x in texts]))
-            (ids_a, len_a, bits_a, loose_a, bags_a, words_a), (ids_b, len_b, bits_b, loose_b, bags_b, words_b) = sides
+                long = texts if longest >= WORD else []  # short ones need no profiles
+                profile = pair_profiles(long, dims) if long else np.zeros((0, dims), np.float32)
+                # bits that only one side has are pairs the other lacks; `loose` is what hashing hides of a side's pairs
+                loose = (length if long else length[:0]) + 1 - profile.sum(axis=1)
+                sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, texts, profile, loose, letter_bags(long), [frozenset(x.split(" ")) for x in long]))
+            (ids_a, len_a, texts_a, bits_a, loose_a, bags_a, words_a), (ids_b, len_b, texts_b, bits_b, loose_b, bags_b, words_b) = sides
             letters_a, letters_b = bags_a.sum(axis=1), bags_b.sum(axis=1)
-            for i in range(0, len(ids_a), tile):
+            if longest < WORD:
+                at, to = _alike_short(texts_a, texts_b, fuzzy, tile, same)
+                found[0].append(ids_a[at])
+                found[1].append(ids_b[to])
+            for i in range(0, len(ids_a) if longest >= WORD else 0, tile):
                 a = slice(i, i + tile)
                 lo, hi = np.searchsorted(len_b, [spread * len_a[a][0] - 1.01, (len_a[a][-1] + 1.01) / spread])
                 for k in range(lo, hi, tile):
@@ -252,7 +343,7 @@ def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, bloc
     """Pairs (a, b) whose remainders are alike enough letter by letter, with no common word needed.
 
     Titles of a group are dealt to blocks in the order of their lengths, and only blocks with lengths near enough meet. Inside a task
-    a matrix product counts the common letter pairs of two blocks; pairs that reach the bound, and the bound of their single letters, are
+    a matrix product counts the common letters (of longer titles: letter pairs) of two blocks; pairs that reach the bound are
     worked out, and only alike ones leave the task: no row is made for another pair, and no key is needed that every text shares.
     """
     text = F.array_join("words", " ")

@@ -78,3 +78,37 @@ def test_pairs_equal_brute_force(spark):
 
     want = {(a, b) for i, a in enumerate(keep) for b in keep[i + 1:] if rules.duplicates(titles[a], titles[b], fv.EVENT_FAMILIES)}
     assert got == want
+
+
+def test_letter_comparison_equals_pair_by_pair(monkeypatch):
+    """Titles below and above a machine word of letters, over several tiles; short ones are never worked out one pair at a time."""
+    import pyarrow as pa
+
+    rng, made, single = random.Random(11), neardup._alike(84.0, tile=16), neardup.rest_alike
+
+    def block(extra):
+        texts = set()
+        while len(texts) < 60:
+            text = list("alpha beta delta gämma harbor " + "omega "[: extra % 7] + "zeta" * (extra // 3) + rng.choice(["", " kappa", " ñu"]))
+            for _ in range(rng.randint(0, 9)):
+                text[rng.randrange(len(text))] = rng.choice(["", "a", "é", " ", "xy", "\U0001F600"])
+            texts.add(" ".join(sorted(set("".join(text).split()))))
+        return sorted(texts - {""})
+
+    def table(texts, own, number):
+        return pa.table({own: [number] * len(texts), "title_id": texts, "text": texts, "length": pa.array(map(len, texts), pa.int32())})
+
+    def brute(a, b):
+        return {tuple(sorted((x, y))) for x in a for y in b if x != y and single(frozenset(x.split(" ")), frozenset(y.split(" ")), len(x) + len(y), 84.0)}
+
+    for extra in (0, 6, 90):
+        a, b = block(extra), block(extra + 3)
+        want, alone = brute(a, b), brute(a, a)
+        if max(map(len, a + b)) < neardup.WORD:
+            monkeypatch.setattr(neardup, "rest_alike", None)
+        else:
+            monkeypatch.undo()
+        got = made(table(a, "i", 1), table(b, "j", 2))
+        assert want and {tuple(sorted(p)) for p in zip(*got.to_pydict().values()) if p[0] != p[1]} == want
+        got = made(table(a, "i", 1), table(a, "j", 1))
+        assert alone and got.num_rows == len(alone) and {tuple(sorted(p)) for p in zip(*got.to_pydict().values())} == alone
