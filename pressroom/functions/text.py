@@ -39,6 +39,11 @@ def word_normal(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), r"[^\p{L}\p{N}_]+", " "))
 
 
+def once(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 @lru_cache(maxsize=None)
 def _folding() -> tuple[str, str, dict[str, str]]:
     """Compatibility decomposition tables, derived from the Unicode database.
@@ -73,17 +78,19 @@ def fold_accents(col: Column) -> Column:
     takes one hash-based translate() pass, and only text with ligatures and the like a slower one.
     """
     chars, plain, several = _folding()
-    folded = F.translate(col, chars, plain)
     pairs = "\x01".join(f"{c}\x02{text}" for c, text in several.items())
     table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-    wide = F.array_join(
-        F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    return (
-        F.when(~col.rlike(r"[^\x00-\x7f]"), col)
-        .when(F.translate(folded, "".join(several), "") != folded, wide)
-        .otherwise(folded)
-    )
+
+    def widened(folded: Column) -> Column:
+        wide = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+        # none of the letters up to U+00FF folds to several characters
+        return (
+            F.when(~folded.rlike(r"[^\x00-\x7f\u00c0-\u00ff]"), folded)
+            .when(F.translate(folded, "".join(several), "") != folded, wide)
+            .otherwise(folded)
+        )
+
+    return F.when(~col.rlike(r"[^\x00-\x7f]"), col).otherwise(once(F.translate(col, chars, plain), widened))
 
 
 def fold_lower(col: Column) -> Column:
