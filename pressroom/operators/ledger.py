@@ -111,9 +111,9 @@ def admit_queue(requests: DataFrame, totals: DataFrame | None = None, budget: di
     reserve = call_cost(F.col("model"), F.col("input_tokens"), F.col("max_output_tokens")) + margin
     queue = requests.withColumns({"reserve": nano(reserve), "cost": nano(F.col("cost_usd"))})
     queue = materialize(merge.number_rows(queue, [F.col("month"), F.col("ts"), F.col(id)], "_n"), "queue")
-    first = queue.groupBy("month").agg(F.min("_n").alias("_first"))
+    first = queue.groupBy("month").agg(F.min("_n").alias("_first"))  # a row per month: broadcast, so that no task reads a whole month
     place = F.col("_n") - F.col("_first")
-    queue = materialize(queue.join(first, "month").withColumns({"place": place, "chunk": F.floor(place / chunk)}).drop("_n", "_first"), "queue-placed")
+    queue = materialize(queue.join(F.broadcast(first), "month").withColumns({"place": place, "chunk": F.floor(place / chunk)}).drop("_n", "_first"), "queue-placed")
     opening = F.lit(0).cast("bigint")
     chunks = queue.groupBy("month", "chunk").agg(F.sum("cost").alias("spends")).withColumn("opening", opening)
     if totals is not None:

@@ -40,3 +40,16 @@ def test_queue_equals_plain_walk(spark, n, chunk, stop):
 def test_empty_queue(spark):
     df = spark.createDataFrame([], "month string, ts int, id int, model string, input_tokens long, max_output_tokens long, cost_usd double")
     assert ledger.admit_queue(df).filter(F.col("admitted")).count() == 0
+
+
+def test_no_task_of_a_queue_reads_a_whole_month(spark, monkeypatch):
+    plans, real = {}, ledger.materialize
+    monkeypatch.setattr(ledger, "materialize", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and real(df, name))
+    calls = spark.range(50).select("id", F.timestamp_seconds("id").alias("ts"), F.concat(F.lit("2024-0"), F.col("id") % 2 + 1).alias("month"), F.lit("gpt-5.6-terra").alias("model"),
+                                   F.lit(10).alias("input_tokens"), F.lit(10).alias("max_output_tokens"), F.lit(0.1).alias("cost_usd"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert ledger.admit_queue(calls, chunk=7).count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [month" in plans["queue-placed"]
