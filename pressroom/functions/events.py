@@ -9,9 +9,15 @@ from pressroom.functions import text as tx
 
 
 def event_of(token: Column, classes=None) -> Column:
-    """The event a word stands for, or null. The first class that matches wins."""
+    """The event a word stands for, or null. The first class that matches wins.
+
+    Only words that begin like some term are compared with the terms one by one; most words go after one look at a set.
+    """
+    classes = fv.EVENT_CLASSES if classes is None else classes
+    terms = [t for _, prefixes, whole in classes for t in (*prefixes, *whole)]
+    least = min(map(len, terms))
     out = None
-    for event, prefixes, whole in fv.EVENT_CLASSES if classes is None else classes:
+    for event, prefixes, whole in classes:
         hit = None
         for prefix in prefixes:
             one = token.startswith(prefix)
@@ -20,11 +26,11 @@ def event_of(token: Column, classes=None) -> Column:
             one = token.isin(*whole)
             hit = one if hit is None else hit | one
         out = F.when(hit, event) if out is None else out.when(hit, event)
-    return out
+    return F.when(F.substring(token, 1, least).isin(sorted({t[:least] for t in terms})), out)
 
 
 def event_set(tokens: Column, classes=None) -> Column:
-    return F.array_sort(F.array_distinct(F.array_compact(F.transform(tokens, lambda w: event_of(w, classes)))))
+    return F.sort_array(F.array_distinct(F.array_compact(F.transform(tokens, lambda w: event_of(w, classes)))))
 
 
 def with_events_named(tokens: Column, classes=None) -> Column:

@@ -121,7 +121,8 @@ def file_slug(col: Column) -> Column:
 
 def words(normal: Column) -> Column:
     """The words of a normalised text; an empty array for an empty text."""
-    return F.filter(F.split(normal, " "), lambda w: w != "")
+    # no lambda, which would leave the whole normalisation below it to interpreted evaluation
+    return F.array_remove(F.split(normal, " "), F.lit(""))
 
 
 def word_set(normal: Column) -> Column:
