@@ -142,12 +142,13 @@ def block_repeats(candidates: DataFrame, history: DataFrame, as_of, seq: str = "
     )
     blocks = F.size("new_events") == 0
     found = F.struct("ratio", "shared_words")
-    per_title = hits.groupBy(F.col("n").alias("title_id")).agg(
+    # stored, because the joins below read it three times, and each time every pair of titles would be judged anew
+    per_title = materialize(hits.groupBy(F.col("n").alias("title_id")).agg(
         F.min(F.when(blocks, F.col("first_seq"))).alias("_seq"),
         F.min_by(found, F.when(blocks, F.col("first_seq"))).alias("_found"),
         F.max(F.when(~blocks, F.col("last_seq"))).alias("_dev_seq"),
         F.max_by("new_events", F.when(~blocks, F.col("last_seq"))).alias("_dev"),
-    )
+    ), "per-title")
     by_url = old.filter("old_url <> ''").groupBy(F.col("old_url").alias("_url")).agg(F.min(seq).alias("_url_seq"))
     row = F.monotonically_increasing_id()
     out = salted_join(rows.withColumn("_place", row), per_title, ["title_id"], F.col("_place"), F.col("title_id"), how="left")
