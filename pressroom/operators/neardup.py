@@ -2,7 +2,9 @@
 
 Comparing all titles of a branch with each other does not scale, so pairs are only formed where two
 titles share a key that every duplicate pair is bound to share. Rows with the same word set and event families
-are one title first (a group of copies costs one row). The keys, with words ordered rarest first
+are one title first (a group of copies costs one row). Titles and words are numbers, and a key's rows bring their title's word
+numbers, so a pair is judged where it meets: only duplicates leave the join, as two numbers, and no pair is joined with texts again
+but the few whose ratio has to be worked out. The keys, with words ordered rarest first
 over the whole input (any fixed order works; this one keeps the groups small):
 
 * k shared words needed: two sets with k common words share one of their first n-k+1 words. Where
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pressroom import fixed_values as fv
 from pressroom.functions import events as ev, similarity as sim, text as tx
 from pressroom.functions.pairwise import subsequence
+from pressroom.operators.merge import number_rows
 from pressroom.operators.skew import salted_join
 from pressroom.session import materialize
 
@@ -33,14 +36,16 @@ HOT = 1000  # a key word in more titles than this is combined with a second word
 BLOCKS, LEAST_BLOCK, MOST_BLOCK = 32, 256, 8192  # titles of a block of the letter comparison: a share of all, within bounds
 MOST_TASKS = 10_000
 FREQUENT, MOST_FREQUENT = 4, 200_000
+HOT_ROWS = 2000  # rows of a key that meet in a task; each meets each, so fewer than where a key's rows meet one by one
+LENGTH_BITS = 24  # of a word's code that hold its length; the others hold its number
 
 
 def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, families=None, noise=None,
                     stopwords=None) -> tuple[DataFrame, DataFrame]:
     """(titles, members): one row per distinct word set and event families in a group.
 
-    `order` is an orderable, unique rank (smallest is best). A title carries its best member's rank.
-    Titles without any word are never duplicates and get no entry in `titles`.
+    `order` is an orderable, unique rank (smallest is best). A title carries its best member's rank, and title_id numbers the titles
+    of all groups by it. Members name their title by title_key; titles without any word are never duplicates and get no entry in `titles`.
     """
     normal = tx.word_normal(F.col(title))
     base = rows.withColumns({"_normal": normal, "rank": order})
@@ -49,15 +54,15 @@ def distinct_titles(rows: DataFrame, group: str, title: str, order: Column, fami
         "families": ev.families(F.col("_normal"), families),
     })
     base = base.withColumn(
-        "title_id", F.sha2(F.concat_ws("\u0001", F.col(group), F.array_join("words", " "), F.array_join("families", " ")), 256)
+        "title_key", F.sha2(F.concat_ws("\u0001", F.col(group), F.array_join("words", " "), F.array_join("families", " ")), 256)
     )
     base = materialize(base, "members")  # read three times below and by callers; scored and normalised once
     titles = (
         base.filter(F.col("_normal") != "")
-        .groupBy("title_id")
+        .groupBy("title_key")
         .agg(F.first(group).alias("grp"), F.first("words").alias("words"), F.first("families").alias("families"), F.min("rank").alias("rank"))
     )
-    titles = titles.withColumns({
+    titles = number_rows(titles, [F.col("rank").asc(), F.col("title_key").desc()], "title_id").withColumns({
         "meaningful": tx.meaningful(F.col("words"), stopwords),
         "entities": tx.entity_words(F.col("words"), noise),
     })
@@ -92,21 +97,77 @@ def shared_keys(ordered: Column, keep: Column, need: int, hot: int = HOT) -> Col
     return F.flatten(F.transform(head, keys_of))
 
 
-def covering_words(ordered: Column, share: float) -> Column:
-    """The rarest words up to the point where the words left out cannot make up `share` of the characters."""
-    total = F.aggregate(ordered, F.lit(0), lambda a, t: a + F.length(t["token"]) + 1)
+def numbered_words(titles: DataFrame, hot: int = HOT) -> tuple[DataFrame, int]:
+    """(titles, last): the titles of groups with their words as numbers, rarest first; words numbered above `last` are in more than `hot` titles.
+
+    Adds `codes`, of all words (number, then length in the last LENGTH_BITS), `m` and `e`, the numbers of the meaningful and the entity
+    words, and `length`, of all words joined. A number stands for a word of a group, so equal numbers are equal words of one group.
+    """
+    token = F.transform("words", lambda w: F.struct(
+        w.alias("token"), F.array_contains("meaningful", w).alias("m"), F.array_contains("entities", w).alias("e"),
+    ))
+    single = titles.select("title_id", "grp", F.inline(token))
+    counts = single.groupBy("grp", "token").agg(F.count(F.lit(1)).alias("df"))
+    numbered = number_rows(counts, [F.col("df"), F.col("grp"), F.col("token")], "word")
+    last = numbered.filter(F.col("df") <= hot).count()
+    met = salted_join(single, numbered.select("grp", "token", "word"), ["grp", "token"], F.col("title_id"), F.col("word"))
+    each = F.struct("word", F.length("token").alias("length"), "m", "e")
+    words = met.groupBy("title_id").agg(F.array_sort(F.collect_list(each)).alias("_w"))
+    out = titles.join(words, "title_id").withColumns({
+        "codes": F.transform("_w", lambda w: F.shiftleft(w["word"], LENGTH_BITS) + w["length"]),
+        "m": F.transform(F.filter("_w", lambda w: w["m"]), lambda w: w["word"]),
+        "e": F.transform(F.filter("_w", lambda w: w["e"]), lambda w: w["word"]),
+        "length": F.length(F.array_join("words", " ")),
+    })
+    return materialize(out.drop("_w"), "titles"), last
+
+
+FAMILY_TWO, THREE, FOUR = range(3)
+
+
+def word_key(kind: int, family: Column, first: Column, second: Column | None = None) -> Column:
+    return F.xxhash64(F.lit(kind), family, first, F.lit(-1).cast("bigint") if second is None else second)
+
+
+def number_keys(kept: Column, need: int, last: int, kind: int, family: Column) -> Column:
+    """Keys so that two titles with `need` >= 2 common kept words share the key of their first ones (first_key). `kept`: word numbers, rarest first."""
+    def keys_of(t: Column, i: Column) -> Column:
+        later = F.slice(kept, i + 2, F.greatest(F.size(kept) - i - 1, F.lit(0)))
+        paired = F.transform(later, lambda u: word_key(kind, family, t, u))
+        return F.when(t > last, paired).otherwise(F.array(word_key(kind, family, t)))
+
+    return F.flatten(F.transform(F.slice(kept, 1, F.greatest(F.size(kept) - (need - 1), F.lit(0))), keys_of))
+
+
+def first_key(common: Column, last: int, kind: int, family: Column) -> Column:
+    """The one key among those two titles share for which their pair is made, given their common kept words."""
+    first = F.get(common, F.lit(0))
+    return F.when(first > last, word_key(kind, family, first, F.get(common, F.lit(1)))).otherwise(word_key(kind, family, first))
+
+
+def covering_words(codes: Column, share: float) -> Column:
+    """The numbers of the rarest words up to the point where the words left out cannot make up `share` of the characters."""
+    total = F.aggregate(codes, F.lit(0).cast("bigint"), lambda a, c: a + _letters(c) + 1)
     walk = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("seen"), F.array().cast("array<string>").alias("out")),
-        lambda a, t: F.struct(
-            (a["seen"] + F.length(t["token"]) + 1).alias("seen"),
+        codes,
+        F.struct(F.lit(0).cast("bigint").alias("seen"), F.array().cast("array<bigint>").alias("out")),
+        lambda a, c: F.struct(
+            (a["seen"] + _letters(c) + 1).alias("seen"),
             # rounding down by two characters keeps the bound safe for the joining blanks
-            F.when(total - a["seen"] >= share * total - 2, F.concat(a["out"], F.array(t["token"]))).otherwise(a["out"]).alias("out"),
+            F.when(total - a["seen"] >= share * total - 2, F.concat(a["out"], F.array(_number(c)))).otherwise(a["out"]).alias("out"),
         ),
     )
     return walk["out"]
 
 
+def _letters(code: Column) -> Column:
+    return code.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))
+
+
+def _number(code: Column) -> Column:
+    return F.shiftright(code, LENGTH_BITS)
+
+
 def pair_terms(limit: float) -> tuple[float, float]:
     """(f, r) so that texts of L1 and L2 letters with a remainders' ratio of `limit` have at least f (L1 + L2) + r letter pairs in common.
 
@@ -116,40 +177,59 @@ def pair_terms(limit: float) -> tuple[float, float]:
     return 0.5 - 1.5 * (1 - limit / 100), 1.0
 
 
-def _ordered_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs that meet in a key, the better-ranked first. Ids only; repeats possible."""
-    a = left.select(*keys, F.col("title_id").alias("a"), F.col("rank").alias("ra"))
-    b = right.select(*keys, F.col("title_id").alias("b"), F.col("rank").alias("rb"))
-    met = salted_join(a, b, keys, F.col("a"), F.col("b")).filter(F.col("a") != F.col("b"))
-    return met.select(
-        F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("better"),
-        F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("worse"),
+def _met(left: DataFrame, right: DataFrame, facts: list[str]) -> DataFrame:
+    """Titles that meet in `key`, as a and b, with the facts of either as a_* and b_*."""
+    a, b = (rows.select("key", F.col("title_id").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in facts]) for rows, p in ((left, "a"), (right, "b")))
+    return salted_join(a, b, ["key"], F.col("a"), F.col("b"), hot=HOT_ROWS)
+
+
+def word_candidates(titles: DataFrame, last: int) -> DataFrame:
+    """Pairs (better, worse, settled) by common words, each once: settled are those that satisfy a word rule, the others have four common
+    meaningful words, too few for containment, so that their ratio decides."""
+    some = F.size("families") > 0
+    family_two = F.flatten(F.transform("families", lambda f: number_keys(F.col("e"), 2, last, FAMILY_TWO, f)))
+    three = F.when(some, number_keys(F.col("e"), 3, last, THREE, F.lit(""))).otherwise(F.array().cast("array<bigint>"))
+    keys = F.array_distinct(F.concat(family_two, three, number_keys(F.col("m"), 4, last, FOUR, F.lit(""))))
+    keyed = titles.select("title_id", "m", "e", "families", F.explode(keys).alias("key"))
+    shared = F.struct(
+        F.array_intersect("a_m", "b_m").alias("m"), F.array_intersect("a_e", "b_e").alias("e"), F.array_intersect("a_families", "b_families").alias("f"),
+        F.least(F.size("a_m"), F.size("b_m")).alias("smaller"), ((F.size("a_families") > 0) & (F.size("b_families") > 0)).alias("told"),
     )
+    # a generator: filters on what it makes stay above it, so the sets are met once, not for every use
+    met = _met(keyed, keyed, ["m", "e", "families"]).filter("a < b").select("key", "a", "b", F.explode_outer(F.array(shared)).alias("s"))
+    both, m, e, f = F.col("s.smaller") > 0, F.col("s.m"), F.col("s.e"), F.col("s.f")
+    by_family = both & (F.size(f) > 0) & (F.size(e) >= 2)
+    by_three = both & (F.size(e) >= 3) & F.col("s.told")
+    topical = both & (F.size(m) >= 4)
+    own = (
+        F.when(by_family, first_key(e, last, FAMILY_TWO, F.get(f, F.lit(0)))).when(by_three, first_key(e, last, THREE, F.lit("")))
+        .when(topical, first_key(m, last, FOUR, F.lit("")))
+    )
+    settled = by_family | by_three | (F.size(m) / F.col("s.smaller") >= 0.55)
+    return met.filter(F.col("key") == own).select(F.col("a").alias("better"), F.col("b").alias("worse"), settled.alias("settled"))
 
 
-def word_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, hot: int = HOT) -> DataFrame:
-    """Pairs that can satisfy a word rule or the ratio by lengths."""
-    o = F.col("by_word")
-    some_family = F.size("families") > 0
-    four = shared_keys(o, F.col("meaningful"), 4, hot)
-    three = F.when(some_family, shared_keys(o, F.col("entities"), 3, hot))
-    two = F.transform(shared_keys(o, F.col("entities"), 2, hot), lambda k: k)
-    family_two = F.flatten(F.transform("families", lambda f: F.transform(two, lambda k: F.concat_ws("\u0001", f, k))))
-
-    def rows(keys: Column, kind: str) -> DataFrame:
-        return titles.select("title_id", "rank", "grp", F.lit(kind).alias("kind"), F.explode(F.array_distinct(keys)).alias("key"))
-
-    same = [rows(four, "4"), rows(three, "3"), rows(family_two, "f")]
-    keyed = same[0].unionByName(same[1]).unionByName(same[2])
-    ids = ["grp", "kind", "key"]
-    left = keyed.select(*ids, F.col("title_id").alias("a"), F.col("rank").alias("ra"))
-    right = keyed.select(*ids, F.col("title_id").alias("b"), F.col("rank").alias("rb"))
-    met = salted_join(left, right, ids, F.col("a"), F.col("b")).filter(F.col("ra") < F.col("rb")).select(F.col("a").alias("better"), F.col("b").alias("worse"))
-    # the covering side shows its rarest words, the other side all of its words
+def length_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE) -> DataFrame:
+    """Pairs (a, b) whose ratio is reached by the lengths of common words alone; repeats possible, in either order."""
     share = fuzzy / (200 - fuzzy)  # common part of the covered title, from 2s / (s + L) >= fuzzy
-    rare = rows(covering_words(o, share), "c")
-    every = rows(F.col("words"), "c")
-    return met.unionByName(_ordered_pairs(rare, every, ids)).distinct()
+    # the covering side shows its rarest words, the other side all of its words
+    facts = ["codes", "length"]
+    rare = titles.select("title_id", *facts, F.explode(covering_words(F.col("codes"), share)).alias("key"))
+    every = titles.select("title_id", *facts, F.explode(F.transform("codes", _number)).alias("key"))
+    shared = tx.once(F.array_intersect("a_codes", "b_codes"), lambda c: F.struct(
+        F.size(c).alias("n"), (F.aggregate(c, F.lit(0).cast("bigint"), lambda s, x: s + _letters(x)) + F.size(c) - 1).alias("s"),
+    ))
+    met = _met(rare, every, facts).filter("a <> b").select(
+        "a", "b", "a_length", "b_length", F.least(F.size("a_codes"), F.size("b_codes")).alias("smaller"), F.explode_outer(F.array(shared)).alias("c"),
+    )
+    s = F.col("c.s")
+
+    def near(whole: Column) -> Column:
+        return 100.0 - 100.0 * (whole - s) / (s + whole)
+
+    return met.filter(
+        (F.col("c.n") == F.col("smaller")) | (F.greatest(near(F.col("a_length")), near(F.col("b_length"))) >= float(fuzzy))
+    ).select("a", "b")
 
 
 def length_blocks(titles: DataFrame, rows: int) -> DataFrame:
@@ -199,7 +279,7 @@ def letter_bags(texts: list[str]) -> np.ndarray:
 def rest_alike(a: frozenset, b: frozenset, total: int, fuzzy: float) -> bool:
     """Whether the words that only one title has, joined, are alike enough letter by letter; total: the length of both titles."""
     x, y = " ".join(sorted(a - b)), " ".join(sorted(b - a))
-    return 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / total >= fuzzy - 1e-6
+    return 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / total >= fuzzy
 
 
 WORD = 64  # bits of a machine word: a title of fewer letters is compared in one
@@ -282,7 +362,7 @@ def _alike_short(a: list[str], b: list[str], fuzzy: float, tile: int, same: bool
                 at, to = (z[at < to] for z in (at, to))
             for n in range(0, len(at), PAIRS):
                 p, q = at[n:n + PAIRS], to[n:n + PAIRS]
-                good = 100.0 - 100.0 * rest_distances(left, right, masks[p], p + i, q + k) / (len_a[p + i] + len_b[q + k]).astype(np.float64) >= fuzzy - 1e-6
+                good = 100.0 - 100.0 * rest_distances(left, right, masks[p], p + i, q + k) / (len_a[p + i] + len_b[q + k]).astype(np.float64) >= fuzzy
                 found.append((p[good] + i, q[good] + k))
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -334,7 +414,8 @@ def _alike(fuzzy: float, tile: int = 1024):
                     good = [(p, q) for p, q, n in zip(at[near].tolist(), to[near].tolist(), total[near].tolist()) if rest_alike(words_a[p], words_b[q], n, fuzzy)]
                     found[0].append(ids_a[[p for p, _ in good]])
                     found[1].append(ids_b[[q for _, q in good]])
-        return pa.table([pa.array(np.concatenate(f) if f else [], pa.string()) for f in found], names=["a", "b"])
+        kind = left.schema.field("title_id").type
+        return pa.table([pa.array(np.concatenate(f) if f else [], kind) for f in found], names=["a", "b"])
 
     return made
 
@@ -348,6 +429,7 @@ def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, bloc
     """
     text = F.array_join("words", " ")
     base = materialize(titles.select("title_id", "grp", text.alias("text"), F.length(text).alias("length")), "letters")
+    kind = base.schema["title_id"].dataType.simpleString()
     rows = block or min(MOST_BLOCK, max(LEAST_BLOCK, base.count() // BLOCKS))
     placed = materialize(length_blocks(base, rows), "blocks")
     spread = fuzzy / (200 - fuzzy)  # the shorter text is at least this part of the longer
@@ -362,7 +444,7 @@ def letter_candidates(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, bloc
         return rows.join(meet.select(*[F.col(c).alias(c) for c in ("grp", "i", "j")]), ["grp", own]).repartition(tasks, "grp", "i", "j")
 
     keys = ("grp", "i", "j")
-    return side("i").groupBy(*keys).cogroup(side("j").groupBy(*keys)).applyInArrow(_alike(fuzzy), "a string, b string")
+    return side("i").groupBy(*keys).cogroup(side("j").groupBy(*keys)).applyInArrow(_alike(fuzzy), f"a {kind}, b {kind}")
 
 
 def with_duplicate_rule(pairs: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic: float = fv.TOPIC_DUPLICATE) -> DataFrame:
@@ -393,20 +475,26 @@ def with_duplicate_rule(pairs: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, top
 
 
 def duplicate_titles(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic: float = fv.TOPIC_DUPLICATE,
-                     hot: int = HOT) -> DataFrame:
-    """All pairs (better, worse) of distinct titles that are duplicates of each other."""
-    stored = materialize(with_frequencies(titles, F.col("words"), ["grp"], "by_word"), "titles")
-    by_word = word_candidates(stored, fuzzy, hot).select(F.least("better", "worse").alias("a"), F.greatest("better", "worse").alias("b"))
-    by_letter = letter_candidates(stored, fuzzy).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = by_word.unionByName(by_letter).distinct()
-    facts = ("title_id", "words", "meaningful", "entities", "families", "rank")
-    a = stored.select(*[F.col(c).alias(f"a_{c}") for c in facts])
-    b = stored.select(*[F.col(c).alias(f"b_{c}") for c in facts])
-    pairs = found.join(a, F.col("a") == F.col("a_title_id")).join(b, F.col("b") == F.col("b_title_id"))
-    first = F.col("a_rank") < F.col("b_rank")  # the rule is symmetric
-    return with_duplicate_rule(pairs, fuzzy, topic).select(
-        F.when(first, F.col("a")).otherwise(F.col("b")).alias("better"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("worse"),
-    )
+                     hot: int = HOT, repeats: bool = False) -> DataFrame:
+    """All pairs (better, worse) of distinct titles that are duplicates of each other; title_id numbers them by rank.
+
+    With `repeats`, a pair that two rules find may come twice, which saves a shuffle of all pairs.
+    """
+    stored, last = numbered_words(titles, hot)
+    ids = ("better", "worse")
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        facts = ("words", "meaningful", "entities", "families")
+        a, b = (stored.select(F.col("title_id").alias(own), *[F.col(c).alias(f"{p}_{c}") for c in facts]) for own, p in zip(ids, "ab"))
+        return with_duplicate_rule(pairs.join(a, "better").join(b, "worse"), fuzzy, topic).select(*ids)
+
+    by_word = materialize(word_candidates(stored, last), "by-word")
+    alike = length_candidates(stored, fuzzy).unionByName(letter_candidates(stored, fuzzy))
+    alike = materialize(alike.select(F.least("a", "b").alias("better"), F.greatest("a", "b").alias("worse")).distinct(), "alike")
+    asked = materialize(judged(by_word.filter(~F.col("settled")).select(*ids)), "asked")
+    # the ratio that makes two titles alike settles them, unless four common words ask for more
+    found = by_word.filter("settled").select(*ids).unionByName(asked).unionByName(alike if topic <= fuzzy else judged(alike))
+    return found if repeats else found.repartition("better").distinct()
 
 
 def rejected_titles(edges: DataFrame) -> DataFrame:
@@ -443,11 +531,10 @@ def greedy_dedupe(rows: DataFrame, group: str, title: str, order: Column, **rule
     lists = {k: rules[k] for k in ("families", "noise", "stopwords") if k in rules}
     limits = {k: rules[k] for k in ("fuzzy", "topic", "hot") if k in rules}
     titles, members = distinct_titles(rows, group, title, order, **lists)
-    dropped = rejected_titles(duplicate_titles(titles, **limits))
-    best = titles.select("title_id", F.col("rank").alias("best_rank"))
-    marked = members.join(best, "title_id", "left").join(
-        dropped.select(F.col("id").alias("title_id"), F.lit(True).alias("gone")), "title_id", "left"
-    )
+    dropped = rejected_titles(duplicate_titles(titles, **limits, repeats=True))
+    gone = dropped.select(F.col("id").alias("title_id"), F.lit(True).alias("gone"))
+    decided = titles.join(gone, "title_id", "left").select("title_key", F.col("rank").alias("best_rank"), "gone")
+    marked = members.join(decided, "title_key", "left")
     wordless = F.col("best_rank").isNull()
     kept = F.col("gone").isNull() & (F.col("rank") == F.col("best_rank"))
-    return marked.withColumn("accepted", F.coalesce(wordless | kept, F.lit(False))).drop("title_id", "rank", "best_rank", "gone")
+    return marked.withColumn("accepted", F.coalesce(wordless | kept, F.lit(False))).drop("title_key", "rank", "best_rank", "gone")

@@ -112,3 +112,32 @@ def test_letter_comparison_equals_pair_by_pair(monkeypatch):
         assert want and {tuple(sorted(p)) for p in zip(*got.to_pydict().values()) if p[0] != p[1]} == want
         got = made(table(a, "i", 1), table(a, "j", 1))
         assert alone and got.num_rows == len(alone) and {tuple(sorted(p)) for p in zip(*got.to_pydict().values())} == alone
+
+
+def near_titles(n):
+    """Titles of common words and a family each: many pairs meet in a key, and every duplicate is one by common words."""
+    rng = random.Random(3)
+    words = ["quasar", "velvet", "copper", "meadow", "thunder", "violin", "glacier", "saffron", "orchid", "walnut", "pebble", "lantern"]
+    return sorted({" ".join(["court", *rng.sample(words, 3), f"only{i}", f"own{i * 7}"]) for i in range(n)})
+
+
+def test_pairs_are_judged_where_they_meet(spark, monkeypatch):
+    """Duplicates by common words are found without a join of pairs with texts, each once, and named by numbers."""
+    judged, rule = [], neardup.with_duplicate_rule
+
+    def counted(pairs, *limits):
+        judged.append(pairs.count())
+        return rule(pairs, *limits)
+
+    monkeypatch.setattr(neardup, "with_duplicate_rule", counted)
+    table, titles = {"lawsuit": ["court"]}, near_titles(80)
+    df = spark.createDataFrame([(i, "g", t) for i, t in enumerate(titles)], "id int, grp string, title string")
+    distinct, _ = neardup.distinct_titles(df, "grp", "title", F.struct("id"), families=table)
+    ids = {r.title_id: r["rank"].id for r in distinct.collect()}
+    want = {(a, b) for a in range(len(titles)) for b in range(a + 1, len(titles)) if rules.duplicates(titles[a], titles[b], table)}
+    for hot in (1000, 3):
+        judged.clear()
+        got = neardup.duplicate_titles(distinct, hot=hot).collect()
+        assert len(want) > 300 and len(got) == len(want) and {(ids[r.better], ids[r.worse]) for r in got} == want
+        assert judged == [0]
+    assert sorted(ids) == list(range(1, len(titles) + 1)) and all(ids[a] < ids[a + 1] for a in range(1, len(titles)))
