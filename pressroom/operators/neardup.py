@@ -497,29 +497,47 @@ def duplicate_titles(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic
     return found if repeats else found.repartition("better").distinct()
 
 
+CELL = 64  # titles whose states are the bits of a number
+
+
+def _cells(ids: DataFrame, name: str) -> DataFrame:
+    """(cell, name): the titles named by `ids`, a column of numbers, as bits; one row per CELL titles at most."""
+    one = F.lit(1).cast("bigint")
+    return ids.groupBy(F.floor(F.col("id") / CELL).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", one, F.pmod("id", F.lit(CELL)).cast("int"))).alias(name))
+
+
+def _with_bit(pairs: DataFrame, cells: DataFrame, name: str, end: str) -> DataFrame:
+    """Add `end`_`name`: whether the title in column `end` is among `cells`. These are broadcast: 16 bytes for CELL titles."""
+    own = cells.select(F.col("cell").alias("_cell"), F.col(name).alias("_bits"))
+    met = pairs.withColumn("_cell", F.floor(F.col(end) / CELL)).join(F.broadcast(own), "_cell", "left")
+    bit = F.call_function("shiftright", F.coalesce("_bits", F.lit(0).cast("bigint")), F.pmod(F.col(end), F.lit(CELL)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return met.withColumn(f"{end}_{name}", bit).drop("_cell", "_bits")
+
+
 def rejected_titles(edges: DataFrame) -> DataFrame:
-    """Titles that greedy removal drops, given duplicate pairs (better, worse).
+    """Titles that greedy removal drops, given duplicate pairs (better, worse) of numbers by rank; pairs may repeat.
 
     Walking by rank and accepting what duplicates nothing accepted yet equals this in rounds:
     a title with no better duplicate left is accepted, its worse duplicates are dropped, and pairs
     of decided titles go away. Each round is stored in the shared scratch folder, so the plan does
-    not grow and a lost executor costs one round.
+    not grow and a lost executor costs one round. Which titles a round accepts and drops is broadcast as bits, so pairs are read
+    where they are and never shuffled.
     """
-    left = materialize(edges, "edges")
-    dropped = None
+    left, dropped = edges, None
     while not left.isEmpty():
-        accepted = left.select(F.col("better").alias("id")).distinct().join(
-            left.select(F.col("worse").alias("id")).distinct(), "id", "left_anti"
-        )
-        new = materialize(
-            left.join(accepted, F.col("better") == F.col("id"), "left_semi").select(F.col("worse").alias("id")).distinct(), "dropped"
-        )
+        better, worse = (_cells(left.select(F.col(c).alias("id")), c) for c in ("better", "worse"))
+        free = F.col("better").bitwiseAND(F.bitwise_not(F.coalesce("worse", F.lit(0).cast("bigint"))))
+        accepted = better.join(worse, "cell", "left").select("cell", free.alias("accepted")).filter("accepted <> 0")
+        hit = _with_bit(left, accepted, "accepted", "better").filter("better_accepted").select(F.col("worse").alias("id"))
+        new = materialize(_cells(hit, "dropped"), "dropped")
         dropped = new if dropped is None else dropped.unionByName(new)
         # pairs of an accepted title end in a dropped one, so dropping those removes them as well
-        left = materialize(
-            left.join(new, F.col("worse") == F.col("id"), "left_anti").join(new, F.col("better") == F.col("id"), "left_anti"), "edges"
-        )
-    return edges.select(F.col("worse").alias("id")).limit(0) if dropped is None else dropped
+        rest = _with_bit(_with_bit(left, new, "dropped", "worse"), new, "dropped", "better")
+        left = materialize(rest.filter(~F.col("worse_dropped") & ~F.col("better_dropped")).select("better", "worse"), "edges")
+    if dropped is None:
+        return edges.select(F.col("worse").alias("id")).limit(0)
+    place = F.explode(F.sequence(F.lit(0), F.lit(CELL - 1))).alias("place")
+    return dropped.select("cell", "dropped", place).filter(F.expr("shiftright(dropped, place) & 1") == 1).select((F.col("cell") * CELL + F.col("place")).alias("id"))
 
 
 def greedy_dedupe(rows: DataFrame, group: str, title: str, order: Column, **rules) -> DataFrame:

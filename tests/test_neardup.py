@@ -141,3 +141,26 @@ def test_pairs_are_judged_where_they_meet(spark, monkeypatch):
         assert len(want) > 300 and len(got) == len(want) and {(ids[r.better], ids[r.worse]) for r in got} == want
         assert judged == [0]
     assert sorted(ids) == list(range(1, len(titles) + 1)) and all(ids[a] < ids[a + 1] for a in range(1, len(titles)))
+
+
+def test_removal_in_rounds_does_not_shuffle_pairs(spark, monkeypatch):
+    rng, plans, store = random.Random(5), [], neardup.materialize
+    edges = sorted({(a, b) for a, b in (sorted(rng.sample(range(1, 400), 2)) for _ in range(900))})
+    gone = set()
+    for b in range(1, 400):
+        if any(w == b and a not in gone for a, w in edges):
+            gone.add(b)
+
+    def stored(df, name="stage"):
+        plans.extend([df._jdf.queryExecution().executedPlan().toString()] if name == "edges" else [])
+        return store(df, name)
+
+    monkeypatch.setattr(neardup, "materialize", stored)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = spark.createDataFrame(edges + edges[:50], "better bigint, worse bigint")
+        assert sorted(r.id for r in neardup.rejected_titles(pairs).collect()) == sorted(gone)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(plans) > 1 and not any("SortMergeJoin" in p or "Exchange hashpartitioning(better" in p or "Exchange hashpartitioning(worse" in p for p in plans)
