@@ -263,6 +263,11 @@ def pair_profiles(texts: list[str], dims: int) -> np.ndarray:
     return out
 
 
+def pair_bits(texts: list[str], dims: int) -> np.ndarray:
+    """pair_profiles as bits of machine words: no more bits of two texts differ than numbered letter pairs."""
+    return np.packbits(pair_profiles(texts, dims).astype(bool), axis=1).view(np.uint64)
+
+
 LETTERS = 61
 
 
@@ -282,7 +287,8 @@ def rest_alike(a: frozenset, b: frozenset, total: int, fuzzy: float) -> bool:
     return 100.0 - 100.0 * (len(x) + len(y) - 2 * subsequence(x, y)) / total >= fuzzy
 
 
-WORD = 64  # bits of a machine word: a title of fewer letters is compared in one
+WORD = 64  # bits of a machine word
+LONGEST = 4 * WORD  # titles of fewer letters are compared in so many machine words together, longer ones one pair at a time
 PAIRS = 8192  # pairs worked out together
 
 
@@ -294,75 +300,121 @@ def letter_counts(left: list[str], right: list[str]) -> tuple[np.ndarray, np.nda
     owner, letter = owner[order], letter[order]
     first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (letter[1:] != letter[:-1])][:len(owner)])
     times = np.arange(len(owner)) - np.repeat(first, np.diff(np.r_[first, len(owner)]))
-    _, place = np.unique(letter * WORD + times, return_inverse=True)  # the n-th occurrence of a letter has a place of its own
+    _, place = np.unique(letter * LONGEST + times, return_inverse=True)  # the n-th occurrence of a letter has a place of its own
     out = np.zeros((len(left) + len(right), int(place.max(initial=-1)) + 1), np.float32)
     out[owner, place] = 1
     return out[:len(left)], out[len(left):]
 
 
 class ShortTitles:
-    """Titles of fewer than WORD letters, each as a row of letters with a blank after every word, and the places of its words."""
+    """Titles of fewer than LONGEST letters, each as a column of letters with a blank after every word, and the places of its words."""
 
     def __init__(self, texts: list[str], letters: dict[str, int], words: dict[str, int], none: int):
         slots = max((t.count(" ") + 1 for t in texts), default=1)
-        self.codes = np.full((len(texts), WORD), len(letters), np.int64)
-        self.words, self.places = np.full((len(texts), slots), none, np.int64), np.zeros((len(texts), slots), np.uint64)
+        self.longest = max((len(t) for t in texts), default=0) + 1
+        self.size = -(-self.longest // WORD)
+        codes = np.full((len(texts), self.longest), len(letters), np.int64)
+        kind = np.int16 if len(words) < 1 << 15 else np.int32
+        self.words = np.full((slots, len(texts)), none, kind)
+        bits = np.zeros((slots, self.size, len(texts)), np.uint64)
         for i, text in enumerate(texts):
-            self.codes[i, :len(text) + 1] = [letters[c] for c in text + " "]
+            codes[i, :len(text) + 1] = [letters[c] for c in text + " "]
             at = 0
             for k, word in enumerate(text.split(" ")):
-                self.words[i, k], self.places[i, k] = words[word], ((1 << len(word) + 1) - 1) << at
+                self.words[k, i] = words.get(word, none)
+                place = ((1 << len(word) + 1) - 1) << at
+                for w in range(at // WORD, (at + len(word)) // WORD + 1):
+                    bits[k, w, i] = place >> w * WORD & (1 << WORD) - 1
                 at += len(word) + 1
-        self.longest = max((len(t) for t in texts), default=0) + 1
+        self.places = bits  # slot, machine word, title
+        self.codes = np.ascontiguousarray(codes.T)
 
     def masks(self, letters: int, rows: slice) -> np.ndarray:
-        """Per title of `rows` and letter, the places that hold it."""
-        codes = self.codes[rows]
-        out, every = np.zeros((len(codes), letters + 1), np.uint64), np.arange(len(codes))
+        """Per machine word, title of `rows` and letter, the places that hold it."""
+        codes = self.codes[:, rows]
+        out, every = np.zeros((self.size, codes.shape[1], letters + 1), np.uint64), np.arange(codes.shape[1])
         for k in range(self.longest):
-            out[every, codes[:, k]] |= np.uint64(1 << k)
-        out[:, letters] = 0
+            out[k // WORD, every, codes[k]] |= np.uint64(1 << k % WORD)
+        out[:, :, letters] = 0
         return out
 
 
-def rest_distances(a: ShortTitles, b: ShortTitles, masks: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """For pairs (at, to): insertions and deletions between the words that only one title has, joined. `masks`: a's, a row per pair.
+STEP = 12  # letters after which pairs that are too far apart already are left, again and again
+
+
+def rest_distances(a: ShortTitles, b: ShortTitles, masks: np.ndarray, row: np.ndarray, at: np.ndarray, to: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, distances) of the pairs (at, to) with at most `most` insertions and deletions between the words that only one title has, joined.
 
-    The longest common subsequence of all pairs at once, a letter of b a step, one word of bits a pair; letters of common words are
-    masked out. Both texts end in a blank, which changes no distance unless one of them is empty.
+    `masks`: of some of a's titles, a pair's at its `row`. The longest common subsequence of all pairs at once, a letter of b a step, a
+    few machine words of bits a pair; letters of common words are masked out. A pair goes as soon as the letters left cannot bring it
+    within `most`. Both texts end in a blank, which changes no distance unless one of them is empty.
     """
-    same = a.words[at][:, :, None] == b.words[to][:, None, :]
-    zero, one = np.uint64(0), np.uint64(1)
-    own_a, own_b = (np.where(gone, zero, x.places[i]).sum(axis=1, dtype=np.uint64) for x, i, gone in ((a, at, same.any(axis=2)), (b, to, same.any(axis=1))))
-    codes, row, each = b.codes[to], np.full(len(at), ~zero, np.uint64), np.arange(len(at))
+    zero, one, size = np.uint64(0), np.uint64(1), range(a.size)
+    words_b = b.words[:, to]
+    own_a, common_b = np.zeros((a.size, len(at)), np.uint64), np.zeros(words_b.shape, bool)
+    for words, places in zip(a.words, a.places):
+        same = words_b == words[at]
+        own_a |= np.where(same.any(axis=0), zero, places[:, at])
+        common_b |= same
+    own_b = np.zeros((b.size, len(at)), np.uint64)
+    for gone, places in zip(common_b, b.places):
+        own_b |= np.where(gone, zero, places[:, to])
+    size_a, size_b = (np.bitwise_count(x).sum(axis=0, dtype=np.int64) for x in (own_a, own_b))
+    flat, base, each = [m.ravel() for m in masks], row * masks.shape[2], np.arange(len(at))
+    bits, rest = np.full((a.size, len(at)), ~zero, np.uint64), size_b  # a bit of own_a goes to 0 for each common letter; rest: letters of b left
     for k in range(b.longest):
-        hit = row & masks[each, codes[:, k]] & own_a & (zero - ((own_b >> np.uint64(k)) & one))
-        row = (row + hit) | (row - hit)
-    common = np.bitwise_count(~row).astype(np.int64)
-    size_a, size_b = (np.bitwise_count(x).astype(np.int64) for x in (own_a, own_b))
-    return size_a + size_b - 2 * common - ((size_a == 0) != (size_b == 0))
+        if k and k % STEP == 0:
+            common = np.bitwise_count(~bits).sum(axis=0, dtype=np.int64)
+            rest = sum(np.bitwise_count(own_b[w] >> np.uint64(max(0, k - w * WORD))).astype(np.int64) for w in range(k // WORD, b.size))
+            near = np.flatnonzero(size_a + size_b - 2 * (common + rest) <= most + 1)  # the ending blanks count one at most
+            to, size_a, size_b, base, each, most = (x[near] for x in (to, size_a, size_b, base, each, most))
+            own_a, own_b, bits = (x[:, near] for x in (own_a, own_b, bits))
+        letter, own = base + b.codes[k].take(to), own_b[k // WORD] >> np.uint64(k % WORD) & one
+        carry = zero
+        for w in size:
+            row_w = bits[w]
+            hit = own * own_a[w]
+            hit &= flat[w].take(letter)
+            hit &= row_w
+            total = row_w + hit
+            row_w ^= hit
+            if a.size > 1:
+                over = total < hit
+                total += carry
+                carry = (over | (total < carry)).astype(np.uint64)
+            row_w |= total
+    common = np.bitwise_count(~bits).sum(axis=0, dtype=np.int64)
+    return each, size_a + size_b - 2 * common - ((size_a == 0) != (size_b == 0))
 
 
 def _alike_short(a: list[str], b: list[str], fuzzy: float, tile: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places (in a, in b) of the pairs of two blocks of short titles that reach the ratio; in a block met with itself, each pair once.
 
-    A matrix product of letter counts gives the least distance; pairs that it leaves open, seldom one in a hundred, are worked out together.
+    A matrix product of letter counts gives the least distance; of the pairs that it leaves open, some in a hundred, those that
+    have letter pairs enough in common are worked out together.
     """
     letters = {c: i for i, c in enumerate(sorted(set("".join(a + b)) | {" "}))}
-    words = {w: i for i, w in enumerate({w for t in a + b for w in t.split(" ")})}
+    words = {w: i for i, w in enumerate(set(" ".join(a).split(" ")) & set(" ".join(b).split(" ")))}  # others are in one block only
     left, right = ShortTitles(a, letters, words, -1), ShortTitles(b, letters, words, -2)
+    bits_a, bits_b = (pair_bits(x, 1024 * max(left.size, right.size)) for x in (a, b))
     (bag_a, bag_b), len_a, len_b = letter_counts(a, b), *(np.array([len(t) for t in x], np.float32) for x in (a, b))
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for i in range(0, len(a), tile):
         masks = left.masks(len(letters), slice(i, i + tile))
         for k in range(i if same else 0, len(b), tile):
-            total = len_a[i:i + tile, None] + len_b[k:k + tile]
-            at, to = np.nonzero(2 * (bag_a[i:i + tile] @ bag_b[k:k + tile].T) >= fuzzy / 100 * total - 1e-3)
+            common = bag_a[i:i + tile] @ bag_b[k:k + tile].T
+            common -= (fuzzy / 200 * len_a[i:i + tile] - 5e-4)[:, None]
+            at, to = np.nonzero(common >= fuzzy / 200 * len_b[k:k + tile])
             if same and i == k:
                 at, to = (z[at < to] for z in (at, to))
             for n in range(0, len(at), PAIRS):
                 p, q = at[n:n + PAIRS], to[n:n + PAIRS]
-                good = 100.0 - 100.0 * rest_distances(left, right, masks[p], p + i, q + k) / (len_a[p + i] + len_b[q + k]).astype(np.float64) >= fuzzy
+                total = (len_a[p + i] + len_b[q + k]).astype(np.float64)
+                # an insertion or a deletion changes three letter pairs at most
+                open_ = np.bitwise_count(bits_a[p + i] ^ bits_b[q + k]).sum(axis=1) <= 3 * (1 - fuzzy / 100) * total + 1e-3
+                p, q, total = p[open_], q[open_], total[open_]
+                near, apart = rest_distances(left, right, masks, p, p + i, q + k, np.floor((1 - fuzzy / 100) * total + 1e-3))
+                good = near[100.0 - 100.0 * apart / total[near] >= fuzzy]
                 found.append((p[good] + i, q[good] + k))
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -383,18 +435,18 @@ def _alike(fuzzy: float, tile: int = 1024):
                 t = t.sort_by([("length", "ascending"), ("title_id", "ascending")])  # one order for a block on either side
                 length = t.column("length").to_numpy().astype(np.float32)
                 texts = t.column("text").to_pylist()
-                long = texts if longest >= WORD else []  # short ones need no profiles
+                long = texts if longest >= LONGEST else []  # short ones need no profiles
                 profile = pair_profiles(long, dims) if long else np.zeros((0, dims), np.float32)
                 # bits that only one side has are pairs the other lacks; `loose` is what hashing hides of a side's pairs
                 loose = (length if long else length[:0]) + 1 - profile.sum(axis=1)
                 sides.append((t.column("title_id").to_numpy(zero_copy_only=False), length, texts, profile, loose, letter_bags(long), [frozenset(x.split(" ")) for x in long]))
             (ids_a, len_a, texts_a, bits_a, loose_a, bags_a, words_a), (ids_b, len_b, texts_b, bits_b, loose_b, bags_b, words_b) = sides
             letters_a, letters_b = bags_a.sum(axis=1), bags_b.sum(axis=1)
-            if longest < WORD:
+            if longest < LONGEST:
                 at, to = _alike_short(texts_a, texts_b, fuzzy, tile, same)
                 found[0].append(ids_a[at])
                 found[1].append(ids_b[to])
-            for i in range(0, len(ids_a) if longest >= WORD else 0, tile):
+            for i in range(0, len(ids_a) if longest >= LONGEST else 0, tile):
                 a = slice(i, i + tile)
                 lo, hi = np.searchsorted(len_b, [spread * len_a[a][0] - 1.01, (len_a[a][-1] + 1.01) / spread])
                 for k in range(lo, hi, tile):
@@ -491,9 +543,11 @@ def duplicate_titles(titles: DataFrame, fuzzy: float = fv.FUZZY_DUPLICATE, topic
     by_word = materialize(word_candidates(stored, last), "by-word")
     alike = length_candidates(stored, fuzzy).unionByName(letter_candidates(stored, fuzzy))
     alike = materialize(alike.select(F.least("a", "b").alias("better"), F.greatest("a", "b").alias("worse")).distinct(), "alike")
-    asked = materialize(judged(by_word.filter(~F.col("settled")).select(*ids)), "asked")
     # the ratio that makes two titles alike settles them, unless four common words ask for more
-    found = by_word.filter("settled").select(*ids).unionByName(asked).unionByName(alike if topic <= fuzzy else judged(alike))
+    found = by_word.filter("settled").select(*ids).unionByName(alike if topic <= fuzzy else judged(alike))
+    asked = by_word.filter(~F.col("settled")).select(*ids)
+    if not asked.isEmpty():
+        found = found.unionByName(materialize(judged(asked), "asked"))
     return found if repeats else found.repartition("better").distinct()
 
 

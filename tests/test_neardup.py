@@ -139,7 +139,7 @@ def test_pairs_are_judged_where_they_meet(spark, monkeypatch):
         judged.clear()
         got = neardup.duplicate_titles(distinct, hot=hot).collect()
         assert len(want) > 300 and len(got) == len(want) and {(ids[r.better], ids[r.worse]) for r in got} == want
-        assert judged == [0]
+        assert sum(judged) == 0
     assert sorted(ids) == list(range(1, len(titles) + 1)) and all(ids[a] < ids[a + 1] for a in range(1, len(titles)))
 
 
@@ -164,3 +164,32 @@ def test_removal_in_rounds_does_not_shuffle_pairs(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(plans) > 1 and not any("SortMergeJoin" in p or "Exchange hashpartitioning(better" in p or "Exchange hashpartitioning(worse" in p for p in plans)
+
+
+def test_letters_of_long_titles_are_compared_together(monkeypatch):
+    """Titles over one machine word of letters, up to four, are never worked out one pair at a time."""
+    import pyarrow as pa
+
+    rng, single = random.Random(12), neardup.rest_alike
+
+    def block(length):
+        texts, base = set(), " ".join("".join(rng.choice("abcdeéñ\U0001F600") for _ in range(rng.randint(2, 9))) for _ in range(40))[:length]
+        while len(texts) < 40:
+            text = list(base)
+            for _ in range(rng.randint(0, length // 6)):
+                text[rng.randrange(len(text))] = rng.choice(["", "a", "é", " ", "xy", "zzz "])
+            texts.add(" ".join(sorted(set("".join(text).split()))))
+        return sorted(t for t in texts if t and len(t) < 256), base
+
+    def table(texts, own, number):
+        return pa.table({own: [number] * len(texts), "title_id": pa.array(range(len(texts)), pa.int64()), "text": texts, "length": pa.array(map(len, texts), pa.int32())})
+
+    for length in (64, 66, 120, 128, 190, 250):
+        texts, _ = block(length)
+        texts += block(length * 9 // 10)[0]
+        want = {(x, y) for x in range(len(texts)) for y in range(x + 1, len(texts))
+                if single(frozenset(texts[x].split(" ")), frozenset(texts[y].split(" ")), len(texts[x]) + len(texts[y]), 84.0)}
+        with monkeypatch.context() as m:
+            m.setattr(neardup, "rest_alike", None)
+            got = neardup._alike(84.0, tile=16)(table(texts, "i", 1), table(texts, "j", 1))
+        assert want and got.num_rows == len(want) and {tuple(sorted(p)) for p in zip(*got.to_pydict().values())} == want
